@@ -172,6 +172,7 @@ def fill_from_best(
     step: int = STEP_SECONDS,
     history: int = 7 * 86400,
     shortest: int = 1,
+    min_pairs: int = 2,
     time: str = "Timestamp",
     span: int = SPAN_SECONDS,
 ) -> DataFrame:
@@ -190,7 +191,8 @@ def fill_from_best(
     other = tier.select("Tree", F.col("Cable").alias("Sibling"), time, *cols)
     d = neighbour_join(d, other, cols, ("Tree", "Sibling", time))
     candidates = [f"{c}_sib" for c in cols]
-    best = best_neighbour(pairwise_corr(d, "_y", candidates, [*keys, "gap"]), [*keys, "gap"])
+    corrs = pairwise_corr(d, "_y", candidates, [*keys, "gap"]).where(F.col("pairs") >= min_pairs)
+    best = best_neighbour(corrs, [*keys, "gap"])
     d = salted_join(d, best.select(*keys, "gap", "Sensor"), [*keys, "gap"], time, "inner")
     d = d.withColumn("_x", F.coalesce(*[F.when(F.col("Sensor") == c, F.col(c)) for c in candidates]))
     model = ols_pair(d, "_y", "_x", [*keys, "gap"])

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from sensorloom.sources.logger import format_logger, parse_lines
@@ -18,6 +18,7 @@ def stream_import(
     names: Sequence[str],
     lateness: str = "60 days",
     max_files: int | None = None,
+    tree: Column | None = None,
 ) -> None:
     """Take in all files that have arrived and stop; files taken before are not read again.
 
@@ -29,7 +30,7 @@ def stream_import(
     if max_files:
         reader = reader.option("maxFilesPerTrigger", max_files)
     lines = reader.load(source).select(F.col("_metadata.file_path").alias("path"), F.col("value"))
-    rows = format_logger(parse_lines(lines, names, dedupe=False)).where(F.col("Timestamp").isNotNull())
+    rows = format_logger(parse_lines(lines, names, dedupe=False), tree).where(F.col("Timestamp").isNotNull())
     # Watermarks need an instant; the tables keep zone-less times.
     rows = rows.withColumn("_at", F.col("Timestamp").cast("timestamp"))
     rows = rows.withWatermark("_at", lateness).dropDuplicatesWithinWatermark(["Tree", "_at"]).drop("_at")
