@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from sensorloom.config import SERIES, SPAN_SECONDS, STEP_SECONDS, VELOCITIES, Limits, ZeroRule
@@ -26,20 +26,20 @@ from sensorloom.sources.logger import format_logger, read_logger
 from sensorloom.sources.tiers import append_raw, write_flags, write_tier
 
 
-def raw_batch(spark: SparkSession, path: str | Sequence[str], log: DataFrame) -> tuple[DataFrame, DataFrame, DataFrame]:
+def raw_batch(spark: SparkSession, path: str | Sequence[str], log: DataFrame, tree: Column | None = None) -> tuple[DataFrame, DataFrame, DataFrame]:
     """Logger files to (rows to append, new import log, report)."""
-    rows = format_logger(read_logger(spark, path))
+    rows = format_logger(read_logger(spark, path), tree)
     batch = import_batch(rows, log)
     return batch, import_log_upsert(log, import_ends(rows)), import_report(rows, log)
 
 
-def import_raw(spark: SparkSession, path: str | Sequence[str], log: DataFrame, raw_path: str) -> tuple[DataFrame, DataFrame]:
+def import_raw(spark: SparkSession, path: str | Sequence[str], log: DataFrame, raw_path: str, tree: Column | None = None) -> tuple[DataFrame, DataFrame]:
     """Append the new rows of logger files to the raw tier; returns the new log and the report.
 
     Write the log only after this returns: a job that dies in between is then
     imported again rather than lost.
     """
-    batch, new_log, report = raw_batch(spark, path, log)
+    batch, new_log, report = raw_batch(spark, path, log, tree)
     append_raw(batch, raw_path)
     return new_log, report
 
