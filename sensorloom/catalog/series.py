@@ -15,6 +15,7 @@ from sensorloom.operators.aggregates import resample, station_mean, summary_tabl
 from sensorloom.operators.intervals import grid_left_join
 from sensorloom.operators.ordered import lag_lead, locf, row_index
 from sensorloom.operators.outliers import hampel, split_flags
+from sensorloom.session import written
 
 DAYS2 = 2 * 86400
 KEY = ["Tree", "Cable"]
@@ -138,8 +139,8 @@ def lettered_tier(t: Tables):
 @query("baseline_flags", f"""WITH {TIER}, {ACTIONS}, {ZEROES}, {PERIODS}, {SLOTS}, full_tier AS (SELECT * FROM tier), {GROUPED}, {BUMPED}, {FLAGGED}
   SELECT * FROM flags WHERE coalesce(baseline_inner, baseline_middle, baseline_outer) IS NOT NULL""")
 def _(t: Tables):
-    d = lettered_tier(t)
-    periods = B.number_periods(t.zeroes(), d, span=WEEK)
+    d = written(lettered_tier(t), "l2")
+    periods = written(B.number_periods(t.zeroes(), d, span=WEEK), "periods")
     acts = t.actions().withColumn("Action", recode_action("Action"))
     grouped = B.bump_group(d.withColumn("cable_no", cable_number("Cable")), periods, acts, span=WEEK)
     return B.baseline_flags(B.join_baseline(grouped, B.baseline_values(d, periods, HOUR, span=5)))

@@ -16,7 +16,7 @@ from sensorloom.functions.columns import path_key
 from sensorloom.operators.outliers import split_flags
 from sensorloom.plans import tiers as P
 from sensorloom.plans.dashboard import dashboard_view
-from sensorloom.session import scratch_dir
+from sensorloom.session import scratch_dir, written
 
 _OLD_LOG = """old_log AS (SELECT Tree, max(Timestamp) AS last_import FROM lines WHERE Record_Number < 200 AND Tree <> 'ET3' GROUP BY 1)"""
 
@@ -80,9 +80,9 @@ _L3 = f"""{TIER}, {ACTIONS}, {ZERO_SQL}, {CLIPPED},
 
 
 def _l3(t: Tables):
-    zeroes = P.build_zeroes(t.microclimate(), RULE, span=WEEK)
+    zeroes = written(P.build_zeroes(t.microclimate(), RULE, span=WEEK), "zeroes")
     excluded = zeroes.groupBy("Tree").agg(F.min("periodBegin").alias("periodBegin"))
-    return P.build_l3(lettered_tier(t), zeroes, t.actions(), excluded, HOUR, WEEK)
+    return P.build_l3(written(lettered_tier(t), "l2"), zeroes, t.actions(), excluded, HOUR, WEEK)
 
 
 @query("tier_l3", f"""WITH {_L3} SELECT Tree, Cable, Timestamp, {R('outer_vel - coalesce(bo, 0)')} AS outer_vel, {R('middle_vel - coalesce(bm, 0)')} AS middle_vel,

@@ -21,6 +21,7 @@ from sensorloom.operators.intervals import expand_steps
 from sensorloom.operators.joins import neighbour_join, salted_join
 from sensorloom.operators.ordered import row_index, runs
 from sensorloom.operators.series import gap_context
+from sensorloom.session import written
 
 
 def ols_pair(df: DataFrame, y: str, x: str, keys: Sequence[str] = ()) -> DataFrame:
@@ -184,12 +185,13 @@ def fill_from_best(
     values kept) and ``source``. ``siblings`` has (Tree, Cable, Sibling).
     """
     keys = ["Tree", "Cable"]
-    gaps = long_gaps(tier, keys, cols, time, span, shortest)
+    gaps = written(long_gaps(tier, keys, cols, time, span, shortest), "gaps")
     window = gap_windows(gaps, keys, step, history, time)
     own = tier.select(*keys, time, F.col(target).alias("_y"))
     d = window.join(own, [*keys, time], "left").join(siblings, keys, "inner")
     other = tier.select("Tree", F.col("Cable").alias("Sibling"), time, *cols)
-    d = neighbour_join(d, other, cols, ("Tree", "Sibling", time))
+    # Read four times below: for the correlations, the choice, the fit and the prediction.
+    d = written(neighbour_join(d, other, cols, ("Tree", "Sibling", time)), "gap-windows")
     candidates = [f"{c}_sib" for c in cols]
     corrs = pairwise_corr(d, "_y", candidates, [*keys, "gap"]).where(F.col("pairs") >= min_pairs)
     best = best_neighbour(corrs, [*keys, "gap"])
@@ -221,7 +223,7 @@ def fill_from_context(
     absolute correlation wins. Gives the filled rows only.
     """
     by = [*keys, "gap"]
-    d = gap_context(tier, keys, target, time, rows, span)
+    d = written(gap_context(tier, keys, target, time, rows, span).select(*by, "length", time, target, *candidates), "gap-context")
     checks = [
         F.struct(
             F.lit(c).alias("Sensor"),

@@ -153,43 +153,31 @@ def lag_lead(df: DataFrame, keys: Sequence[str], order: str | Sequence[str], col
     return ordered(df, keys, order, span, down1=previous(col), up1=following(col))
 
 
-def mark_runs(
+def runs(
     df: DataFrame,
     keys: Sequence[str],
     order: str,
     flag: Column,
     step: int | None = None,
     span: int = SPAN_SECONDS,
-    name: str = "run_start",
 ) -> DataFrame:
-    """On rows where ``flag`` holds, the order value at which their run began.
+    """Maximal runs of rows where ``flag`` holds: first and last order value and length.
 
     A run is broken by a row without the flag and, if ``step`` is given, by any
     distance to the previous row other than ``step`` (seconds or units).
     """
     d = df.withColumn("_flag", F.coalesce(flag, F.lit(False)))
-    d = ordered(d, keys, order, span, _was=previous("_flag"), _at=previous(order))
-    starts = F.col("_flag") & ~F.coalesce(F.col("_was"), F.lit(False))
-    if step is not None:
+    if step is None:
+        # The last row without the flag names the run that follows it.
+        d = ordered(d, keys, order, span, _break=last_known(F.when(~F.col("_flag"), F.col(order))))
+    else:
+        d = ordered(d, keys, order, span, _was=previous("_flag"), _at=previous(order))
         here, there = F.col(order), F.col("_at")
         if not isinstance(df.schema[order].dataType, T.NumericType):
             here, there = F.unix_micros(here.cast("timestamp")), F.unix_micros(there.cast("timestamp"))
             step = step * 1_000_000
-        starts = F.col("_flag") & (starts | ~F.coalesce(here - there == step, F.lit(False)))
-    d = ordered(d, keys, order, span, **{name: last_known(F.when(starts, F.col(order)))})
-    return d.withColumn(name, F.when(F.col("_flag"), F.col(name))).drop("_flag", "_was", "_at")
-
-
-def runs(
-    df: DataFrame,
-    keys: Sequence[str],
-    order: str,
-    flag: Column,
-    step: int | None = None,
-    span: int = SPAN_SECONDS,
-) -> DataFrame:
-    """Maximal runs of rows where ``flag`` holds: first and last order value and length."""
-    marked = mark_runs(df, keys, order, flag, step, span).where(F.col("run_start").isNotNull())
-    return marked.groupBy(*keys, "run_start").agg(
-        F.max(order).alias("run_end"), F.count(F.lit(1)).alias("length")
-    )
+        goes_on = F.coalesce(F.col("_was") & (here - there == step), F.lit(False))
+        d = ordered(d, keys, order, span, _break=last_known(F.when(F.col("_flag") & ~goes_on, F.col(order))))
+    return d.where("_flag").groupBy(*keys, "_break").agg(
+        F.min(order).alias("run_start"), F.max(order).alias("run_end"), F.count(F.lit(1)).alias("length")
+    ).drop("_break")

@@ -10,10 +10,12 @@ from pyspark.sql import functions as F
 from sensorloom.config import LETTERS, SERIES, SPAN_SECONDS, STEP_SECONDS
 from sensorloom.functions.columns import recode_action, seconds, shift
 from sensorloom.operators.intervals import expand_steps
-from sensorloom.operators.ordered import following, last_known, mark_runs, next_known, ordered, position, previous, row_index, running, runs
+from sensorloom.operators.ordered import following, last_known, next_known, ordered, position, previous, row_index, running, runs
 
 # Actions are numbered by their place in the file; this many places form a piece.
 FILE_SPAN = 100_000
+# The same for rows numbered within their series.
+ROW_SPAN = 100_000
 
 
 def letter_events(actions: DataFrame, keys: Sequence[str] = SERIES, file_pos: str = "file_pos", span: int = FILE_SPAN) -> DataFrame:
@@ -55,10 +57,10 @@ def run_lengths(df: DataFrame, keys: Sequence[str], value: str, time: str = "Tim
 
 
 def small_gaps(df: DataFrame, keys: Sequence[str], value: str, time: str = "Timestamp", longest: int = 5, step: int = STEP_SECONDS, span: int = SPAN_SECONDS) -> DataFrame:
-    """Runs of at most ``longest`` missing rows, padded by one step on both sides, renumbered."""
-    gaps = run_lengths(df, keys, value, time, span).where(F.col("length") <= longest)
-    gaps = row_index(gaps, keys, "first_missing", "gap", span)
-    return gaps.select(*keys, "gap", "length", shift("first_missing", -step).alias("Start"), shift("last_missing", step).alias("End"))
+    """Runs of at most ``longest`` missing rows, padded by one step on both sides and numbered."""
+    gaps = runs(df, keys, time, F.col(value).isNull(), span=span).where(F.col("length") <= longest)
+    gaps = row_index(gaps, keys, "run_start", "gap", span)
+    return gaps.select(*keys, "gap", "length", shift("run_start", -step).alias("Start"), shift("run_end", step).alias("End"))
 
 
 def expand_gaps(gaps: DataFrame, keys: Sequence[str], step: int = STEP_SECONDS, time: str = "Timestamp") -> DataFrame:
@@ -72,25 +74,24 @@ def gap_context(df: DataFrame, keys: Sequence[str], value: str, time: str = "Tim
     Each gap asks for its row numbers and meets the series on them, so a row that
     serves several gaps is repeated only for those.
     """
-    d = mark_runs(df, keys, time, F.col(value).isNull(), span=span, name="_run")
-    d = ordered(d, keys, time, span, index=position())
-    gaps = d.where(F.col("_run").isNotNull()).groupBy(*keys, "_run").agg(
+    known = F.when(F.col(value).isNotNull(), F.col(time))
+    d = ordered(df, keys, time, span, index=position(), _break=last_known(known))
+    gaps = d.where(F.col(value).isNull()).groupBy(*keys, "_break").agg(
         F.min("index").alias("_lo"), F.max("index").alias("_hi"), F.count(F.lit(1)).alias("length")
     )
-    gaps = row_index(gaps, keys, "_run", "gap", span)
+    gaps = row_index(gaps, keys, "_lo", "gap", ROW_SPAN)
     block = 2048
     wanted = gaps.withColumns({"_lo": F.col("_lo") - rows, "_hi": F.col("_hi") + rows})
     wanted = wanted.withColumn("_b", F.explode(F.sequence("_lo", "_hi", F.lit(block).cast("long"))))
     wanted = wanted.withColumn("index", F.explode(F.sequence(F.col("_b"), F.least(F.col("_b") + (block - 1), F.col("_hi")))))
-    return wanted.select(*keys, "index", "gap", "length").join(d.drop("_run"), [*keys, "index"], "inner")
+    return wanted.select(*keys, "index", "gap", "length").join(d.drop("_break"), [*keys, "index"], "inner")
 
 
 def segment_ids(df: DataFrame, keys: Sequence[str], value: str, time: str = "Timestamp", span: int = SPAN_SECONDS) -> DataFrame:
     """Missing rows with their row number and the number of their run."""
-    d = mark_runs(df, keys, time, F.col(value).isNull(), span=span, name="_run")
-    d = ordered(d, keys, time, span, missingLoc=position())
-    d = d.where(F.col("_run").isNotNull())
-    opens = F.when(F.col("_run") == F.col(time), 1).otherwise(0).cast("long")
+    missing = F.col(value).isNull()
+    d = ordered(df.withColumn("_missing", missing), keys, time, span, missingLoc=position(), _was=previous("_missing")).where("_missing")
+    opens = F.when(~F.coalesce(F.col("_was"), F.lit(False)), 1).otherwise(0).cast("long")
     return ordered(d, keys, time, span, sameSlot=running(opens)).select(*keys, time, "missingLoc", "sameSlot")
 
 

@@ -20,7 +20,7 @@ from sensorloom.operators.outliers import hampel, split_flags
 from sensorloom.operators.ports import before_after_probe, cable_velocities, ports_as_arrays, wired_cables
 from sensorloom.operators.reshape import cut_note, melt_date_columns, melt_positions, union_distinct
 from sensorloom.operators.series import letter_events, letter_series
-from sensorloom.session import scratch_dir
+from sensorloom.session import scratch_dir, written
 from sensorloom.sources.incremental import import_batch, import_ends, import_log_upsert, import_report, skip_missing_input
 from sensorloom.sources.logger import format_logger, read_logger
 from sensorloom.sources.tiers import append_raw, write_flags, write_tier
@@ -102,11 +102,14 @@ def build_zeroes(microclimate: DataFrame, rule: ZeroRule = ZeroRule(), min_hours
 
 
 def baselined(l2: DataFrame, zeroes: DataFrame, actions: DataFrame, excluded: DataFrame | None = None, step: int = STEP_SECONDS, span: int = SPAN_SECONDS) -> DataFrame:
-    """L2 rows with period number and baselines, for the trees that have zero periods."""
+    """L2 rows with period number and baselines, for the trees that have zero periods.
+
+    ``l2`` and ``zeroes`` are read several times and should be tables, not plans.
+    """
     zeroes = zeroes.distinct()
     d = skip_missing_input(l2, zeroes)
     usable = zeroes if excluded is None else drop_listed(zeroes, excluded, ("Tree", "periodBegin"))
-    periods = number_periods(usable, d, span=span)
+    periods = written(number_periods(usable, d, span=span), "periods")
     acts = actions.withColumn("Action", recode_action("Action")).where(F.col("Action").isNotNull())
     grouped = bump_group(d.withColumn("cable_no", cable_number("Cable")), periods, acts, span=span).drop("cable_no")
     return join_baseline(grouped, baseline_values(d, periods, step))

@@ -5,7 +5,7 @@ from __future__ import annotations
 import tempfile
 import uuid
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 DEFAULTS = {
     "spark.sql.session.timeZone": "UTC",
@@ -36,3 +36,14 @@ def scratch_dir(spark: SparkSession, label: str) -> str:
     if not base:
         base = tempfile.mkdtemp(prefix="sensorloom-")
     return f"{base.rstrip('/')}/{label}-{uuid.uuid4().hex}"
+
+
+def written(df: DataFrame, label: str) -> DataFrame:
+    """The same rows read back from a table in the scratch folder.
+
+    For results that several later steps share: they are computed once, the plan
+    stays short, and a lost executor costs a re-read, not a recomputation.
+    """
+    path = scratch_dir(df.sparkSession, label)
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
