@@ -24,15 +24,14 @@ FOLDER_KEY = r"Tree=([^/]+)/"
 
 def logger_lines(t: Tables) -> DataFrame:
     """(Tree, value): the ports table as logger text, with headers, lost values and repeated lines."""
-    d = t.ports_wide()
-    ports = [c for c in d.columns if "Temperature_Avg" in c]
-    text = lambda c: F.col(c).cast("string")
-    lost = lambda c, i: F.when((F.col("Record_Number") + i) % 13 == 0, "NAN").otherwise(text(c))
+    d, number = t.ports(), F.col("vec_id")
+    text = lambda array, first: F.transform(array, lambda v, i: F.when((number + i + first) % 13 == 0, "NAN").otherwise(v.cast("string")))
+    volts = F.when(number % 11 == 0, 0.0).otherwise(F.get("after", F.lit(1)))
     line = F.concat_ws(
-        ",", F.date_format("Timestamp", "yyyy-MM-dd HH:mm:ss"), text("Record_Number"), text("Panel_Temperature"),
-        text("Big_Battery_Voltage"), text("Small_Battery_Voltage"), *[lost(c, i) for i, c in enumerate(ports)],
+        ",", F.date_format("Timestamp", "yyyy-MM-dd HH:mm:ss"), number.cast("string"), F.get("base", F.lit(0)).cast("string"),
+        volts.cast("string"), F.get("base", F.lit(2)).cast("string"), text("base", 0), text("after", PORTS),
     )
-    rows = d.select(tree_of("Tree").alias("Tree"), F.explode(F.array_repeat(line, F.when(F.col("Record_Number") % 5 == 0, 2).otherwise(1))).alias("value"))
+    rows = d.select(tree_of("Tree").alias("Tree"), F.explode(F.array_repeat(line, F.when(number % 5 == 0, 2).otherwise(1))).alias("value"))
     quoted = ",".join(f'"{n}"' for n in FIELDS)
     heads = F.array(*[F.lit(h) for h in ('"TOA5","logger"', quoted, '"TS","RN","Deg C"', '"","","Avg"')])
     return t.station_info().select(tree_of("Tree").alias("Tree"), F.explode(heads).alias("value")).unionByName(rows)

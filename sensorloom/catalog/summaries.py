@@ -106,7 +106,7 @@ def _(t: Tables):
 @query("quantiles_of_copies", f"""SELECT l_returnflag, CAST(q.p AS DOUBLE) AS prob, {R('v')} AS value FROM (
     SELECT l_returnflag, unnest([0.1, 0.5, 0.9]) AS p, unnest(quantile_cont(l_quantity, [0.1, 0.5, 0.9])) AS v FROM lineitem GROUP BY 1) q""")
 def _(t: Tables):
-    return rounded(A.quantiles(t.table("lineitem"), "l_quantity", (0.1, 0.5, 0.9), ["l_returnflag"], buckets=16), "value")
+    return rounded(A.quantiles(t.table("lineitem"), "l_quantity", (0.1, 0.5, 0.9), ["l_returnflag"], accuracy=500), "value")
 
 
 @query("trim_percentile", f"""WITH {TIER}, b AS (SELECT Tree, {', '.join(f"quantile_cont({c}, 0.005) AS lo_{c}, quantile_cont({c}, 0.995) AS hi_{c}" for c in VELOCITIES)} FROM tier GROUP BY 1)

@@ -110,42 +110,45 @@ def r_squared(df: DataFrame, observed: str, predicted: str, keys: Sequence[str]
     return df.groupBy(*keys).agg(F.pow(_corr(observed, predicted), F.lit(2.0)).alias("r2"))
 
 
-def quantiles(df: DataFrame, col: str, probs: Sequence[float], keys: Sequence[str] = (), buckets: int = 256) -> DataFrame:
+def quantiles(df: DataFrame, col: str, probs: Sequence[float], keys: Sequence[str] = (), accuracy: int = 10000) -> DataFrame:
     """Exact quantiles with linear interpolation, one row per key and probability.
 
     Spark's exact ``percentile`` holds all distinct values of a group in one task.
-    Here a sketch of fixed size cuts each group into buckets, a count per bucket
-    tells which buckets hold the wanted ranks, and only those are ranked.
+    Here a mergeable sketch, whose rank error is at most n / ``accuracy``, brackets
+    each wanted rank; rows below the bracket are only counted, and the few inside
+    it (about ten in ``accuracy`` per probability, copies of a value as one row)
+    are ranked. Groups of up to ``accuracy`` rows are ranked whole.
     """
     keys = list(keys)
     by = keys or ["_all"]
-    values = (df if keys else df.withColumn("_all", F.lit(1))).where(F.col(col).isNotNull())
-    # Equal values travel as one row with a count, so copies of a value cost nothing.
-    values = values.groupBy(*by, F.col(col).cast("double").alias("_v")).agg(F.count(F.lit(1)).alias("_n"))
-    grid = [i / buckets for i in range(1, buckets)]
-    cuts = values.groupBy(*by).agg(F.percentile_approx("_v", grid, 10000).alias("_cuts"))
-    d = salted_join(values, cuts, by, "_v", "inner").withColumn(
-        "_b", F.size(F.filter("_cuts", lambda c: c < F.col("_v")))
-    ).drop("_cuts")
-
-    counts = d.groupBy(*by, "_b").agg(F.sum("_n").alias("_in"))
-    upto = Window.partitionBy(*by).orderBy("_b").rowsBetween(Window.unboundedPreceding, 0)
-    everything = Window.partitionBy(*by)
-    counts = counts.withColumns({"_to": F.sum("_in").over(upto), "_total": F.sum("_in").over(everything)})
-    wanted = counts.withColumn("_q", F.explode(F.array(*[F.lit(float(p)) for p in probs])))
-    wanted = wanted.withColumn("_h", (F.col("_total") - 1) * F.col("_q"))
-    wanted = wanted.withColumn("_r", F.explode(F.array(F.floor("_h"), F.ceil("_h")))).distinct()
-    wanted = wanted.where((F.col("_r") >= F.col("_to") - F.col("_in")) & (F.col("_r") < F.col("_to")))
-
-    few = d.join(wanted.select(*by, "_b").distinct(), [*by, "_b"], "left_semi")
-    rank = Window.partitionBy(*by, "_b").orderBy("_v").rowsBetween(Window.unboundedPreceding, 0)
-    few = few.withColumn("_c", F.sum("_n").over(rank)).join(wanted, [*by, "_b"], "inner")
-    within = F.col("_r") - (F.col("_to") - F.col("_in"))
-    few = few.where((within < F.col("_c")) & (within >= F.col("_c") - F.col("_n")))
-    lower = F.max(F.when(F.col("_r") == F.floor("_h"), F.col("_v")))
-    upper = F.max(F.when(F.col("_r") == F.ceil("_h"), F.col("_v")))
-    fraction = F.max(F.col("_h") - F.floor("_h"))
-    out = few.groupBy(*by, F.col("_q").alias("prob")).agg((lower + (upper - lower) * fraction).alias("value"))
+    d = (df if keys else df.withColumn("_all", F.lit(1))).where(F.col(col).isNotNull()).select(*by, F.col(col).cast("double").alias("_v"))
+    slack = 5.0 / accuracy
+    edges = [e for p in probs for e in (max(p - slack, 0.0), min(p + slack, 1.0))]
+    cuts = d.groupBy(*by).agg(F.count(F.lit(1)).alias("_total"), F.percentile_approx("_v", edges, accuracy).alias("_cuts"))
+
+    def under(i: int, p: float) -> Column:
+        return (F.col("_total") > accuracy) & (F.col("_v") < F.col("_cuts")[2 * i]) if p - slack > 0 else F.lit(False)
+
+    def over(i: int, p: float) -> Column:
+        return (F.col("_total") > accuracy) & (F.col("_v") > F.col("_cuts")[2 * i + 1]) if p + slack < 1 else F.lit(False)
+
+    placed = salted_join(d, cuts, by, "_v", "inner")
+    counts = placed.groupBy(*by).agg(F.max("_total").alias("_total"), F.array(*[
+        F.struct(F.lit(i).alias("_i"), F.lit(float(p)).alias("_p"), F.count_if(under(i, p)).alias("_below")) for i, p in enumerate(probs)
+    ]).alias("_w")).select(*by, "_total", F.inline("_w"))
+    inside = F.array_compact(F.array(*[F.when(~under(i, p) & ~over(i, p), F.lit(i)) for i, p in enumerate(probs)]))
+    near = placed.where(F.size(inside) > 0).select(*by, "_v", F.explode(inside).alias("_i"))
+    near = near.groupBy(*by, "_i", "_v").agg(F.count(F.lit(1)).alias("_k"))
+    upto = Window.partitionBy(*by, "_i").orderBy("_v").rowsBetween(Window.unboundedPreceding, 0)
+    near = near.withColumn("_to", F.sum("_k").over(upto)).join(counts, [*by, "_i"], "inner")
+
+    exact = (F.col("_total") - 1) * F.col("_p")
+    end = F.col("_below") + F.col("_to")
+    holds = lambda rank: (rank < end) & (rank >= end - F.col("_k"))
+    lower = F.max(F.when(holds(F.floor(exact)), F.col("_v")))
+    upper = F.max(F.when(holds(F.ceil(exact)), F.col("_v")))
+    fraction = F.max(exact - F.floor(exact))
+    out = near.groupBy(*by, F.col("_p").alias("prob")).agg((lower + (upper - lower) * fraction).alias("value"))
     return out.select(*keys, "prob", "value")
 
 

@@ -4,10 +4,10 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from sensorloom.functions.columns import minute_stamp, path_key, to_number
+from sensorloom.functions.columns import minute_stamp, path_key
 
 TIME = "TIMESTAMP"
 # Names the tiers use for the logger's housekeeping fields.
@@ -34,24 +34,25 @@ def header_names(lines: DataFrame) -> list[str]:
 
 
 def parse_lines(lines: DataFrame, names: Sequence[str], keep: Sequence[str] = ("path",), dedupe: bool = True) -> DataFrame:
-    """Records of logger lines: header lines out, exact duplicates out, time parsed, the rest still text.
+    """Records of logger lines: header lines out, exact duplicates out, time parsed, all other fields numbers.
 
     Header lines are told by their first field, so files may be split at any line.
-    'NAN' and empty fields are missing. A record whose time cannot be read keeps a
-    missing time.
+    'NAN', empty and unreadable fields are missing; a record whose time cannot be
+    read keeps a missing time.
     """
     first = F.trim(F.regexp_replace(F.split("value", ",", 2).getItem(0), '"', ""))
     body = lines.where(~first.isin("TOA5", TIME, "TS", ""))
     if dedupe:
         body = body.dropDuplicates([*keep, "value"])
-    options = {"nullValue": "NAN", "mode": "PERMISSIVE", "ignoreLeadingWhiteSpace": "true", "ignoreTrailingWhiteSpace": "true"}
-    d = body.select(*keep, F.from_csv("value", _ddl(names), options).alias("r"))
-    fields = [F.col(f"r.`{n}`").alias(n) for n in names if n != TIME]
-    return d.select(*keep, minute_stamp(F.col(f"r.`{TIME}`")).alias("Timestamp"), *fields)
+    record = F.from_csv("value", _ddl(names), {"nullValue": "NAN", "mode": "PERMISSIVE", "ignoreLeadingWhiteSpace": "true", "ignoreTrailingWhiteSpace": "true"})
+    d = body.select(*keep, record.alias("_r")).select(*keep, "_r.*")
+    return d.withColumn(TIME, minute_stamp(TIME)).withColumnRenamed(TIME, "Timestamp").select(
+        *keep, "Timestamp", *[f"`{n}`" for n in names if n != TIME]
+    )
 
 
 def _ddl(names: Sequence[str]) -> str:
-    return ", ".join(f"`{n}` STRING" for n in names)
+    return ", ".join(f"`{n}` {'STRING' if n == TIME else 'DOUBLE'}" for n in names)
 
 
 def read_logger(spark: SparkSession, path: str | Sequence[str], names: Sequence[str] | None = None) -> DataFrame:
@@ -60,10 +61,9 @@ def read_logger(spark: SparkSession, path: str | Sequence[str], names: Sequence[
     return parse_lines(lines, names or header_names(lines))
 
 
-def format_logger(df: DataFrame, tree=None) -> DataFrame:
-    """Tree first, numbers as numbers, housekeeping fields renamed."""
+def format_logger(df: DataFrame, tree: Column | None = None) -> DataFrame:
+    """Tree first, no NaN, housekeeping fields renamed."""
     tree = path_key("path") if tree is None else tree
     fields = [c for c in df.columns if c not in ("path", "Timestamp")]
-    return df.select(
-        tree.alias("Tree"), "Timestamp", *[to_number(F.col(f"`{c}`")).alias(RENAMES.get(c, c)) for c in fields]
-    )
+    nan = F.lit(float("nan"))
+    return df.select(tree.alias("Tree"), "Timestamp", *[F.nullif(F.col(f"`{c}`"), nan).alias(RENAMES.get(c, c)) for c in fields])
