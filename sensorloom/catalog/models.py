@@ -85,7 +85,7 @@ def _(t: Tables):
 _PIVOT = """wide AS (SELECT Cable, Timestamp, max(Velocity) FILTER (WHERE Tree = 'T0') AS x, max(Velocity) FILTER (WHERE Tree = 'T1') AS y FROM readings GROUP BY 1, 2),
 pairs AS (SELECT *, CAST(hour(Timestamp) AS INTEGER) AS Hour FROM wide WHERE x IS NOT NULL AND y IS NOT NULL),
 dm AS (SELECT *, x - avg(x) OVER (PARTITION BY Cable, Hour) AS dx, y - avg(y) OVER (PARTITION BY Cable, Hour) AS dy FROM pairs),
-sl AS (SELECT Cable, sum(dx * dy) / sum(dx * dx) AS slope FROM dm GROUP BY 1)"""
+sl AS (SELECT Cable, sum(dx * dy) / nullif(sum(dx * dx), 0) AS slope, CASE WHEN sum(dx * dx) > 0 THEN 1 ELSE 0 END AS k FROM dm GROUP BY 1)"""
 
 
 def _neighbours(t: Tables):
@@ -99,12 +99,14 @@ def _(t: Tables):
 
 
 @query("ols_hour_anova", f"""WITH {READINGS}, {_PIVOT},
-  res AS (SELECT d.Cable, sum((dy - slope * dx) * (dy - slope * dx)) AS rss, count(*) AS n, count(DISTINCT Hour) AS h FROM dm d JOIN sl ON sl.Cable = d.Cable GROUP BY 1),
+  res AS (SELECT d.Cable, sum((dy - coalesce(slope, 0) * dx) * (dy - coalesce(slope, 0) * dx)) AS rss, count(*) AS n, count(DISTINCT Hour) AS h, max(k) AS k
+    FROM dm d JOIN sl ON sl.Cable = d.Cable GROUP BY 1),
   one AS (SELECT Cable, regr_sxy(y, x) * regr_sxy(y, x) / regr_sxx(y, x) AS ssx, regr_syy(y, x) AS tyy FROM pairs GROUP BY 1),
-  a AS (SELECT Cable, rss, n, h, ssx, tyy - ssx - rss AS ssh, rss / (n - h - 1) AS ms FROM res JOIN one USING (Cable))
-  SELECT Cable, 'x' AS term, CAST(1 AS BIGINT) AS df, round(ssx, 4) AS sum_sq, round(ssx, 4) AS mean_sq, {R('ssx / ms')} AS f_value FROM a
-  UNION ALL SELECT Cable, 'hour', h - 1, round(ssh, 4), round(ssh / (h - 1), 4), {R('ssh / (h - 1) / ms')} FROM a
-  UNION ALL SELECT Cable, 'residuals', n - h - 1, round(rss, 4), round(ms, 4), NULL FROM a""")
+  a AS (SELECT Cable, rss, n - h - k AS dfr, h - 2 + k AS dfh, ssx, tyy - ssx - rss AS ssh FROM res JOIN one USING (Cable)),
+  b AS (SELECT *, CASE WHEN dfr > 0 AND rss > 0 THEN rss / dfr END AS ms FROM a)
+  SELECT Cable, 'x' AS term, CAST(1 AS BIGINT) AS df, round(ssx, 4) AS sum_sq, round(ssx, 4) AS mean_sq, {R('ssx / ms')} AS f_value FROM b
+  UNION ALL SELECT Cable, 'hour', dfh, round(ssh, 4), CASE WHEN dfh > 0 THEN round(ssh / dfh, 4) END, CASE WHEN dfh > 0 THEN {R('ssh / dfh / ms')} END FROM b
+  UNION ALL SELECT Cable, 'residuals', dfr, round(rss, 4), CASE WHEN dfr > 0 THEN round(rss / dfr, 4) END, NULL FROM b""")
 def _(t: Tables):
     d = rounded(M.hour_factor_anova(_neighbours(t), "T1", "T0", ["Cable"]), "f_value")
     return d.withColumns({"sum_sq": F.round("sum_sq", 4), "mean_sq": F.round("mean_sq", 4)})

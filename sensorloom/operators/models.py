@@ -76,19 +76,27 @@ def hour_factor_anova(df: DataFrame, y: str, x: str, keys: Sequence[str] = (), t
     )
     t = totals.withColumns({"txx": F.col("wxx") + F.col("bxx"), "txy": F.col("wxy") + F.col("bxy"), "tyy": F.col("wyy") + F.col("byy")})
     t = t.withColumn("ss_x", F.try_divide(F.col("txy") * F.col("txy"), F.col("txx")))
-    t = t.withColumn("ss_res", F.col("wyy") - F.try_divide(F.col("wxy") * F.col("wxy"), F.col("wxx")))
-    t = t.withColumns({"ss_hour": F.col("tyy") - F.col("ss_x") - F.col("ss_res"), "df_res": F.col("n") - F.col("hours") - 1})
+    # Without variation of x within the hours, x is a combination of the hour terms and costs them one degree.
+    extra = F.when(F.col("wxx") > 0, 1).otherwise(0)
+    t = t.withColumn("ss_res", F.col("wyy") - F.coalesce(F.try_divide(F.col("wxy") * F.col("wxy"), F.col("wxx")), F.lit(0.0)))
+    t = t.withColumns({
+        "ss_hour": F.col("tyy") - F.col("ss_x") - F.col("ss_res"),
+        "df_hour": F.col("hours") - 2 + extra, "df_res": F.col("n") - F.col("hours") - extra,
+    })
     rows = F.array(
         F.struct(F.lit("x").alias("term"), F.lit(1).cast("long").alias("df"), F.col("ss_x").alias("sum_sq")),
-        F.struct(F.lit("hour").alias("term"), (F.col("hours") - 1).alias("df"), F.col("ss_hour").alias("sum_sq")),
+        F.struct(F.lit("hour").alias("term"), F.col("df_hour").alias("df"), F.col("ss_hour").alias("sum_sq")),
         F.struct(F.lit("residuals").alias("term"), F.col("df_res").alias("df"), F.col("ss_res").alias("sum_sq")),
     )
-    d = t.select(*keys, F.try_divide(F.col("ss_res"), F.col("df_res")).alias("_ms"), F.explode(rows).alias("_r"))
-    mean_sq = F.try_divide(F.col("_r.sum_sq"), F.col("_r.df"))
-    return d.select(
-        *keys, "_r.term", "_r.df", "_r.sum_sq", mean_sq.alias("mean_sq"),
-        F.when(F.col("_r.term") != "residuals", F.try_divide(mean_sq, F.col("_ms"))).alias("f_value"),
-    )
+    d = t.select(*keys, _mean_square("ss_res", "df_res").alias("_ms"), F.explode(rows).alias("_r")).select(*keys, "_ms", "_r.*")
+    d = d.withColumn("mean_sq", _mean_square("sum_sq", "df"))
+    f_value = F.when((F.col("term") != "residuals") & (F.col("_ms") > 0), F.col("mean_sq") / F.col("_ms"))
+    return d.select(*keys, "term", "df", "sum_sq", "mean_sq", f_value.alias("f_value"))
+
+
+def _mean_square(total: str, df: str) -> Column:
+    """Missing without degrees of freedom."""
+    return F.when(F.col(df) > 0, F.col(total) / F.col(df))
 
 
 def ols_interaction(df: DataFrame, y: str, a: str, b: str, keys: Sequence[str] = ()) -> DataFrame:
