@@ -40,7 +40,7 @@ def _(t: Tables):
 @query("letter_series", f"""WITH {TIER}, {ACTIONS}, {EVENTS}, src AS (SELECT Tree, Cable, Timestamp FROM tier), {LETTERED}
   SELECT Tree, Cable, Timestamp, CAST(no AS INTEGER) AS letter_no, substr('abcd', CAST(no AS INTEGER) + 1, 1) AS letter FROM lettered""")
 def _(t: Tables):
-    return S.letter_series(t.tier_wide().select("Tree", "Cable", "Timestamp"), S.letter_events(t.actions()), span=WEEK)
+    return S.letter_series(t.tier_wide().select("Tree", "Cable", "Timestamp"), S.letter_events(t.actions()))
 
 
 @query("locf", f"""WITH {TIER} SELECT Tree, Cable, Timestamp, {', '.join(
@@ -132,7 +132,7 @@ FLAGGED = f"""{EVENTS}, src AS (SELECT * FROM tier), {LETTERED},
 
 def lettered_tier(t: Tables):
     """The tier with installations told apart, as the outlier filter gets it."""
-    d = S.letter_series(t.tier_wide(), S.letter_events(t.actions(), span=1000), span=WEEK)
+    d = S.letter_series(t.tier_wide(), S.letter_events(t.actions(), span=1000))
     return d.withColumn("Cable", unite("Cable", "letter")).select("Tree", "Cable", "Timestamp", *VELOCITIES)
 
 

@@ -35,7 +35,7 @@ def expand_steps(
     d = d.withColumn("_n", F.floor((seconds("_to") - seconds("_from")) / F.lit(step)).cast("long")).where("_n >= 0")
     d = d.withColumn("_lo", F.explode(F.sequence(F.lit(0).cast("long"), F.col("_n"), F.lit(SLOTS_PER_PIECE).cast("long"))))
     if spread:
-        d = d.repartition("_from", "_to", "_lo")
+        d = d.repartition(*[c for c in kept if c != name], "_lo")
     hi = F.least(F.col("_lo") + (SLOTS_PER_PIECE - 1), F.col("_n"))
     d = d.withColumn("_k", F.explode(F.sequence(F.col("_lo"), hi)))
     return d.select(*[c for c in kept if c != name], shift("_from", F.col("_k") * F.lit(step)).alias(name))

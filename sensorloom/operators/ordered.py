@@ -70,6 +70,16 @@ def piece_of(df: DataFrame, order: str, span: int) -> Column:
     return F.floor(c / F.lit(span)).cast("long")
 
 
+def span_for(df: DataFrame, keys: Sequence[str], order: str, rows: int = 2_000_000, longest: int = 10 * 365 * 86400) -> int:
+    """A span in seconds at which no piece of a series holds many more than ``rows`` rows.
+
+    One grouped count by series and day, of which a single number reaches the driver.
+    """
+    day = F.floor(F.unix_timestamp(order) / F.lit(86400))
+    busiest = df.groupBy(*keys, day.alias("_day")).agg(F.count(F.lit(1)).alias("_n")).agg(F.max("_n")).first()[0]
+    return longest if not busiest else max(60, min(longest, 86400 * rows // busiest))
+
+
 def ordered(
     df: DataFrame,
     keys: Sequence[str],

@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from sensorloom.config import LETTERS, SERIES, SPAN_SECONDS, STEP_SECONDS
 from sensorloom.functions.columns import recode_action, seconds, shift
 from sensorloom.operators.intervals import expand_steps
+from sensorloom.operators.joins import salted_join
 from sensorloom.operators.ordered import following, last_known, next_known, ordered, position, previous, row_index, running, runs
 
 # Actions are numbered by their place in the file; this many places form a piece.
@@ -35,18 +36,27 @@ def letter_of(number: str):
     return F.get(F.array(*[F.lit(x) for x in ("a", *LETTERS)]), F.col(number).cast("int"))
 
 
-def letter_series(df: DataFrame, events: DataFrame, keys: Sequence[str] = SERIES, time: str = "Timestamp", span: int = SPAN_SECONDS) -> DataFrame:
+def letter_series(df: DataFrame, events: DataFrame, keys: Sequence[str] = SERIES, time: str = "Timestamp") -> DataFrame:
     """Letter of the installation each row belongs to: 'a' at first, then that of the latest action.
 
     ``events`` comes from ``letter_events``. An action counts at the row with exactly
-    its time; one on the series' first row is lost, as that row is always 'a'.
+    its time; one on the series' first row is lost, as that row is always 'a'. With
+    three letters a series has at most three changes, so they meet the rows as one
+    row per series and no window over the series is needed.
     """
+    keys, numbers = list(keys), range(1, len(LETTERS) + 1)
+    at = events.where(F.col("letter_no").isNotNull()).groupBy(*keys, time).agg(F.max("letter_no").alias("letter_no"))
+    seen = df.select(*keys, time).join(at, [*keys, time], "inner").distinct()
     starts = df.groupBy(*keys).agg(F.min(time).alias("_from"))
-    at = events.groupBy(*keys, time).agg(F.max("letter_no").alias("letter_no"))
-    at = at.join(starts, list(keys), "inner").where(F.col(time) > F.col("_from")).drop("_from")
-    d = ordered(df.join(at, [*keys, time], "left"), keys, time, span, letter_no=last_known("letter_no"))
-    d = d.withColumn("letter_no", F.coalesce("letter_no", F.lit(0)))
-    return d.withColumn("letter", letter_of("letter_no"))
+    changes = seen.join(starts, keys, "inner").where(F.col(time) > F.col("_from")).groupBy(*keys).agg(
+        *[F.max(F.when(F.col("letter_no") == n, F.col(time))).alias(f"_at{n}") for n in numbers]
+    )
+    d = salted_join(df, changes, keys, time)
+    passed = [F.when(F.col(f"_at{n}") <= F.col(time), F.col(f"_at{n}")) for n in numbers]
+    d = d.withColumn("_latest", F.greatest(*passed))
+    number = F.coalesce(*[F.when(F.col("_latest") == F.col(f"_at{n}"), n) for n in reversed(numbers)], F.lit(0))
+    d = d.withColumn("letter_no", number).withColumn("letter", letter_of("letter_no"))
+    return d.select(*df.columns, "letter_no", "letter")
 
 
 def run_lengths(df: DataFrame, keys: Sequence[str], value: str, time: str = "Timestamp", span: int = SPAN_SECONDS) -> DataFrame:

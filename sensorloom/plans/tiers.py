@@ -16,9 +16,10 @@ from sensorloom.operators.baseline import (
 from sensorloom.operators.filters import filter_date_range, quality_voltage, recent_window
 from sensorloom.operators.intervals import grid_left_join, make_grid, mask_wide
 from sensorloom.operators.joins import drop_listed, guide_join
-from sensorloom.operators.outliers import hampel, split_flags
+from sensorloom.operators.ordered import span_for
+from sensorloom.operators.outliers import BLOCK_ROWS, hampel, split_flags
 from sensorloom.operators.ports import before_after_probe, cable_velocities, ports_as_arrays, wired_cables
-from sensorloom.operators.reshape import cut_note, melt_date_columns, melt_positions, union_distinct
+from sensorloom.operators.reshape import cut_note, melt_date_columns, melt_positions
 from sensorloom.operators.series import letter_events, letter_series
 from sensorloom.session import scratch_dir, written
 from sensorloom.sources.incremental import import_batch, import_ends, import_log_upsert, import_report, skip_missing_input
@@ -44,27 +45,36 @@ def import_raw(spark: SparkSession, path: str | Sequence[str], log: DataFrame, r
     return new_log, report
 
 
-def build_l1(
+def l1_rows(
     ports: DataFrame,
     station_info: DataFrame,
-    l1: DataFrame | None = None,
+    ends: DataFrame | None = None,
     limits: Limits | None = Limits(),
     step: int = STEP_SECONDS,
 ) -> DataFrame:
     """Port arrays (Tree, Timestamp, base, after) to velocities on a gap-free grid.
 
-    With an existing tier only records newer than its end are processed, and the
-    grid goes on one step after it; the tier's own rows are kept.
+    With ``ends`` (Tree, last_import) only newer records are processed and the grid
+    goes on one step after them; these rows can be appended to the tier as they are.
     """
     spans = ports.groupBy("Tree").agg(F.min("Timestamp").alias("_start"), F.max("Timestamp").alias("_end"))
-    if l1 is not None:
-        ends = import_ends(l1)
+    if ends is not None:
         ports = import_batch(ports, ends)
         spans = spans.join(ends, "Tree", "left")
         spans = spans.withColumn("_start", F.coalesce(shift("last_import", step), "_start")).drop("last_import")
     grid = make_grid(spans.join(wired_cables(station_info), "Tree", "inner"), "_start", "_end", SERIES, step)
-    full = grid_left_join(grid, cable_velocities(ports, station_info, limits))
-    return full.distinct() if l1 is None else union_distinct(full, l1)
+    return grid_left_join(grid, cable_velocities(ports, station_info, limits)).distinct()
+
+
+def build_l1(ports: DataFrame, station_info: DataFrame, l1: DataFrame | None = None, limits: Limits | None = Limits(), step: int = STEP_SECONDS) -> DataFrame:
+    """The whole L1 tier: an existing one and the rows after its end.
+
+    The new grid begins after the old tier, so the two share no row and the old one
+    is neither shuffled nor compared.
+    """
+    if l1 is None:
+        return l1_rows(ports, station_info, None, limits, step)
+    return l1.unionByName(l1_rows(ports, station_info, import_ends(l1), limits, step))
 
 
 def build_l2(
@@ -73,18 +83,20 @@ def build_l2(
     actions: DataFrame,
     step: int = STEP_SECONDS,
     gridded: bool = True,
-    span: int = SPAN_SECONDS,
-    block: int = 4096,
+    span: int | None = None,
+    block: int = BLOCK_ROWS,
 ) -> DataFrame:
     """L1 to masked, lettered and outlier-filtered rows, with the outlier flags beside them.
 
     ``bad_windows`` is long: (Tree, Cable, Position, Start, End). ``gridded`` says
-    that each series has exactly one row per step, as an L1 tier has.
+    that each series has exactly one row per step, as an L1 tier has; otherwise rows
+    are numbered first.
     """
-    d = mask_wide(l1, bad_windows, VELOCITIES, step=step)
-    d = letter_series(d, letter_events(actions), span=span)
+    d = letter_series(mask_wide(l1, bad_windows, VELOCITIES, step=step), letter_events(actions))
     d = d.withColumn("Cable", unite("Cable", "letter")).select("Tree", "Cable", "Timestamp", *VELOCITIES)
-    return hampel(d, step=step if gridded else None, span=span, block=block)
+    if gridded:
+        return hampel(d, step=step, block=block)
+    return hampel(d, span=span or span_for(l1, SERIES, "Timestamp"), block=block)
 
 
 def save_l2(cleaned: DataFrame, tier_path: str, flags_path: str) -> None:
@@ -101,12 +113,12 @@ def build_zeroes(microclimate: DataFrame, rule: ZeroRule = ZeroRule(), min_hours
     return clip_night(zero_periods(station_mean(microclimate), rule, span=span), min_hours=min_hours)
 
 
-def baselined(l2: DataFrame, zeroes: DataFrame, actions: DataFrame, excluded: DataFrame | None = None, step: int = STEP_SECONDS, span: int = SPAN_SECONDS) -> DataFrame:
+def baselined(l2: DataFrame, zeroes: DataFrame, actions: DataFrame, excluded: DataFrame | None = None, step: int = STEP_SECONDS, span: int | None = None) -> DataFrame:
     """L2 rows with period number and baselines, for the trees that have zero periods.
 
     ``l2`` and ``zeroes`` are read several times and should be tables, not plans.
     """
-    zeroes = zeroes.distinct()
+    zeroes, span = zeroes.distinct(), span or span_for(l2, SERIES, "Timestamp")
     d = skip_missing_input(l2, zeroes)
     usable = zeroes if excluded is None else drop_listed(zeroes, excluded, ("Tree", "periodBegin"))
     periods = written(number_periods(usable, d, span=span), "periods")
@@ -115,7 +127,7 @@ def baselined(l2: DataFrame, zeroes: DataFrame, actions: DataFrame, excluded: Da
     return join_baseline(grouped, baseline_values(d, periods, step))
 
 
-def build_l3(l2: DataFrame, zeroes: DataFrame, actions: DataFrame, excluded: DataFrame | None = None, step: int = STEP_SECONDS, span: int = SPAN_SECONDS) -> tuple[DataFrame, DataFrame]:
+def build_l3(l2: DataFrame, zeroes: DataFrame, actions: DataFrame, excluded: DataFrame | None = None, step: int = STEP_SECONDS, span: int | None = None) -> tuple[DataFrame, DataFrame]:
     """L2 to the baselined tier and the table of rows without a baseline."""
     d = baselined(l2, zeroes, actions, excluded, step, span)
     return subtract_baseline(d), baseline_flags(d)

@@ -76,13 +76,13 @@ def test_letters_follow_file_order_and_stop_at_d(spark):
     ], ACTIONS)
     events = S.letter_events(actions, span=7)
     assert rows(events.select("Action", "letter"), "file_pos") == [("AddOne", "b"), ("H", "c"), ("R3", "d"), ("AddOne", None)]
-    got = S.letter_series(series(spark, [1.0] * 8), events, span=1800)
+    got = S.letter_series(series(spark, [1.0] * 8), events)
     assert "".join(r[0] for r in rows(got.select("letter"), "Timestamp")) == "aabbdddd"
 
 
 def test_first_row_is_a_even_on_an_action(spark):
     actions = spark.createDataFrame([("T1", 1, at(0), "M", 1), ("T1", 1, at(2), "R", 2)], ACTIONS)
-    got = S.letter_series(series(spark, [1.0] * 4), S.letter_events(actions), span=900)
+    got = S.letter_series(series(spark, [1.0] * 4), S.letter_events(actions))
     assert "".join(r[0] for r in rows(got.select("letter"), "Timestamp")) == "aacc"
 
 
