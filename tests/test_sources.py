@@ -144,3 +144,27 @@ def test_maintenance_notes(spark):
     dates = sheet.columns[2:]
     assert [r[3] for r in rows(maintenance_table(sheet, dates), "Cable", "Timestamp")] == ["Moved and replaced", "M2", "cleaned"]
     assert [r[3] for r in rows(maintenance_table(sheet, dates, classify=True), "Cable", "Timestamp")] == ["MR", None, None]
+
+
+def test_stream_of_tier_rows_resamples_like_a_batch(spark, tmp_path):
+    from sensorloom.streaming.imports import stream_resample
+
+    path, out, state = (str(tmp_path / n) for n in ("in", "out", "state"))
+    data = [("T1", 1, at(i), float(i), None, 1.0) for i in range(40)]
+    d = spark.createDataFrame(data, schemas.L1)
+    d.write.parquet(path)
+    stream = stream_resample(spark.readStream.schema(schemas.L1).parquet(path), ["outer_vel"])
+    query = stream.writeStream.format("parquet").option("path", out).option("checkpointLocation", state).outputMode("append").trigger(availableNow=True).start()
+    query.awaitTermination()
+    got = spark.read.parquet(out)
+    # The last hours stay open until later data moves the watermark on.
+    want = resample(d, "hour", ["outer_vel"]).where(F.col("Timestamp") < at(32))
+    assert rows(got.where(F.col("Timestamp") < at(32)).select("Tree", "Cable", "Timestamp", "outer_vel"), "Timestamp") == rows(want, "Timestamp")
+
+
+def test_span_follows_the_busiest_day(spark):
+    from sensorloom.operators.ordered import span_for
+
+    d = spark.range(1000).select(F.lit("T1").alias("Tree"), (F.timestamp_seconds(F.col("id") * 60)).cast("timestamp_ntz").alias("Timestamp"))
+    assert span_for(d, ["Tree"], "Timestamp", rows=100) == 8640
+    assert span_for(d.limit(0), ["Tree"], "Timestamp") == 10 * 365 * 86400
