@@ -79,7 +79,7 @@ def _(t: Tables):
 
 @query("number_periods", f"""WITH {TIER}, {ZEROES}, {PERIODS} SELECT Tree, periodBegin, periodEnd, CAST(grp AS BIGINT) AS "Group" FROM periods""")
 def _(t: Tables):
-    return B.number_periods(t.zeroes(), t.tier_wide(), span=WEEK)
+    return B.number_periods(t.zeroes(), t.tier_wide(), span=WEEK).drop("dataStart")
 
 
 def baseline_sql(tier: str, cable: str = "Cable", step: str = "1 HOUR") -> str:

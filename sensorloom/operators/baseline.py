@@ -45,9 +45,12 @@ def clip_night(df: DataFrame, begin: str = "periodBegin", end: str = "periodEnd"
 
 
 def number_periods(periods: DataFrame, tier: DataFrame, key: str = "Tree", time: str = "Timestamp", begin: str = "periodBegin", span: int = SPAN_SECONDS) -> DataFrame:
-    """Periods that begin at or after the start of their tree's data, numbered from 1."""
-    starts = tier.groupBy(key).agg(F.min(time).alias("_from"))
-    d = periods.join(starts, key, "inner").where(F.col(begin) >= F.col("_from")).drop("_from")
+    """Periods that begin at or after the start of their tree's data, numbered from 1.
+
+    The start travels along as ``dataStart``, so later steps need not look for it again.
+    """
+    starts = tier.groupBy(key).agg(F.min(time).alias("dataStart"))
+    d = periods.join(starts, key, "inner").where(F.col(begin) >= F.col("dataStart"))
     return row_index(d, [key], begin, "Group", span)
 
 
@@ -78,7 +81,7 @@ def asof_group(tier: DataFrame, periods: DataFrame, keys: Sequence[str] = SERIES
     A period that begins on the tree's first row does not count: those rows stay 0
     until the next period.
     """
-    d = ordered(_with_periods(tier, periods, _tree_starts(tier, time), time), keys, time, span, Group=last_known("_group"))
+    d = ordered(_with_periods(tier, periods, _tree_starts(tier, periods, time), time), keys, time, span, Group=last_known("_group"))
     return d.withColumn("Group", F.coalesce("Group", F.lit(0).cast("long"))).drop("_group")
 
 
@@ -89,7 +92,7 @@ def bump_group(tier: DataFrame, periods: DataFrame, actions: DataFrame, keys: Se
     there is nothing to bump to after the tree's last period. Both carry-forwards
     run in one pass. ``actions`` has (Tree, Cable number, time, Action).
     """
-    starts = _tree_starts(tier, time)
+    starts = _tree_starts(tier, periods, time)
     # Two actions on one row: a move decides, whatever else is noted.
     acts = actions.where(F.col("Action").isNotNull()).groupBy("Tree", F.col("Cable").alias("cable_no"), time).agg(
         F.max(F.col("Action") == MOVED).alias("_moved")
@@ -104,7 +107,10 @@ def bump_group(tier: DataFrame, periods: DataFrame, actions: DataFrame, keys: Se
     return d.withColumn("Group", bumped).select(*tier.columns, "Group")
 
 
-def _tree_starts(tier: DataFrame, time: str) -> DataFrame:
+def _tree_starts(tier: DataFrame, periods: DataFrame, time: str) -> DataFrame:
+    """First time of each tree that has periods: as ``number_periods`` left it, else from the tier."""
+    if "dataStart" in periods.columns:
+        return periods.groupBy("Tree").agg(F.min("dataStart").alias("_from"))
     return tier.groupBy("Tree").agg(F.min(time).alias("_from"))
 
 

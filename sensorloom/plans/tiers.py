@@ -119,12 +119,13 @@ def baselined(l2: DataFrame, zeroes: DataFrame, actions: DataFrame, excluded: Da
     ``l2`` and ``zeroes`` are read several times and should be tables, not plans.
     """
     zeroes, span = zeroes.distinct(), span or span_for(l2, SERIES, "Timestamp")
-    d = skip_missing_input(l2, zeroes)
     usable = zeroes if excluded is None else drop_listed(zeroes, excluded, ("Tree", "periodBegin"))
-    periods = written(number_periods(usable, d, span=span), "periods")
+    # Trees without periods drop out of the numbering and of the means by themselves.
+    periods = written(number_periods(usable, l2, span=span), "periods")
+    values = written(baseline_values(l2, periods, step), "baselines")
     acts = actions.withColumn("Action", recode_action("Action")).where(F.col("Action").isNotNull())
-    grouped = bump_group(d.withColumn("cable_no", cable_number("Cable")), periods, acts, span=span).drop("cable_no")
-    return join_baseline(grouped, baseline_values(d, periods, step))
+    d = skip_missing_input(l2, zeroes).withColumn("cable_no", cable_number("Cable"))
+    return join_baseline(bump_group(d, periods, acts, span=span).drop("cable_no"), values)
 
 
 def build_l3(l2: DataFrame, zeroes: DataFrame, actions: DataFrame, excluded: DataFrame | None = None, step: int = STEP_SECONDS, span: int | None = None) -> tuple[DataFrame, DataFrame]:
