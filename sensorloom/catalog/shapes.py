@@ -45,14 +45,14 @@ def _(t: Tables):
     return S.melt_bad_windows(_marks(t))
 
 
-_DATES = ["2024-01-05 x", "2024-01-12 x", "2024-01-19 x"]
+NOTE_DATES = ["2024-01-05 x", "2024-01-12 x", "2024-01-19 x"]
 
 
 @query("melt_date_columns", """WITH s AS (SELECT 'T' || (user_id % 4) AS Tree, CAST(1 + event_id % 9 AS INTEGER) AS c, day(ts) AS dy, count(*) AS n
     FROM events WHERE event_type = 'error' AND day(ts) IN (5, 12, 19) GROUP BY 1, 2, 3)
   SELECT Tree, CAST(c AS VARCHAR) AS Cable, make_timestamp(2024, 1, dy, 10, 0, 0) AS Timestamp, 'n' || n || ';seen' AS Action FROM s WHERE c <= 8""")
 def _(t: Tables):
-    return S.melt_date_columns(note_sheet(t), _DATES)
+    return S.melt_date_columns(note_sheet(t), NOTE_DATES)
 
 
 def note_sheet(t: Tables):
@@ -61,7 +61,7 @@ def note_sheet(t: Tables):
     part = F.concat(F.lit("Cable "), (1 + F.col("event_id") % 9).cast("string"))
     count = lambda day: F.count_if(F.dayofmonth("ts") == day)
     return d.groupBy(F.concat(F.lit("T"), F.col("user_id") % 4).alias("Tree"), part.alias("Part")).agg(*[
-        F.when(count(int(name[8:10])) > 0, F.concat(F.lit("n"), count(int(name[8:10])), F.lit(";seen"))).alias(name) for name in _DATES
+        F.when(count(int(name[8:10])) > 0, F.concat(F.lit("n"), count(int(name[8:10])), F.lit(";seen"))).alias(name) for name in NOTE_DATES
     ])
 
 

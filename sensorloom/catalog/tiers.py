@@ -8,7 +8,7 @@ from sensorloom.catalog.domain import DELTAS, RATIOS, VELOCITY
 from sensorloom.catalog.joined import BAD, GROUPED, HOUR, SLOTS
 from sensorloom.catalog.registry import R, RV, query, rounded
 from sensorloom.catalog.series import BUMPED, CLIPPED, EVENTS, FLAGGED, LETTERED, RULE, ZERO_SQL, hampel_sql, lettered_tier
-from sensorloom.catalog.shapes import _DATES, note_sheet
+from sensorloom.catalog.shapes import NOTE_DATES, note_sheet
 from sensorloom.catalog.sources import FOLDER_KEY, LINES, line_facts, LINE_COLS, logger_files
 from sensorloom.catalog.views import ACTIONS, INTERVALS, PORT_ROWS, TIER, WEEK, WIRED, Tables
 from sensorloom.config import VELOCITIES
@@ -100,7 +100,7 @@ def _(t: Tables):
     FROM events WHERE event_type = 'error' AND day(ts) IN (5, 12, 19) GROUP BY 1, 2, 3)
   SELECT Tree, CAST(c AS VARCHAR) AS Cable, make_timestamp(2024, 1, dy, 10, 0, 0) AS Timestamp, 'n' || n AS Action FROM s WHERE c <= 8""")
 def _(t: Tables):
-    return P.maintenance_table(note_sheet(t), _DATES)
+    return P.maintenance_table(note_sheet(t), NOTE_DATES)
 
 
 _RECENT = """newest AS (SELECT max(Timestamp) AS m FROM ports),

@@ -17,9 +17,8 @@ from pyspark.sql import functions as F
 from sensorloom.config import SPAN_SECONDS, STEP_SECONDS, VELOCITIES
 from sensorloom.functions.columns import all_missing, shift
 from sensorloom.operators.aggregates import best_neighbour, pairwise_corr
-from sensorloom.operators.intervals import expand_steps
 from sensorloom.operators.joins import neighbour_join, salted_join
-from sensorloom.operators.ordered import row_index, runs
+from sensorloom.operators.ordered import last_known, ordered, running
 from sensorloom.operators.series import gap_context
 from sensorloom.session import written
 
@@ -159,20 +158,6 @@ def train_test_split(df: DataFrame, keys: Sequence[str], seed: int = 222, parts:
     return d.where(F.col("_bucket") < parts - 1).drop("_bucket"), d.where(F.col("_bucket") == parts - 1).drop("_bucket")
 
 
-def long_gaps(tier: DataFrame, keys: Sequence[str], cols: Sequence[str] = VELOCITIES, time: str = "Timestamp", span: int = SPAN_SECONDS, shortest: int = 1) -> DataFrame:
-    """Runs of rows on which every measure is missing."""
-    d = tier.withColumn("_none", all_missing(*cols))
-    gaps = runs(d, keys, time, F.col("_none") == 1, span=span).where(F.col("length") >= shortest)
-    gaps = row_index(gaps, keys, "run_start", "gap", span)
-    return gaps.withColumnsRenamed({"run_start": "first_missing", "run_end": "last_missing"})
-
-
-def gap_windows(gaps: DataFrame, keys: Sequence[str], step: int = STEP_SECONDS, history: int = 7 * 86400, time: str = "Timestamp") -> DataFrame:
-    """Times from ``history`` seconds before each gap to its end, one row per step."""
-    d = gaps.withColumn("_from", shift("first_missing", -history))
-    return expand_steps(d.select(*keys, "gap", "_from", "last_missing"), "_from", "last_missing", step, time).select(*keys, "gap", time)
-
-
 def fill_from_best(
     tier: DataFrame,
     siblings: DataFrame,
@@ -187,32 +172,62 @@ def fill_from_best(
 ) -> DataFrame:
     """Fill the gaps of every cable from the best correlated position of its sibling cable.
 
-    For each gap (all measures missing) the week before it and the gap itself are
-    taken, the sibling's position with the highest correlation is chosen, and
-    target ~ position is fitted there. Gives the tier rows with ``filled`` (observed
-    values kept) and ``source``. ``siblings`` has (Tree, Cable, Sibling).
+    For each gap (all measures missing, at least ``shortest`` rows) the ``history``
+    before it is taken, the sibling's position with the highest correlation is
+    chosen, and target ~ position is fitted there. Gives the tier rows with
+    ``filled`` (observed values kept) and ``source``. ``siblings`` has (Tree, Cable,
+    Sibling), one sibling per cable; the tier must be on its gap-free grid.
+
+    The windows of close gaps overlap almost entirely, so they are not expanded:
+    running sums of the centred pairs are kept along each series, and a window's
+    moments are those at the gap less those one step before the window.
     """
-    keys = ["Tree", "Cable"]
-    gaps = written(long_gaps(tier, keys, cols, time, span, shortest), "gaps")
-    window = gap_windows(gaps, keys, step, history, time)
-    own = tier.select(*keys, time, F.col(target).alias("_y"))
-    d = window.join(own, [*keys, time], "left").join(siblings, keys, "inner")
+    keys, xs, y = ["Tree", "Cable"], [f"{c}_sib" for c in cols], target
     other = tier.select("Tree", F.col("Cable").alias("Sibling"), time, *cols)
-    # Read four times below: for the correlations, the choice, the fit and the prediction.
-    d = written(neighbour_join(d, other, cols, ("Tree", "Sibling", time)), "gap-windows")
-    candidates = [f"{c}_sib" for c in cols]
-    corrs = pairwise_corr(d, "_y", candidates, [*keys, "gap"]).where(F.col("pairs") >= min_pairs)
-    best = best_neighbour(corrs, [*keys, "gap"])
-    d = salted_join(d, best.select(*keys, "gap", "Sensor"), [*keys, "gap"], time, "inner")
-    d = d.withColumn("_x", F.coalesce(*[F.when(F.col("Sensor") == c, F.col(c)) for c in candidates]))
-    model = ols_pair(d, "_y", "_x", [*keys, "gap"])
-    missing = d.where(F.col("_y").isNull() & F.col("_x").isNotNull())
-    preds = predict_pair(missing, model, "_x", [*keys, "gap"], time)
-    # A missing row can lie in the history of later gaps; its own gap's model counts.
-    ends = gaps.select(*keys, "gap", "first_missing", "last_missing")
-    preds = salted_join(preds, ends, [*keys, "gap"], time, "inner").where(F.col(time).between(F.col("first_missing"), F.col("last_missing")))
-    d = tier.join(preds.select(*keys, time, "yhat", "Sensor"), [*keys, time], "left")
-    return d.select(*tier.columns, F.coalesce(target, "yhat").alias("filled"), F.when(F.col(target).isNull(), F.col("Sensor")).alias("source"))
+    d = neighbour_join(salted_join(tier, siblings, keys, time, "inner"), other, cols, ("Tree", "Sibling", time))
+    # Centred values keep the differences of long sums exact.
+    centres = d.groupBy(*keys).agg(F.avg(y).alias("_c_y"), *[F.avg(x).alias(f"_c_{x}") for x in xs])
+    d = written(salted_join(d, centres, keys, time), "pairs")
+
+    sums = {}
+    for x in xs:
+        dy, dx = F.col(y) - F.col("_c_y"), F.col(x) - F.col(f"_c_{x}")
+        both = dy.isNotNull() & dx.isNotNull()
+        terms = {"n": F.lit(1.0), "x": dx, "y": dy, "xx": dx * dx, "yy": dy * dy, "xy": dx * dy}
+        sums |= {f"_{m}_{x}": F.when(both, term) for m, term in terms.items()}
+    gone = all_missing(*cols) == 1
+    d = ordered(d, keys, time, span, _gap=last_known(F.when(~gone, F.col(time))), **{n: running(e) for n, e in sums.items()})
+    d = d.withColumn("_gap", F.when(gone, F.coalesce("_gap", F.lit(0).cast("timestamp").cast(tier.schema[time].dataType))))
+
+    # Inside a gap nothing is added, so any row of it holds the sums at its end.
+    gaps = d.where(F.col("_gap").isNotNull()).groupBy(*keys, "_gap").agg(
+        F.count(F.lit(1)).alias("_length"), F.min(time).alias("_first"), *[F.max(n).alias(n) for n in sums],
+        F.max("_c_y").alias("_c_y"), *[F.max(f"_c_{x}").alias(f"_c_{x}") for x in xs],
+    ).where(F.col("_length") >= shortest).withColumn(time, shift("_first", -history - step))
+    before = d.select(*keys, time, *[F.col(n).alias(f"_before{n}") for n in sums])
+    w = gaps.join(before, [*keys, time], "left")
+    moments = ("n", "x", "y", "xx", "yy", "xy")
+    w = w.select(*keys, "_gap", "_c_y", F.inline(F.array(*[F.struct(
+        F.lit(x).alias("source"), F.col(f"_c_{x}").alias("_c_x"),
+        *[(F.col(f"_{m}_{x}") - F.coalesce(F.col(f"_before_{m}_{x}"), F.lit(0.0))).alias(m) for m in moments],
+    ) for x in xs])))
+    w = w.where(F.round("n") >= max(min_pairs, 2)).withColumns({
+        "sxx": F.col("xx") - F.col("x") * F.col("x") / F.col("n"), "syy": F.col("yy") - F.col("y") * F.col("y") / F.col("n"),
+        "sxy": F.col("xy") - F.col("x") * F.col("y") / F.col("n"),
+    })
+    # What is left of constant values after the subtraction is rounding, far below their size.
+    w = w.where((F.col("sxx") > F.col("xx") * 1e-9) & (F.col("syy") > F.col("yy") * 1e-9))
+    w = w.withColumns({"corr": F.col("sxy") / F.sqrt(F.col("sxx") * F.col("syy")), "_b": F.col("sxy") / F.col("sxx")})
+    w = w.withColumn("_a", F.col("_c_y") + F.col("y") / F.col("n") - F.col("_b") * (F.col("_c_x") + F.col("x") / F.col("n")))
+    best = F.min_by(F.struct("source", "_a", "_b"), F.struct(-F.col("corr"), F.col("source")))
+    model = w.groupBy(*keys, "_gap").agg(best.alias("_m")).select(*keys, "_gap", "_m.*")
+    d = salted_join(d, model, [*keys, "_gap"], time)
+    x = F.coalesce(*[F.when(F.col("source") == c, F.col(c)) for c in xs])
+    fits = F.col(y).isNull() & x.isNotNull()
+    return d.select(
+        *tier.columns, F.when(fits, F.col("_a") + F.col("_b") * x).otherwise(F.col(y)).alias("filled"),
+        F.when(fits, F.col("source")).alias("source"),
+    )
 
 
 def fill_from_context(
