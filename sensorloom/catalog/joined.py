@@ -14,7 +14,7 @@ from sensorloom.operators.aggregates import covariate_mean
 from sensorloom.operators.models import gap_fill_simple
 from sensorloom.operators.ordered import row_index
 from sensorloom.operators.reshape import melt_positions
-from sensorloom.operators.series import expand_gaps, small_gaps
+from sensorloom.operators.series import expand_gaps, segment_ids, small_gaps
 from sensorloom.plans.tiers import final_dataset
 
 GRID = """grid AS (
@@ -135,14 +135,6 @@ def _(t: Tables):
     return rounded(d, "outer_vel", *cols)
 
 
-@query("join_gap_index", f"""WITH {HOURLY}, r AS (SELECT *, row_number() OVER (PARTITION BY Cable ORDER BY Timestamp) AS i FROM hourly)
-  SELECT Cable, CAST(i AS BIGINT) AS "index", Timestamp FROM r WHERE i % 24 = 0""")
-def _(t: Tables):
-    d = row_index(t.series_hourly().select("Cable", "Timestamp"), ["Cable"], "Timestamp", span=WEEK)
-    marks = d.where("index % 24 = 0").select("Cable", "index")
-    return J.join_on_time(marks, d, ("Cable", "index"))
-
-
 # Gaps of the hourly grid per event type.
 HOURLY_GRID = """hgrid AS (
   SELECT Cable, unnest(generate_series(lo, hi, INTERVAL 1 HOUR)) AS Timestamp
@@ -163,6 +155,14 @@ def hourly_grid(t: Tables, unit: int = HOUR):
     return I.grid_left_join(grid, d, ("Cable", "Timestamp"))
 
 
+@query("join_gap_index", f"""WITH {HOURLY}, {HOURLY_GRID} SELECT Cable, CAST(gap AS BIGINT) AS sameSlot, CAST(i1 AS BIGINT) AS "index", last_missing AS Timestamp FROM hgaps""")
+def _(t: Tables):
+    """The time at the row number on which each missing run ends."""
+    d = hourly_grid(t)
+    ends = segment_ids(d, ["Cable"], "Velocity", span=WEEK).groupBy("Cable", "sameSlot").agg(F.max("missingLoc").alias("index"))
+    return J.join_on_time(ends, row_index(d.select("Cable", "Timestamp"), ["Cable"], "Timestamp", span=WEEK), ("Cable", "index"))
+
+
 @query("join_gap_rows", f"""WITH {HOURLY}, {HOURLY_GRID}, {SMALL}, rows AS (SELECT Cable, gap, unnest(generate_series(s, e, INTERVAL 1 HOUR)) AS Timestamp FROM small)
   SELECT Cable, Timestamp, {R('Velocity')} AS Velocity, CAST(gap AS BIGINT) AS gap FROM hfull LEFT JOIN rows USING (Cable, Timestamp)""")
 def _(t: Tables):
