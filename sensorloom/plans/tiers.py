@@ -96,7 +96,8 @@ def build_l2(
     d = d.withColumn("Cable", unite("Cable", "letter")).select("Tree", "Cable", "Timestamp", *VELOCITIES)
     if gridded:
         return hampel(d, step=step, block=block)
-    return hampel(d, span=span or span_for(l1, SERIES, "Timestamp"), block=block)
+    # Numbering reads its input twice; the masks and letters are worked out once.
+    return hampel(written(d, "lettered"), span=span or span_for(l1, SERIES, "Timestamp"), block=block)
 
 
 def save_l2(cleaned: DataFrame, tier_path: str, flags_path: str) -> None:
