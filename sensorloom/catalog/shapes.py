@@ -9,7 +9,7 @@ from sensorloom.catalog.views import HOURLY, INTERVALS, READINGS, TIER, Tables
 from sensorloom.config import VELOCITIES
 from sensorloom.functions import columns as C
 from sensorloom.operators import reshape as S
-from sensorloom.operators.aggregates import pairwise_corr, summary_table
+from sensorloom.operators.aggregates import summary_table
 from sensorloom.operators.ports import ports_as_arrays, pulse_delta
 
 _MELT = " UNION ALL ".join(f"SELECT Tree, Cable, Timestamp, '{c}' AS Position, {R(c)} AS Velocity FROM tier" for c in VELOCITIES)

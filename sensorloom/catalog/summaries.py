@@ -93,7 +93,7 @@ _PROBS = (0.0, 0.33, 0.66, 1.0)
     (max(value) - min(value)) * 0.05 AS margin FROM events GROUP BY 1)
   SELECT event_type, round(q[1], 3) AS t0, round(q[2], 3) AS t33, round(q[3], 3) AS t66, round(q[4], 3) AS t100, {R('l[1]')} AS lo, {R('l[2]')} AS hi, {R('margin')} AS margin FROM q""")
 def _(t: Tables):
-    d = t.events.select("event_type", (F.unix_micros(F.col("ts").cast("timestamp")) / 1e6).alias("at"), "value")
+    d = t.events.select("event_type", (F.unix_timestamp("ts") + F.date_format("ts", "SSSSSS").cast("double") / 1e6).alias("at"), "value")
     times = A.quantiles(d, "at", _PROBS, ["event_type"])
     limits = A.quantiles(d, "value", (0.05, 0.95), ["event_type"])
     pick = lambda p: F.max(F.when(F.col("prob") == p, F.col("value")))

@@ -40,7 +40,8 @@ class Tables:
 
     def series_hourly(self, unit: int = HOUR) -> DataFrame:
         """(Cable, Timestamp, Velocity), one series per event type."""
-        slot = F.timestamp_seconds(F.floor(F.unix_timestamp("ts") / F.lit(unit)) * F.lit(unit)).cast("timestamp_ntz")
+        epoch = F.lit("1970-01-01 00:00:00").cast("timestamp_ntz")
+        slot = shift(epoch, F.floor(F.unix_timestamp("ts") / F.lit(unit)) * F.lit(unit))
         return self.events.groupBy(F.col("event_type").alias("Cable"), slot.alias("Timestamp")).agg(F.avg("value").alias("Velocity"))
 
     def tier_wide(self) -> DataFrame:

@@ -182,11 +182,9 @@ def runs(
         d = ordered(d, keys, order, span, _break=last_known(F.when(~F.col("_flag"), F.col(order))))
     else:
         d = ordered(d, keys, order, span, _was=previous("_flag"), _at=previous(order))
-        here, there = F.col(order), F.col("_at")
-        if not isinstance(df.schema[order].dataType, T.NumericType):
-            here, there = F.unix_micros(here.cast("timestamp")), F.unix_micros(there.cast("timestamp"))
-            step = step * 1_000_000
-        goes_on = F.coalesce(F.col("_was") & (here - there == step), F.lit(False))
+        numeric = isinstance(df.schema[order].dataType, T.NumericType)
+        distance = F.lit(step) if numeric else F.make_dt_interval(secs=F.lit(step))
+        goes_on = F.coalesce(F.col("_was") & (F.col(order) - F.col("_at") == distance), F.lit(False))
         d = ordered(d, keys, order, span, _break=last_known(F.when(F.col("_flag") & ~goes_on, F.col(order))))
     return d.where("_flag").groupBy(*keys, "_break").agg(
         F.min(order).alias("run_start"), F.max(order).alias("run_end"), F.count(F.lit(1)).alias("length")
