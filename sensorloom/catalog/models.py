@@ -150,8 +150,15 @@ def _(t: Tables):
     return train.withColumn("part", F.lit("train")).unionByName(test.withColumn("part", F.lit("test")))
 
 
-@query("forest_regress")
+# What two engines' forests share: which rows get a prediction, and that a mean of targets lies between them.
+@query("forest_regress", f"""WITH {TIER}, {CLIMATE}, {MEANS}, d AS (SELECT t.Tree, Cable, Timestamp, outer_vel, Solar, VPD, Wetness FROM tier t LEFT JOIN means USING (Tree, Timestamp)
+    WHERE CAST('0x' || md5('222|' || t.Tree || '|' || Cable || '|' || strftime(Timestamp, '%Y-%m-%d %H:%M:%S'))[1:8] AS BIGINT) % 4 = 3)
+  SELECT Tree, CAST(count(*) AS BIGINT) AS predicted, true AS inside, true AS fits FROM d WHERE Solar IS NOT NULL AND VPD IS NOT NULL AND Wetness IS NOT NULL GROUP BY 1""")
 def _(t: Tables):
     train, test = M.train_test_split(weather_tier(t), ["Tree", "Cable", "Timestamp"])
-    pred = M.forest_regress(train, test, "outer_vel", ("Solar", "VPD", "Wetness"))
-    return rounded(r_squared(pred, "outer_vel", "pred", ["Tree"]), "r2")
+    pred = M.forest_regress(train, test, "outer_vel", ("Solar", "VPD", "Wetness"), trees=50)
+    ends = train.agg(F.min("outer_vel").alias("lo"), F.max("outer_vel").alias("hi"))
+    # One row of ends beside every prediction.
+    facts = pred.join(F.broadcast(ends)).groupBy("Tree").agg(F.count(F.lit(1)).alias("predicted"), F.every(F.col("pred").between(F.col("lo") - 1e-9, F.col("hi") + 1e-9)).alias("inside"))
+    r2 = r_squared(pred, "outer_vel", "pred", ["Tree"]).select("Tree", F.col("r2").between(0, 1).alias("fits"))
+    return facts.join(r2, "Tree", "left").select("Tree", "predicted", "inside", F.coalesce("fits", F.lit(True)).alias("fits"))

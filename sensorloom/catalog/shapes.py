@@ -45,11 +45,12 @@ def _(t: Tables):
     return S.melt_bad_windows(_marks(t))
 
 
-NOTE_DATES = ["2024-01-05 x", "2024-01-12 x", "2024-01-19 x"]
+# One visit per day of a month; every event counts for the visit of its day.
+NOTE_DATES = [f"2024-01-{day:02d} x" for day in range(1, 32)]
 
 
 @query("melt_date_columns", """WITH s AS (SELECT 'T' || (user_id % 4) AS Tree, CAST(1 + event_id % 9 AS INTEGER) AS c, day(ts) AS dy, count(*) AS n
-    FROM events WHERE event_type = 'error' AND day(ts) IN (5, 12, 19) GROUP BY 1, 2, 3)
+    FROM events GROUP BY 1, 2, 3)
   SELECT Tree, CAST(c AS VARCHAR) AS Cable, make_timestamp(2024, 1, dy, 10, 0, 0) AS Timestamp, 'n' || n || ';seen' AS Action FROM s WHERE c <= 8""")
 def _(t: Tables):
     return S.melt_date_columns(note_sheet(t), NOTE_DATES)
@@ -57,7 +58,7 @@ def _(t: Tables):
 
 def note_sheet(t: Tables):
     """A maintenance sheet: parts down, visit dates across, notes in the cells."""
-    d = t.events.where("event_type = 'error'")
+    d = t.events
     part = F.concat(F.lit("Cable "), (1 + F.col("event_id") % 9).cast("string"))
     count = lambda day: F.count_if(F.dayofmonth("ts") == day)
     return d.groupBy(F.concat(F.lit("T"), F.col("user_id") % 4).alias("Tree"), part.alias("Part")).agg(*[
@@ -101,9 +102,13 @@ def _(t: Tables):
     return rounded(S.melt_corr_row(row, names), "corr")
 
 
-@query("nest_groups", f"""WITH {HOURLY} SELECT Cable, CAST(count(*) AS BIGINT) AS n, {R('max(Velocity) - min(Velocity)')} AS spread FROM hourly GROUP BY 1""")
+@query("nest_groups", f"""WITH {HOURLY}, n AS (SELECT Cable, CAST(Timestamp AS DATE) AS day, list(Velocity ORDER BY Timestamp) AS v FROM hourly GROUP BY 1, 2)
+  SELECT Cable, day, CAST(len(v) AS BIGINT) AS n, {R('list_max(v) - list_min(v)')} AS spread, {R('v[1]')} AS first, {R('v[len(v)]')} AS last FROM n""")
 def _(t: Tables):
-    return t.series_hourly().groupBy("Cable").agg(F.count(F.lit(1)).alias("n"), r6(F.max("Velocity") - F.min("Velocity")).alias("spread"))
+    """The rows of a group as one array, worked on and given back as facts of the array; a day bounds its size."""
+    d = t.series_hourly().groupBy("Cable", F.to_date("Timestamp").alias("day")).agg(F.array_sort(F.collect_list(F.struct("Timestamp", "Velocity"))).alias("rows"))
+    v = F.col("rows.Velocity")
+    return d.select("Cable", "day", F.size("rows").cast("long").alias("n"), r6(F.array_max(v) - F.array_min(v)).alias("spread"), r6(F.get(v, F.lit(0))).alias("first"), r6(F.element_at(v, -1)).alias("last"))
 
 
 @query("row_aligned_bind", f"""SELECT vec_id, CAST(i AS INTEGER) AS port, {R('8 * abs(CAST(embedding[i] AS DOUBLE))')} AS rise
@@ -129,9 +134,9 @@ def _(t: Tables):
     return S.union_distinct(t.table("customer").select(F.col("c_nationkey").alias("nation")), t.table("supplier").select(F.col("s_nationkey").alias("nation")))
 
 
-@query("sheet_union", """SELECT event_id, user_id, value, CASE event_type WHEN 'click' THEN 'ET' WHEN 'view' THEN 'FB' ELSE 'TV' END AS sheet
-  FROM events WHERE event_type IN ('click', 'view', 'error')""")
+@query("sheet_union", """SELECT event_id, user_id, value, CASE event_type WHEN 'click' THEN 'ET' WHEN 'view' THEN 'FB' WHEN 'error' THEN 'TV' WHEN 'signup' THEN 'FC' ELSE 'TR' END AS sheet
+  FROM events""")
 def _(t: Tables):
     d = t.events.select("event_id", "user_id", "value", "event_type")
-    sheets = {"ET": "click", "FB": "view", "TV": "error"}
+    sheets = {"ET": "click", "FB": "view", "TV": "error", "FC": "signup", "TR": "purchase"}
     return S.sheet_union({k: d.where(F.col("event_type") == v).drop("event_type") for k, v in sheets.items()}, "sheet")

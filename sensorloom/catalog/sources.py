@@ -92,10 +92,10 @@ def _(t: Tables):
     return line_facts(t.spark.read.parquet(raw))
 
 
-@query("scan_tier", """SELECT o_orderkey, o_custkey, o_totalprice FROM orders WHERE o_orderdate >= TIMESTAMP '1998-01-01'""")
+@query("scan_tier", """SELECT o_orderkey, o_custkey, o_totalprice FROM orders""")
 def _(t: Tables):
     d = W.scan_tier(t.spark, f"{t.dir}/orders.parquet")
-    return d.where(F.col("o_orderdate") >= F.lit("1998-01-01 00:00:00").cast("timestamp_ntz")).select("o_orderkey", "o_custkey", "o_totalprice")
+    return d.select("o_orderkey", "o_custkey", "o_totalprice")
 
 
 @query("scan_tier_csv", f"WITH {TIER} SELECT Tree, Cable, Timestamp, {RV()} FROM tier")
@@ -141,14 +141,16 @@ def _(t: Tables):
     return rounded(t.spark.read.schema(schemas.L1).parquet(path), *VELOCITIES)
 
 
-_ROLLED = "WHERE NOT (Tree IN ('T1', 'T2') AND Timestamp > TIMESTAMP '2024-01-20 00:00:00')"
+# T3 is rolled back to before its first row.
+_ROLLED = "WHERE Tree <> 'T3' AND NOT (Tree IN ('T1', 'T2') AND Timestamp > TIMESTAMP '2024-01-20 00:00:00')"
 
 
 @query("rollback_tier", f"WITH {TIER} SELECT Tree, Cable, Timestamp, {RV()} FROM tier {_ROLLED}")
 def _(t: Tables):
     path, trees = _written(t), ["T1", "T2"]
     d = t.spark.read.schema(schemas.L1).parquet(path)
-    W.replace_keys(N.rollback_tier(d.where(F.col("Tree").isin(trees)), "2024-01-20 00:00:00", trees), path)
+    W.replace_keys(N.rollback_tier(d.where(F.col("Tree").isin(trees)), "2024-01-20 00:00:00", trees), path, trees)
+    W.replace_keys(N.rollback_tier(d.where("Tree = 'T3'"), "2000-01-01 00:00:00", ["T3"]), path, ["T3"])
     return rounded(t.spark.read.schema(schemas.L1).parquet(path), *VELOCITIES)
 
 

@@ -21,13 +21,32 @@ from sensorloom.session import scratch_dir, written
 _OLD_LOG = """old_log AS (SELECT Tree, max(Timestamp) AS last_import FROM lines WHERE Record_Number < 200 AND Tree <> 'ET3' GROUP BY 1)"""
 
 
-@query("tier_raw", f"""WITH {LINES}, {_OLD_LOG} SELECT {LINE_COLS} FROM lines LEFT JOIN old_log USING (Tree) WHERE last_import IS NULL OR Timestamp > last_import""")
-def _(t: Tables):
+def _import(t: Tables):
+    """An import that is run twice, as after a failure, with the log of before."""
     known = t.ports().where("vec_id < 200").select(F.concat(F.lit("ET"), F.substring("Tree", 2, 9)).alias("Tree"), "Timestamp")
     log = known.where("Tree <> 'ET3'").groupBy("Tree").agg(F.max("Timestamp").alias("last_import"))
     raw = scratch_dir(t.spark, "raw")
-    P.import_raw(t.spark, logger_files(t), log, raw, path_key("path", FOLDER_KEY))
-    return line_facts(t.spark.read.parquet(raw))
+    files = logger_files(t)
+    P.import_raw(t.spark, files, log, raw, path_key("path", FOLDER_KEY))
+    return raw, *P.import_raw(t.spark, files, log, raw, path_key("path", FOLDER_KEY))
+
+
+@query("tier_raw", f"""WITH {LINES}, {_OLD_LOG} SELECT {LINE_COLS} FROM lines LEFT JOIN old_log USING (Tree) WHERE last_import IS NULL OR Timestamp > last_import""")
+def _(t: Tables):
+    return line_facts(t.spark.read.parquet(_import(t)[0]))
+
+
+@query("tier_raw_log", f"WITH {LINES} SELECT Tree, max(Timestamp) AS last_import FROM lines GROUP BY 1")
+def _(t: Tables):
+    return _import(t)[1]
+
+
+@query("tier_raw_report", f"""WITH {LINES}, {_OLD_LOG}, b AS (SELECT Tree, last_import, count(*) FILTER (WHERE last_import IS NULL OR Timestamp > last_import) AS n,
+    min(Timestamp) FILTER (WHERE last_import IS NULL OR Timestamp > last_import) AS first FROM lines LEFT JOIN old_log USING (Tree) GROUP BY 1, 2)
+  SELECT Tree, CAST(n AS BIGINT) AS rows, CAST(0 AS BIGINT) AS duplicates, round((epoch(first) - epoch(last_import)) / 86400.0, 1) AS missing_days,
+    CASE WHEN n = 0 THEN 'no import needed' WHEN last_import IS NULL THEN 'new series' ELSE 'imported' END AS status FROM b""")
+def _(t: Tables):
+    return _import(t)[2]
 
 
 _L1_GRID = """spans AS (SELECT Tree, min(Timestamp) AS lo, max(Timestamp) AS hi FROM ports GROUP BY 1),
@@ -97,7 +116,7 @@ def _(t: Tables):
 
 
 @query("maintenance_table", """WITH s AS (SELECT 'T' || (user_id % 4) AS Tree, CAST(1 + event_id % 9 AS INTEGER) AS c, day(ts) AS dy, count(*) AS n
-    FROM events WHERE event_type = 'error' AND day(ts) IN (5, 12, 19) GROUP BY 1, 2, 3)
+    FROM events GROUP BY 1, 2, 3)
   SELECT Tree, CAST(c AS VARCHAR) AS Cable, make_timestamp(2024, 1, dy, 10, 0, 0) AS Timestamp, 'n' || n AS Action FROM s WHERE c <= 8""")
 def _(t: Tables):
     return P.maintenance_table(note_sheet(t), NOTE_DATES)

@@ -140,11 +140,14 @@ def predict_interaction(df: DataFrame, model: DataFrame, a: str, b: str, keys: S
     return d.withColumn(name, value).drop("intercept", f"coef_{a}", f"coef_{b}", "coef_interaction")
 
 
-def forest_regress(train: DataFrame, test: DataFrame, y: str, xs: Sequence[str], trees: int = 200, min_node: int = 5, depth: int = 8, seed: int = 222, name: str = "pred") -> DataFrame:
-    """Random forest on complete rows; predictions for the test rows that have all predictors."""
+def forest_regress(train: DataFrame, test: DataFrame, y: str, xs: Sequence[str], trees: int = 200, min_node: int = 5, depth: int = 30, bins: int = 128, seed: int = 222, name: str = "pred") -> DataFrame:
+    """Random forest on complete rows; predictions for the test rows that have all predictors.
+
+    Trees end at nodes of ``min_node`` rows, or at a depth of 30, the most that Spark allows. Splits are sought at ``bins`` quantiles of a predictor.
+    """
     stages = [
         VectorAssembler(inputCols=list(xs), outputCol="_x"),
-        RandomForestRegressor(featuresCol="_x", labelCol=y, predictionCol=name, numTrees=trees, minInstancesPerNode=min_node, maxDepth=depth, seed=seed),
+        RandomForestRegressor(featuresCol="_x", labelCol=y, predictionCol=name, numTrees=trees, minInstancesPerNode=min_node, maxDepth=depth, maxBins=bins, seed=seed),
     ]
     model = Pipeline(stages=stages).fit(train.dropna(subset=[y, *xs]).select(y, *xs))
     return model.transform(test.dropna(subset=list(xs))).drop("_x")
@@ -174,17 +177,22 @@ def fill_from_best(
 
     For each gap (all measures missing, at least ``shortest`` rows) the ``history``
     before it is taken, the sibling's position with the highest correlation is
-    chosen, and target ~ position is fitted there. Gives the tier rows with
+    chosen, and target ~ position is fitted there. Gives all tier rows with
     ``filled`` (observed values kept) and ``source``. ``siblings`` has (Tree, Cable,
-    Sibling), one sibling per cable; the tier must be on its gap-free grid.
+    Sibling), at most one sibling per cable; a cable without one keeps its rows unfilled. Rows that miss only the target are no
+    gap and stay as they are. A window begins after the latest row at or before ``history`` seconds and a step before its gap, so holes in the grid
+    don't matter. Windows whose values vary by less than 1e-9 of their size count as constant. Writes the pairs and their sums to the scratch folder.
 
     The windows of close gaps overlap almost entirely, so they are not expanded:
     running sums of the centred pairs are kept along each series, and a window's
     moments are those at the gap less those one step before the window.
     """
     keys, xs, y = ["Tree", "Cable"], [f"{c}_sib" for c in cols], target
+    twice = siblings.groupBy(*keys).count().where("count > 1").take(1)
+    if twice:
+        raise ValueError(f"cable {[twice[0][k] for k in keys]} has more than one sibling")
     other = tier.select("Tree", F.col("Cable").alias("Sibling"), time, *cols)
-    d = neighbour_join(salted_join(tier, siblings, keys, time, "inner"), other, cols, ("Tree", "Sibling", time))
+    d = neighbour_join(salted_join(tier, siblings, keys, time, "left"), other, cols, ("Tree", "Sibling", time))
     # Centred values keep the differences of long sums exact.
     centres = d.groupBy(*keys).agg(F.avg(y).alias("_c_y"), *[F.avg(x).alias(f"_c_{x}") for x in xs])
     d = written(salted_join(d, centres, keys, time), "pairs")
@@ -198,14 +206,19 @@ def fill_from_best(
     gone = all_missing(*cols) == 1
     d = ordered(d, keys, time, span, _gap=last_known(F.when(~gone, F.col(time))), **{n: running(e) for n, e in sums.items()})
     d = d.withColumn("_gap", F.when(gone, F.coalesce("_gap", F.lit(0).cast("timestamp").cast(tier.schema[time].dataType))))
+    d = written(d, "sums")
 
     # Inside a gap nothing is added, so any row of it holds the sums at its end.
     gaps = d.where(F.col("_gap").isNotNull()).groupBy(*keys, "_gap").agg(
         F.count(F.lit(1)).alias("_length"), F.min(time).alias("_first"), *[F.max(n).alias(n) for n in sums],
         F.max("_c_y").alias("_c_y"), *[F.max(f"_c_{x}").alias(f"_c_{x}") for x in xs],
     ).where(F.col("_length") >= shortest).withColumn(time, shift("_first", -history - step))
-    before = d.select(*keys, time, *[F.col(n).alias(f"_before{n}") for n in sums])
-    w = gaps.join(before, [*keys, time], "left")
+    # The sums before a window are the last known where a probe stands in the series.
+    held = F.struct(*[F.col(n).alias(f"_before{n}") for n in sums])
+    probes = gaps.select(*keys, time, F.lit(1).alias("_probe"), F.col("_gap"), F.lit(None).cast(d.select(held.alias("h")).schema["h"].dataType).alias("_held"))
+    line = d.select(*keys, time, F.lit(0).alias("_probe"), F.lit(None).cast(tier.schema[time].dataType).alias("_gap"), held.alias("_held")).unionByName(probes)
+    line = ordered(line, keys, [time, "_probe"], span, _held=last_known("_held")).where("_probe = 1")
+    w = gaps.drop(time).join(line.select(*keys, "_gap", "_held"), [*keys, "_gap"]).select("*", "_held.*").drop("_held")
     moments = ("n", "x", "y", "xx", "yy", "xy")
     w = w.select(*keys, "_gap", "_c_y", F.inline(F.array(*[F.struct(
         F.lit(x).alias("source"), F.col(f"_c_{x}").alias("_c_x"),

@@ -60,7 +60,9 @@ def hampel(
     across each border, so the result does not depend on the cut; only the window
     arithmetic of one block runs in Python (a MAD is not a window aggregate, and
     arrays per row cost more than twice the time). The row number decides the
-    block; on a gap-free grid of ``step`` seconds the time does, which saves a pass.
+    block. With ``step`` the time does, which saves a pass but holds only where a series has
+    exactly one row per ``step`` seconds: this is checked by one aggregate at once and in every
+    block, and a hole, an odd time or a repeated one is an error.
     """
     if block <= 2 * half:
         raise ValueError("block must be larger than the window")
@@ -69,13 +71,19 @@ def hampel(
     if step is None:
         d = ordered(df, keys, time, span, _slot=position())
     else:
-        d = df.withColumn("_slot", F.floor(F.unix_timestamp(time) / F.lit(step)).cast("long"))
+        at = F.unix_timestamp(time)
+        holes = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("n"), ((F.max(at) - F.min(at)) / step + 1).alias("slots")).where("n <> slots").take(1)
+        if holes:
+            raise ValueError(f"series {[holes[0][k] for k in keys]} has {holes[0]['n']} rows on {holes[0]['slots']} steps of {step} s")
+        d = df.withColumn("_slot", F.floor(at / F.lit(step)).cast("long"))
     d = _with_halo(d, "_slot", half, block)
     names = df.columns
     schema = T.StructType([*df.schema.fields, *[T.StructField(f, T.StringType()) for f in flags]])
 
     def clean(pdf: pd.DataFrame) -> pd.DataFrame:
         pdf = pdf.sort_values("_slot", ignore_index=True)
+        if step is not None and (np.diff(pdf["_slot"].to_numpy()) != 1).any():
+            raise ValueError(f"rows are not one per {step} s: repeated or odd times")
         out = pdf[names].copy()
         for c, flag in zip(cols, flags):
             values = pdf[c].to_numpy(dtype=float)

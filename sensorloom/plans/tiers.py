@@ -24,24 +24,36 @@ from sensorloom.operators.series import letter_events, letter_series
 from sensorloom.session import scratch_dir, written
 from sensorloom.sources.incremental import import_batch, import_ends, import_log_upsert, import_report, skip_missing_input
 from sensorloom.sources.logger import format_logger, read_logger
-from sensorloom.sources.tiers import append_raw, write_flags, write_tier
+from sensorloom.sources.tiers import keys_of, write_flags, write_tier
 
 
 def raw_batch(spark: SparkSession, path: str | Sequence[str], log: DataFrame, tree: Column | None = None) -> tuple[DataFrame, DataFrame, DataFrame]:
-    """Logger files to (rows to append, new import log, report)."""
-    rows = format_logger(read_logger(spark, path), tree)
+    """Logger files to (rows to append, new import log, report). The text is parsed once, into a table in the scratch folder."""
+    rows = written(format_logger(read_logger(spark, path), tree), "parsed")
     batch = import_batch(rows, log)
     return batch, import_log_upsert(log, import_ends(rows)), import_report(rows, log)
 
 
-def import_raw(spark: SparkSession, path: str | Sequence[str], log: DataFrame, raw_path: str, tree: Column | None = None) -> tuple[DataFrame, DataFrame]:
-    """Append the new rows of logger files to the raw tier; returns the new log and the report.
+def import_raw(
+    spark: SparkSession, path: str | Sequence[str], log: DataFrame, raw_path: str, tree: Column | None = None,
+    batch: str | None = None, log_path: str | None = None, report_path: str | None = None,
+) -> tuple[DataFrame, DataFrame]:
+    """Write the new rows of logger files to the raw tier; returns the new log and the report, and writes them if paths are given.
 
-    Write the log only after this returns: a job that dies in between is then
-    imported again rather than lost.
+    The raw tier has one folder per batch and tree, as the stream's has. An import's folder is named by ``batch`` or else by
+    the log that it starts from, so one that is run again from the same log and files replaces what it wrote. The log is written
+    last: a job that dies before is imported again and neither lost nor doubled. Start every import from the log of the one before.
     """
-    batch, new_log, report = raw_batch(spark, path, log, tree)
-    append_raw(batch, raw_path)
+    if batch is None:
+        cells = F.sum(F.xxhash64("Tree", "last_import").cast("decimal(38,0)"))
+        batch = f"log-{log.agg(F.coalesce(cells, F.lit(0))).first()[0]}"
+    rows, new_log, report = raw_batch(spark, path, log, tree)
+    write_tier(rows.withColumn("batch", F.lit(batch)), raw_path, ("batch", "Tree"))
+    new_log, report = written(new_log, "log"), written(report, "report")
+    if report_path:
+        report.write.mode("overwrite").parquet(report_path)
+    if log_path:
+        new_log.write.mode("overwrite").parquet(log_path)
     return new_log, report
 
 
@@ -82,15 +94,15 @@ def build_l2(
     bad_windows: DataFrame,
     actions: DataFrame,
     step: int = STEP_SECONDS,
-    gridded: bool = True,
+    gridded: bool = False,
     span: int | None = None,
     block: int = BLOCK_ROWS,
 ) -> DataFrame:
     """L1 to masked, lettered and outlier-filtered rows, with the outlier flags beside them.
 
     ``bad_windows`` is long: (Tree, Cable, Position, Start, End). ``gridded`` says
-    that each series has exactly one row per step, as an L1 tier has; otherwise rows
-    are numbered first.
+    that each series has exactly one row per step, as an L1 tier has; it is checked, and saves numbering the rows.
+    Otherwise the masked and lettered rows are written to the scratch folder and numbered.
     """
     d = letter_series(mask_wide(l1, bad_windows, VELOCITIES, step=step), letter_events(actions))
     d = d.withColumn("Cable", unite("Cable", "letter")).select("Tree", "Cable", "Timestamp", *VELOCITIES)
@@ -106,7 +118,7 @@ def save_l2(cleaned: DataFrame, tier_path: str, flags_path: str) -> None:
     cleaned.write.parquet(staging)
     tier, flags = split_flags(cleaned.sparkSession.read.schema(cleaned.schema).parquet(staging))
     write_tier(tier, tier_path)
-    write_flags(flags, flags_path)
+    write_flags(flags, flags_path, keys_of(tier))
 
 
 def build_zeroes(microclimate: DataFrame, rule: ZeroRule = ZeroRule(), min_hours: float = 3.0, span: int = SPAN_SECONDS) -> DataFrame:
@@ -135,6 +147,14 @@ def build_l3(l2: DataFrame, zeroes: DataFrame, actions: DataFrame, excluded: Dat
     return subtract_baseline(d), baseline_flags(d)
 
 
+def save_l3(joined: DataFrame, tier_path: str, flags_path: str) -> None:
+    """Write the baselined tier and its flags from one computation of ``baselined``, by way of a written copy."""
+    d = written(joined, "l3")
+    tier = subtract_baseline(d)
+    write_tier(tier, tier_path)
+    write_flags(baseline_flags(d), flags_path, keys_of(d))
+
+
 def maintenance_table(sheets: DataFrame, dates: Sequence[str], classify: bool = False) -> DataFrame:
     """Note sheets with one column per visit to the table of maintenance actions."""
     d = melt_date_columns(sheets, dates)

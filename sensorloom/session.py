@@ -29,11 +29,14 @@ def get_session(app: str = "sensorloom", master: str | None = None, **conf: str)
 def scratch_dir(spark: SparkSession, label: str) -> str:
     """A fresh folder below the cluster's shared checkpoint folder.
 
-    Only where ``spark.checkpoint.dir`` is unset (tests, one machine) a local
-    temporary folder takes its place.
+    Where ``spark.checkpoint.dir`` is unset, a temporary folder takes its place on a
+    local master only: on a cluster every machine would write to a disk of its own.
     """
     base = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getConf().get("spark.checkpoint.dir")
     if not base:
+        master = spark.sparkContext.master
+        if not master.startswith("local") or master.startswith("local-cluster"):
+            raise RuntimeError("set spark.checkpoint.dir to a folder that all machines share")
         base = tempfile.mkdtemp(prefix="sensorloom-")
     return f"{base.rstrip('/')}/{label}-{uuid.uuid4().hex}"
 

@@ -24,13 +24,24 @@ def read_lines(spark: SparkSession, path: str | Sequence[str]) -> DataFrame:
     return spark.read.text(path).select(F.col("_metadata.file_path").alias("path"), F.col("value"))
 
 
-def header_names(lines: DataFrame) -> list[str]:
-    """Field names from the name line. All files of one read must share their layout."""
+def layouts(lines: DataFrame) -> dict[tuple[str, ...], list[str]]:
+    """Field names from the name lines, and the files of each layout: one name line per file reaches the driver."""
     unquoted = F.regexp_replace("value", '"', "")
-    found = lines.where(unquoted.startswith(TIME + ",")).select(unquoted.alias("h")).distinct().take(2)
+    found = lines.where(unquoted.startswith(TIME + ",")).select("path", unquoted.alias("h")).distinct().collect()
+    if not found:
+        raise ValueError("expected logger files, found no line of field names")
+    out: dict[tuple[str, ...], list[str]] = {}
+    for r in sorted(found, key=lambda r: (r["path"], r["h"])):
+        out.setdefault(tuple(name.strip() for name in r["h"].split(",")), []).append(r["path"])
+    return out
+
+
+def header_names(lines: DataFrame) -> list[str]:
+    """Field names of files that share one layout."""
+    found = list(layouts(lines))
     if len(found) != 1:
-        raise ValueError("expected one layout of logger fields" + (", found several" if found else ", found none"))
-    return [name.strip() for name in found[0]["h"].split(",")]
+        raise ValueError("expected one layout of logger fields, found several")
+    return list(found[0])
 
 
 def parse_lines(lines: DataFrame, names: Sequence[str], keep: Sequence[str] = ("path",), dedupe: bool = True) -> DataFrame:
@@ -56,9 +67,21 @@ def _ddl(names: Sequence[str]) -> str:
 
 
 def read_logger(spark: SparkSession, path: str | Sequence[str], names: Sequence[str] | None = None) -> DataFrame:
-    """Read logger files. Names are taken from the files unless given."""
+    """Read logger files. Names are taken from the files unless given, which takes a pass over the text.
+
+    Files of different layouts are read layout by layout and united by name; fields that a file lacks are missing.
+    """
     lines = read_lines(spark, path)
-    return parse_lines(lines, names or header_names(lines))
+    if names:
+        return parse_lines(lines, names)
+    found = layouts(lines)
+    if len(found) == 1:
+        return parse_lines(lines, next(iter(found)))
+    parts = [parse_lines(read_lines(spark, files), fields) for fields, files in found.items()]
+    out = parts[0]
+    for d in parts[1:]:
+        out = out.unionByName(d, allowMissingColumns=True)
+    return out
 
 
 def format_logger(df: DataFrame, tree: Column | None = None) -> DataFrame:

@@ -46,26 +46,48 @@ def laid_out(df: DataFrame, by: Sequence[str] = ("Tree",), time: str = "Timestam
 
 
 def write_tier(df: DataFrame, path: str, by: Sequence[str] = ("Tree",), mode: str = "overwrite", time: str = "Timestamp") -> None:
-    """Write a tier partitioned by key; overwriting replaces only the keys in ``df``."""
+    """Write a tier partitioned by key; overwriting replaces only the keys in ``df``. See ``empty_keys`` for keys without rows."""
     laid_out(df, by, time).write.mode(mode).option("partitionOverwriteMode", "dynamic").partitionBy(*by).parquet(path)
 
 
+def empty_keys(spark: SparkSession, path: str, by: str, processed: Sequence[str], filled: Sequence[str]) -> None:
+    """Remove the folders of processed keys that have no rows any more, which an overwrite leaves as they are."""
+    jvm = spark._jvm
+    for value in sorted(set(processed) - set(filled)):
+        name = jvm.org.apache.spark.sql.catalyst.catalog.ExternalCatalogUtils.escapePathName(value)
+        folder = jvm.org.apache.hadoop.fs.Path(f"{path.rstrip('/')}/{by}={name}")
+        folder.getFileSystem(spark._jsc.hadoopConfiguration()).delete(folder, True)
+
+
+def keys_of(df: DataFrame, by: str = "Tree") -> list[str]:
+    """The keys that have rows: one text per tree, not per row."""
+    return [r[0] for r in df.select(F.col(by).cast("string")).distinct().collect()]
+
+
 def append_raw(df: DataFrame, path: str, by: Sequence[str] = ("Tree",)) -> None:
     """Add new rows without reading the table."""
     write_tier(df, path, by, "append")
 
 
-def replace_keys(df: DataFrame, path: str, by: Sequence[str] = ("Tree",)) -> None:
-    """Overwrite keys of the very table ``df`` was read from, by way of a written copy."""
+def replace_keys(df: DataFrame, path: str, processed: Sequence[str] | None = None, by: str = "Tree") -> None:
+    """Overwrite keys of the very table ``df`` was read from, by way of a written copy.
+
+    ``processed`` are the keys whose rows ``df`` is meant to hold; those without any are emptied. A run that ends half way
+    leaves each key old or new, and is repeated as it was: it reads the keys it has replaced as their own result.
+    """
     staging = scratch_dir(df.sparkSession, "staging")
-    laid_out(df, by).write.partitionBy(*by).parquet(staging)
+    laid_out(df, (by,)).write.partitionBy(by).parquet(staging)
     staged = df.sparkSession.read.schema(df.schema).parquet(staging)
-    write_tier(staged, path, by)
+    write_tier(staged, path, (by,))
+    if processed is not None:
+        empty_keys(df.sparkSession, path, by, processed, keys_of(staged, by))
 
 
-def write_flags(df: DataFrame, path: str) -> None:
-    """Write flag rows; only the trees at hand are replaced."""
+def write_flags(df: DataFrame, path: str, processed: Sequence[str] | None = None) -> None:
+    """Write flag rows; only the trees at hand are replaced, and ``processed`` trees without flags are emptied. ``df`` should be a table."""
     write_tier(df, path)
+    if processed is not None:
+        empty_keys(df.sparkSession, path, "Tree", processed, keys_of(df))
 
 
 # --- export ---------------------------------------------------------------

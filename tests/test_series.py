@@ -9,6 +9,7 @@ import pytest
 from conftest import at, rows
 from pyspark.sql import functions as F
 
+from sensorloom import schemas
 from sensorloom.operators import series as S
 from sensorloom.operators.outliers import hampel, split_flags
 
@@ -118,3 +119,45 @@ def test_hampel_short_series_is_kept(spark):
     d = series(spark, [1.0] * 20 + [500.0] + [1.0] * 20).withColumnRenamed("Velocity", "outer_vel")
     got = hampel(d, cols=["outer_vel"])
     assert got.where("outer_flag IS NOT NULL").count() == 0
+
+
+def test_outliers_with_holes_are_an_error_on_the_grid_and_equal_otherwise(spark):
+    from sensorloom.operators.outliers import hampel
+
+    rng = random.Random(8)
+    data = [("T", 1, at(i), rng.gauss(10, 1) + (30 if i % 37 == 0 else 0), None, None) for i in range(400) if not 150 <= i < 290 and i % 53]
+    d = spark.createDataFrame(data, schemas.L1)
+    found = [rows(hampel(d, cols=["outer_vel"], half=5, block=b), "Timestamp") for b in (11, 64, 4096)]
+    assert found[0] == found[1] == found[2]
+    with pytest.raises(ValueError, match="steps"):
+        hampel(d, cols=["outer_vel"], half=5, step=900)
+    whole = [("T", 1, at(i), rng.gauss(10, 1) + (30 if i % 37 == 0 else 0), None, None) for i in range(300)]
+    w = spark.createDataFrame(whole, schemas.L1)
+    assert rows(hampel(w, cols=["outer_vel"], half=5, step=900, block=32), "Timestamp") == rows(hampel(w, cols=["outer_vel"], half=5), "Timestamp")
+    twice = spark.createDataFrame([*whole[:100], *whole[101:], whole[5]], schemas.L1)
+    with pytest.raises(Exception, match="repeated or odd"):
+        hampel(twice, cols=["outer_vel"], half=5, step=900).collect()
+
+
+def test_fills_keep_cables_without_a_sibling_and_windows_survive_holes(spark):
+    from sensorloom.operators.models import fill_from_best
+
+    def value(i):
+        return 2.0 * i if i < 60 else 5 + (i % 9) * 0.5
+    data = []
+    for i in range(140):
+        gone = 120 <= i < 124
+        if i != 120 - 30 - 1:
+            data.append(("T", 1, at(i), *((None,) * 3 if gone else (value(i) * 3 + 1 if i >= 60 else -value(i), None, None))))
+        data.append(("T", 2, at(i), value(i), None, None))
+        data.append(("T", 3, at(i), None if i == 50 else float(i), None, None))
+    d = spark.createDataFrame(data, schemas.L1)
+    siblings = spark.createDataFrame([("T", 1, 2), ("T", 2, 1)], "Tree string, Cable int, Sibling int")
+    got = fill_from_best(d, siblings, history=30 * 900)
+    assert got.count() == d.count()
+    filled = rows(got.where("Cable = 1 AND source IS NOT NULL").select("Timestamp", "filled"), "Timestamp")
+    assert [t for t, _ in filled] == [at(i) for i in range(120, 124)]
+    assert all(abs(v - (value(i) * 3 + 1)) < 1e-6 for i, (_, v) in zip(range(120, 124), filled))
+    assert rows(got.where("Cable = 3").groupBy("source").count()) == [(None, 140)]
+    with pytest.raises(ValueError, match="sibling"):
+        fill_from_best(d, siblings.union(siblings.limit(1)))

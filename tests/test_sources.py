@@ -40,11 +40,14 @@ def test_read_and_format(spark, folder):
     ]
 
 
-def test_layouts_must_agree(spark, tmp_path, folder):
+def test_layouts_are_united_by_name(spark, tmp_path, folder):
     with open(os.path.join(folder, "ET4_Data_Table.dat"), "w") as f:
-        f.write("\n".join([HEAD[0], HEAD[1].replace("Wood_1", "Wood_2")]) + "\n")
+        f.write("\n".join([HEAD[0], HEAD[1].replace("Wood_1", "Wood_2"), *HEAD[2:], '"2024-01-01 00:00:00",1,20,12,3,5']) + "\n")
     with pytest.raises(ValueError, match="several"):
-        L.read_logger(spark, folder)
+        L.header_names(L.read_lines(spark, folder))
+    d = L.format_logger(L.read_logger(spark, folder))
+    assert rows(d.select("Tree", "Timestamp", "Wood_1", "Wood_2"), "Tree", "Timestamp") == [
+        ("ET3", at(0), None, None), ("ET3", at(1), None, None), ("ET3", at(2), 7.0, None), ("ET4", at(0), None, 5.0)]
 
 
 def test_import_in_two_steps_equals_one(spark, folder, tmp_path):
@@ -57,13 +60,64 @@ def test_import_in_two_steps_equals_one(spark, folder, tmp_path):
     log2, report = import_raw(spark, folder, log1, raw)
     assert rows(report) == [("ET3", 1, 0, 2.0, "imported")]
     import_raw(spark, folder, log, once)
-    a, b = (spark.read.parquet(p).distinct() for p in (raw, once))
+    a, b = (spark.read.parquet(p).drop("batch").distinct() for p in (raw, once))
     assert rows(a, "Timestamp") == rows(b.select(*a.columns), "Timestamp") and a.count() == 4
     assert rows(log2) == [("ET3", datetime(2024, 1, 3, 0, 30))]
     again, report = import_raw(spark, folder, spark.createDataFrame(log2.collect(), schemas.IMPORT_LOG), raw)
     assert rows(report) == [("ET3", 0, 0, None, "no import needed")] and spark.read.parquet(raw).count() == 4
 
 
+def test_the_same_import_twice_equals_once(spark, folder, tmp_path):
+    raw, log_path = str(tmp_path / "raw"), str(tmp_path / "log")
+    log = spark.createDataFrame([], schemas.IMPORT_LOG)
+    for _ in range(2):
+        import_raw(spark, folder, log, raw, log_path=log_path)
+    assert spark.read.parquet(raw).count() == 3 and rows(spark.read.parquet(log_path)) == [("ET3", at(2))]
+
+
+def test_stream_loses_no_late_file(spark, tmp_path):
+    folder = str(tmp_path / "in")
+    os.makedirs(folder)
+    for i, day in enumerate(("2024-06-02", "2024-06-01", "2024-01-02", "2024-01-01")):
+        logger_file(folder, f"ET{i}_Data_Table.dat", [f'"{day} 00:00:00",1,20,12,3,5', f'"{day} 00:00:20",2,20,12,3,5', f'"{day} 00:00:20",2,20,12,3,5'])
+        os.utime(os.path.join(folder, f"ET{i}_Data_Table.dat"), (1_700_000_000 + i, 1_700_000_000 + i))
+    raw = str(tmp_path / "raw")
+    stream_import(spark, folder, raw, str(tmp_path / "state"), L.header_names(L.read_lines(spark, folder)), max_files=1)
+    batch = L.format_logger(L.read_logger(spark, folder))
+    got = spark.read.parquet(raw).select(*batch.columns)
+    order = ("Tree", "Timestamp", "Record_Number")
+    assert got.count() == 8 and rows(got, *order) == rows(batch, *order)
+
+
+def test_overwriting_empties_a_key(spark, tmp_path):
+    path, d = str(tmp_path / "l1"), spark.createDataFrame(TIER, schemas.L1)
+    W.write_tier(d, path)
+    back = spark.read.schema(schemas.L1).parquet(path)
+    W.replace_keys(N.rollback_tier(back.where("Tree = 'T1'"), "2000-01-01 00:00:00", ["T1"]), path, ["T1"])
+    assert rows(spark.read.schema(schemas.L1).parquet(path).groupBy("Tree").count(), "Tree") == [("T2", 5)]
+
+
+def test_a_run_without_flags_removes_old_ones(spark, tmp_path):
+    from sensorloom.plans.tiers import save_l2
+
+    tier, flags = str(tmp_path / "tier"), str(tmp_path / "flags")
+    for mark in ("odd", None):
+        d = spark.createDataFrame([(*r, mark if r[0] == "T1" else "odd", None, None) for r in TIER], schemas.L1.simpleString().removeprefix("struct<").removesuffix(">") + ",outer_flag string,middle_flag string,inner_flag string")
+        save_l2(d, tier, flags)
+    assert rows(spark.read.parquet(flags).groupBy("Tree").count()) == [("T2", 5)] and spark.read.parquet(tier).count() == 10
+
+
+def test_scratch_needs_a_shared_folder_on_a_cluster(monkeypatch):
+    from types import SimpleNamespace
+
+    from sensorloom.session import scratch_dir
+
+    unset = SimpleNamespace(get=lambda *a: None)
+    context = SimpleNamespace(master="spark://host:7077", getConf=lambda: unset)
+    with pytest.raises(RuntimeError, match="share"):
+        scratch_dir(SimpleNamespace(conf=unset, sparkContext=context), "x")
+
+
 def test_stream_equals_batch_and_resumes(spark, folder, tmp_path):
     raw, state = str(tmp_path / "raw"), str(tmp_path / "state")
     names = L.header_names(L.read_lines(spark, folder))
@@ -153,7 +207,7 @@ def test_stream_of_tier_rows_resamples_like_a_batch(spark, tmp_path):
     data = [("T1", 1, at(i), float(i), None, 1.0) for i in range(40)]
     d = spark.createDataFrame(data, schemas.L1)
     d.write.parquet(path)
-    stream = stream_resample(spark.readStream.schema(schemas.L1).parquet(path), ["outer_vel"])
+    stream = stream_resample(spark.readStream.schema(schemas.L1).parquet(path), ["outer_vel"], "1 hour")
     query = stream.writeStream.format("parquet").option("path", out).option("checkpointLocation", state).outputMode("append").trigger(availableNow=True).start()
     query.awaitTermination()
     got = spark.read.parquet(out)
