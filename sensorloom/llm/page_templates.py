@@ -88,7 +88,7 @@ def parts(page: str) -> Iterator[tuple[tuple[str, ...], bool, str | None]]:
         if name in _VOID:
             continue
         held = (m[3] or m[6] or "")
-        names = tuple(w for x in _NAMES.findall(held) for w in re.split(r"[^a-z]+", "".join(x).lower()) if w)
+        names = tuple(w for x in _NAMES.findall(held) for w in re.split(r"[^a-z0-9]+", "".join(x).lower()) if w)
         if name not in _INLINE and name not in _BLOCKS:
             path = (*path, ".".join((name, *names)))
             other = other or _other(name, names)

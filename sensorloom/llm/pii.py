@@ -72,10 +72,15 @@ def spans(text: Column, kind: str) -> Column:
     return F.when(text.rlike(NEEDED[kind]), F.aggregate(pairs, start, walk)["out"]).otherwise(F.array().cast(_SPAN))
 
 
+def _tagged(found: Column, number: int) -> Column:
+    # A lambda with a second argument would be given the place in the array.
+    return F.transform(found, lambda s: F.struct(F.lit(number).alias("kind"), s["begin"].alias("begin"), s["end"].alias("end"), s["value"].alias("value")))
+
+
 def base_spans(docs: DataFrame, text_col: str = "text") -> DataFrame:
     """``docs`` with ``_base``: (kind, begin, end, value) of all base matches, by kind and place."""
     text = text_or_empty(text_col)
-    tagged = [F.transform(spans(text, k), lambda s, i=i: F.struct(F.lit(i).alias("kind"), s["begin"].alias("begin"), s["end"].alias("end"), s["value"].alias("value"))) for i, k in enumerate(KINDS)]
+    tagged = [_tagged(spans(text, kind), number) for number, kind in enumerate(KINDS)]
     return docs.withColumn("_base", F.concat(*tagged))
 
 
@@ -189,7 +194,7 @@ def redacted(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", le
         return F.concat(F.concat_ws("", s["out"]), F.substring(text, s["at"] + 1, F.length(text)))
 
     changed = F.when(F.size("_found") > 0, F.aggregate(by_place, start, walk, joined)).otherwise(F.col(text_col))
-    new = {text_col: changed}
+    d = d.withColumn(text_col, changed)
     if length_col:
-        new[length_col] = F.when(F.size("_found") > 0, F.length(changed).cast(docs.schema[length_col].dataType)).otherwise(F.col(length_col))
-    return d.withColumns(new).drop("_base", "_found")
+        d = d.withColumn(length_col, F.when(F.size("_found") > 0, F.length(text_col).cast(docs.schema[length_col].dataType)).otherwise(F.col(length_col)))
+    return d.drop("_base", "_found")

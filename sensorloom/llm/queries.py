@@ -53,7 +53,10 @@ def personal_data(spark: SparkSession, sf_dir: str) -> DataFrame:
     def digest(spans: str) -> Column:
         return F.concat_ws(",", F.transform(spans, lambda s: F.concat_ws(":", F.get(names, s["kind"]), s["begin"], s["end"])))
 
-    n = [F.size(F.filter("_base", lambda s, i=i: s["kind"] == i)).cast("long").alias(f"n_{k}") for i, k in enumerate(pii.KINDS)]
+    def count(number: int) -> Column:
+        return F.size(F.filter("_base", lambda s: s["kind"] == number)).cast("long")
+
+    n = [count(i).alias(f"n_{k}") for i, k in enumerate(pii.KINDS)]
     return d.select("doc_id", *n, F.sha2(digest("_base"), 256).alias("base_sha256"), digest("_found").alias("spans"))
 
 

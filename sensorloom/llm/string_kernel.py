@@ -296,7 +296,7 @@ def fit(texts: list[str], toxic: list[int], share: float, *, landmarks: int = 32
 def train(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text", label_col: str = "toxic", *, sample: int = 3000, **options) -> Model:
     """Fit on at most ``sample`` labelled rows of either label, those with the smallest hashes of their ids.
 
-    The sample's texts meet in the driver, cut to 50,000 characters each for the fit alone; its ids are bounded, so they are broadcast to the texts.
+    The sample meets in the driver; its ids are bounded, so they are broadcast to the texts.
     Rows whose label is null or no document's are left out. Without toxic labels every text scores the share of toxic rows.
     """
     known = labels.where(F.col(label_col).isNotNull() & F.col(id_col).isNotNull()).select(F.col(id_col).alias("_of"), F.col(label_col).cast("int").alias("_toxic"))
@@ -307,7 +307,7 @@ def train(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col:
         picked = part if picked is None else picked.union(part)
     ids = [(r["_of"], r["_toxic"]) for r in picked.collect()]
     small = docs.sparkSession.createDataFrame(ids, picked.schema)
-    rows = docs.join(F.broadcast(small), F.col(id_col) == F.col("_of")).select("_of", F.substring(text_or_empty(text_col), 1, 50_000).alias("t"), "_toxic").collect()
+    rows = docs.join(F.broadcast(small), F.col(id_col) == F.col("_of")).select("_of", text_or_empty(text_col).alias("t"), "_toxic").collect()
     rows = sorted(rows, key=lambda r: (r["_of"], r["t"]))
     share = n.get(1, 0) / max(sum(n.values()), 1)
     return fit([r["t"] for r in rows], [r["_toxic"] for r in rows], share, **options)
