@@ -54,10 +54,13 @@ def _(t: Tables):
     return rounded(P.cable_velocities(t.ports(), t.station_info()), *VELOCITIES)
 
 
-@query("stack_cables", f"""WITH {PORT_ROWS}, {WIRED} SELECT Tree, Cable, CAST(count(DISTINCT Timestamp) AS BIGINT) AS rows FROM wired GROUP BY 1, 2""")
+@query("stack_cables", f"""WITH {PORT_ROWS}, {WIRED}, {DELTAS}, {RATIOS}, {VELOCITY} SELECT Tree, Cable, CAST(count(*) AS BIGINT) AS rows,
+  {R('sum(outer_vel)')} AS outer_total, {R('min(middle_vel)')} AS middle_low, {R('max(inner_vel)')} AS inner_high FROM velocity GROUP BY 1, 2""")
 def _(t: Tables):
-    d = P.cable_velocities(t.ports(), t.station_info(), limits=None)
-    return d.groupBy("Tree", "Cable").agg(F.count("Timestamp").alias("rows"))
+    d = P.cable_velocities(t.ports(), t.station_info())
+    facts = d.groupBy("Tree", "Cable").agg(
+        F.count("Timestamp").alias("rows"), F.sum("outer_vel").alias("outer_total"), F.min("middle_vel").alias("middle_low"), F.max("inner_vel").alias("inner_high"))
+    return rounded(facts, "outer_total", "middle_low", "inner_high")
 
 
 _PROBES = " UNION ALL ".join(

@@ -80,9 +80,10 @@ def _(t: Tables):
     return line_facts(L.format_logger(L.parse_lines(lines, FIELDS, keep=("Tree",)).withColumnRenamed("Tree", "path"), F.col("path")))
 
 
-@query("drop_leading_rows", f"WITH {LINES} SELECT Tree, CAST(count(*) AS BIGINT) AS records FROM lines GROUP BY 1")
+@query("drop_leading_rows", f"WITH {LINES} SELECT Tree, CAST(count(*) AS BIGINT) AS records, min(Timestamp) AS first, sum(Record_Number) AS numbers FROM lines GROUP BY 1")
 def _(t: Tables):
-    return L.parse_lines(logger_lines(t), FIELDS, keep=("Tree",)).groupBy("Tree").agg(F.count("Timestamp").alias("records"))
+    d = L.parse_lines(logger_lines(t), FIELDS, keep=("Tree",)).groupBy("Tree")
+    return d.agg(F.count("Timestamp").alias("records"), F.min("Timestamp").alias("first"), F.sum("RECORD").alias("numbers"))
 
 
 @query("stream_import", f"WITH {LINES} SELECT {LINE_COLS} FROM lines")

@@ -17,6 +17,7 @@ from sensorloom.operators.outliers import split_flags
 from sensorloom.plans import tiers as P
 from sensorloom.plans.dashboard import dashboard_view
 from sensorloom.session import scratch_dir, written
+from sensorloom.sources.tiers import export_slice
 
 _OLD_LOG = """old_log AS (SELECT Tree, max(Timestamp) AS last_import FROM lines WHERE Record_Number < 200 AND Tree <> 'ET3' GROUP BY 1)"""
 
@@ -159,3 +160,31 @@ def _(t: Tables):
     f"{R(f'max({c}) - min({c})')} AS Change FROM s GROUP BY 1, 2" for c in VELOCITIES))
 def _(t: Tables):
     return rounded(_view(t).summary, "min", "mean", "max", "total", "Change")
+
+
+_STYLES = {"head": "strftime(Timestamp, '%Y-%m-%dT%H:%M:%SZ')", "tail": "strftime(Timestamp, '%Y-%m-%dT%H:%M:%SZ')", "iso": "strftime(Timestamp, '%Y-%m-%dT%H:%M:%SZ')", "text": "strftime(Timestamp, '%Y-%m-%d')"}
+
+
+@query("dashboard_tables", f"WITH {_SLICE}, n AS (SELECT *, row_number() OVER (ORDER BY Timestamp) AS a, row_number() OVER (ORDER BY Timestamp DESC) AS z FROM s) " + " UNION ALL ".join(
+    f"SELECT Tree, Cable, {style} AS Timestamp, {RV()}, '{name}' AS part FROM n" + {"head": " WHERE a <= 6", "tail": " WHERE z <= 6"}.get(name, "") for name, style in _STYLES.items()))
+def _(t: Tables):
+    """First and last rows of a view, and both of its exports."""
+    v = _view(t)
+    parts = {"head": export_slice(v.head), "tail": export_slice(v.tail), "iso": v.iso, "text": v.text}
+    out = None
+    for name, d in parts.items():
+        d = d.withColumn("part", F.lit(name))
+        out = d if out is None else out.unionByName(d)
+    return rounded(out, *VELOCITIES)
+
+
+@query("backfill", f"""WITH {TIER} SELECT Tree, Cable, Timestamp, CASE WHEN Tree = 'T2' AND Timestamp BETWEEN TIMESTAMP '2024-01-10 00:00:00' AND TIMESTAMP '2024-01-15 00:00:00'
+    THEN {R('outer_vel * 2')} ELSE {R('outer_vel')} END AS outer_vel, {R('middle_vel')} AS middle_vel, {R('inner_vel')} AS inner_vel FROM tier""")
+def _(t: Tables):
+    """Five days of a tree arrive late; they are processed anew, which doubles a value, and put in their place."""
+    d = t.tier_wide()
+    lo, hi = (F.lit(x).cast("timestamp_ntz") for x in ("2024-01-10 00:00:00", "2024-01-15 00:00:00"))
+    late = (F.col("Tree") == "T2") & F.col("Timestamp").between(lo, hi)
+    log = d.groupBy("Tree").agg(F.max("Timestamp").alias("last_import"))
+    double = lambda rows, points: rows.withColumn("outer_vel", F.col("outer_vel") * 2)
+    return rounded(P.backfill(d.where(~late), d.where(~late), d.where(late), log, double, step=HOUR)[0], *VELOCITIES)

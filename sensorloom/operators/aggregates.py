@@ -117,7 +117,7 @@ def quantiles(df: DataFrame, col: str, probs: Sequence[float], keys: Sequence[st
     Here a mergeable sketch, whose rank error is at most n / ``accuracy``, brackets
     each wanted rank; rows below the bracket are only counted, and the few inside
     it (about ten in ``accuracy`` per probability, copies of a value as one row)
-    are ranked. Groups of up to ``accuracy`` rows are ranked whole.
+    are ranked. In small groups a wanted rank may lie one beside the bracket, so the nearest values on either side are kept too.
     """
     keys = list(keys)
     by = keys or ["_all"]
@@ -127,14 +127,17 @@ def quantiles(df: DataFrame, col: str, probs: Sequence[float], keys: Sequence[st
     cuts = d.groupBy(*by).agg(F.count(F.lit(1)).alias("_total"), F.percentile_approx("_v", edges, accuracy).alias("_cuts"))
 
     def under(i: int, p: float) -> Column:
-        return (F.col("_total") > accuracy) & (F.col("_v") < F.col("_cuts")[2 * i]) if p - slack > 0 else F.lit(False)
+        return (F.col("_v") < F.col("_cuts")[2 * i]) if p - slack > 0 else F.lit(False)
 
     def over(i: int, p: float) -> Column:
-        return (F.col("_total") > accuracy) & (F.col("_v") > F.col("_cuts")[2 * i + 1]) if p + slack < 1 else F.lit(False)
+        return (F.col("_v") > F.col("_cuts")[2 * i + 1]) if p + slack < 1 else F.lit(False)
 
     placed = salted_join(d, cuts, by, "_v", "inner")
     counts = placed.groupBy(*by).agg(F.max("_total").alias("_total"), F.array(*[
-        F.struct(F.lit(i).alias("_i"), F.lit(float(p)).alias("_p"), F.count_if(under(i, p)).alias("_below")) for i, p in enumerate(probs)
+        F.struct(
+            F.lit(i).alias("_i"), F.lit(float(p)).alias("_p"), F.count_if(under(i, p)).alias("_below"),
+            F.max(F.when(under(i, p), F.col("_v"))).alias("_before"), F.min(F.when(over(i, p), F.col("_v"))).alias("_after"),
+        ) for i, p in enumerate(probs)
     ]).alias("_w")).select(*by, "_total", F.inline("_w"))
     inside = F.array_compact(F.array(*[F.when(~under(i, p) & ~over(i, p), F.lit(i)) for i, p in enumerate(probs)]))
     near = placed.where(F.size(inside) > 0).select(*by, "_v", F.explode(inside).alias("_i"))
@@ -145,8 +148,12 @@ def quantiles(df: DataFrame, col: str, probs: Sequence[float], keys: Sequence[st
     exact = (F.col("_total") - 1) * F.col("_p")
     end = F.col("_below") + F.col("_to")
     holds = lambda rank: (rank < end) & (rank >= end - F.col("_k"))
-    lower = F.max(F.when(holds(F.floor(exact)), F.col("_v")))
-    upper = F.max(F.when(holds(F.ceil(exact)), F.col("_v")))
+
+    def at(rank: Column) -> Column:
+        beside = F.when(F.max(rank) < F.max("_below"), F.max("_before")).otherwise(F.max("_after"))
+        return F.coalesce(F.max(F.when(holds(rank), F.col("_v"))), beside)
+
+    lower, upper = at(F.floor(exact)), at(F.ceil(exact))
     fraction = F.max(exact - F.floor(exact))
     out = near.groupBy(*by, F.col("_p").alias("prob")).agg((lower + (upper - lower) * fraction).alias("value"))
     return out.select(*keys, "prob", "value")

@@ -81,4 +81,4 @@ def group_min_filter(df: DataFrame, keys: Sequence[str], col: str, spread_by: st
 def duplicated_rows(df: DataFrame, keys: Sequence[str], order: str) -> DataFrame:
     """Rows that repeat an earlier row's key, ``order`` (unique) saying what is earlier."""
     first = df.groupBy(*keys).agg(F.min(order).alias("_first"))
-    return salted_join(df, first, list(keys), order, "inner").where(F.col(order) > F.col("_first")).drop("_first")
+    return df.join(first, list(keys)).where(F.col(order) > F.col("_first")).drop("_first")

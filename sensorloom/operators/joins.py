@@ -7,8 +7,6 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-SALTS = 16
-
 
 def salted_join(
     left: DataFrame,
@@ -16,16 +14,17 @@ def salted_join(
     on: Sequence[str],
     spread_by: str | Sequence[str],
     how: str = "left",
-    salts: int = SALTS,
+    salts: int | None = None,
 ) -> DataFrame:
     """Join on keys of which one may hold much of ``left``.
 
     ``right`` is the smaller side, at most a few rows per key. Left rows of a key
-    are spread over ``salts`` partitions by a hash of ``spread_by`` and each right
+    are spread over ``salts`` partitions (the session's shuffle partitions) by a hash of ``spread_by`` and each right
     row is repeated once per salt, so the result is that of the plain join.
     """
     if how not in ("left", "inner", "left_semi", "left_anti"):
         raise ValueError(f"a salted join keeps left rows only: {how}")
+    salts = salts or int(left.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     spread_by = [spread_by] if isinstance(spread_by, str) else list(spread_by)
     spread = left.withColumn("_salt", F.pmod(F.xxhash64(*spread_by), F.lit(salts)))
     copies = right.withColumn("_salt", F.explode(F.sequence(F.lit(0).cast("long"), F.lit(salts - 1).cast("long"))))

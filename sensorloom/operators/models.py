@@ -234,7 +234,7 @@ def fill_from_best(
     w = w.withColumn("_a", F.col("_c_y") + F.col("y") / F.col("n") - F.col("_b") * (F.col("_c_x") + F.col("x") / F.col("n")))
     best = F.min_by(F.struct("source", "_a", "_b"), F.struct(-F.col("corr"), F.col("source")))
     model = w.groupBy(*keys, "_gap").agg(best.alias("_m")).select(*keys, "_gap", "_m.*")
-    d = salted_join(d, model, [*keys, "_gap"], time)
+    d = d.join(model, [*keys, "_gap"], "left")
     x = F.coalesce(*[F.when(F.col("source") == c, F.col(c)) for c in xs])
     fits = F.col(y).isNull() & x.isNotNull()
     return d.select(
@@ -274,7 +274,7 @@ def fill_from_context(
     ok = ok.select(*by, F.explode("_c").alias("_c")).where((F.col("_c.holes") == 0) & (F.col("_c.lost") <= 1)).select(*by, "_c.Sensor")
     corrs = pairwise_corr(d, target, candidates, by).join(ok, [*by, "Sensor"], "left_semi")
     best = best_neighbour(corrs, by, absolute=True).where(F.abs("corr") > 0)
-    d = salted_join(d, best.select(*by, "Sensor"), by, time, "inner")
+    d = d.join(best.select(*by, "Sensor"), by)
     d = d.withColumn("_x", F.coalesce(*[F.when(F.col("Sensor") == c, F.col(c)) for c in candidates]))
     preds = predict_pair(d.where(F.col(target).isNull()), ols_pair(d, target, "_x", by), "_x", by, time)
     return preds.select(*by, time, "Sensor", F.col("yhat").alias("filled"))

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -15,14 +15,16 @@ from sensorloom.operators.baseline import (
 )
 from sensorloom.operators.filters import filter_date_range, quality_voltage, recent_window
 from sensorloom.operators.intervals import grid_left_join, make_grid, mask_wide
-from sensorloom.operators.joins import drop_listed, guide_join
+from sensorloom.operators.joins import drop_listed, guide_join, salted_join
 from sensorloom.operators.ordered import span_for
 from sensorloom.operators.outliers import BLOCK_ROWS, hampel, split_flags
 from sensorloom.operators.ports import before_after_probe, cable_velocities, ports_as_arrays, wired_cables
 from sensorloom.operators.reshape import cut_note, melt_date_columns, melt_positions
 from sensorloom.operators.series import letter_events, letter_series
 from sensorloom.session import scratch_dir, written
-from sensorloom.sources.incremental import import_batch, import_ends, import_log_upsert, import_report, skip_missing_input
+from sensorloom.sources.incremental import (
+    backfill_merge, backfill_window_replace, import_batch, import_ends, import_log_refresh, import_log_upsert, import_report, restart_points, skip_missing_input,
+)
 from sensorloom.sources.logger import format_logger, read_logger
 from sensorloom.sources.tiers import keys_of, write_flags, write_tier
 
@@ -121,6 +123,22 @@ def save_l2(cleaned: DataFrame, tier_path: str, flags_path: str) -> None:
     write_flags(flags, flags_path, keys_of(tier))
 
 
+def backfill(
+    tier: DataFrame, old: DataFrame, late: DataFrame, log: DataFrame, process: Callable[[DataFrame, DataFrame], DataFrame], step: int = STEP_SECONDS,
+) -> tuple[DataFrame, DataFrame]:
+    """Late records into a tier: (the tier with each series' affected range processed anew, the log after it).
+
+    ``old`` are the records so far, ``late`` those that came after. ``process`` makes tier rows from both together and from the points
+    (Tree, old_end, new_end) between which they are wanted. Series without late records stay as they are.
+    """
+    extents = late.groupBy("Tree").agg(F.min("Timestamp").alias("first"), F.max("Timestamp").alias("last"))
+    records = backfill_merge(skip_missing_input(old, extents), late)
+    points = restart_points(extents, step=step)
+    redone = process(records, points)
+    within = salted_join(redone, points, ["Tree"], "Timestamp", "inner").where((F.col("Timestamp") > F.col("old_end")) & (F.col("Timestamp") <= F.col("new_end")))
+    return backfill_window_replace(tier, within.select(*tier.columns), extents), import_log_refresh(log, records)
+
+
 def build_zeroes(microclimate: DataFrame, rule: ZeroRule = ZeroRule(), min_hours: float = 3.0, span: int = SPAN_SECONDS) -> DataFrame:
     """Weather by station to clipped zero-flow periods per tree."""
     return clip_night(zero_periods(station_mean(microclimate), rule, span=span), min_hours=min_hours)

@@ -161,3 +161,19 @@ def test_fills_keep_cables_without_a_sibling_and_windows_survive_holes(spark):
     assert rows(got.where("Cable = 3").groupBy("source").count()) == [(None, 140)]
     with pytest.raises(ValueError, match="sibling"):
         fill_from_best(d, siblings.union(siblings.limit(1)))
+
+
+def test_quantiles_of_groups_of_every_size(spark):
+    import numpy as np
+
+    from sensorloom.operators.aggregates import quantiles
+
+    rng = random.Random(12)
+    groups = {n: [rng.choice([rng.random(), 0.5, 0.25]) for _ in range(n)] for n in (1, 2, 3, 7, 10, 33, 900)}
+    d = spark.createDataFrame([(n, v) for n, vs in groups.items() for v in vs], "n int, v double")
+    probs = (0.0, 0.05, 0.25, 0.33, 0.5, 0.75, 0.95, 1.0)
+    for accuracy in (100, 10000):
+        got = {(r.n, r.prob): r.value for r in quantiles(d, "v", probs, ["n"], accuracy).collect()}
+        for n, vs in groups.items():
+            for p in probs:
+                assert abs(got[n, p] - np.quantile(vs, p)) < 1e-12, (accuracy, n, p)
