@@ -9,6 +9,7 @@ from sensorloom.catalog.registry import R, query, rounded
 from sensorloom.catalog.series import MEANS
 from sensorloom.catalog.views import CLIMATE, HOUR, READINGS, TIER, WEEK, Tables
 from sensorloom.config import VELOCITIES
+from sensorloom.functions.columns import floor_time, shift
 from sensorloom.operators import models as M
 from sensorloom.operators.aggregates import r_squared, station_mean
 from sensorloom.operators.intervals import grid_left_join, make_grid
@@ -73,11 +74,16 @@ dbest AS (SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY Tree, gap ORD
 @query("fill_from_context", f"""WITH {_DENSE} SELECT c.Tree, CAST(c.gap AS BIGINT) AS gap, c.Timestamp, c.Sensor, {R('a + b * v')} AS filled
   FROM dc c JOIN dbest USING (Tree, gap, Sensor) WHERE o IS NULL""")
 def _(t: Tables):
-    hour = F.date_trunc("hour", "ts").cast("timestamp_ntz")
-    d = t.events.groupBy(F.col("event_type").alias("Tree"), hour.alias("Timestamp")).agg(
+    return context_fill(t)
+
+
+def context_fill(t: Tables, unit: int = HOUR):
+    slot = floor_time(t.events, "ts", "minute")
+    slot = shift(slot, -F.pmod(F.unix_timestamp(slot), F.lit(unit)))
+    d = t.events.groupBy(F.col("event_type").alias("Tree"), slot.alias("Timestamp")).agg(
         F.when(F.count(F.lit(1)) >= 2, F.min("value")).alias("outer_vel"), F.avg("value").alias("middle_vel"), F.max("value").alias("inner_vel")
     )
-    grid = make_grid(d.groupBy("Tree").agg(F.min("Timestamp").alias("lo"), F.max("Timestamp").alias("hi")), "lo", "hi", ["Tree"], HOUR)
+    grid = make_grid(d.groupBy("Tree").agg(F.min("Timestamp").alias("lo"), F.max("Timestamp").alias("hi")), "lo", "hi", ["Tree"], unit)
     full = grid_left_join(grid, d, ["Tree", "Timestamp"])
     return rounded(M.fill_from_context(full, rows=2, keys=["Tree"], span=WEEK), "filled")
 
