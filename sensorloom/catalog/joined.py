@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 from sensorloom.catalog.registry import R, RV, query, r6, rounded
 from sensorloom.catalog.views import ACTIONS, CLIMATE, HOUR, HOURLY, INTERVALS, READINGS, TIER, WEEK, ZEROES, Tables
 from sensorloom.config import VELOCITIES
+from sensorloom.functions.columns import recode_position
 from sensorloom.operators import baseline as B
 from sensorloom.operators import intervals as I
 from sensorloom.operators import joins as J
@@ -197,7 +198,7 @@ def guide(t: Tables):
 @query("guide_join", f"""WITH {TIER}, {LONG}, {_GUIDE} SELECT Tree, Cable, Timestamp, Position, {R('Velocity')} AS Velocity FROM long JOIN guide USING (Tree, Cable)
   WHERE Position = use AND (starting IS NULL OR Timestamp >= starting)""")
 def _(t: Tables):
-    return rounded(final_dataset(t.tier_wide(), guide(t)), "Velocity")
+    return rounded(J.guide_join(melt_positions(t.tier_wide()), guide(t).withColumn("Use", recode_position("Use", "None"))), "Velocity")
 
 
 @query("final_dataset", f"""WITH {TIER}, {LONG}, {_GUIDE} SELECT Tree, Cable, Timestamp, Position, {R('Velocity')} AS Velocity FROM long JOIN guide USING (Tree, Cable)

@@ -15,11 +15,11 @@ from sensorloom.operators.baseline import (
 )
 from sensorloom.operators.filters import filter_date_range, quality_voltage, recent_window
 from sensorloom.operators.intervals import grid_left_join, make_grid, mask_wide
-from sensorloom.operators.joins import drop_listed, guide_join, salted_join
+from sensorloom.operators.joins import drop_listed, salted_join
 from sensorloom.operators.ordered import span_for
 from sensorloom.operators.outliers import BLOCK_ROWS, hampel, split_flags
 from sensorloom.operators.ports import before_after_probe, cable_velocities, ports_as_arrays, wired_cables
-from sensorloom.operators.reshape import cut_note, melt_date_columns, melt_positions
+from sensorloom.operators.reshape import cut_note, melt_date_columns
 from sensorloom.operators.series import letter_events, letter_series
 from sensorloom.session import scratch_dir, written
 from sensorloom.sources.incremental import (
@@ -187,7 +187,12 @@ def diagnostic_tables(records: DataFrame, station_info: DataFrame, days_ago_to_e
 
 
 def final_dataset(tier: DataFrame, guide: DataFrame, since: str | None = None) -> DataFrame:
-    """The position to use per cable, for all trees, from a date on."""
-    use = guide.withColumn("Use", recode_position("Use", "None"))
-    d = guide_join(melt_positions(tier), use)
-    return d if since is None else filter_date_range(d, since, "9999-12-31")
+    """The position to use per cable, for all trees, from a date on.
+
+    The guide is joined to the wide rows and names the measure to take, so that no row is multiplied before the join.
+    """
+    use = guide.withColumn("Use", recode_position("Use", "None")).where(F.col("Use").isin(*VELOCITIES))
+    d = tier if since is None else filter_date_range(tier, since, "9999-12-31")
+    d = salted_join(d, use, ["Tree", "Cable"], "Timestamp", "inner").where(F.col("Starting").isNull() | (F.col("Timestamp") >= F.col("Starting")))
+    value = F.coalesce(*[F.when(F.col("Use") == c, F.col(c)) for c in VELOCITIES])
+    return d.select("Tree", "Cable", "Timestamp", F.col("Use").alias("Position"), value.alias("Velocity"))
