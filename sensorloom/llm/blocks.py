@@ -25,6 +25,22 @@ def crowded(rows: DataFrame, key: str) -> DataFrame:
     return rows.join(counts, key)
 
 
+def maybe_among(rows: DataFrame, key: str, wanted: DataFrame, bits: int = 1 << 24) -> DataFrame:
+    """``rows`` with ``_maybe``: false only where ``key`` is surely not among the keys of ``wanted``, which has the same column.
+
+    ``wanted`` becomes a bitmap of ``bits`` hashed places, two megabytes whatever its size, and is broadcast as such. It saves shuffling
+    rows that a join on the key would drop; the join itself still decides. With many more keys than places it only saves less.
+    """
+    place = F.pmod(F.xxhash64(key), F.lit(bits))
+    w = wanted.select(place.alias("_p")).select(F.floor(F.col("_p") / 32768).alias("_bucket"), (F.col("_p") % 32768).alias("_at"))
+    maps = w.groupBy("_bucket").agg(F.bitmap_construct_agg("_at").alias("_map"))
+    d = rows.withColumn("_p", place).withColumn("_bucket", F.floor(F.col("_p") / 32768)).join(F.broadcast(maps), "_bucket", "left")
+    at = F.col("_p") % 32768
+    byte = F.conv(F.hex(F.substring("_map", (F.floor(at / 8) + 1).cast("int"), F.lit(1))), 16, 10).cast("int")
+    bit = byte.bitwiseAND(F.pow(F.lit(2), at % 8).cast("int")) != 0
+    return d.withColumn("_maybe", F.coalesce(bit, F.lit(False))).drop("_p", "_bucket", "_map")
+
+
 def blocked(rows: DataFrame, bucket: str, member: str, most: int) -> DataFrame:
     """Adds ``part``, ``lo`` and ``hi``: a bucket of n rows becomes blocks of two parts each.
 

@@ -17,7 +17,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from sensorloom.llm.blocks import text_or_empty
+from sensorloom.llm.blocks import maybe_among, text_or_empty
 from sensorloom.llm.poisson_mix import uniform
 from sensorloom.session import written
 
@@ -112,7 +112,10 @@ def resample(
     row = F.md5(F.concat_ws("|", F.coalesce(F.col(id_col).cast("string"), F.lit("none")), text_or_empty(text_col)))
     d = docs.select(F.col(id_col).alias("id"), text_or_empty(text_col).alias("text"))
     wanted = target.select(F.col(id_col).alias("id")).where("id is not null").distinct()
-    marked = d.join(wanted.withColumn("target", F.lit(True)), "id", "left").select("text", F.coalesce("target", F.lit(False)).alias("target"))
+    # Texts that are surely no target are not shuffled.
+    seen = maybe_among(d, "id", wanted)
+    found = seen.where("_maybe").join(wanted.withColumn("target", F.lit(True)).hint("merge"), "id", "left").select("text", F.coalesce("target", F.lit(False)).alias("target"))
+    marked = seen.where("NOT _maybe").select("text", F.lit(False).alias("target")).unionByName(found)
     weights = log_ratios(counts(marked))
     schema = T.StructType([T.StructField("id", docs.schema[id_col].dataType), T.StructField("row", T.StringType()), T.StructField("log_weight", T.DoubleType()), T.StructField("n_grams", T.LongType())])
     keyed = docs.select(F.col(id_col).alias("id"), row.alias("row"), text_or_empty(text_col).alias("text")).mapInPandas(_scored(weights), schema)

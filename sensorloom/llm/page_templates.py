@@ -18,7 +18,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from sensorloom.llm.blocks import text_or_empty
+from sensorloom.llm.blocks import maybe_among, text_or_empty
 from sensorloom.session import written
 
 _TAG = re.compile(r"<!--.*?(?:-->|\Z)|<!\[CDATA\[.*?\]\]>|<[!?][^>]*>|<(/?)([a-zA-Z][^\s/>]*)((?:[^>\"']++|\"[^\"]*\"|'[^']*')*+)>|<(/?)([a-zA-Z][^\s/>]*)([^>]*)>", re.S)
@@ -129,7 +129,7 @@ def host_of(url: Column) -> Column:
 
 
 def templates(pages: DataFrame) -> DataFrame:
-    """(host, slot) from (host, key, html): the path of the element that holds the article, where the host's template has one.
+    """(host, slot) from (host, key, html): the path of the element that holds the article, null where the host's template has none.
 
     A class is valid if its elements occur once a page, on at least half of the host's pages. Of the
     valid elements that are part of no menu, footer and so on the slot is the one
@@ -144,7 +144,8 @@ def templates(pages: DataFrame) -> DataFrame:
     valid = tokens.join(classes, vector).join(size, "host").where("times = pages and 2 * pages >= all and other = 0")
     last = F.substring_index("element", "/", -1)
     rank = F.when(last.rlike(r"^article(\.|$)"), 3).when(last.rlike(r"^main(\.|$)"), 2).when(last.rlike(r"\.(" + "|".join(sorted(_MAIN_NAMES)) + r")(\.|$)"), 1).otherwise(0)
-    return valid.groupBy("host").agg(F.max_by("element", F.struct(rank.alias("rank"), F.col("members"), F.col("chars"), -F.length("element"))).alias("slot"))
+    slots = valid.groupBy("host").agg(F.max_by("element", F.struct(rank.alias("rank"), F.col("members"), F.col("chars"), -F.length("element"))).alias("slot"))
+    return size.select("host").join(slots, "host", "left")
 
 
 def _own_slot(page: str) -> tuple[str, ...]:
@@ -194,6 +195,12 @@ def extract(pages: DataFrame, id_col: str = "page_id", url_col: str = "url", htm
     """
     p = pages.select(F.col(id_col).alias("id"), F.col(url_col).alias("url"), host_of(F.col(url_col)).alias("host"), text_or_empty(html_col).alias("html"))
     key = F.concat_ws("|", F.coalesce(F.col("id").cast("string"), F.lit("none")), F.coalesce("url", F.lit("")))
-    slots = templates(p.select("host", key.alias("key"), "html"))
+    slots = written(templates(p.select("host", key.alias("key"), "html")), "slots")
+    # Hosts agree on few slots. Pages of hosts with the commonest need no join, and aren't shuffled.
+    common = slots.where("slot is not null").groupBy("slot").count().orderBy(F.desc("count"), "slot").select("slot").first()
+    common = F.lit(common[0] if common else None).cast("string")
+    odd = slots.where(~F.col("slot").eqNullSafe(common))
+    p = maybe_among(p, "host", odd.select("host"))
+    placed = p.where("NOT _maybe").withColumn("slot", common).unionByName(p.where("_maybe").join(slots.hint("merge"), "host", "left"))
     schema = T.StructType([T.StructField("id", pages.schema[id_col].dataType), T.StructField("url", T.StringType()), T.StructField("text", T.StringType()), T.StructField("n_chars", T.LongType())])
-    return p.join(slots, "host", "left").select("id", "url", "html", "slot").mapInPandas(_extracted, schema).withColumnRenamed("id", id_col)
+    return placed.select("id", "url", "html", "slot").mapInPandas(_extracted, schema).withColumnRenamed("id", id_col)
