@@ -129,21 +129,18 @@ def mask_between(
 ) -> DataFrame:
     """Set values of all rows in [start, end] of their series to missing, on the grid or off it.
 
-    Each interval is repeated once per piece of time it touches; readings meet it
-    on (series, piece), so neither a long series nor a long interval fills one task.
+    Each interval is repeated once per piece of time it touches; readings meet the intervals of
+    their (series, piece) in one join, so neither a long series nor a long interval fills one task.
     """
     bad = intervals.select(*on, F.col(start).alias("_s"), F.col(end).alias("_e")).where(F.col(end) >= F.col(start))
     bad = bad.withColumn("_p", F.explode(F.sequence(
         F.floor(seconds("_s") / F.lit(span)), F.floor(seconds("_e") / F.lit(span))
-    ))).select(*[F.col(c).alias(f"_k_{c}") for c in on], "_s", "_e", "_p")
+    ))).groupBy(*[F.col(c).alias(f"_k_{c}") for c in on], "_p").agg(F.collect_list(F.struct("_s", "_e")).alias("_bad"))
     d = df.withColumn("_piece", F.floor(seconds(time) / F.lit(span)))
-    meets = [F.col(c) == F.col(f"_k_{c}") for c in on] + [F.col("_piece") == F.col("_p"), F.col(time).between(F.col("_s"), F.col("_e"))]
-    inside = d.join(bad, meets, "left_semi")
-    outside = d.join(bad, meets, "left_anti")
-    inside = inside.withColumns({c: F.lit(None).cast(df.schema[c].dataType) for c in cols})
-    if flag:
-        inside, outside = inside.withColumn(flag, F.lit(1)), outside.withColumn(flag, F.lit(0))
-    return inside.unionByName(outside).drop("_piece")
+    d = d.join(bad, [F.col(c) == F.col(f"_k_{c}") for c in on] + [F.col("_piece") == F.col("_p")], "left")
+    inside = F.coalesce(F.exists("_bad", lambda b: F.col(time).between(b["_s"], b["_e"])), F.lit(False))
+    out = [F.when(~inside, F.col(c)).alias(c) if c in cols else F.col(c) for c in df.columns]
+    return d.select(*out, *([inside.cast("int").alias(flag)] if flag else []))
 
 
 def mask_dormancy(
