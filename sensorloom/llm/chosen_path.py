@@ -20,7 +20,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from sensorloom.llm.blocks import block_links, blocked, components, crowded, incidence_product, linked, per_block, text_or_empty
+from sensorloom.llm.blocks import block_links, blocked, components, crowded, incidence_product, linked, maybe_among, per_block, text_or_empty
 from sensorloom.session import written
 
 MINIMA = 64
@@ -175,7 +175,8 @@ def jaccard_links(
     keys = ["path", "lo", "hi"]
     likely = written(per_block(pairs, keys, _likely(threshold - SLACK, threshold), "path long, lo int, hi int, part int, node string, paths array<long>, copies long"), "likely")
     wanted = likely.select("node").distinct()
-    texts = base.select(F.col("_node").alias("node"), "_text").join(wanted, "node", "left_semi").dropDuplicates(["node"])
+    texts = maybe_among(base.select(F.col("_node").alias("node"), "_text"), "node", wanted).where("_maybe").drop("_maybe")
+    texts = texts.join(wanted.hint("merge"), "node", "left_semi").dropDuplicates(["node"])
     sets = texts.mapInPandas(_with_sets(width), "node string, hashes binary")
     found = written(per_block(likely.join(sets, "node"), keys, _verified(threshold), "a string, b string, links long"), "links")
     roots = components(found.select("a", "b"), "components")
@@ -202,10 +203,13 @@ def one_of_each(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
 
     Of repeated rows (same id, same text) one stays.
     """
-    links = jaccard_links(docs, id_col, text_col, **options)
+    links = written(jaccard_links(docs, id_col, text_col, **options).select("_row", "_root", "kept", "_linked"), "kept")
     # One row key for each component, so that two texts under one id don't both stay.
     kept = links.where("kept AND _linked").groupBy("_root").agg(F.min("_row").alias("_row")).select("_row")
-    keyed = docs.withColumn("_row", row_key(id_col, text_col))
-    wordless = ~text_or_empty(text_col).rlike(r"[^\x20\x09-\x0d]")
-    linked = keyed.where(~wordless).join(kept, "_row", "left_semi").dropDuplicates(["_row"])
-    return linked.unionByName(keyed.where(wordless)).drop("_row")
+    # Rows that may go: those of other keys, and repeated rows. All others stay where they are.
+    count = links.where("_linked").groupBy("_row").agg(F.count(F.lit(1)).alias("n")).join(kept.withColumn("_stays", F.lit(True)), "_row", "left")
+    doubtful = written(count.where("n > 1 OR _stays IS NULL").select("_row", F.coalesce("_stays", F.lit(False)).alias("_stays")), "doubtful")
+    keyed = maybe_among(docs.withColumn("_row", row_key(id_col, text_col)), "_row", doubtful.select("_row"))
+    looked = keyed.where("_maybe").join(doubtful, "_row", "left")
+    once = looked.where("_stays").dropDuplicates(["_row"])
+    return keyed.where("NOT _maybe").select(*docs.columns).unionByName(looked.where("_stays IS NULL").select(*docs.columns)).unionByName(once.select(*docs.columns))
