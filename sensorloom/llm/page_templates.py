@@ -48,6 +48,20 @@ def _rank(token: str) -> int:
     return 3 if tag == "article" else 2 if tag == "main" else int(any(n in _MAIN_NAMES for n in names))
 
 
+def _close_before(stack: list[tuple[str, tuple[str, ...], bool]], name: str) -> bool:
+    """Ends a paragraph before the next block, and a list's item before the next item; whether there was one."""
+    if name in _INLINE:
+        return False
+    for i in range(len(stack) - 1, -1, -1):
+        tag = stack[i][0]
+        if tag == "p" or tag == name == "li":
+            del stack[i:]
+            return True
+        if tag not in _INLINE:
+            return False
+    return False
+
+
 def parts(page: str) -> Iterator[tuple[tuple[str, ...], bool, str | None]]:
     """(path, other, text) for each run of text, and (path, other, None) where an element of a path opens. A line end alone divides blocks.
 
@@ -87,6 +101,8 @@ def parts(page: str) -> Iterator[tuple[tuple[str, ...], bool, str | None]]:
             continue
         if name in _VOID:
             continue
+        if _close_before(stack, name):
+            path, other = stack[-1][1:] if stack else ((), False)
         held = (m[3] or m[6] or "")
         names = tuple(w for x in _NAMES.findall(held) for w in re.split(r"[^a-z0-9]+", "".join(x).lower()) if w)
         if name not in _INLINE and name not in _BLOCKS:

@@ -253,6 +253,12 @@ def test_article_text_without_other_parts(spark):
     assert page_templates.extract(spark.createDataFrame([], df.schema)).count() == 0
 
 
+def test_unclosed_parts_end_with_the_next_block():
+    page = "<article><p class='ad'>buy<p>one <span class=share>x</span> two<ul><li class='promo'>p<li>three</ul><p>four</article><p>five"
+    assert page_templates.slot_text(page, "article") == "one two three four"
+    assert page_templates.slot_text("<p>a<p>b", None) == "a b" and page_templates.slot_text("", None) == ""
+
+
 def test_a_host_without_telling_names(spark):
     page = "<html><body><div class='x1'><div>menu</div></div><div class='x2'>{}</div></body></html>"
     df = spark.createDataFrame([(i, "http://h.org/", page.format(f"<p>long text number {i} " + "word " * 50)) for i in range(4)], "page_id long, url string, html string")
