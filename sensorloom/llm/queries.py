@@ -114,6 +114,21 @@ SELECT vec_id, coalesce(n.n, 0) AS n_links, component_id, vec_id = component_id
 FROM rows_ JOIN low ON low.a = r LEFT JOIN n ON n.a = r
 """
 
+_OP2 = r"""
+WITH RECURSIVE d AS (SELECT row_number() OVER () AS r, doc_id, coalesce(text, '') AS text, regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS words FROM documents),
+t AS (SELECT min(r) AS n, min(doc_id) AS class_id, count(*) AS copies, text, any_value(words) AS words FROM d WHERE len(words) > 0 GROUP BY text),
+s AS (SELECT DISTINCT n, array_to_string(words[p : p + 4], ' ') AS gram FROM t, unnest(range(1, greatest(len(words) - 4, 1) + 1)) AS g(p)),
+size AS (SELECT n, count(*) AS k FROM s GROUP BY n),
+pairs_ AS (SELECT a.n AS a, b.n AS b, count(*) AS shared FROM s a JOIN s b ON a.gram = b.gram AND a.n <> b.n GROUP BY 1, 2),
+links AS (SELECT p.a, p.b, copies FROM pairs_ p JOIN size x ON x.n = p.a JOIN size y ON y.n = p.b JOIN t ON t.n = p.b WHERE shared >= 0.8 * (x.k + y.k - shared) - 1e-9),
+reach AS (SELECT n AS a, n AS b FROM t UNION SELECT reach.a, links.b FROM reach JOIN links ON reach.b = links.a),
+low AS (SELECT reach.a, min(class_id) AS component_id FROM reach JOIN t ON t.n = reach.b GROUP BY reach.a),
+near AS (SELECT a, sum(copies) AS n FROM links GROUP BY a)
+SELECT doc_id, coalesce(class_id, doc_id) AS class_id, coalesce(component_id, doc_id) AS component_id,
+  CAST(coalesce(near.n, 0) + coalesce(t.copies, 1) - 1 AS BIGINT) AS n_links, doc_id = coalesce(component_id, doc_id) AS kept
+FROM d LEFT JOIN t ON t.text = d.text AND len(d.words) > 0 LEFT JOIN low ON low.a = t.n LEFT JOIN near ON near.a = t.n
+"""
+
 _OP3 = r"""
 WITH c AS (
   SELECT conv_id, turn, coalesce(role, '') AS role, coalesce(text, '') AS text FROM conversations
@@ -160,4 +175,4 @@ FROM q LEFT JOIN f ON q.lang IS NOT DISTINCT FROM f.lang AND q.source IS NOT DIS
         f"coalesce({m} BETWEEN {m}_1 - greatest(4.0 * ({m}_3 - {m}_1), {step}) AND {m}_3 + greatest(4.0 * ({m}_3 - {m}_1), {step}), true)" for m, step in adaptive_rules.MEASURES.items()),
 )
 
-SQL: dict[str, str] = {"op1_lattice_links": _OP1, "op3_chat_fold": _OP3, "op5_poisson_mix": _OP5, "op6_adaptive_rules": _OP6}
+SQL: dict[str, str] = {"op1_lattice_links": _OP1, "op2_chosen_path_join": _OP2, "op3_chat_fold": _OP3, "op5_poisson_mix": _OP5, "op6_adaptive_rules": _OP6}
