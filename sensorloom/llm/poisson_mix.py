@@ -47,13 +47,11 @@ def rates(docs: DataFrame, weights: DataFrame | None, source_col: str = "source"
         named = weights.select(F.col(source_col).alias("_named"), F.col("weight").cast("double").alias("weight"))
         counts = counts.join(named, F.col(source_col).eqNullSafe(F.col("_named")), "left").drop("_named")
     counts = counts.withColumn("weight", F.greatest(F.coalesce("weight", F.lit(0.0)), F.lit(0.0)))
-    sums = counts.agg(F.sum("docs").alias("_docs"), F.sum("weight").alias("_weight"))
-    # One row of totals beside one row per source.
-    d = counts.join(sums.hint("broadcast"))
-    wanted = F.col("_docs") if total is None else F.lit(float(total))
-    rate = F.when(F.col("_weight") > 0, F.col("weight") / F.col("_weight") * wanted / F.col("docs")).otherwise(0.0)
+    weight = counts.agg(F.sum("weight")).scalar()
+    wanted = counts.agg(F.sum("docs")).scalar() if total is None else F.lit(float(total))
+    rate = F.when(weight > 0, F.col("weight") / weight * wanted / F.col("docs")).otherwise(0.0)
     over = F.raise_error(F.concat(F.lit("rate above 600 for source "), F.coalesce(F.col(source_col).cast("string"), F.lit("null"))))
-    return d.select(source_col, F.when(rate > 600, over.cast("double")).otherwise(rate).alias("rate"))
+    return counts.select(source_col, F.when(rate > 600, over.cast("double")).otherwise(rate).alias("rate"))
 
 
 def poisson_mix(
