@@ -163,8 +163,8 @@ def _(t: Tables):
 def _(t: Tables):
     train, test = M.train_test_split(weather_tier(t), ["Tree", "Cable", "Timestamp"])
     pred = M.forest_regress(train, test, "outer_vel", ("Solar", "VPD", "Wetness"), trees=50)
-    ends = train.agg(F.min("outer_vel").alias("lo"), F.max("outer_vel").alias("hi"))
-    # One row of ends beside every prediction.
-    facts = pred.join(F.broadcast(ends)).groupBy("Tree").agg(F.count(F.lit(1)).alias("predicted"), F.every(F.col("pred").between(F.col("lo") - 1e-9, F.col("hi") + 1e-9)).alias("inside"))
+    lo, hi = train.agg(F.min("outer_vel")).scalar(), train.agg(F.max("outer_vel")).scalar()
+    pred = pred.withColumn("inside", F.col("pred").between(lo - 1e-9, hi + 1e-9))
+    facts = pred.groupBy("Tree").agg(F.count(F.lit(1)).alias("predicted"), F.every("inside").alias("inside"))
     r2 = r_squared(pred, "outer_vel", "pred", ["Tree"]).select("Tree", F.col("r2").between(0, 1).alias("fits"))
     return facts.join(r2, "Tree", "left").select("Tree", "predicted", "inside", F.coalesce("fits", F.lit(True)).alias("fits"))
