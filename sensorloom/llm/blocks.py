@@ -53,9 +53,14 @@ def blocked(rows: DataFrame, bucket: str, member: str, most: int) -> DataFrame:
     return d.withColumns({"lo": F.least("part", "_other"), "hi": F.greatest("part", "_other")}).drop("_other", "parts")
 
 
-def per_block(rows: DataFrame, keys: list[str], fn: Callable[[pd.DataFrame], pd.DataFrame | None], schema: str) -> DataFrame:
+def per_block(
+    rows: DataFrame, keys: list[str], fn: Callable[[pd.DataFrame], pd.DataFrame | None], schema: str,
+    screen: Callable[[pd.DataFrame, np.ndarray], np.ndarray] | None = None,
+) -> DataFrame:
     """``fn`` once per block, many small blocks in one Arrow batch.
 
+    ``screen`` looks at all blocks of a batch at once and tells which of them can have a result.
+
     Blocks are bounded by ``blocked``, so a task holds one batch and one unfinished block.
     """
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
@@ -65,7 +70,10 @@ def per_block(rows: DataFrame, keys: list[str], fn: Callable[[pd.DataFrame], pd.
                 continue
             held = pd.concat([*rest, batch], ignore_index=True) if rest else batch
             starts = _starts(held, keys)
-            outs = [out for a, b in zip(starts[:-1], starts[1:]) if (out := fn(held.iloc[a:b])) is not None]
+            wanted = range(len(starts) - 1)
+            if screen is not None and len(starts) > 1:
+                wanted = np.flatnonzero(screen(held.iloc[: starts[-1]], starts))
+            outs = [out for i in wanted if (out := fn(held.iloc[starts[i] : starts[i + 1]])) is not None]
             rest = [held.iloc[starts[-1]:]]
             if outs:
                 yield pd.concat(outs, ignore_index=True)

@@ -96,6 +96,28 @@ def _verified(threshold: float):
     return fn
 
 
+def _screened(threshold: float, small: int = 64):
+    """Which blocks of a batch hold a close pair: all of their pairs by row products, offset by offset; large blocks are taken as they are."""
+    def fn(d: pd.DataFrame, starts: np.ndarray) -> np.ndarray:
+        size = np.diff(starts)
+        keep = size > small
+        units = d["unit"].to_numpy()
+        if len({len(u) for u in units}) != 1:
+            return np.ones(len(size), bool)
+        v = np.frombuffer(b"".join(units)).reshape(len(units), -1)
+        block = np.repeat(np.arange(len(size)), size)
+        rows = np.flatnonzero(~keep[block])
+        for k in range(1, small):
+            rows = rows[rows + k < len(block)]
+            rows = rows[block[rows] == block[rows + k]]
+            if not len(rows):
+                break
+            near = np.einsum("ij,ij->i", v[rows], v[rows + k]) >= threshold - 1e-9
+            keep[block[rows[near]]] = True
+        return keep
+    return fn
+
+
 def vector_links(
     vectors: DataFrame, id_col: str = "vec_id", vector_col: str = "embedding", *, threshold: float = 0.9,
     tables: int = 24, blocks: int = 2, scale: float = 1.5, block: int = 1024, seed: int = 5,
@@ -119,7 +141,7 @@ def vector_links(
     shared = written(crowded(nodes.select("node", F.explode("cells").alias("path")), "path"), "shared")
     own = shared.groupBy("node").agg(F.collect_list("path").alias("paths"))
     rows_in = blocked(shared, "path", "node", block).join(nodes.select("node", "copies", "unit").join(own, "node"), "node")
-    found = written(per_block(rows_in, ["path", "lo", "hi"], _verified(threshold), "a string, b string, links long"), "links")
+    found = written(per_block(rows_in, ["path", "lo", "hi"], _verified(threshold), "a string, b string, links long", _screened(threshold)), "links")
     roots = components(found.select("a", "b"), "components")
     links = found.groupBy(F.col("a").alias("node")).agg(F.sum("links").alias("links"))
     placed = nodes.select("node", "class_id", "copies").join(roots, "node", "left").join(links, "node", "left").withColumn("root", F.coalesce("root", "node"))
