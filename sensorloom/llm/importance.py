@@ -13,6 +13,7 @@ from collections.abc import Iterator
 import numpy as np
 import pandas as pd
 import xxhash
+from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -39,20 +40,36 @@ def buckets(text: str) -> np.ndarray:
     return np.concatenate([h % np.uint64(BUCKETS // 2), pairs % np.uint64(BUCKETS // 2) + np.uint64(BUCKETS // 2)]).astype(np.int64)
 
 
+# Counts travel in pieces of so many buckets; the pieces of this many tasks' shares are added first.
+_PIECE, _SHARES = 1024, 32
+
+
 def _counted(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
     total = {}
     for d in batches:
         for text, target in zip(d["text"], d["target"]):
             row = total.setdefault(bool(target), np.zeros(BUCKETS, np.int64))
             row += np.bincount(buckets(text), minlength=BUCKETS)
+    share = TaskContext.get().partitionId() % _SHARES
     for target, row in total.items():
-        at = np.flatnonzero(row)
-        yield pd.DataFrame({"bucket": at.astype(np.int32), "target": target, "n": row[at]})
+        pieces = row.reshape(-1, _PIECE)
+        yield pd.DataFrame({"piece": np.arange(len(pieces), dtype=np.int32), "target": target, "share": share, "counts": [p.tobytes() for p in pieces]})
+
+
+def _added(d: pd.DataFrame) -> pd.DataFrame:
+    total = np.zeros(_PIECE, np.int64)
+    for c in d["counts"]:
+        total += np.frombuffer(c, np.int64)
+    return d.iloc[:1].assign(counts=[total.tobytes()])
 
 
 def counts(texts: DataFrame) -> DataFrame:
-    """(bucket, target, n) from (text, target): every task sends one row per bucket and side, and Spark adds them."""
-    return texts.mapInPandas(_counted, "bucket int, target boolean, n long").groupBy("bucket", "target").agg(F.sum("n").alias("n"))
+    """(piece, target, share, counts) from (text, target): every task sends its counts in a fixed number of rows, which are added in two steps."""
+    schema = "piece int, target boolean, share int, counts binary"
+    d = texts.mapInPandas(_counted, schema)
+    for keys in (("piece", "target", "share"), ("piece", "target")):
+        d = d.groupBy(*keys).applyInPandas(_added, schema)
+    return d
 
 
 def log_ratios(found: DataFrame) -> np.ndarray:
@@ -63,7 +80,7 @@ def log_ratios(found: DataFrame) -> np.ndarray:
     """
     side = {True: np.zeros(BUCKETS), False: np.zeros(BUCKETS)}
     for r in found.collect():
-        side[r["target"]][r["bucket"]] = r["n"]
+        side[r["target"]][r["piece"] * _PIECE : (r["piece"] + 1) * _PIECE] = np.frombuffer(r["counts"], np.int64)
     raw = side[True] + side[False]
     out = np.zeros(BUCKETS)
     for part in (slice(0, BUCKETS // 2), slice(BUCKETS // 2, BUCKETS)):

@@ -228,6 +228,19 @@ def test_target_like_texts_are_selected(spark):
     assert importance.resample(docs_of(spark, []), target, share=0.5).count() == 0
 
 
+def test_counts_are_those_of_all_texts(spark):
+    import numpy as np
+
+    rng = random.Random(7)
+    texts = [(" ".join(rng.choice("abcdefgh") * rng.randint(1, 3) for _ in range(30)), i % 3 == 0) for i in range(200)]
+    df = spark.createDataFrame(texts, "text string, target boolean").repartition(40)
+    got = {True: np.zeros(importance.BUCKETS), False: np.zeros(importance.BUCKETS)}
+    for r in importance.counts(df).collect():
+        got[r.target][r.piece * 1024 : (r.piece + 1) * 1024] += np.frombuffer(r.counts, np.int64)
+    for side in (True, False):
+        assert np.array_equal(got[side], sum(np.bincount(importance.buckets(t), minlength=importance.BUCKETS) for t, y in texts if y == side))
+
+
 def test_log_weight_is_the_ratio_of_the_models():
     import numpy as np
 
