@@ -25,7 +25,7 @@ from sensorloom.session import written
 WINDOW = 2048
 END = 1
 # Bounds of one worker's memory: characters tokenized at once, and words remembered.
-_CHARS, _WORDS = 6_000_000, 900_000
+_CHARS, _WORDS = 3_000_000, 600_000
 # A digit is always a token of its own: it separates words that are encoded together.
 _MARK = "7"
 
@@ -99,7 +99,9 @@ class WordTokenizer:
     def _places(self, words: list[str]) -> np.ndarray:
         if len(self.known) + len(words) > _WORDS and self.known:
             self._forget()
-        self._learn([w for w in words if w not in self.known])
+        new = [w for w in words if w not in self.known]
+        for i in range(0, len(new), 20_000):
+            self._learn(new[i : i + 20_000])
         return np.fromiter(map(self.known.__getitem__, words), np.int64, len(words))
 
     def __call__(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
@@ -134,7 +136,7 @@ def tokenizer_of(path: str) -> WordTokenizer:
 
 
 def slices(sizes: np.ndarray) -> Iterator[tuple[int, int]]:
-    """Runs of rows of some six million characters, or a single longer row."""
+    """Runs of rows of some three million characters, or a single longer row."""
     a, held = 0, 0
     for i, n in enumerate(sizes):
         if held and held + n > _CHARS:
@@ -170,10 +172,17 @@ def tokenized(docs: DataFrame, path: str, id_col: str = "doc_id", text_col: str
 
 
 def _cut(window: int):
+    names = ["id", "start", "length", "ids_crc32", "doc_tokens", "sequence_id", "offset", "ids"]
+
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        # The words of pass one are of no use here.
+        _TOKENIZERS.clear()
         for d in batches:
             rows: list[tuple] = []
             for key, at, raw in zip(d["id"], d["at"], d["ids"]):
+                if len(rows) >= 1000:
+                    yield pd.DataFrame(rows, columns=names)
+                    rows = []
                 n, start = len(raw) // 4, 0
                 while start < n:
                     offset = (at + start) % window
@@ -181,7 +190,7 @@ def _cut(window: int):
                     piece = raw[4 * start : 4 * (start + length)]
                     rows.append((key, start, length, zlib.crc32(piece), n, (at + start) // window, offset, piece))
                     start += length
-            yield pd.DataFrame(rows, columns=["id", "start", "length", "ids_crc32", "doc_tokens", "sequence_id", "offset", "ids"])
+            yield pd.DataFrame(rows, columns=names)
     return run
 
 
