@@ -218,19 +218,27 @@ def _telling(marked: list[set[str]], clean: list[set[str]]) -> list[str]:
     Near copies count once. A unit must be so often in marked bags that no unit would be by chance, and ten times likelier there than in
     clean ones. A beginning is told only if it is in clearly more bags than any single word that has it.
     """
-    def count(bags: list[set[str]]) -> tuple[dict[str, int], int]:
-        groups: dict[int, set[str]] = {}
+    def grouped(bags: list[set[str]]) -> list[list[set[str]]]:
+        groups: dict[int, list[set[str]]] = {}
         for b, g in zip(bags, _groups(bags)):
-            groups.setdefault(g, set()).update(_units(b))
-        n: dict[str, int] = {}
-        for units in groups.values():
-            for u in units:
-                n[u] = n.get(u, 0) + 1
-        return n, len(groups)
+            groups.setdefault(g, []).append(b)
+        return list(groups.values())
 
-    (in_marked, m), (in_clean, c) = count(marked), count(clean)
+    def count(groups: list[list[set[str]]], among: dict[str, int] | None = None) -> dict[str, int]:
+        n: dict[str, int] = {}
+        for group in groups:
+            for u in _units(set().union(*group)):
+                if among is None or u in among:
+                    n[u] = n.get(u, 0) + 1
+        return n
+
+    first, second = grouped(marked), grouped(clean)
+    m, c = len(first), len(second)
+    in_marked = count(first)
     chance = np.log(max(len(in_marked), 2) / 0.01) / np.log((m + c) / m)
-    good = {u: n for u, n in in_marked.items() if n >= chance and n / m > 10 * (in_clean.get(u, 0) + 0.5) / c}
+    in_marked = {u: n for u, n in in_marked.items() if n >= chance}
+    in_clean = count(second, in_marked)
+    good = {u: n for u, n in in_marked.items() if n / m > 10 * (in_clean.get(u, 0) + 0.5) / c}
     for head in [u for u in good if u.endswith("…")]:
         if good[head] <= 1.3 * max((n for w, n in in_marked.items() if not w.endswith("…") and w.startswith(head[:-1])), default=0):
             del good[head]
@@ -293,7 +301,7 @@ def fit(texts: list[str], toxic: list[int], share: float, *, landmarks: int = 32
     return Model(table, float(slope), float(slope * offset + shift))
 
 
-def train(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text", label_col: str = "toxic", *, sample: int = 3000, **options) -> Model:
+def train(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text", label_col: str = "toxic", *, sample: int = 2000, **options) -> Model:
     """Fit on at most ``sample`` labelled rows of either label, those with the smallest hashes of their ids.
 
     The sample meets in the driver; its ids are bounded, so they are broadcast to the texts.
