@@ -29,17 +29,23 @@ _VOID = set("area base br col embed hr img input link meta param source track wb
 _INLINE = set("a abbr b bdi bdo big cite code data del dfn em font i img ins kbd label mark q s samp small span strike strong sub sup time tt u var wbr".split())
 # Elements that hold a block of text and are no part of a path either.
 _BLOCKS = set("p h1 h2 h3 h4 h5 h6 li ul ol dl dt dd table thead tbody tfoot tr td th caption blockquote pre figure figcaption br hr address center".split())
-# Parts of a page that are no article, by element and by the words of class, id and role.
+# Parts of a page that are no article, by element and by whole names in class, id and role. A mark holds for what lies in the
+# element only as seen from outside: one on the slot, or around it, says nothing of the slot's text.
 _OTHER = set("nav header footer aside form script style noscript template svg iframe button select textarea menu dialog head title option".split())
 _OTHER_NAMES = set(
     "ad ads advert adverts advertisement advertising banner breadcrumb breadcrumbs comment comments consent cookie cookies disclaimer footer form gdpr "
     "header login masthead menu nav navbar navigation newsletter notice notices pagination popup promo promoted related replies reply search share sharing "
-    "sidebar signup skip social sponsor sponsored subscribe toolbar topbar widget".split())
+    "sidebar signup skip social sponsor sponsored subscribe toolbar topbar widget "
+    "cookie-banner cookie-consent cookie-notice comment-form comment-list main-nav related-articles related-posts share-buttons site-footer site-header social-share".split())
+# No article is in these, whatever their names.
+_NEVER = _OTHER - {"form"}
+_IN_NEVER = r"(^|/)(" + "|".join(sorted(_NEVER)) + r")(\.|/|$)"
 _MAIN_NAMES = set("article content entry main post story".split())
+BREAK = "\n\n"
 
 
-def _other(tag: str, names: tuple[str, ...]) -> bool:
-    return tag in _OTHER or any(n in _OTHER_NAMES for n in names)
+def _other(tag: str, names: list[str]) -> bool:
+    return tag in _OTHER or tag not in ("html", "body") and any(n in _OTHER_NAMES for n in names)
 
 
 def _rank(token: str) -> int:
@@ -48,7 +54,7 @@ def _rank(token: str) -> int:
     return 3 if tag == "article" else 2 if tag == "main" else int(any(n in _MAIN_NAMES for n in names))
 
 
-def _close_before(stack: list[tuple[str, tuple[str, ...], bool]], name: str) -> bool:
+def _close_before(stack: list[tuple[str, tuple[str, ...], int]], name: str) -> bool:
     """Ends a paragraph before the next block, and a list's item before the next item; whether there was one."""
     if name in _INLINE:
         return False
@@ -62,21 +68,22 @@ def _close_before(stack: list[tuple[str, tuple[str, ...], bool]], name: str) ->
     return False
 
 
-def parts(page: str) -> Iterator[tuple[tuple[str, ...], bool, str | None]]:
-    """(path, other, text) for each run of text, and (path, other, None) where an element of a path opens. A line end alone divides blocks.
+def parts(page: str) -> Iterator[tuple[tuple[str, ...], int, str | None]]:
+    """(path, mark, text) for each run of text, and (path, mark, None) where an element of a path opens. A line end alone divides blocks.
 
-    ``other`` tells that some element of the path, or one around the text, is no article.
+    ``mark`` tells where the innermost element around the text is that is no article: twice its depth if it is of the path, one more than twice the
+    path's length if it stands in the path's last element, 0 if there is none. Seen from a slot of depth n, text is another part's if its mark is above 2 n.
     Unclosed elements end with their parents; end tags without a start are left out.
     """
-    stack: list[tuple[str, tuple[str, ...], bool]] = []
+    stack: list[tuple[str, tuple[str, ...], int]] = []
     path: tuple[str, ...] = ()
-    other = False
+    mark = 0
     at = 0
     while True:
         m = _TAG.search(page, at)
         text = page[at : m.start() if m else len(page)]
         if text:
-            yield path, other, text
+            yield path, mark, text
         if not m:
             return
         at = m.end()
@@ -84,7 +91,7 @@ def parts(page: str) -> Iterator[tuple[tuple[str, ...], bool, str | None]]:
         if not name:
             continue
         if name not in _INLINE:
-            yield path, other, "\n\n"
+            yield path, mark, BREAK
         if m[1] or m[4]:
             for i in range(len(stack) - 1, -1, -1):
                 if stack[i][0] == name:
@@ -93,7 +100,7 @@ def parts(page: str) -> Iterator[tuple[tuple[str, ...], bool, str | None]]:
                 # An end tag inside an article doesn't reach around it.
                 if stack[i][0] == "article" and name in _INLINE | _BLOCKS:
                     break
-            path, other = stack[-1][1:] if stack else ((), False)
+            path, mark = stack[-1][1:] if stack else ((), 0)
             continue
         if name in _RAW:
             end = _RAW[name].search(page, at)
@@ -102,17 +109,18 @@ def parts(page: str) -> Iterator[tuple[tuple[str, ...], bool, str | None]]:
         if name in _VOID:
             continue
         if _close_before(stack, name):
-            path, other = stack[-1][1:] if stack else ((), False)
+            path, mark = stack[-1][1:] if stack else ((), 0)
         held = (m[3] or m[6] or "")
-        names = tuple(w for x in _NAMES.findall(held) for w in re.split(r"[^a-z0-9]+", "".join(x).lower()) if w)
+        whole = [w for x in _NAMES.findall(held) for w in "".join(x).lower().split()]
+        names = [w for x in whole for w in re.split(r"[^a-z0-9]+", x) if w]
         if name not in _INLINE and name not in _BLOCKS:
             path = (*path, ".".join((name, *names)))
-            other = other or _other(name, names)
-            yield path, other, None
-        elif _other(name, names):
-            other = True
+            mark = 2 * len(path) if _other(name, whole) else mark
+            yield path, mark, None
+        elif _other(name, whole):
+            mark = 2 * len(path) + 1
         if not held.rstrip().endswith("/") or name not in _INLINE:
-            stack.append((name, path, other))
+            stack.append((name, path, mark))
 
 
 def _path_name(path: tuple[str, ...]) -> str:
@@ -125,18 +133,18 @@ def _occurrences(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         total: dict[tuple[str, str], list[int]] = {}
         for host, key, page in zip(d["host"], d["key"], d["html"]):
             seen: dict[tuple[str, ...], list[int]] = {}
-            for path, other, text in parts(page):
+            for path, _, text in parts(page):
                 if text is None:
-                    seen.setdefault(path, [0, 0, int(other)])[0] += 1
+                    seen.setdefault(path, [0, 0])[0] += 1
                 elif path in seen and not text.isspace():
                     seen[path][1] += len(text)
-            for path, (n, chars, other) in seen.items():
+            for path, (n, chars) in seen.items():
                 h = xxhash.xxh64_intdigest(key)
-                t = total.setdefault((host, _path_name(path)), [0, 0, 0, 0, 0, other])
+                t = total.setdefault((host, _path_name(path)), [0, 0, 0, 0, 0])
                 for i, v in enumerate((1, n, n * (h & 0x3FFFFFFF), n * (h >> 34), chars)):
                     t[i] += v
         if total:
-            yield pd.DataFrame([(*k, *v) for k, v in total.items()], columns=["host", "element", "pages", "times", "sum_a", "sum_b", "chars", "other"])
+            yield pd.DataFrame([(*k, *v) for k, v in total.items()], columns=["host", "element", "pages", "times", "sum_a", "sum_b", "chars"])
 
 
 def host_of(url: Column) -> Column:
@@ -148,16 +156,16 @@ def templates(pages: DataFrame) -> DataFrame:
     """(host, slot) from (host, key, html): the path of the element that holds the article, null where the host's template has none.
 
     A class is valid if its elements occur once a page, on at least half of the host's pages. Of the
-    valid elements that are part of no menu, footer and so on the slot is the one
+    valid elements that are and are in no menu, footer and so on by their tags the slot is the one
     whose name says most, then the one of the larger class, then that with most text, the outer one on a tie.
     """
-    found = pages.mapInPandas(_occurrences, "host string, element string, pages long, times long, sum_a long, sum_b long, chars long, other int")
+    found = pages.mapInPandas(_occurrences, "host string, element string, pages long, times long, sum_a long, sum_b long, chars long")
     sums = {c: F.sum(c).alias(c) for c in ("pages", "times", "sum_a", "sum_b", "chars")}
-    tokens = written(found.groupBy("host", "element").agg(*sums.values(), F.max("other").alias("other")), "elements")
+    tokens = written(found.groupBy("host", "element").agg(*sums.values()), "elements")
     size = pages.groupBy("host").agg(F.count(F.lit(1)).alias("all"))
     vector = ["host", "pages", "times", "sum_a", "sum_b"]
     classes = tokens.groupBy(*vector).agg(F.count(F.lit(1)).alias("members"))
-    valid = tokens.join(classes, vector).join(size, "host").where("times = pages and 2 * pages >= all and other = 0")
+    valid = tokens.join(classes, vector).join(size, "host").where("times = pages and 2 * pages >= all").where(~F.col("element").rlike(_IN_NEVER))
     last = F.substring_index("element", "/", -1)
     rank = F.when(last.rlike(r"^article(\.|$)"), 3).when(last.rlike(r"^main(\.|$)"), 2).when(last.rlike(r"\.(" + "|".join(sorted(_MAIN_NAMES)) + r")(\.|$)"), 1).otherwise(0)
     slots = valid.groupBy("host").agg(F.max_by("element", F.struct(rank.alias("rank"), F.col("members"), F.col("chars"), -F.length("element"))).alias("slot"))
@@ -167,8 +175,8 @@ def templates(pages: DataFrame) -> DataFrame:
 def _own_slot(page: str) -> tuple[str, ...]:
     """For a page without its host's slot: the path that says most, or the whole page."""
     best: tuple[int, tuple[str, ...]] = (0, ())
-    for path, other, text in parts(page):
-        if text is None and not other and _rank(path[-1]) > best[0]:
+    for path, _, text in parts(page):
+        if text is None and _rank(path[-1]) > best[0] and not any(x.split(".")[0] in _NEVER for x in path):
             best = (_rank(path[-1]), path)
     return best[1]
 
@@ -186,11 +194,11 @@ def slot_text(page: str, slot: str | None) -> str:
 
 def _inside(page: str, wanted: tuple[str, ...]) -> tuple[list[str], bool]:
     n, held, there = len(wanted), [], not wanted
-    for path, other, text in parts(page):
+    for path, mark, text in parts(page):
         if path[:n] == wanted:
             if text is None:
                 there = True
-            elif not other:
+            elif mark <= 2 * n:
                 held.append(text)
     return held, there
 

@@ -278,6 +278,15 @@ def test_a_host_without_telling_names(spark):
     assert all("long text" in r.text for r in page_templates.extract(df).collect())
 
 
+def test_names_around_the_slot_mark_nothing_in_it(spark):
+    page = """<html class='no-js cookie'><body class='has-sidebar single-post comments'><div id='wrap' class='header-fixed'><article class='post featured promo with-comments'>
+    <h1>Title</h1><p>Text {}</p><div class='promo'>buy</div></article></div><div class='sidebar'>side</div></body></html>"""
+    plain = "<html><body class='sidebar'><p>no slot {}</p></body></html>"
+    rows = [(i, f"http://{'a' if i < 4 else 'b'}.org/{i}", (page if i < 4 else plain).format(i)) for i in range(8)]
+    got = {r.page_id: r.text for r in page_templates.extract(spark.createDataFrame(rows, "page_id long, url string, html string")).collect()}
+    assert got == {i: f"Title Text {i}" if i < 4 else f"no slot {i}" for i in range(8)}
+
+
 # --- pipeline ------------------------------------------------------------------------------------
 
 def test_pipeline_keeps_columns_and_tokens(spark):
