@@ -1,16 +1,17 @@
 """Main text of web pages by templates deduced from the pages of a host.
 
-A token is an element with its classes and its path. Tokens that occur equally often on every page of a host share
-an occurrence vector and form an equivalence class. Vectors are never held: sums of page hashes times counts stand for them, and
-such sums can be pre-aggregated. Classes that occur once a page, on enough pages, are valid; their elements nest by their paths
-and make the host's template, whose slots are what stands between them. The slot of the article is extracted, without the slots of other parts in it.
+A token is an element with its classes and its path, or a block of text in one. Tokens that occur equally often on every page of a host share
+an occurrence vector and form an equivalence class. Vectors are never held: sums of page hashes times counts stand for those of elements, and
+such sums can be pre-aggregated; a text's is the number of different pages that have it. Elements that occur once a page, on enough pages, are valid and nest by their paths;
+with the texts that most pages share they make the host's template. What varies between them tells the slot of the article, and
+the template's texts and other parts in it are left out.
 """
 
 from __future__ import annotations
 
 import html as entities
 import re
-from collections.abc import Iterator
+from collections.abc import Collection, Iterator
 
 import pandas as pd
 import xxhash
@@ -127,24 +128,64 @@ def _path_name(path: tuple[str, ...]) -> str:
     return "/".join(path)
 
 
+def _signed(x: int) -> int:
+    return x - (1 << 64) if x >= 1 << 63 else x
+
+
+def _runs(page: str) -> Iterator[tuple[tuple[str, ...], int, str | None]]:
+    """``parts`` with the text of a block, as far as one mark holds, in one piece."""
+    held: list[str] = []
+    at: tuple[tuple[str, ...], int] = ((), 0)
+    for path, mark, text in parts(page):
+        if held and (text is None or text == BREAK or (path, mark) != at):
+            yield *at, "".join(held)
+            held = []
+        if text is None or text == BREAK:
+            yield path, mark, text
+        else:
+            held.append(text)
+            at = path, mark
+    if held:
+        yield *at, "".join(held)
+
+
+def _block(text: str) -> tuple[int, int]:
+    """The number of a block of text, 0 without any, and its characters."""
+    words = " ".join(entities.unescape(text).split())
+    return (_signed(xxhash.xxh64_intdigest(words.encode("utf-8", "replace"))) if words else 0), len(words)
+
+
+_TOKENS = "host string, element string, mark int, block long, print long, pages long, times long, sum_a long, sum_b long, chars long"
+
+
 def _occurrences(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-    """Per host and element: pages, occurrences, two sums that stand for the occurrence vector, and characters of text inside."""
+    """Per host and element: pages, occurrences and two sums that stand for the occurrence vector.
+
+    Per page and block of text: its number, element and mark, the characters, and a number of the page that pages with the same blocks share.
+    """
     for d in batches:
         total: dict[tuple[str, str], list[int]] = {}
+        out: list[tuple] = []
         for host, key, page in zip(d["host"], d["key"], d["html"]):
-            seen: dict[tuple[str, ...], list[int]] = {}
-            for path, _, text in parts(page):
+            seen: dict[tuple[str, ...], int] = {}
+            texts: dict[tuple[tuple[str, ...], int, int], int] = {}
+            for path, mark, text in _runs(page):
                 if text is None:
-                    seen.setdefault(path, [0, 0])[0] += 1
-                elif path in seen and not text.isspace():
-                    seen[path][1] += len(text)
-            for path, (n, chars) in seen.items():
-                h = xxhash.xxh64_intdigest(key)
-                t = total.setdefault((host, _path_name(path)), [0, 0, 0, 0, 0])
-                for i, v in enumerate((1, n, n * (h & 0x3FFFFFFF), n * (h >> 34), chars)):
+                    seen[path] = seen.get(path, 0) + 1
+                elif not text.isspace():
+                    block, chars = _block(text)
+                    if block:
+                        texts[path, mark, block] = chars
+            h = xxhash.xxh64_intdigest(key)
+            for path, n in seen.items():
+                t = total.setdefault((host, _path_name(path)), [0, 0, 0, 0])
+                for i, v in enumerate((1, n, n * (h & 0x3FFFFFFF), n * (h >> 34))):
                     t[i] += v
-        if total:
-            yield pd.DataFrame([(*k, *v) for k, v in total.items()], columns=["host", "element", "pages", "times", "sum_a", "sum_b", "chars"])
+            whole = _signed(xxhash.xxh64_intdigest(repr(sorted({b for _, _, b in texts}))))
+            out += [(host, _path_name(path), mark, block, whole, 1, 1, 0, 0, chars) for (path, mark, block), chars in texts.items()]
+        out += [(*k, 0, 0, 0, *v, 0) for k, v in total.items()]
+        if out:
+            yield pd.DataFrame(out, columns=["host", "element", "mark", "block", "print", "pages", "times", "sum_a", "sum_b", "chars"])
 
 
 def host_of(url: Column) -> Column:
@@ -153,23 +194,50 @@ def host_of(url: Column) -> Column:
 
 
 def templates(pages: DataFrame) -> DataFrame:
-    """(host, slot) from (host, key, html): the path of the element that holds the article, null where the host's template has none.
-
-    A class is valid if its elements occur once a page, on at least half of the host's pages. Of the
-    valid elements that are and are in no menu, footer and so on by their tags the slot is the one
-    whose name says most, then the one of the larger class, then that with most text, the outer one on a tie.
+    """(host, slot, fixed) from (host, key, html): the path of the element that holds the article, null where the host's template has none,
+    and the numbers of the template's texts in it.
+
+    An element is valid if it occurs once a page, on at least half of the host's pages. A text is the template's if it is on at least half of the host's
+    different pages, and on three; pages with the same texts are one. Text that is not the template's varies. Of the
+    valid elements that are and are in no menu, footer and so on by their tags, those compete that hold at least half as much varying text as the one with most;
+    of these it is the one whose name says most, then one with nearly all varying text, then that of the larger class, then the inner one.
+    A slot with more template than varying text keeps all: its pages are versions of one article.
     """
-    found = pages.mapInPandas(_occurrences, "host string, element string, pages long, times long, sum_a long, sum_b long, chars long")
-    sums = {c: F.sum(c).alias(c) for c in ("pages", "times", "sum_a", "sum_b", "chars")}
-    tokens = written(found.groupBy("host", "element").agg(*sums.values()), "elements")
+    found = written(pages.mapInPandas(_occurrences, _TOKENS), "tokens")
+    sums = [F.sum(c).alias(c) for c in ("pages", "times", "sum_a", "sum_b")]
+    tokens = written(found.where("block = 0").groupBy("host", "element").agg(*sums), "elements")
     size = pages.groupBy("host").agg(F.count(F.lit(1)).alias("all"))
     vector = ["host", "pages", "times", "sum_a", "sum_b"]
     classes = tokens.groupBy(*vector).agg(F.count(F.lit(1)).alias("members"))
     valid = tokens.join(classes, vector).join(size, "host").where("times = pages and 2 * pages >= all").where(~F.col("element").rlike(_IN_NEVER))
+
+    place = ["host", "element", "mark"]
+    texts = found.where("block <> 0").groupBy(*place, "block").agg(F.count_distinct("print").alias("docs"), F.max("chars").alias("chars"))
+    texts = written(texts.withColumn("chars", F.col("docs") * F.col("chars")), "texts")
+    different = found.where("block <> 0").groupBy("host").agg(F.count_distinct("print").alias("different"))
+    # Only texts of three pages meet their host's number of pages, and at most twice a page's texts stay.
+    fixed = written(texts.where("docs >= 3").join(different, "host").where("2 * docs >= different").drop("different"), "fixed")
+    held = texts.groupBy(*place).agg(F.sum("chars").alias("chars"))
+    constant = fixed.groupBy(*place).agg(F.sum("chars").alias("constant"))
+    held = held.join(constant, place, "left").withColumn("varying", F.col("chars") - F.coalesce("constant", F.lit(0)))
+    # A text is in each element of its path from which its mark is not seen.
+    steps = F.split("element", "/")
+    least = F.greatest(F.floor((F.col("mark") + 1) / 2).cast("int"), F.lit(1))
+    around = F.transform(F.filter(F.sequence(F.lit(1), F.size(steps)), lambda k: k >= least), lambda k: F.array_join(F.slice(steps, F.lit(1), k), "/"))
+    inside = held.select("host", F.explode(around).alias("element"), "varying", "chars").groupBy("host", "element").agg(F.sum("varying").alias("varying"), F.sum("chars").alias("chars"))
+
+    able = written(valid.join(inside, ["host", "element"]), "able")
+    most = able.groupBy("host").agg(F.max("varying").alias("most_varying"), F.max("chars").alias("most_chars"))
+    able = able.join(most, "host").withColumn("score", F.expr("if(most_varying > 0, varying / most_varying, chars / most_chars)")).where("score >= 0.5")
     last = F.substring_index("element", "/", -1)
     rank = F.when(last.rlike(r"^article(\.|$)"), 3).when(last.rlike(r"^main(\.|$)"), 2).when(last.rlike(r"\.(" + "|".join(sorted(_MAIN_NAMES)) + r")(\.|$)"), 1).otherwise(0)
-    slots = valid.groupBy("host").agg(F.max_by("element", F.struct(rank.alias("rank"), F.col("members"), F.col("chars"), -F.length("element"))).alias("slot"))
-    return size.select("host").join(slots, "host", "left")
+    best = F.struct(rank.alias("rank"), (F.col("score") >= 0.95).alias("nearly"), F.col("members"), F.length("element"), "element")
+    slots = able.groupBy("host").agg(F.max_by(F.struct("element", "varying"), best).alias("best")).select("host", F.col("best.element").alias("slot"), "best.varying")
+    within = (F.col("element") == F.col("slot")) | F.col("element").startswith(F.concat("slot", F.lit("/")))
+    seen = F.col("mark") <= 2 * F.size(F.split("slot", "/"))
+    drop = fixed.join(slots, "host").where(within & seen).groupBy("host", "varying").agg(F.sum("chars").alias("constant"), F.sort_array(F.collect_set("block")).alias("fixed"))
+    drop = drop.where("constant <= varying").select("host", "fixed")
+    return size.select("host").join(slots.select("host", "slot"), "host", "left").join(drop, "host", "left")
 
 
 def _own_slot(page: str) -> tuple[str, ...]:
@@ -181,31 +249,31 @@ def _own_slot(page: str) -> tuple[str, ...]:
     return best[1]
 
 
-def slot_text(page: str, slot: str | None) -> str:
-    """The text in the slot and in no other part, one block after another."""
+def slot_text(page: str, slot: str | None, fixed: Collection[int] = ()) -> str:
+    """The text in the slot and in no other part, without blocks that are ``fixed``, one block after another."""
     wanted = tuple(slot.split("/")) if slot else ()
     held: list[str] = []
     if wanted:
-        held, there = _inside(page, wanted)
+        held, there = _inside(page, wanted, frozenset(fixed))
     if not wanted or not there:
         held, _ = _inside(page, _own_slot(page))
     return " ".join(entities.unescape("".join(held)).split())
 
 
-def _inside(page: str, wanted: tuple[str, ...]) -> tuple[list[str], bool]:
+def _inside(page: str, wanted: tuple[str, ...], fixed: frozenset[int] = frozenset()) -> tuple[list[str], bool]:
     n, held, there = len(wanted), [], not wanted
-    for path, mark, text in parts(page):
+    for path, mark, text in _runs(page):
         if path[:n] == wanted:
             if text is None:
                 there = True
-            elif mark <= 2 * n:
+            elif mark <= 2 * n and not (fixed and text != BREAK and _block(text)[0] in fixed):
                 held.append(text)
     return held, there
 
 
 def _extracted(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
     for d in batches:
-        text = [slot_text(p, s if isinstance(s, str) else None) for p, s in zip(d["html"], d["slot"])]
+        text = [slot_text(p, s if isinstance(s, str) else None, () if f is None else [int(x) for x in f]) for p, s, f in zip(d["html"], d["slot"], d["fixed"])]
         yield pd.DataFrame({"id": d["id"], "url": d["url"], "text": text, "n_chars": [len(t) for t in text]})
 
 
@@ -215,16 +283,16 @@ def extract(pages: DataFrame, id_col: str = "page_id", url_col: str = "url", htm
     Character references are decoded, white space is one space, blocks are joined by one space. A null or empty page has an empty text, and so has
     one of which all belongs to other parts. Pages whose address is null or odd are taken as one host. A page without its host's slot is
     read by its own elements. Repeated rows give equal texts; an empty table gives an empty result; further columns are left out.
-    A host's pages are never brought together: only sums per element meet, and the slot joins the pages. Writes the elements to the shared folder.
+    A host's pages are never brought together: only sums per element and numbers of texts meet, and slot and fixed texts join the pages. Writes the tokens to the shared folder.
     """
     p = pages.select(F.col(id_col).alias("id"), F.col(url_col).alias("url"), host_of(F.col(url_col)).alias("host"), text_or_empty(html_col).alias("html"))
     key = F.concat_ws("|", F.coalesce(F.col("id").cast("string"), F.lit("none")), F.coalesce("url", F.lit("")))
     slots = written(templates(p.select("host", key.alias("key"), "html")), "slots")
-    # Hosts agree on few slots. Pages of hosts with the commonest need no join, and aren't shuffled.
+    # Hosts agree on few slots. Pages of hosts with the commonest and without fixed texts in it need no join, and aren't shuffled.
     common = slots.where("slot is not null").groupBy("slot").count().orderBy(F.desc("count"), "slot").select("slot").first()
     common = F.lit(common[0] if common else None).cast("string")
-    odd = slots.where(~F.col("slot").eqNullSafe(common))
+    odd = slots.where(~F.col("slot").eqNullSafe(common) | F.col("fixed").isNotNull())
     p = maybe_among(p, "host", odd.select("host"))
-    placed = p.where("NOT _maybe").withColumn("slot", common).unionByName(p.where("_maybe").join(slots.hint("merge"), "host", "left"))
+    placed = p.where("NOT _maybe").withColumn("slot", common).withColumn("fixed", F.lit(None).cast("array<bigint>")).unionByName(p.where("_maybe").join(slots.hint("merge"), "host", "left"))
     schema = T.StructType([T.StructField("id", pages.schema[id_col].dataType), T.StructField("url", T.StringType()), T.StructField("text", T.StringType()), T.StructField("n_chars", T.LongType())])
-    return placed.select("id", "url", "html", "slot").mapInPandas(_extracted, schema).withColumnRenamed("id", id_col)
+    return placed.select("id", "url", "html", "slot", "fixed").mapInPandas(_extracted, schema).withColumnRenamed("id", id_col)

@@ -280,11 +280,22 @@ def test_a_host_without_telling_names(spark):
 
 def test_names_around_the_slot_mark_nothing_in_it(spark):
     page = """<html class='no-js cookie'><body class='has-sidebar single-post comments'><div id='wrap' class='header-fixed'><article class='post featured promo with-comments'>
-    <h1>Title</h1><p>Text {}</p><div class='promo'>buy</div></article></div><div class='sidebar'>side</div></body></html>"""
+    <h1>Title {0}</h1><p>Text {0}</p><div class='promo'>buy</div></article></div><div class='sidebar'>side</div></body></html>"""
     plain = "<html><body class='sidebar'><p>no slot {}</p></body></html>"
     rows = [(i, f"http://{'a' if i < 4 else 'b'}.org/{i}", (page if i < 4 else plain).format(i)) for i in range(8)]
     got = {r.page_id: r.text for r in page_templates.extract(spark.createDataFrame(rows, "page_id long, url string, html string")).collect()}
-    assert got == {i: f"Title Text {i}" if i < 4 else f"no slot {i}" for i in range(8)}
+    assert got == {i: f"Title {i} Text {i}" if i < 4 else f"no slot {i}" for i in range(8)}
+
+
+def test_template_texts_in_the_slot_go_and_varying_text_tells_the_slot(spark):
+    page = """<body><article><p>same blurb of the house</p></article><div class='h1a'><p>Read also our other pieces</p><section><p>{0}</p></section><p>{0} end</p><div class='h2b'>All rights kept</div></div></body>"""
+    texts = [f"Piece {i} " + " ".join(f"w{i}x{j}" for j in range(30)) for i in range(5)]
+    copies = [(10 + i, "http://c.org/", page.format(texts[0])) for i in range(5)]
+    rows = [(i, f"http://h.org/{i}", page.format(t)) for i, t in enumerate(texts)] + copies
+    got = {r.page_id: r.text for r in page_templates.extract(spark.createDataFrame(rows, "page_id long, url string, html string")).collect()}
+    assert [got[i] for i in range(5)] == [f"{t} {t} end" for t in texts]
+    # Copies of one page show nothing of what varies.
+    assert len({got[10 + i] for i in range(5)}) == 1 and got[10]
 
 
 # --- pipeline ------------------------------------------------------------------------------------
