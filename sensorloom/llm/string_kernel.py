@@ -253,7 +253,10 @@ def fit(texts: list[str], toxic: list[int], share: float, *, landmarks: int = 32
     """
     pairs = list(dict(zip(texts, toxic)).items())
     strip = ".,;:!?\"()[]"
-    bags = [({w.strip(strip) for w in t.lower().split()}, y) for t, y in pairs]
+    # Texts share the objects of their words, so that a bag holds references only.
+    known: dict[str, str] = {}
+    bags = [({known.setdefault(w, w) for w in (x.strip(strip) for x in t.lower().split())}, y) for t, y in pairs]
+    del known
     marked, clean = [b for b, y in bags if y], [b for b, y in bags if not y]
     empty = np.zeros(_CLASSES**3)
     prior = float(np.log(max(share, 1e-6) / max(1 - share, 1e-6)))
@@ -301,7 +304,7 @@ def fit(texts: list[str], toxic: list[int], share: float, *, landmarks: int = 32
     return Model(table, float(slope), float(slope * offset + shift))
 
 
-def train(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text", label_col: str = "toxic", *, sample: int = 2000, **options) -> Model:
+def train(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text", label_col: str = "toxic", *, sample: int = 3000, **options) -> Model:
     """Fit on at most ``sample`` labelled rows of either label, those with the smallest hashes of their ids.
 
     The sample meets in the driver; its ids are bounded, so they are broadcast to the texts.
@@ -316,9 +319,11 @@ def train(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col:
     ids = [(r["_of"], r["_toxic"]) for r in picked.collect()]
     small = docs.sparkSession.createDataFrame(ids, picked.schema)
     rows = docs.join(F.broadcast(small), F.col(id_col) == F.col("_of")).select("_of", text_or_empty(text_col).alias("t"), "_toxic").collect()
-    rows = sorted(rows, key=lambda r: (r["_of"], r["t"]))
+    rows = sorted(((r["_of"], r["t"], r["_toxic"]) for r in rows), key=lambda r: r[:2])
+    texts, toxic = [r[1] for r in rows], [r[2] for r in rows]
+    del rows
     share = n.get(1, 0) / max(sum(n.values()), 1)
-    return fit([r["t"] for r in rows], [r["_toxic"] for r in rows], share, **options)
+    return fit(texts, toxic, share, **options)
 
 
 def score(docs: DataFrame, model: Model, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:

@@ -211,6 +211,15 @@ def test_scores_of_odd_tables(spark):
     assert string_kernel.score(docs_of(spark, []), model).count() == 0
 
 
+def test_seldom_insults_are_learned_from_all_that_is_sampled(spark):
+    rng = random.Random(5)
+    words = ["".join(rng.choice(["ba", "ke", "lo", "mi", "tu", "ren", "sal"]) for _ in range(3)) for _ in range(200)]
+    rows = [(i, " ".join(rng.choices(words, k=20)) + (" snivelwort" if i < 20 else " grumphead" if i < 3000 else ""), int(i < 3000)) for i in range(6000)]
+    df = spark.createDataFrame(rows, "doc_id long, text string, toxic int")
+    model = string_kernel.train(df.select("doc_id", "text"), df.select("doc_id", "toxic"))
+    assert list(model.score(["bakelo snivelwort mitu", "bakelo grumphead mitu", " ".join(words[:20])]) >= 0.5) == [True, True, False]
+
+
 # --- importance ----------------------------------------------------------------------------------
 
 def test_target_like_texts_are_selected(spark):
