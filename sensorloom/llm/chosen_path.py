@@ -25,8 +25,6 @@ from sensorloom.session import written
 
 MINIMA = 64
 _WORD = re.compile(r"[^\x20\x09-\x0d]+")
-# A similarity seen in 64 minima has a deviation of 0.05 at 0.8; pairs seen at three deviations below the threshold are still compared exactly.
-SLACK = 0.15
 _ODD = (np.random.default_rng(11).integers(0, 2**63, MINIMA, dtype=np.uint64) * np.uint64(2)) + np.uint64(1)
 _STEPS = (np.random.default_rng(12).integers(0, 2**63, 64, dtype=np.uint64) * np.uint64(2)) + np.uint64(1)
 
@@ -63,10 +61,33 @@ def minima(s: np.ndarray) -> np.ndarray:
     return mixed(low).astype(np.uint32).view(np.int32)
 
 
-def runs_for(threshold: float, recall: float) -> int:
-    """Runs until a pair at the threshold is met with the wanted probability, when its bucket is split once."""
-    twice = threshold * (0.75 * threshold + 0.25 * (1 - (1 - threshold) ** 2))
-    return max(1, math.ceil(math.log(1 - recall) / math.log(1 - twice)))
+def _equal_minima(threshold: float) -> list[float]:
+    """The chance of each number of equal minima of a pair at the threshold."""
+    return [math.comb(MINIMA, k) * threshold**k * (1 - threshold) ** (MINIMA - k) for k in range(MINIMA + 1)]
+
+
+def floor_for(threshold: float, recall: float) -> int:
+    """Equal minima from which a pair is compared exactly; a quarter of the misses that ``recall`` allows may fall below."""
+    chance, below, k = _equal_minima(threshold), 0.0, 0
+    while below + chance[k] <= (1 - recall) / 4:
+        below += chance[k]
+        k += 1
+    return k
+
+
+def runs_for(threshold: float, recall: float, depth: int) -> int:
+    """Runs until a pair at the threshold is met with the wanted probability, when its bucket is split down to ``depth``.
+
+    Runs share the minima, so the probability is a mean over how many of them are equal; pairs below the floor are never met.
+    """
+    def met(k: int, runs: int) -> float:
+        x = k / MINIMA
+        return 1 - (1 - x * (0.75 * x + 0.25 * (1 - (1 - x) ** 2)) ** (depth - 1)) ** runs
+
+    chance, floor, runs = _equal_minima(threshold), floor_for(threshold, recall), 1
+    while sum(chance[k] * met(k, runs) for k in range(floor, MINIMA + 1)) < recall:
+        runs += 1
+    return runs
 
 
 def _sketched(width: int):
@@ -95,7 +116,7 @@ def _next_paths(path: Column, low: str) -> Column:
 
 def bucket_rows(nodes: DataFrame, threshold: float, recall: float, small: int, depth: int) -> DataFrame:
     """(path, node, n): the final buckets with at least two sets."""
-    runs = runs_for(threshold, recall)
+    runs = runs_for(threshold, recall, depth)
     first = [F.xxhash64(F.lit(r), F.get("low", F.lit(r * 7 % MINIMA))) for r in range(runs)]
     rows = nodes.select("node", "low", F.explode(F.array(*first)).alias("path"))
     done: list[DataFrame] = []
@@ -112,7 +133,7 @@ def bucket_rows(nodes: DataFrame, threshold: float, recall: float, small: int, d
     return out
 
 
-def _likely(floor: float, threshold: float):
+def _likely(floor: int, threshold: float):
     """The rows of a block that by their minima may have a partner."""
     def fn(d: pd.DataFrame) -> pd.DataFrame | None:
         low, size = np.stack(d["low"].to_numpy()), d["size"].to_numpy().astype(np.float64)
@@ -122,7 +143,7 @@ def _likely(floor: float, threshold: float):
             for c in range(MINIMA):
                 same += low[l, c][:, None] == low[r, c][None, :]
             ratio = size[l][:, None] / size[r][None, :]
-            return (same >= floor * MINIMA) & (ratio >= threshold - 1e-9) & (ratio <= 1 / threshold + 1e-9)
+            return (same >= floor) & (ratio >= threshold - 1e-9) & (ratio <= 1 / threshold + 1e-9)
 
         hit = np.unique(np.concatenate(linked(d, near)))
         return d.iloc[hit][["path", "lo", "hi", "part", "node", "paths", "copies"]] if len(hit) else None
@@ -173,7 +194,7 @@ def jaccard_links(
     lit_nodes = nodes.select("node", "low", "size", "copies").join(own, "node")
     pairs = blocked(final.distinct(), "path", "node", block).join(lit_nodes, "node")
     keys = ["path", "lo", "hi"]
-    likely = written(per_block(pairs, keys, _likely(threshold - SLACK, threshold), "path long, lo int, hi int, part int, node string, paths array<long>, copies long"), "likely")
+    likely = written(per_block(pairs, keys, _likely(floor_for(threshold, recall), threshold), "path long, lo int, hi int, part int, node string, paths array<long>, copies long"), "likely")
     wanted = likely.select("node").distinct()
     texts = maybe_among(base.select(F.col("_node").alias("node"), "_text"), "node", wanted).where("_maybe").drop("_maybe")
     texts = texts.join(wanted.hint("merge"), "node", "left_semi").dropDuplicates(["node"])

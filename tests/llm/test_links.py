@@ -55,6 +55,22 @@ def test_jaccard_links_equal_brute_force(spark, small, block):
     assert got == _brute(rows)
 
 
+def test_recall_where_buckets_are_split_twice(spark):
+    rng = np.random.default_rng(4)
+    a = rng.integers(0, 2**31, (3000, 64))
+    b = np.where(rng.random(a.shape) < 0.8, a, rng.integers(0, 2**31, a.shape))
+    rows = [(f"{s}{i}", low.tolist()) for s, x in (("a", a), ("b", b)) for i, low in enumerate(x)]
+    nodes = spark.createDataFrame(rows, "node string, low array<int>")
+    # Each bucket counts as crowded, down to the production depth; the production recall.
+    got = chosen_path.bucket_rows(nodes, 0.8, 0.99, 0, 3).select("path", "node").collect()
+    buckets = {}
+    for path, node in got:
+        buckets.setdefault(path, set()).add(node)
+    met = {n[1:] for nodes in buckets.values() for n in nodes if ("b" if n[0] == "a" else "a") + n[1:] in nodes}
+    enough = (a == b).sum(axis=1) >= chosen_path.floor_for(0.8, 0.99)
+    assert sum(enough[int(i)] for i in met) >= 0.99 * len(a)
+
+
 def test_one_row_of_each_group_stays(spark):
     text = " ".join(f"t{i}" for i in range(50))
     rows = [(3, text, "en", "s", 1), (2, text, "en", "s", 1), (2, text, "en", "s", 1), (2, text + " more", None, None, None), (None, "another text of some words", "en", "s", 1),
