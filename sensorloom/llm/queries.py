@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from sensorloom.llm import adaptive_rules, chat_fold, chosen_path, importance, lattice, packing, page_templates, pii, poisson_mix, string_kernel
+from sensorloom.llm import adaptive_rules, chat_fold, chosen_path, importance, lattice, manifest_queries, packing, page_templates, pii, poisson_mix, string_kernel
 
 TOKENIZER = "word_bpe_49k.json"
 #: Every fifth document, by a checksum of its id, is kept from training.
@@ -100,7 +100,7 @@ def page_texts(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_lattice_links": lattice_links, "op2_chosen_path_join": jaccard_groups, "op3_chat_fold": chat_format, "op4_contextual_pii": personal_data,
     "op5_poisson_mix": poisson_sources, "op6_adaptive_rules": adaptive_quality, "op7_concat_and_cut": packed, "op8_string_kernel": toxicity_scores,
-    "op9_importance_resampling": importance_sample, "op10_page_templates": page_texts,
+    "op9_importance_resampling": importance_sample, "op10_page_templates": page_texts, **manifest_queries.QUERIES,
 }
 
 _OP1 = """
@@ -175,4 +175,7 @@ FROM q LEFT JOIN f ON q.lang IS NOT DISTINCT FROM f.lang AND q.source IS NOT DIS
         f"coalesce({m} BETWEEN {m}_1 - greatest(4.0 * ({m}_3 - {m}_1), {step}) AND {m}_3 + greatest(4.0 * ({m}_3 - {m}_1), {step}), true)" for m, step in adaptive_rules.MEASURES.items()),
 )
 
-SQL: dict[str, str] = {"op1_lattice_links": _OP1, "op2_chosen_path_join": _OP2, "op3_chat_fold": _OP3, "op5_poisson_mix": _OP5, "op6_adaptive_rules": _OP6}
+SQL: dict[str, str] = {
+    "op1_lattice_links": _OP1, "op2_chosen_path_join": _OP2, "op3_chat_fold": _OP3, "op5_poisson_mix": _OP5, "op6_adaptive_rules": _OP6,
+    **manifest_queries.SQL,
+}
