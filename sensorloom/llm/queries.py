@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from sensorloom.llm import adaptive_rules, chat_fold, chosen_path, importance, language_queries, lattice, manifest_queries, packing, page_templates, pii, poisson_mix, string_kernel
+from sensorloom.llm import adaptive_rules, alignment_queries, chat_fold, chosen_path, importance, language_queries, lattice, manifest_queries, packing, page_templates, pii, poisson_mix, string_kernel
 
 TOKENIZER = "word_bpe_49k.json"
 #: Every fifth document, by a checksum of its id, is kept from training.
@@ -100,7 +100,7 @@ def page_texts(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_lattice_links": lattice_links, "op2_chosen_path_join": jaccard_groups, "op3_chat_fold": chat_format, "op4_contextual_pii": personal_data,
     "op5_poisson_mix": poisson_sources, "op6_adaptive_rules": adaptive_quality, "op7_concat_and_cut": packed, "op8_string_kernel": toxicity_scores,
-    "op9_importance_resampling": importance_sample, "op10_page_templates": page_texts, **language_queries.QUERIES, **manifest_queries.QUERIES,
+    "op9_importance_resampling": importance_sample, "op10_page_templates": page_texts, **alignment_queries.QUERIES, **language_queries.QUERIES, **manifest_queries.QUERIES,
 }
 
 _OP1 = """
