@@ -31,7 +31,7 @@ _DENSE = _DOCS // 8
 _SLICES = 32
 
 
-def _byte_letters() -> dict[str, int]:
+def byte_letters() -> dict[str, int]:
     """The letters by which byte-level vocabularies write bytes: printable ones stand for themselves, the others follow from 256 on."""
     plain = [*range(33, 127), *range(161, 173), *range(174, 256)]
     rest = [b for b in range(256) if b not in plain]
@@ -49,7 +49,7 @@ class ByteTokenizer:
         import tiktoken
         from tokenizers import Tokenizer
 
-        letters = _byte_letters()
+        letters = byte_letters()
         with open(path, encoding="utf-8") as f:
             vocab = json.load(f)["model"]["vocab"]
         self.bytes = [b""] * (max(vocab.values()) + 1)

@@ -7,9 +7,12 @@ two cuts that run every ``window`` tokens; a document across a cut leaves a reco
 
 from __future__ import annotations
 
+import json
 import os
+import unicodedata
 import zlib
 from collections.abc import Iterator
+from functools import lru_cache
 
 import numpy as np
 import pandas as pd
@@ -20,109 +23,111 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from sensorloom.llm.alignment import byte_letters
 from sensorloom.session import written
 
 WINDOW = 2048
 END = 1
-# Bounds of one worker's memory: characters tokenized at once, and words remembered.
-_CHARS, _WORDS = 3_000_000, 600_000
-# A digit is always a token of its own: it separates words that are encoded together.
-_MARK = "7"
+# Characters tokenized at once, which bounds a worker's memory.
+_CHARS = 1_000_000
+# Stands behind every word, as byte pairs are merged to ends of words; and between texts.
+_WORD_END, _TEXT_END = 1, 2
+_ODD, _LETTER, _NUMBER, _SPACE, _OTHER = range(5)
+
+
+@lru_cache(1)
+def _classes() -> tuple[np.ndarray, np.ndarray]:
+    """Per code point its class and its small letter.
+
+    Known are Latin letters, their signs and common punctuation, which are normal forms already and keep their length when
+    lowered. All else is odd; texts with odd characters go to the tokenizer whole.
+    """
+    kind, low = np.zeros(0x110000, np.uint8), np.arange(0x110000, dtype=np.uint32)
+    for i in [*range(32, 127), *range(0xA1, 0x250), *range(0x2010, 0x2028), *range(0x2030, 0x205F), 0x20AC]:
+        c = chr(i)
+        if i == 0x130 or c == "'" or unicodedata.normalize("NFC", c) != c or len(c.lower()) != 1:
+            continue
+        kind[i] = {"L": _LETTER, "N": _NUMBER}.get(unicodedata.category(c)[0], _OTHER)
+        low[i] = ord(c.lower())
+    kind[[9, 10, 11, 12, 13, 32]] = _SPACE
+    kind[[ord("'"), _TEXT_END]] = _OTHER
+    return kind, low
+
+
+def word_ends(low: np.ndarray, kind: np.ndarray) -> np.ndarray:
+    """Whether a word ends with each character: letters, signs or a digit, or an apostrophe with one of seven endings."""
+    after = np.append(kind[1:], _SPACE)
+    end = (kind != after) | (kind == _NUMBER)
+    at = np.flatnonzero(low[:-1] == ord("'"))
+    at = at[(at == 0) | (kind[np.maximum(at - 1, 0)] != _OTHER)]
+    pad = np.concatenate([low, np.zeros(2, np.uint32)])
+    first, second = pad[at + 1], pad[at + 2]
+    short = np.isin(first, [ord(c) for c in "stmd"])
+    long = ((second == ord("e")) & ((first == ord("r")) | (first == ord("v")))) | ((first == ord("l")) & (second == ord("l")))
+    end[at[short | long]] = False
+    end[at[short] + 1] = True
+    end[at[long] + 2] = True
+    return end
 
 
 class WordTokenizer:
-    """Token ids of texts, by a tokenizer that drops white space and splits letters from punctuation.
+    """Token ids of texts, by a tokenizer that drops white space, lowers letters and merges bytes inside words up to their ends.
 
-    Such a tokenizer gives a text the ids of its words, one after the other, so each distinct word is
-    encoded once and then looked up. ``tests/llm`` compares this with encoding whole texts.
+    Words of many texts are found at once, on their code points, and merged by an encoder that knows the vocabulary in the order
+    of its merges. ``tests/llm`` compares this with encoding whole texts.
     """
 
     def __init__(self, path: str):
+        import tiktoken
         from tokenizers import Tokenizer
 
         os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")
-        self.tokenizer = Tokenizer.from_file(path)
-        (self.mark,) = self.tokenizer.encode(_MARK, add_special_tokens=False).ids
-        self._forget()
-
-    def _forget(self) -> None:
-        self.known: dict[str, int] = {}
-        self.entries: list[str] = []
-        self.flat, self.used = np.empty(1 << 16, np.uint32), 0
-        self.start, self.size = np.empty(1 << 14, np.int64), np.empty(1 << 14, np.int64)
-        self._add([""], np.empty(0, np.uint32), np.zeros(1, np.int64))
-
-    def _add(self, words: list[str], ids: np.ndarray, sizes: np.ndarray) -> None:
-        k, n = len(self.entries), len(ids)
-        while self.used + n > len(self.flat):
-            self.flat = np.concatenate([self.flat, np.empty_like(self.flat)])
-        while k + len(words) > len(self.start):
-            self.start, self.size = (np.concatenate([x, np.empty_like(x)]) for x in (self.start, self.size))
-        self.flat[self.used : self.used + n] = ids
-        self.start[k : k + len(words)] = self.used + np.cumsum(sizes) - sizes
-        self.size[k : k + len(words)] = sizes
-        self.known.update(zip(words, range(k, k + len(words))))
-        self.entries += words
-        self.used += n
-
-    def _learn(self, words: list[str]) -> None:
-        """A word that ends in a full stop or comma after letters is the word and the sign; capitals are lowered."""
-        split = {w: _stem(w) for w in words}
-        stems = [x for x in dict.fromkeys(x for pair in split.values() for x in pair if x) if x not in self.known]
-        plain = [w for w in stems if _MARK not in w and "<" not in w]
-        groups = [plain[i : i + 256] for i in range(0, len(plain), 256)]
-        alone = [w for w in stems if _MARK in w or "<" in w]
-        ids, sizes, held = [], [], []
-        for group, e in zip(groups, self.tokenizer.encode_batch_fast([f" {_MARK} ".join(g) for g in groups], add_special_tokens=False)):
-            got = np.array(e.ids, np.uint32)
-            mark = got == self.mark
-            if mark.sum() != len(group) - 1:
-                alone += group
-                continue
-            at = np.flatnonzero(mark)
-            ids.append(got[~mark])
-            sizes.append(np.diff(np.concatenate([[-1], at, [len(got)]])) - 1)
-            held += group
-        if held:
-            self._add(held, np.concatenate(ids), np.concatenate(sizes))
-        if alone:
-            each = [e.ids for e in self.tokenizer.encode_batch_fast(alone, add_special_tokens=False)]
-            self._add(alone, np.array([i for x in each for i in x], np.uint32), np.array([len(x) for x in each]))
-        whole = [(w, stem) for w, (stem, sign) in split.items() if not sign and w != stem]
-        self.known.update((w, self.known[stem]) for w, stem in whole)
-        signed = [(w, self.known[stem], self.known[sign]) for w, (stem, sign) in split.items() if sign]
-        if signed:
-            size = self.size
-            parts = [self.flat[self.start[k] : self.start[k] + size[k]] for _, a, b in signed for k in (a, b)]
-            self._add([w for w, _, _ in signed], np.concatenate(parts), np.array([size[a] + size[b] for _, a, b in signed]))
-
-    def _places(self, words: list[str]) -> np.ndarray:
-        if len(self.known) + len(words) > _WORDS and self.known:
-            self._forget()
-        new = [w for w in words if w not in self.known]
-        for i in range(0, len(new), 20_000):
-            self._learn(new[i : i + 20_000])
-        return np.fromiter(map(self.known.__getitem__, words), np.int64, len(words))
+        self.whole = Tokenizer.from_file(path)
+        with open(path, encoding="utf-8") as f:
+            vocab = json.load(f)["model"]["vocab"]
+        letters, mark = byte_letters(), bytes([_WORD_END])
+        ranks = {}
+        for token, i in vocab.items():
+            stem = token.removesuffix("</w>")
+            if all(c in letters for c in stem):
+                ranks[bytes(letters[c] for c in stem) + (mark if stem != token else b"")] = i
+        self.text_end = ranks[bytes([_TEXT_END]) + mark]
+        # The mark always merges with the byte before it.
+        ranks[mark] = max(vocab.values()) + 1
+        self.merges = tiktoken.Encoding("words", pat_str=r"[^\x01]+\x01", mergeable_ranks=ranks, special_tokens={})
 
     def __call__(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
         """All ids, and where each text's ids begin (and the last end)."""
-        lists = pc.ascii_split_whitespace(texts)
-        words = pc.list_flatten(lists).dictionary_encode()
-        # A text that begins or ends with white space has an empty word there, which has no ids.
-        place = self._places(words.dictionary.to_pylist())
-        code = place[words.indices.to_numpy(zero_copy_only=False)] if len(words) else np.empty(0, np.int64)
-        n = self.size[code]
-        ends = np.cumsum(n)
-        total = int(ends[-1]) if len(ends) else 0
-        ids = self.flat[np.repeat(self.start[code] - (ends - n), n) + np.arange(total)]
-        bounds = np.concatenate([[0], np.cumsum(pc.list_value_length(lists).to_numpy(zero_copy_only=False))]).astype(np.int64)
-        return ids, np.concatenate([[0], ends]).astype(np.int64)[bounds]
-
-
-def _stem(word: str) -> tuple[str, str]:
-    stem, sign = (word[:-1], word[-1]) if word[-1:] in (".", ",") and word[:-1].isalpha() else (word, "")
-    # Below this letter every capital has one small letter.
-    return (stem.lower() if stem and max(stem) < "\u0130" else stem), sign
+        kind, low = _classes()
+        given = texts.to_pylist()
+        alone = {}
+
+        def points(of: list[str]) -> np.ndarray:
+            return np.frombuffer("".join(f"{t} \x02 " for t in of).encode("utf-32-le", "replace"), np.uint32)
+
+        p = points(given)
+        if len(p) and kind[p].min() == _ODD or any("<|" in t or "\x02" in t for t in given):
+            for i, t in enumerate(given):
+                if "<|" in t or "\x02" in t or (len(t) and kind[np.frombuffer(t.encode("utf-32-le", "replace"), np.uint32)].min() == _ODD):
+                    alone[i] = np.array(self.whole.encode(t, add_special_tokens=False).ids, np.uint32)
+                    given[i] = ""
+            p = points(given)
+        k, small = kind[p], low[p]
+        kept = k != _SPACE
+        end = word_ends(small, k)[kept]
+        at = np.arange(len(end)) + np.cumsum(end) - end
+        words = np.full(len(end) + int(end.sum()), _WORD_END, np.uint32)
+        words[at] = small[kept]
+        ids = self.merges.encode_to_numpy(words.tobytes().decode("utf-32-le"), disallowed_special=())
+        ends = np.flatnonzero(ids == self.text_end)
+        sizes = np.diff(np.concatenate([[-1], ends])) - 1
+        ids = np.delete(ids, ends)
+        if alone:
+            parts = np.split(ids, np.cumsum(sizes)[:-1])
+            for i, own in alone.items():
+                parts[i], sizes[i] = own, len(own)
+            ids = np.concatenate(parts)
+        return ids, np.concatenate([[0], np.cumsum(sizes)]).astype(np.int64)
 
 
 _TOKENIZERS: dict[str, WordTokenizer] = {}
@@ -136,7 +141,7 @@ def tokenizer_of(path: str) -> WordTokenizer:
 
 
 def slices(sizes: np.ndarray) -> Iterator[tuple[int, int]]:
-    """Runs of rows of some three million characters, or a single longer row."""
+    """Runs of rows of some million bytes, or a single longer row."""
     a, held = 0, 0
     for i, n in enumerate(sizes):
         if held and held + n > _CHARS:
@@ -175,8 +180,6 @@ def _cut(window: int):
     names = ["id", "start", "length", "ids_crc32", "doc_tokens", "sequence_id", "offset", "ids"]
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        # The words of pass one are of no use here.
-        _TOKENIZERS.clear()
         for d in batches:
             rows: list[tuple] = []
             for key, at, raw in zip(d["id"], d["at"], d["ids"]):

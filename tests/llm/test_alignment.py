@@ -25,7 +25,7 @@ def plain(texts: list[str | None]) -> list[tuple]:
     first = Tokenizer.from_file(PATHS[0])
     first.encode_special_tokens = True
     second = sentencepiece.SentencePieceProcessor(model_file=PATHS[1])
-    letters = alignment._byte_letters()
+    letters = alignment.byte_letters()
     out, every = [], []
     for text in texts:
         if not text:
