@@ -1,7 +1,7 @@
 """Quality rules with thresholds learned per language and source, in DataFrame operations only.
 
-Every measure's distribution is kept as a mergeable quantile sketch for each (language, source). The sketches
-give quartiles, the quartiles fences, and a join brings the fences to the documents.
+Every measure's distribution is kept as a mergeable quantile sketch for each (language, source) and each language. The
+sketches give quartiles, the quartiles fences, and a join brings the fences to the documents.
 """
 
 from __future__ import annotations
@@ -17,9 +17,13 @@ WORD = r"[^\x20\x09-\x0D]+"
 SYMBOLS = "#*$%&|<>"
 _SPACE = " \t\n\x0b\x0c\r"
 
-# measure: (from, step). A fence is never nearer to the quartiles than ``step``, so that a group
-# whose documents are all alike does not reject the first that differs a little.
-MEASURES = {"symbols": 0.05, "dup_lines": 0.4, "repeats": 0.3, "word_length": 1.5, "long_words": 0.1}
+# measure: (count, base, grain). A measure is the rate of count to base; the grain is the least that one event adds to the
+# count: a window of three words found twice makes six.
+MEASURES = {
+    "symbols": ("n_symbols", "word_chars", 1), "dup_lines": ("n_dup_lines", "n_lines", 1), "repeats": ("n_repeat_words", "n_words", 6),
+    "word_length": ("word_chars", "n_words", 1), "long_words": ("n_long_words", "n_words", 1),
+}
+_RANKS = [0.1, 0.25, 0.75, 0.9]
 
 
 def measured(docs: DataFrame, text_col: str = "text") -> DataFrame:
@@ -54,52 +58,63 @@ def measured(docs: DataFrame, text_col: str = "text") -> DataFrame:
 
 
 def rates(d: DataFrame) -> DataFrame:
-    """Adds the measures that the fences are for; null without words."""
-    n = F.when(F.col("n_words") > 0, F.col("n_words"))
-    return d.withColumns({
-        "symbols": F.col("n_symbols") / F.when(F.col("word_chars") > 0, F.col("word_chars")),
-        "dup_lines": F.col("n_dup_lines") / F.when(F.col("n_lines") > 0, F.col("n_lines")),
-        "repeats": F.col("n_repeat_words") / n, "word_length": F.col("word_chars") / n, "long_words": F.col("n_long_words") / n,
-    })
+    """Adds the measures that the fences are for; null where there is nothing to measure."""
+    return d.withColumns({m: F.col(n) / F.when(F.col(of) > 0, F.col(of)) for m, (n, of, _) in MEASURES.items()})
 
 
-def fences(d: DataFrame, keys: list[str], reach: float, accuracy: int) -> DataFrame:
-    """One row per group: for each measure the pair (low, high).
+def fences(d: DataFrame, lang_col: str, source_col: str, reach: float, accuracy: int) -> DataFrame:
+    """One row per group: for each measure ``low``, ``high`` and ``by``, what they were learned from.
 
-    Quartiles come from sketches that every task builds and the shuffle merges. A fence
-    lies ``reach`` quartile distances (and at least the measure's step) beyond its quartile.
+    Ranks come from sketches that every task builds and the shuffle merges. A fence lies ``reach`` spreads beyond the
+    group's quartile. The spread is that between its quartiles (``by`` 1), if they coincide between its tenths (2), then between its
+    language's tenths (3). If eight tenths of the language are alike, there is none (4).
     """
-    aggs = [F.percentile_approx(m, [0.25, 0.75], accuracy).alias(m) for m in MEASURES]
-    q = d.groupBy(*keys).agg(*aggs)
-    out = {}
-    for m, step in MEASURES.items():
-        low, high = F.get(m, F.lit(0)), F.get(m, F.lit(1))
-        span = F.greatest(reach * (high - low), F.lit(step))
-        out[f"_{m}"] = F.struct((low - span).alias("low"), (high + span).alias("high"))
-    return q.select(*[F.col(k).alias(f"_of_{k}") for k in keys], *[v.alias(k) for k, v in out.items()])
+    def ranks(*keys: str) -> DataFrame:
+        return d.groupBy(*[F.col(k).alias(f"_of_{i}") for i, k in enumerate(keys)]).agg(*[F.percentile_approx(m, _RANKS, accuracy).alias(f"_{m}") for m in MEASURES])
+
+    own, wide = ranks(lang_col, source_col), ranks(lang_col)
+    wide = wide.select(F.col("_of_0").alias("_lang"), *[F.col(f"_{m}").alias(f"_wide_{m}") for m in MEASURES])
+    q = own.join(wide, F.col("_of_0").eqNullSafe(F.col("_lang")))
+    out = []
+    for m in MEASURES:
+        at = [F.get(f"_{m}", F.lit(i)) for i in range(4)]
+        tenths = F.get(f"_wide_{m}", F.lit(3)) - F.get(f"_wide_{m}", F.lit(0))
+        by = F.when(at[2] > at[1], 1).when(at[3] > at[0], 2).when(tenths > 0, 3).otherwise(4)
+        spread = reach * F.when(by == 1, at[2] - at[1]).when(by == 2, at[3] - at[0]).when(by == 3, tenths).otherwise(0.0)
+        out.append(F.struct(F.greatest(at[1] - spread, F.lit(0.0)).alias("low"), (at[2] + spread).alias("high"), by.alias("by")).alias(f"_{m}"))
+    return q.select("_of_0", "_of_1", *out)
+
+
+def outside(measure: str, z: float) -> Column:
+    """Whether a measure lies outside its fence by more than its count's own sampling error, ``z`` roots of the count expected at the fence."""
+    n, of, grain = MEASURES[measure]
+
+    def error(expected: Column) -> Column:
+        return z * F.sqrt(grain * (expected + grain))
+
+    low, high = (F.col(f"_{measure}.{side}") * F.col(of) for side in ("low", "high"))
+    return F.coalesce((F.col(n) > high + error(high)) | (F.col(n) < low - error(low)), F.lit(False))
 
 
 def judge(
-    docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang", source_col: str = "source", *, reach: float = 4.0, accuracy: int = 10000,
+    docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang", source_col: str = "source", *,
+    reach: float = 4.0, z: float = 3.0, accuracy: int = 10000,
 ) -> DataFrame:
-    """Per row of ``docs``: id, language, source, the counts of ``measured``, the measures, ``base_failed`` and ``kept``.
+    """Per row of ``docs``: id, language, source, the counts of ``measured``, the measures, ``base_failed``, ``kept`` and ``outside``, the names of the measures that fail.
 
     ``base_failed``: under 50 words, or more than half of them in repeated windows. ``kept`` is false for these
-    and for documents with a measure outside its fence; fences are learned from the documents that pass the base.
+    and for documents with a measure outside its fence; fences are learned from the documents that pass the base, and no
+    threshold is fixed: a document on its fence, or beyond it by chance of its own length, stays.
     Null language or source is a group of its own. A group has fences if one of its documents passes the base; a text
     without words has no measures and fails the base. Repeated rows count as often as they stand. An empty table gives an empty result.
-    The counts are written to the shared folder, so that texts are read once.
+    The counts are written to the shared folder, so that texts are read once, and so are the fences, whose size then decides how they are joined.
     """
     d = docs.select(F.col(id_col), F.col(lang_col), F.col(source_col), F.col(text_col).alias("_text"))
     d = rates(measured(d, "_text").drop("_text")).withColumn("base_failed", (F.col("n_words") < 50) | (100 * F.col("n_repeat_words") > 50 * F.col("n_words")))
     d = written(d, "measures")
-    keys = [lang_col, source_col]
-    f = fences(d.where(~F.col("base_failed")), keys, reach, accuracy)
-    same = F.lit(True)
-    for k in keys:
-        same = same & F.col(k).eqNullSafe(F.col(f"_of_{k}"))
-    inside = F.lit(True)
-    for m in MEASURES:
-        inside = inside & F.coalesce(F.col(m).between(F.col(f"_{m}.low"), F.col(f"_{m}.high")), F.lit(True))
-    out = d.join(f, same, "left").withColumn("kept", ~F.col("base_failed") & inside)
-    return out.drop(*[f"_of_{k}" for k in keys], *[f"_{m}" for m in MEASURES])
+    f = written(fences(d.where(~F.col("base_failed")), lang_col, source_col, reach, accuracy), "fences")
+    same = F.col(lang_col).eqNullSafe(F.col("_of_0")) & F.col(source_col).eqNullSafe(F.col("_of_1"))
+    out = d.join(f, same, "left")
+    out = out.withColumn("outside", F.array_compact(F.array(*[F.when(outside(m, z), F.lit(m)) for m in MEASURES])))
+    out = out.withColumn("kept", ~F.col("base_failed") & (F.size("outside") == 0))
+    return out.drop("_of_0", "_of_1", *[f"_{m}" for m in MEASURES])

@@ -159,20 +159,31 @@ rep AS (SELECT r, count(DISTINCT p + o) AS n FROM twice, unnest([0, 1, 2]) AS g(
 m AS (
   SELECT w.r, doc_id, lang, source, CAST(len(words) AS BIGINT) AS n_words, CAST(coalesce(list_sum(list_transform(words, lambda x: length(x))), 0) AS BIGINT) AS word_chars,
     CAST(length(text) - length(regexp_replace(text, '[#*$%&|<>]', '', 'g')) AS BIGINT) AS n_symbols, CAST(len(lines) - len(list_distinct(lines)) AS BIGINT) AS n_dup_lines,
-    coalesce(rep.n, 0) AS n_repeat_words, len(lines) AS n_lines, len(list_filter(words, lambda x: length(x) > 20)) AS n_long
+    coalesce(rep.n, 0) AS n_repeat_words, len(lines) AS n_lines, len(list_filter(words, lambda x: length(x) > 20)) AS n_long_words
   FROM w LEFT JOIN rep ON rep.r = w.r
 ), q AS (
   SELECT *, n_words < 50 OR 100 * n_repeat_words > 50 * n_words AS base_failed, n_symbols / nullif(word_chars, 0) AS symbols, n_dup_lines / nullif(n_lines, 0) AS dup_lines,
-    n_repeat_words / nullif(n_words, 0) AS repeats, word_chars / nullif(n_words, 0) AS word_length, n_long / nullif(n_words, 0) AS long_words FROM m
+    n_repeat_words / nullif(n_words, 0) AS repeats, word_chars / nullif(n_words, 0) AS word_length, n_long_words / nullif(n_words, 0) AS long_words FROM m
+), g AS (
+  SELECT lang, source, {ranks} FROM q WHERE NOT base_failed GROUP BY lang, source
+), wide AS (
+  SELECT lang, {ranks} FROM q WHERE NOT base_failed GROUP BY lang
+), s AS (
+  SELECT g.*, {spreads} FROM g JOIN wide ON g.lang IS NOT DISTINCT FROM wide.lang
 ), f AS (
-  SELECT lang, source, {quartiles} FROM q WHERE NOT base_failed GROUP BY lang, source
+  SELECT lang, source, {ends} FROM s
 )
-SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base_failed, NOT base_failed AND {inside} AS kept
+SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base_failed, NOT base_failed AND NOT ({outside}) AS kept
 FROM q LEFT JOIN f ON q.lang IS NOT DISTINCT FROM f.lang AND q.source IS NOT DISTINCT FROM f.source
 """.format(
-    quartiles=", ".join(f"quantile_disc({m}, 0.25) AS {m}_1, quantile_disc({m}, 0.75) AS {m}_3" for m in adaptive_rules.MEASURES),
-    inside=" AND ".join(
-        f"coalesce({m} BETWEEN {m}_1 - greatest(4.0 * ({m}_3 - {m}_1), {step}) AND {m}_3 + greatest(4.0 * ({m}_3 - {m}_1), {step}), true)" for m, step in adaptive_rules.MEASURES.items()),
+    ranks=", ".join(f"quantile_disc({m}, [0.1, 0.25, 0.75, 0.9]) AS {m}_q" for m in adaptive_rules.MEASURES),
+    spreads=", ".join(
+        f"4.0 * CASE WHEN g.{m}_q[3] > g.{m}_q[2] THEN g.{m}_q[3] - g.{m}_q[2] WHEN g.{m}_q[4] > g.{m}_q[1] THEN g.{m}_q[4] - g.{m}_q[1] "
+        f"WHEN wide.{m}_q[4] > wide.{m}_q[1] THEN wide.{m}_q[4] - wide.{m}_q[1] ELSE 0.0 END AS {m}_s" for m in adaptive_rules.MEASURES),
+    ends=", ".join(f"greatest({m}_q[2] - {m}_s, 0.0) AS {m}_low, {m}_q[3] + {m}_s AS {m}_high" for m in adaptive_rules.MEASURES),
+    outside=" OR ".join(
+        f"coalesce({n} > {m}_high * {of} + 3.0 * sqrt({grain} * ({m}_high * {of} + {grain})) OR {n} < {m}_low * {of} - 3.0 * sqrt({grain} * ({m}_low * {of} + {grain})), false)"
+        for m, (n, of, grain) in adaptive_rules.MEASURES.items()),
 )
 
 SQL: dict[str, str] = {

@@ -151,6 +151,45 @@ def test_odd_documents_fall_outside_the_fences(spark):
     assert adaptive_rules.judge(docs_of(spark, [])).count() == 0
 
 
+def symbolled(n: int, *, words: int = 100) -> str:
+    """A text of different words of five letters; the first n end in a symbol that is one of the five."""
+    rng = random.Random(n)
+    every = ["".join(rng.choice("abcdefghij") for _ in range(5)) for _ in range(words)]
+    return " ".join(w[:4] + "#" if i < n else w for i, w in enumerate(every))
+
+
+def judged(spark, groups):
+    rows = [(lang, source, n) for lang, source, counts in groups for n in counts]
+    d = spark.createDataFrame([(i, symbolled(n), lang, source, 0) for i, (lang, source, n) in enumerate(rows)], DOCS)
+    got = {r.doc_id: r for r in adaptive_rules.judge(d).collect()}
+    assert all(r.kept == (not r.outside) for r in got.values())
+    return [(key, not got[i].outside) for i, key in enumerate(rows)]
+
+
+def test_fences_come_from_the_group_then_from_its_language(spark):
+    """Symbols of 500 characters. A fence h lets h + 3 * sqrt(h + 1) through."""
+    groups = [
+        # Quartiles 2 and 6: the fence is 22, up to 36 stay.
+        ("en", "wide", [0] + [2] * 4 + [4] * 3 + [6] * 4 + [36, 37]),
+        # Quartiles coincide at 0, tenths 0 and 5: the fence is 20, up to 33 stay.
+        ("en", "flat", [0] * 20 + [5, 5, 33, 34]),
+        # A null language is one of its own; its group is all alike but one, and so is the language: up to 3 stay.
+        (None, "x", [0] * 30 + [3, 4]),
+        # All alike, but the language's tenths are 0 and 20: the fence is 80, all stay.
+        ("de", "alike", [0] * 21), ("de", "other", [20] * 6), ("de", None, [0] * 30 + [100]),
+    ]
+    for (lang, source, n), kept in judged(spark, groups):
+        most = {("en", "wide"): 36, ("en", "flat"): 33, (None, "x"): 3}.get((lang, source), 500)
+        assert kept == (n <= most), (lang, source, n)
+
+
+def test_what_lies_on_a_fence_stays(spark):
+    # Quartiles 0 and 8: the fence is 40, its error 3 * sqrt(41) = 19.2.
+    got = dict((k[2], v) for k, v in judged(spark, [("en", "s", [0] * 6 + [4] * 2 + [8] * 6 + [59, 60])]))
+    assert got[59] and not got[60]
+    assert all(v for _, v in judged(spark, [("en", "s", [7] * 20)]))
+
+
 # --- packing -------------------------------------------------------------------------------------
 
 @pytest.mark.parametrize("window", [7, 2048])
