@@ -95,7 +95,8 @@ bv AS (SELECT Tree, Cable, grp, {', '.join(f"last_value({c} IGNORE NULLS) OVER (
   SELECT Tree, Cable, CAST(grp AS BIGINT) AS "Group", {R('bo')} AS baseline_outer, {R('bm')} AS baseline_middle, {R('bi')} AS baseline_inner FROM bv""")
 def _(t: Tables):
     d = t.tier_wide()
-    return rounded(B.baseline_values(d, B.number_periods(t.zeroes(), d, span=WEEK), HOUR, span=5), *B.BASELINES)
+    periods = written(B.number_periods(t.zeroes(), d, span=WEEK), "periods")
+    return rounded(B.baseline_values(d, periods, HOUR, span=5), *B.BASELINES)
 
 
 BUMPED = """acts AS (SELECT Tree, Cable, Timestamp, max(CASE WHEN Action IN ('M', 'R', 'MR') THEN 1 ELSE 0 END) AS moved FROM actions WHERE Action IS NOT NULL GROUP BY 1, 2, 3),
@@ -109,7 +110,7 @@ bumped AS (
 
 def _grouped(t: Tables):
     d = t.tier_wide()
-    periods = B.number_periods(t.zeroes(), d, span=WEEK)
+    periods = written(B.number_periods(t.zeroes(), d, span=WEEK), "periods")
     acts = t.actions().withColumn("Action", recode_action("Action"))
     return B.bump_group(d.withColumn("cable_no", F.col("Cable")), periods, acts, span=WEEK), periods, d
 

@@ -12,7 +12,8 @@ from sensorloom.functions.columns import any_set, seconds, shift
 from sensorloom.operators.aggregates import window_means
 from sensorloom.operators.intervals import expand_steps
 from sensorloom.operators.joins import salted_join
-from sensorloom.operators.ordered import last_known, ordered, row_index, runs
+from sensorloom.operators.ordered import last_known, latest_event, ordered, position, row_index, runs
+from sensorloom.session import written
 
 BASELINES = tuple(f"baseline_{p}" for p in ("inner", "middle", "outer"))
 # Zero periods are numbered per tree; this many numbers form a piece.
@@ -67,41 +68,42 @@ def baseline_values(tier: DataFrame, periods: DataFrame, step: int = STEP_SECOND
     missing ones as zero.
     """
     inside = tier.join(expand_periods(periods, step), ["Tree", "Timestamp"], "inner")
-    means = window_means(inside, VELOCITIES, (*SERIES, "Group"))
-    first = means.groupBy(*SERIES).agg(*[F.min_by(c, "Group").alias(c) for c in VELOCITIES]).withColumn("Group", F.lit(0).cast("long"))
-    both = first.fillna(0.0, list(VELOCITIES)).unionByName(means)
-    return ordered(
-        both, SERIES, "Group", span, **{f"baseline_{p}": last_known(f"{p}_vel") for p in ("inner", "middle", "outer")}
-    ).select(*SERIES, "Group", *BASELINES)
+    means = written(window_means(inside, VELOCITIES, (*SERIES, "Group")), "means")
+    d = ordered(means, SERIES, "Group", span, _no=position(), **{f"baseline_{p}": last_known(f"{p}_vel") for p in ("inner", "middle", "outer")})
+    # With period 0 in front, which has no missing mean, no later one is missing either.
+    group = F.when(F.col("_no") == 1, F.array(F.lit(0).cast("long"), F.col("Group"))).otherwise(F.array("Group"))
+    return d.withColumn("Group", F.explode(group)).fillna(0.0, list(BASELINES)).select(*SERIES, "Group", *BASELINES)
 
 
 def asof_group(tier: DataFrame, periods: DataFrame, keys: Sequence[str] = SERIES, time: str = "Timestamp", span: int = SPAN_SECONDS) -> DataFrame:
     """Number of the latest period begun at or before each row, 0 before the first.
 
     A period that begins on the tree's first row does not count: those rows stay 0
-    until the next period.
+    until the next period. Period starts run along in the rows' own stream; they are written to the scratch folder.
     """
-    d = ordered(_with_periods(tier, periods, _tree_starts(tier, periods, time), time), keys, time, span, Group=last_known("_group"))
-    return d.withColumn("Group", F.coalesce("Group", F.lit(0).cast("long"))).drop("_group")
+    d = latest_event(tier, written(_starts(tier, periods, keys, time), "starts"), keys, time, ["Group"], span)
+    return d.withColumn("Group", F.coalesce("Group", F.lit(0).cast("long")))
 
 
 def bump_group(tier: DataFrame, periods: DataFrame, actions: DataFrame, keys: Sequence[str] = ("Tree", "cable_no"), time: str = "Timestamp", span: int = SPAN_SECONDS) -> DataFrame:
     """As ``asof_group``, but after a sensor was moved or replaced the next period counts until it begins.
 
     Other actions do not bump; an action on a row at which a period begins is lost;
-    there is nothing to bump to after the tree's last period. Both carry-forwards
-    run in one pass. ``actions`` has (Tree, Cable number, time, Action).
+    there is nothing to bump to after the tree's last period. Starts and actions run along in the rows' own
+    stream; they are written to the scratch folder. ``actions`` has (Tree, Cable number, time, Action).
     """
-    starts = _tree_starts(tier, periods, time)
+    starts = _starts(tier, periods, keys, time).withColumn("_state", F.lit(False))
     # Two actions on one row: a move decides, whatever else is noted.
     acts = actions.where(F.col("Action").isNotNull()).groupBy("Tree", F.col("Cable").alias("cable_no"), time).agg(
-        F.max(F.col("Action") == MOVED).alias("_moved")
+        F.max(F.col("Action") == MOVED).alias("_state")
     )
-    acts = acts.join(starts, "Tree", "inner").where(F.col(time) > F.col("_from")).drop("_from")
-    d = _with_periods(tier, periods, starts, time).join(acts, ["Tree", "cable_no", time], "left")
-    state = F.when(F.col("_group").isNotNull(), F.lit(False)).otherwise(F.col("_moved"))
-    d = ordered(d, keys, time, span, Group=last_known("_group"), _state=last_known(state))
-    d = salted_join(d, last_groups(periods), ["Tree"], [*keys, time])
+    acts = acts.join(_tree_starts(tier, periods, time), "Tree", "inner").where(F.col(time) > F.col("_from")).drop("_from")
+    # A period's start comes before an action at the same time.
+    events = starts.unionByName(acts.withColumn("Group", F.lit(None).cast("long"))).groupBy(*keys, time).agg(
+        F.max("Group").alias("Group"), F.min_by("_state", F.col("Group").isNull()).alias("_state")
+    )
+    events = events.join(last_groups(periods), "Tree", "left")
+    d = latest_event(tier, written(events, "events"), keys, time, ["Group", "_state", "_last"], span)
     group = F.coalesce("Group", F.lit(0).cast("long"))
     bumped = F.when(F.col("_state") & (group < F.col("_last")), group + 1).otherwise(group)
     return d.withColumn("Group", bumped).select(*tier.columns, "Group")
@@ -114,11 +116,11 @@ def _tree_starts(tier: DataFrame, periods: DataFrame, time: str) -> DataFrame:
     return tier.groupBy("Tree").agg(F.min(time).alias("_from"))
 
 
-def _with_periods(tier: DataFrame, periods: DataFrame, starts: DataFrame, time: str) -> DataFrame:
-    """Attach the number of a period to the rows at its begin."""
-    at = periods.join(starts, "Tree", "inner").where(F.col("periodBegin") > F.col("_from"))
-    at = at.select("Tree", F.col("periodBegin").alias(time), F.col("Group").alias("_group"))
-    return tier.join(at, ["Tree", time], "left")
+def _starts(tier: DataFrame, periods: DataFrame, keys: Sequence[str], time: str) -> DataFrame:
+    """The starts of a tree's periods after its first row, for each of its series."""
+    at = periods.join(_tree_starts(tier, periods, time), "Tree", "inner").where(F.col("periodBegin") > F.col("_from"))
+    at = at.groupBy("Tree", F.col("periodBegin").alias(time)).agg(F.max("Group").alias("Group"))
+    return tier.select(*keys).distinct().join(at, "Tree").select(*keys, time, "Group")
 
 
 def last_groups(periods: DataFrame) -> DataFrame:

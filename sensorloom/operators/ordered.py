@@ -22,6 +22,7 @@ from pyspark.sql import types as T
 
 from sensorloom.config import SPAN_SECONDS
 from sensorloom.functions.columns import as_col
+from sensorloom.session import written
 
 PIECE = "_piece"
 _FIRST = Window.unboundedPreceding
@@ -33,6 +34,10 @@ class Spec:
     expr: Column
 
 
+#: Kinds that look at their neighbours before they are carried.
+_PLACED = ("openings", "last_place", "next_place")
+
+
 def last_known(expr: str | Column) -> Spec:
     """The latest non-missing value at or before the row."""
     return Spec("last_known", as_col(expr))
@@ -63,6 +68,21 @@ def following(expr: str | Column) -> Spec:
     return Spec("following", as_col(expr))
 
 
+def openings(flag: str | Column) -> Spec:
+    """How many runs of rows with the flag have begun up to and including the row."""
+    return Spec("openings", F.coalesce(as_col(flag), F.lit(False)))
+
+
+def last_place(flag: str | Column) -> Spec:
+    """Row number of the latest row with the flag at or before the row."""
+    return Spec("last_place", F.coalesce(as_col(flag), F.lit(False)))
+
+
+def next_place(flag: str | Column) -> Spec:
+    """Row number of the earliest row with the flag at or after the row."""
+    return Spec("next_place", F.coalesce(as_col(flag), F.lit(False)))
+
+
 def piece_of(df: DataFrame, order: str, span: int) -> Column:
     """Number of the piece a row belongs to: seconds for times, units for numbers."""
     kind = df.schema[order].dataType
@@ -102,14 +122,20 @@ def ordered(
     # One fixed-width order column keeps the summary a hash aggregate.
     where = F.col(order[0]) if len(order) == 1 else F.struct(*order)
 
+    beside: dict[str, Column] = {}
     local: dict[str, Column] = {}
     totals: list[Column] = []
+    own: dict[str, Column] = {}
     across: dict[str, Column] = {}
     result: dict[str, Column] = {}
     pieces = Window.partitionBy(*keys).orderBy(PIECE)
     before = pieces.rowsBetween(_FIRST, -1)
     after = pieces.rowsBetween(1, Window.unboundedFollowing)
 
+    if any(spec.kind in ("last_place", "next_place") for spec in specs.values()):
+        beside["_at"] = F.row_number().over(by_order).cast("long")
+        totals.append(F.count(F.lit(1)).alias("_rows"))
+        own["_offset"] = F.coalesce(F.sum("_rows").over(before), F.lit(0))
     for name, spec in specs.items():
         value, edge, carry, out = F.col(f"_in_{name}"), f"_edge_{name}", f"_carry_{name}", f"_out_{name}"
         present = F.when(value.isNotNull(), where)
@@ -137,10 +163,29 @@ def ordered(
             totals.append((F.max_by if back else F.min_by)(value, where).alias(edge))
             across[carry] = step(edge).over(pieces)
             result[name] = F.when(F.col(f"_in_piece_{name}"), F.col(out)).otherwise(F.col(carry))
+        elif spec.kind == "openings":
+            # A piece counts its first row as a beginning; where the piece before ends in the same run, that is taken back.
+            begins, lasts = f"_begins_{name}", f"_lasts_{name}"
+            beside[begins] = F.when(value & ~F.coalesce(F.lag(value).over(by_order), F.lit(False)), 1).otherwise(0).cast("long")
+            local[out] = F.sum(begins).over(upto)
+            totals += [F.sum(begins).alias(edge), F.min_by(value, where).alias(f"{edge}_first"), F.max_by(value, where).alias(f"{edge}_last")]
+            own[lasts] = F.when(F.col(f"{edge}_first") & F.coalesce(F.lag(f"{edge}_last").over(pieces), F.lit(False)), 1).otherwise(0).cast("long")
+            across[carry] = F.coalesce(F.sum(F.col(edge) - F.col(lasts)).over(before), F.lit(0)) - F.col(lasts)
+            result[name] = F.col(out) + F.col(carry)
+        elif spec.kind in ("last_place", "next_place"):
+            back = spec.kind == "last_place"
+            at, pick = F.when(value, F.col("_at")), F.last if back else F.first
+            local[out] = pick(at, ignorenulls=True).over(upto if back else onward)
+            totals.append((F.max if back else F.min)(at).alias(edge))
+            across[carry] = pick(F.col(edge) + F.col("_offset"), ignorenulls=True).over(before if back else after)
+            across["_offset"] = F.col("_offset")
+            result[name] = F.coalesce(F.col(out) + F.col("_offset"), F.col(carry))
         else:
             raise ValueError(f"unknown kind: {spec.kind}")
 
-    summary = src.groupBy(*part).agg(*totals).select(*part, *[c.alias(n) for n, c in across.items()])
+    src = src.withColumns(beside) if beside else src
+    summary = src.groupBy(*part).agg(*totals)
+    summary = (summary.withColumns(own) if own else summary).select(*part, *[c.alias(n) for n, c in across.items()])
     # A hint on how pieces meet their summary is left out on purpose: Spark
     # broadcasts the summary only when its measured size allows it.
     joined = src.withColumns(local).join(summary, part, "left")
@@ -148,6 +193,29 @@ def ordered(
     return joined.select(*kept, *[c.alias(n) for n, c in result.items()])
 
 
+def latest_event(df: DataFrame, events: DataFrame, keys: Sequence[str], order: str, cols: Sequence[str], span: int = SPAN_SECONDS) -> DataFrame:
+    """Per row the latest known value of each column of ``events`` up to it.
+
+    ``events`` has (keys, order, cols), one row per key and place, and is the much smaller side. An event counts if the series
+    has a row at exactly its place. Events enter as rows of the ordered stream, just before the row they belong to, so
+    one shuffle and one window carry them; no event is joined to rows.
+    """
+    keys, cols = list(keys), list(cols)
+    part = [*keys, PIECE]
+    rows = df.withColumns({PIECE: piece_of(df, order, span), "_row": F.lit(True), **{f"_new_{c}": F.lit(None).cast(events.schema[c].dataType) for c in cols}})
+    added = events.select(*keys, order, F.lit(False).alias("_row"), *[F.col(c).alias(f"_new_{c}") for c in cols])
+    d = rows.unionByName(added.withColumn(PIECE, piece_of(added, order, span)), allowMissingColumns=True)
+    by_order = Window.partitionBy(*part).orderBy(order, "_row")
+    d = d.withColumn("_met", ~F.col("_row") & F.coalesce(F.lead("_row").over(by_order) & (F.lead(order).over(by_order) == F.col(order)), F.lit(False)))
+    now = {c: F.when(F.col("_met"), F.col(f"_new_{c}")) for c in cols}
+    latest = {f"_out_{c}": F.last(v, ignorenulls=True).over(by_order.rowsBetween(_FIRST, 0)) for c, v in now.items()}
+    edges = [F.max_by(v, F.when(v.isNotNull(), F.col(order))).alias(f"_edge_{c}") for c, v in now.items()]
+    before = Window.partitionBy(*keys).orderBy(PIECE).rowsBetween(_FIRST, -1)
+    summary = d.groupBy(*part).agg(*edges).select(*part, *[F.last(f"_edge_{c}", ignorenulls=True).over(before).alias(f"_carry_{c}") for c in cols])
+    joined = d.withColumns(latest).where("_row").join(summary, part, "left")
+    return joined.select(*df.columns, *[F.coalesce(f"_out_{c}", f"_carry_{c}").alias(c) for c in cols])
+
+
 def locf(df: DataFrame, keys: Sequence[str], order: str | Sequence[str], cols: Sequence[str], span: int = SPAN_SECONDS) -> DataFrame:
     """Carry the last known value of each column forward."""
     return ordered(df, keys, order, span, **{c: last_known(c) for c in cols})
@@ -174,18 +242,35 @@ def runs(
     """Maximal runs of rows where ``flag`` holds: first and last order value and length.
 
     A run is broken by a row without the flag and, if ``step`` is given, by any
-    distance to the previous row other than ``step`` (seconds or units).
+    distance to the previous row other than ``step`` (seconds or units). Rows without an order value belong to no run.
+
+    Each piece becomes its stretches of like rows, in one shuffle and one window. They are written to the scratch folder:
+    those inside a piece are finished, and only the two at a piece's ends can go on in the next one.
     """
-    d = df.withColumn("_flag", F.coalesce(flag, F.lit(False)))
-    if step is None:
-        # The last row without the flag names the run that follows it.
-        d = ordered(d, keys, order, span, _break=last_known(F.when(~F.col("_flag"), F.col(order))))
-    else:
-        d = ordered(d, keys, order, span, _was=previous("_flag"), _at=previous(order))
-        numeric = isinstance(df.schema[order].dataType, T.NumericType)
-        distance = F.lit(step) if numeric else F.make_dt_interval(secs=F.lit(step))
-        goes_on = F.coalesce(F.col("_was") & (F.col(order) - F.col("_at") == distance), F.lit(False))
-        d = ordered(d, keys, order, span, _break=last_known(F.when(F.col("_flag") & ~goes_on, F.col(order))))
-    return d.where("_flag").groupBy(*keys, "_break").agg(
-        F.min(order).alias("run_start"), F.max(order).alias("run_end"), F.count(F.lit(1)).alias("length")
-    ).drop("_break")
+    keys = list(keys)
+    part = [*keys, PIECE]
+    numeric = isinstance(df.schema[order].dataType, T.NumericType)
+    distance = None if step is None else F.lit(step) if numeric else F.make_dt_interval(secs=F.lit(step))
+
+    def goes_on(flagged: Column, last: Column) -> Column:
+        """Whether a flagged row or stretch goes on from the one before, that of flag ``flagged`` that ends at ``last``."""
+        near = F.lit(True) if step is None else F.col("run_start") - last == distance
+        return F.col("_flag") & F.coalesce(flagged & near, F.lit(False))
+
+    d = df.select(*keys, F.col(order).alias("run_start"), F.coalesce(flag, F.lit(False)).alias("_flag")).where("run_start is not null")
+    d = d.withColumn(PIECE, piece_of(d, "run_start", span))
+    inside = Window.partitionBy(*part).orderBy("run_start")
+    was, last = F.lag("_flag").over(inside), F.lag("run_start").over(inside)
+    same = F.coalesce(~F.col("_flag") & ~was, F.lit(False)) | goes_on(was, last)
+    d = d.withColumn("_new", F.when(same, 0).otherwise(1)).withColumn("_no", F.sum("_new").over(inside.rowsBetween(_FIRST, 0)))
+    d = d.groupBy(*part, "_no").agg(F.max("run_start").alias("run_end"), F.min("run_start").alias("run_start"), F.count(F.lit(1)).alias("length"), F.max("_flag").alias("_flag"))
+    ends = {"_opens": F.col("_no") == 1, "_closes": F.col("_no") == F.max("_no").over(Window.partitionBy(*part))}
+    d = written(d.withColumns(ends).drop("_no", PIECE), "stretches")
+
+    pieces = Window.partitionBy(*keys).orderBy("run_start")
+    edge = d.where("_opens or _closes")
+    more = F.col("_opens") & goes_on(F.lag("_flag").over(pieces), F.lag("run_end").over(pieces))
+    edge = edge.withColumn("_new", F.when(more, 0).otherwise(1)).where("_flag").withColumn("_no", F.sum("_new").over(pieces.rowsBetween(_FIRST, 0)))
+    edge = edge.groupBy(*keys, "_no").agg(F.min("run_start").alias("run_start"), F.max("run_end").alias("run_end"), F.sum("length").alias("length"))
+    cols = [*keys, "run_start", "run_end", "length"]
+    return d.where("_flag and not (_opens or _closes)").select(*cols).union(edge.select(*cols))

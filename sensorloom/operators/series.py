@@ -11,7 +11,8 @@ from sensorloom.config import LETTERS, SERIES, SPAN_SECONDS, STEP_SECONDS
 from sensorloom.functions.columns import recode_action, seconds, shift
 from sensorloom.operators.intervals import expand_steps
 from sensorloom.operators.joins import salted_join
-from sensorloom.operators.ordered import following, last_known, next_known, ordered, position, previous, row_index, running, runs
+from sensorloom.operators.ordered import following, last_known, last_place, next_known, next_place, openings, ordered, position, previous, row_index, runs
+from sensorloom.session import written
 
 # Actions are numbered by their place in the file; this many places form a piece.
 FILE_SPAN = 100_000
@@ -61,14 +62,14 @@ def letter_series(df: DataFrame, events: DataFrame, keys: Sequence[str] = SERIES
 
 def run_lengths(df: DataFrame, keys: Sequence[str], value: str, time: str = "Timestamp", span: int = SPAN_SECONDS) -> DataFrame:
     """Maximal runs of missing values: number, first and last missing time, length."""
-    gaps = runs(df, keys, time, F.col(value).isNull(), span=span)
+    gaps = written(runs(df, keys, time, F.col(value).isNull(), span=span), "runs")
     gaps = gaps.withColumnsRenamed({"run_start": "first_missing", "run_end": "last_missing"})
     return row_index(gaps, keys, "first_missing", "gap", span)
 
 
 def small_gaps(df: DataFrame, keys: Sequence[str], value: str, time: str = "Timestamp", longest: int = 5, step: int = STEP_SECONDS, span: int = SPAN_SECONDS) -> DataFrame:
     """Runs of at most ``longest`` missing rows, padded by one step on both sides and numbered."""
-    gaps = runs(df, keys, time, F.col(value).isNull(), span=span).where(F.col("length") <= longest)
+    gaps = written(runs(df, keys, time, F.col(value).isNull(), span=span).where(F.col("length") <= longest), "runs")
     gaps = row_index(gaps, keys, "run_start", "gap", span)
     return gaps.select(*keys, "gap", "length", shift("run_start", -step).alias("Start"), shift("run_end", step).alias("End"))
 
@@ -100,9 +101,7 @@ def gap_context(df: DataFrame, keys: Sequence[str], value: str, time: str = "Tim
 def segment_ids(df: DataFrame, keys: Sequence[str], value: str, time: str = "Timestamp", span: int = SPAN_SECONDS) -> DataFrame:
     """Missing rows with their row number and the number of their run."""
     missing = F.col(value).isNull()
-    d = ordered(df.withColumn("_missing", missing), keys, time, span, missingLoc=position(), _was=previous("_missing")).where("_missing")
-    opens = F.when(~F.coalesce(F.col("_was"), F.lit(False)), 1).otherwise(0).cast("long")
-    return ordered(d, keys, time, span, sameSlot=running(opens)).select(*keys, time, "missingLoc", "sameSlot")
+    return ordered(df.select(*keys, time, value), keys, time, span, missingLoc=position(), sameSlot=openings(missing)).where(missing).drop(value)
 
 
 def impute_single(df: DataFrame, keys: Sequence[str], value: str = "Velocity", time: str = "Timestamp", span: int = SPAN_SECONDS) -> DataFrame:
@@ -125,12 +124,11 @@ def impute_single(df: DataFrame, keys: Sequence[str], value: str = "Velocity", t
 def interpolate_small(df: DataFrame, keys: Sequence[str], value: str = "Velocity", time: str = "Timestamp", longest: int = 5, span: int = SPAN_SECONDS) -> DataFrame:
     """Fill runs of at most ``longest`` missing rows linearly in time between the values around them."""
     known = F.when(F.col(value).isNotNull(), F.col(time))
-    d = ordered(df, keys, time, span, _i=position())
-    at = F.when(F.col(value).isNotNull(), F.col("_i"))
+    present = F.col(value).isNotNull()
     d = ordered(
-        d, keys, time, span,
-        _v0=last_known(value), _t0=last_known(known), _i0=last_known(at),
-        _v1=next_known(value), _t1=next_known(known), _i1=next_known(at),
+        df, keys, time, span,
+        _v0=last_known(value), _t0=last_known(known), _i0=last_place(present),
+        _v1=next_known(value), _t1=next_known(known), _i1=next_place(present),
     )
     fraction = (seconds(time) - seconds("_t0")) / (seconds("_t1") - seconds("_t0"))
     fits = F.col(value).isNull() & (F.col("_i1") - F.col("_i0") - 1 <= longest)
