@@ -94,13 +94,13 @@ _PROBS = (0.0, 0.33, 0.66, 1.0)
   SELECT event_type, round(q[1], 3) AS t0, round(q[2], 3) AS t33, round(q[3], 3) AS t66, round(q[4], 3) AS t100, {R('l[1]')} AS lo, {R('l[2]')} AS hi, {R('margin')} AS margin FROM q""")
 def _(t: Tables):
     d = t.events.select("event_type", (F.unix_timestamp("ts") + F.date_format("ts", "SSSSSS").cast("double") / 1e6).alias("at"), "value")
-    times = A.quantiles(d, "at", _PROBS, ["event_type"])
-    limits = A.quantiles(d, "value", (0.05, 0.95), ["event_type"])
-    pick = lambda p: F.max(F.when(F.col("prob") == p, F.col("value")))
-    a = times.groupBy("event_type").agg(*[F.round(pick(p), 3).alias(n) for p, n in zip(_PROBS, ("t0", "t33", "t66", "t100"))])
-    b = limits.groupBy("event_type").agg(r6(pick(0.05)).alias("lo"), r6(pick(0.95)).alias("hi"))
-    m = d.groupBy("event_type").agg(r6((F.max("value") - F.min("value")) * 0.05).alias("margin"))
-    return a.join(b, "event_type").join(m, "event_type")
+    # Both columns at once, as two rows.
+    long = d.select("event_type", F.explode(F.array(F.struct(F.lit("at").alias("col"), F.col("at").alias("v")), F.struct(F.lit("value").alias("col"), F.col("value").alias("v")))).alias("r")).select("event_type", "r.*")
+    q = A.quantiles(long, "v", (*_PROBS, 0.05, 0.95), ["event_type", "col"])
+    pick = lambda col, p: F.max(F.when((F.col("col") == col) & (F.col("prob") == p), F.col("value")))
+    return q.groupBy("event_type").agg(
+        *[F.round(pick("at", p), 3).alias(n) for p, n in zip(_PROBS, ("t0", "t33", "t66", "t100"))],
+        r6(pick("value", 0.05)).alias("lo"), r6(pick("value", 0.95)).alias("hi"), r6((pick("value", 1.0) - pick("value", 0.0)) * 0.05).alias("margin"))
 
 
 @query("quantiles_of_copies", f"""SELECT l_returnflag, CAST(q.p AS DOUBLE) AS prob, {R('v')} AS value FROM (

@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from sensorloom.config import EXCLUDED_STATION, SERIES, VELOCITIES
 from sensorloom.functions.columns import floor_time, null_outside
 from sensorloom.operators.joins import salted_join
+from sensorloom.session import written
 
 
 def station_mean(
@@ -110,55 +111,81 @@ def r_squared(df: DataFrame, observed: str, predicted: str, keys: Sequence[str]
     return df.groupBy(*keys).agg(F.pow(_corr(observed, predicted), F.lit(2.0)).alias("r2"))
 
 
-def quantiles(df: DataFrame, col: str, probs: Sequence[float], keys: Sequence[str] = (), accuracy: int = 10000) -> DataFrame:
+def quantiles(df: DataFrame, col: str, probs: Sequence[float], keys: Sequence[str] = (), accuracy: int = 10000, most: int = 100_000) -> DataFrame:
     """Exact quantiles with linear interpolation, one row per key and probability.
 
-    Spark's exact ``percentile`` holds all distinct values of a group in one task.
-    Here a mergeable sketch, whose rank error is at most n / ``accuracy``, brackets
-    each wanted rank; rows below the bracket are only counted, and the few inside
-    it (about ten in ``accuracy`` per probability, copies of a value as one row)
-    are ranked. In small groups a wanted rank may lie one beside the bracket, so the nearest values on either side are kept too.
+    Spark's exact ``percentile`` holds all distinct values of a group in one task. Here each wanted rank has a bracket, which at first
+    holds the whole group. A mergeable histogram of what is inside, of equal shares with a rank error of at most 1 / ``accuracy``, names
+    the few shares that the rank lies in, and these are the next bracket, until none holds more than ``most`` rows between its
+    borders; rows below are only counted. What is left, copies of a value as one row, is ranked, so no task ranks more
+    than ``most`` values and the borders. Keys and values are written to the scratch folder; a round reads them twice and leaves one row in fifty or fewer.
     """
-    keys = list(keys)
+    keys, probs = list(keys), [float(p) for p in probs]
     by = keys or ["_all"]
     d = (df if keys else df.withColumn("_all", F.lit(1))).where(F.col(col).isNotNull()).select(*by, F.col(col).cast("double").alias("_v"))
-    slack = 5.0 / accuracy
-    edges = [e for p in probs for e in (max(p - slack, 0.0), min(p + slack, 1.0))]
-    cuts = d.groupBy(*by).agg(F.count(F.lit(1)).alias("_total"), F.percentile_approx("_v", edges, accuracy).alias("_cuts"))
-
-    def under(i: int, p: float) -> Column:
-        return (F.col("_v") < F.col("_cuts")[2 * i]) if p - slack > 0 else F.lit(False)
-
-    def over(i: int, p: float) -> Column:
-        return (F.col("_v") > F.col("_cuts")[2 * i + 1]) if p + slack < 1 else F.lit(False)
-
-    placed = salted_join(d, cuts, by, "_v", "inner")
-    counts = placed.groupBy(*by).agg(F.max("_total").alias("_total"), F.array(*[
-        F.struct(
-            F.lit(i).alias("_i"), F.lit(float(p)).alias("_p"), F.count_if(under(i, p)).alias("_below"),
-            F.max(F.when(under(i, p), F.col("_v"))).alias("_before"), F.min(F.when(over(i, p), F.col("_v"))).alias("_after"),
-        ) for i, p in enumerate(probs)
-    ]).alias("_w")).select(*by, "_total", F.inline("_w"))
-    inside = F.array_compact(F.array(*[F.when(~under(i, p) & ~over(i, p), F.lit(i)) for i, p in enumerate(probs)]))
-    near = placed.where(F.size(inside) > 0).select(*by, "_v", F.explode(inside).alias("_i"))
+    d = written(d, "values")
+    shares = [k / _SHARES for k in range(_SHARES + 1)]
+    slack = 1 + 2 * _SHARES // accuracy
+    places = [F.get("_w", F.lit(i)) for i in range(len(probs))]
+    within = [(F.col("_v") > w["lo"]) & (F.col("_v") < w["hi"]) for w in places]
+
+    def wide(w: Column) -> Column:
+        return w["n"] > most
+
+    def counted(brackets: DataFrame) -> DataFrame:
+        """Brackets with the rows below them, at their lower border and inside."""
+        placed = salted_join(d, written(brackets, "cuts"), by, "_v", "inner")
+        return written(placed.groupBy(*by).agg(F.array(*[
+            F.struct(*[F.first(w[c]).alias(c) for c in ("p", "lo", "hi", "total")], F.count_if(F.col("_v") < w["lo"]).alias("below"),
+                     F.count_if(F.col("_v") <= w["lo"]).alias("upto"), F.count_if(x).alias("n")) for w, x in zip(places, within)
+        ]).alias("_w")), "brackets")
+
+    # The first bracket is open, as missing numbers rank as the largest, and the same for all ranks: one histogram serves them.
+    first = d.groupBy(*by).agg(F.count(F.lit(1)).alias("_n"), F.percentile_approx("_v", shares, accuracy).alias("_cuts"))
+    whole = F.array(*[F.struct(
+        F.lit(p).alias("p"), F.lit(float("-inf")).alias("lo"), F.lit(float("nan")).alias("hi"), F.col("_n").alias("total"), F.lit(0).cast("long").alias("upto"), F.col("_n").alias("n"),
+    ) for p in probs])
+    state = counted(first.select(*by, F.transform(whole, lambda w: _narrower(w, F.col("_cuts"), slack)).alias("_w")))
+    while not state.where(F.exists("_w", wide)).isEmpty():
+        placed = salted_join(d, state, by, "_v", "inner")
+        cuts = placed.groupBy(*by).agg(F.first("_w").alias("_w"), F.array(*[F.percentile_approx(F.when(x & wide(w), F.col("_v")), shares, accuracy) for w, x in zip(places, within)]).alias("_cuts"))
+        narrow = F.transform(F.arrays_zip(F.col("_w").alias("w"), F.col("_cuts").alias("cuts")), lambda z: F.when(wide(z["w"]), _narrower(z["w"], z["cuts"], slack)).otherwise(z["w"]))
+        state = counted(cuts.select(*by, narrow.alias("_w")))
+    placed = salted_join(d, state, by, "_v", "inner")
+    inside = [F.col("_v").between(w["lo"], w["hi"]) for w in places]
+    near = placed.select(*by, "_v", F.explode(F.array_compact(F.array(*[F.when(x, F.lit(i)) for i, x in enumerate(inside)]))).alias("_i"))
     near = near.groupBy(*by, "_i", "_v").agg(F.count(F.lit(1)).alias("_k"))
     upto = Window.partitionBy(*by, "_i").orderBy("_v").rowsBetween(Window.unboundedPreceding, 0)
-    near = near.withColumn("_to", F.sum("_k").over(upto)).join(counts, [*by, "_i"], "inner")
+    wanted = state.select(*by, F.posexplode("_w").alias("_i", "_b")).select(*by, "_i", F.col("_b.p").alias("_p"), F.col("_b.below").alias("_below"), F.col("_b.total").alias("_total"))
+    near = near.withColumn("_to", F.sum("_k").over(upto)).join(wanted, [*by, "_i"], "inner")
 
     exact = (F.col("_total") - 1) * F.col("_p")
     end = F.col("_below") + F.col("_to")
-    holds = lambda rank: (rank < end) & (rank >= end - F.col("_k"))
 
     def at(rank: Column) -> Column:
-        beside = F.when(F.max(rank) < F.max("_below"), F.max("_before")).otherwise(F.max("_after"))
-        return F.coalesce(F.max(F.when(holds(rank), F.col("_v"))), beside)
+        return F.max(F.when((rank < end) & (rank >= end - F.col("_k")), F.col("_v")))
 
     lower, upper = at(F.floor(exact)), at(F.ceil(exact))
     fraction = F.max(exact - F.floor(exact))
-    out = near.groupBy(*by, F.col("_p").alias("prob")).agg((lower + (upper - lower) * fraction).alias("value"))
+    out = near.groupBy(*by, "_i", F.col("_p").alias("prob")).agg(F.when(lower == upper, lower).otherwise(lower + (upper - lower) * fraction).alias("value"))
     return out.select(*keys, "prob", "value")
 
 
+# Shares of a bracket's histogram.
+_SHARES = 256
+
+
+def _narrower(w: Column, cuts: Column, slack: int) -> Column:
+    """The bracket cut down to the shares beside those with the wanted ranks; its borders are single values and not counted inside."""
+    rank = (w["total"] - 1) * w["p"] - w["upto"]
+    low = F.floor(rank / w["n"] * _SHARES).cast("int") - slack
+    high = F.ceil((rank + 1) / w["n"] * _SHARES).cast("int") + slack
+    # Beyond the outermost shares the bracket keeps its own borders.
+    lo = F.when(low <= 0, w["lo"]).otherwise(F.get(cuts, F.least(low, F.lit(_SHARES))))
+    hi = F.when(high >= _SHARES, w["hi"]).otherwise(F.get(cuts, F.greatest(high, F.lit(0))))
+    return w.withField("lo", lo).withField("hi", hi)
+
+
 def trim_percentile(df: DataFrame, lower: float, upper: float, cols: Sequence[str] = VELOCITIES, keys: Sequence[str] = ("Tree",), spread_by: str = "Timestamp") -> DataFrame:
     """Values outside their column's [lower, upper] percentiles become missing."""
     long = df.unpivot(list(keys), list(cols), "_col", "_v")

@@ -177,3 +177,24 @@ def test_quantiles_of_groups_of_every_size(spark):
         for n, vs in groups.items():
             for p in probs:
                 assert abs(got[n, p] - np.quantile(vs, p)) < 1e-12, (accuracy, n, p)
+
+
+def test_quantiles_narrow_a_long_group_until_few_values_are_ranked(spark):
+    import numpy as np
+
+    from sensorloom.operators.aggregates import quantiles
+
+    # A third of the rows hold one value, some are infinite, and a small group stands beside the long one.
+    d = spark.range(1_000_000).select(F.lit("long").alias("k"), F.when(F.col("id") % 3 == 0, 0.5).otherwise(F.pmod(F.xxhash64("id"), F.lit(10**9)) / 1e9).alias("v"))
+    d = d.union(spark.createDataFrame([("long", float("inf")), ("long", float("-inf")), ("short", 1.0), ("short", 2.0), ("none", None)], "k string, v double"))
+    probs = (0.0, 1e-6, 0.1, 0.333, 0.5, 0.7, 0.999, 1.0)
+    values = {k: np.array([r.v for r in d.where(F.col("k") == k).select("v").collect()]) for k in ("long", "short")}
+    for most in (500, 20_000):
+        got = {(r.k, r.prob): r.value for r in quantiles(d, "v", probs, ["k"], most=most).collect()}
+        assert len(got) == 16
+        for (k, p), v in got.items():
+            want = np.sort(values[k])
+            at = (len(want) - 1) * p
+            low, high = want[int(np.floor(at))], want[int(np.ceil(at))]
+            assert v == low if low == high else abs(v - (low + (high - low) * (at - np.floor(at)))) < 1e-12, (most, k, p)
+    assert rows(quantiles(d.where("k = 'none'"), "v", probs, ["k"])) == []
