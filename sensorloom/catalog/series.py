@@ -144,7 +144,7 @@ def _(t: Tables):
     periods = written(B.number_periods(t.zeroes(), d, span=WEEK), "periods")
     acts = t.actions().withColumn("Action", recode_action("Action"))
     grouped = B.bump_group(d.withColumn("cable_no", cable_number("Cable")), periods, acts, span=WEEK)
-    return B.baseline_flags(B.join_baseline(grouped, B.baseline_values(d, periods, HOUR, span=5)))
+    return B.baseline_flags(B.join_baseline(grouped, B.baseline_values(d, periods, HOUR, span=5), like=d))
 
 
 def hampel_sql(source: str, keys: str, cols: list[str]) -> str:

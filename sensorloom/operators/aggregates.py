@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from sensorloom.config import EXCLUDED_STATION, SERIES, VELOCITIES
 from sensorloom.functions.columns import floor_time, null_outside
-from sensorloom.operators.joins import salted_join
+from sensorloom.operators.joins import hot_keys, salted_join
 from sensorloom.session import written
 
 
@@ -124,6 +124,8 @@ def quantiles(df: DataFrame, col: str, probs: Sequence[float], keys: Sequence[st
     by = keys or ["_all"]
     d = (df if keys else df.withColumn("_all", F.lit(1))).where(F.col(col).isNotNull()).select(*by, F.col(col).cast("double").alias("_v"))
     d = written(d, "values")
+    salts = int(d.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    hot = F.lit(d.sparkSession.range(1).select(hot_keys(d.select(*by), by, salts)).first()[0]).cast("array<bigint>")
     shares = [k / _SHARES for k in range(_SHARES + 1)]
     slack = 1 + 2 * _SHARES // accuracy
     places = [F.get("_w", F.lit(i)) for i in range(len(probs))]
@@ -134,7 +136,7 @@ def quantiles(df: DataFrame, col: str, probs: Sequence[float], keys: Sequence[st
 
     def counted(brackets: DataFrame) -> DataFrame:
         """Brackets with the rows below them, at their lower border and inside."""
-        placed = salted_join(d, written(brackets, "cuts"), by, "_v", "inner")
+        placed = salted_join(d, written(brackets, "cuts"), by, "_v", "inner", hot=hot)
         return written(placed.groupBy(*by).agg(F.array(*[
             F.struct(*[F.first(w[c]).alias(c) for c in ("p", "lo", "hi", "total")], F.count_if(F.col("_v") < w["lo"]).alias("below"),
                      F.count_if(F.col("_v") <= w["lo"]).alias("upto"), F.count_if(x).alias("n")) for w, x in zip(places, within)
@@ -147,11 +149,11 @@ def quantiles(df: DataFrame, col: str, probs: Sequence[float], keys: Sequence[st
     ) for p in probs])
     state = counted(first.select(*by, F.transform(whole, lambda w: _narrower(w, F.col("_cuts"), slack)).alias("_w")))
     while not state.where(F.exists("_w", wide)).isEmpty():
-        placed = salted_join(d, state, by, "_v", "inner")
+        placed = salted_join(d, state, by, "_v", "inner", hot=hot)
         cuts = placed.groupBy(*by).agg(F.first("_w").alias("_w"), F.array(*[F.percentile_approx(F.when(x & wide(w), F.col("_v")), shares, accuracy) for w, x in zip(places, within)]).alias("_cuts"))
         narrow = F.transform(F.arrays_zip(F.col("_w").alias("w"), F.col("_cuts").alias("cuts")), lambda z: F.when(wide(z["w"]), _narrower(z["w"], z["cuts"], slack)).otherwise(z["w"]))
         state = counted(cuts.select(*by, narrow.alias("_w")))
-    placed = salted_join(d, state, by, "_v", "inner")
+    placed = salted_join(d, state, by, "_v", "inner", hot=hot)
     inside = [F.col("_v").between(w["lo"], w["hi"]) for w in places]
     near = placed.select(*by, "_v", F.explode(F.array_compact(F.array(*[F.when(x, F.lit(i)) for i, x in enumerate(inside)]))).alias("_i"))
     near = near.groupBy(*by, "_i", "_v").agg(F.count(F.lit(1)).alias("_k"))

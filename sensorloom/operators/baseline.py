@@ -128,9 +128,9 @@ def last_groups(periods: DataFrame) -> DataFrame:
     return periods.groupBy("Tree").agg(F.max("Group").alias("_last"))
 
 
-def join_baseline(df: DataFrame, values: DataFrame) -> DataFrame:
-    """Attach the baseline of each row's cable and period."""
-    return salted_join(df, values, [*SERIES, "Group"], "Timestamp")
+def join_baseline(df: DataFrame, values: DataFrame, like: DataFrame | None = None) -> DataFrame:
+    """Attach the baseline of each row's cable and period. ``like`` is a table with the same series, to tell the long ones by."""
+    return salted_join(df, values, [*SERIES, "Group"], "Timestamp", like=like, like_on=SERIES if like is not None else None)
 
 
 def baseline_flags(df: DataFrame, keys: Sequence[str] = (*SERIES, "Timestamp")) -> DataFrame:

@@ -4,10 +4,22 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 
+def hot_keys(df: DataFrame, on: Sequence[str], parts: int) -> Column:
+    """Hashes of the keys that hold more rows than half a shuffle partition's share, as a scalar subquery: an array of at most ``2 * parts``.
+
+    A mergeable frequency sketch of fixed size counts the keys in one narrow pass; every key above the bound is in it.
+    """
+    n, key = 2 * parts, F.xxhash64(*on)
+    sketch = F.call_function("approx_top_k", key, F.lit(n), F.lit(max(10_000, 8 * n)))
+    found = df.agg(sketch.alias("top"), F.count(F.lit(1)).alias("n"))
+    often = F.filter("top", lambda x: x["count"] * n > F.col("n"))
+    return found.select(F.transform(often, lambda x: x["item"]).alias("hot")).scalar()
+
+
 def salted_join(
     left: DataFrame,
     right: DataFrame,
@@ -15,19 +27,28 @@ def salted_join(
     spread_by: str | Sequence[str],
     how: str = "left",
     salts: int | None = None,
+    like: DataFrame | None = None,
+    like_on: Sequence[str] | None = None,
+    hot: Column | None = None,
 ) -> DataFrame:
     """Join on keys of which one may hold much of ``left``.
 
-    ``right`` is the smaller side, at most a few rows per key. Left rows of a key
-    are spread over ``salts`` partitions (the session's shuffle partitions) by a hash of ``spread_by`` and each right
-    row is repeated once per salt, so the result is that of the plain join.
+    ``right`` is the smaller side. Left rows of a hot key are spread over ``salts`` partitions (the session's shuffle partitions) by a
+    hash of ``spread_by``, and its right rows are repeated once per salt; all other keys keep one place and one copy,
+    so the result is that of the plain join and copies grow with the hot keys only. Which keys are hot a sketch of ``left`` tells, or of
+    ``like``, where a table with the same keys (or ``like_on``, some of them) is cheaper to read; ``hot`` is what ``hot_keys`` found before.
     """
     if how not in ("left", "inner", "left_semi", "left_anti"):
         raise ValueError(f"a salted join keeps left rows only: {how}")
     salts = salts or int(left.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     spread_by = [spread_by] if isinstance(spread_by, str) else list(spread_by)
-    spread = left.withColumn("_salt", F.pmod(F.xxhash64(*spread_by), F.lit(salts)))
-    copies = right.withColumn("_salt", F.explode(F.sequence(F.lit(0).cast("long"), F.lit(salts - 1).cast("long"))))
+    keys = list(like_on or on)
+    if hot is None:
+        hot = hot_keys((left if like is None else like).select(*keys), keys, salts)
+    is_hot = F.array_contains(hot, F.xxhash64(*keys))
+    none, last = F.lit(0).cast("long"), F.lit(salts - 1).cast("long")
+    spread = left.withColumn("_salt", F.when(is_hot, F.pmod(F.xxhash64(*spread_by), F.lit(salts))).otherwise(none))
+    copies = right.withColumn("_salt", F.explode(F.sequence(none, F.when(is_hot, last).otherwise(none))))
     return spread.join(copies, [*on, "_salt"], how).drop("_salt")
 
 

@@ -156,7 +156,7 @@ def baselined(l2: DataFrame, zeroes: DataFrame, actions: DataFrame, excluded: Da
     values = written(baseline_values(l2, periods, step), "baselines")
     acts = actions.withColumn("Action", recode_action("Action")).where(F.col("Action").isNotNull())
     d = skip_missing_input(l2, zeroes).withColumn("cable_no", cable_number("Cable"))
-    return join_baseline(bump_group(d, periods, acts, span=span).drop("cable_no"), values)
+    return join_baseline(bump_group(d, periods, acts, span=span).drop("cable_no"), values, like=l2)
 
 
 def build_l3(l2: DataFrame, zeroes: DataFrame, actions: DataFrame, excluded: DataFrame | None = None, step: int = STEP_SECONDS, span: int | None = None) -> tuple[DataFrame, DataFrame]:

@@ -72,6 +72,23 @@ def test_salted_join_equals_plain_join(spark):
         assert rows(got, *got.columns) == rows(left.join(right, "k", how).select(*got.columns), *got.columns)
 
 
+def test_only_hot_keys_are_repeated(spark):
+    # One key holds nine tenths of the rows; keys may be null.
+    left = spark.range(2000).select(F.when(F.col("id") % 10 < 9, 7).when(F.col("id") % 10 == 9, F.col("id")).alias("k"), F.col("id").alias("n"))
+    left = left.union(spark.createDataFrame([(None, -1)], left.schema))
+    right = left.select("k").distinct().select("k", (F.coalesce("k", F.lit(0)) * 2).alias("s"))
+    for how in ("left", "inner", "left_semi", "left_anti"):
+        got = J.salted_join(left, right, ["k"], "n", how, salts=8)
+        assert rows(got, *got.columns) == rows(left.join(right, "k", how).select(*got.columns), *got.columns)
+    hot = left.limit(1).select(J.hot_keys(left.select("k"), ["k"], 8)).first()[0]
+    assert hot == [spark.range(1).select(F.xxhash64(F.lit(7).cast("long"))).first()[0]]
+    # The plan makes one copy of each right row but that of the hot key, which gets eight.
+    with_copies = J.salted_join(right.withColumn("n", F.lit(1)), right, ["k"], "n", "inner", salts=8, like=left)
+    assert with_copies.count() == right.where("k is not null").count()
+    is_hot = F.array_contains(J.hot_keys(left.select("k"), ["k"], 8), F.xxhash64("k"))
+    assert right.select(F.explode(F.sequence(F.lit(0), F.when(is_hot, 7).otherwise(0)))).count() == right.count() + 7
+
+
 def test_guide_picks_position_and_date(spark):
     d = spark.createDataFrame([("A", 1, at(i), p, 1.0) for i in range(3) for p in ("outer_vel", "inner_vel")], KEYS + ", Timestamp timestamp_ntz, Position string, Velocity double")
     g = spark.createDataFrame([("A", 1, "inner_vel", at(1))], KEYS + ", Use string, Starting timestamp_ntz")
