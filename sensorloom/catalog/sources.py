@@ -10,11 +10,11 @@ from sensorloom.catalog.registry import R, RV, query, rounded
 from sensorloom.catalog.views import INTERVALS, LOG, RECORDS, TIER, ZEROES, Tables
 from sensorloom.config import AFTER_PREFIX, BASE_PREFIX, PORTS, VELOCITIES
 from sensorloom.functions.columns import path_key
-from sensorloom.session import scratch_dir
+from sensorloom.session import scratch_dir, written
 from sensorloom.sources import incremental as N
 from sensorloom.sources import logger as L
 from sensorloom.sources import tiers as W
-from sensorloom.streaming.imports import stream_import
+from sensorloom.streaming.imports import stream_import, stream_resample
 
 FIELDS = [
     "TIMESTAMP", *L.RENAMES, *[f"{BASE_PREFIX}_Avg({i})" for i in range(1, PORTS + 1)], *[f"{AFTER_PREFIX}_Avg({i})" for i in range(1, PORTS + 1)],
@@ -74,6 +74,24 @@ def _(t: Tables):
     return line_facts(L.format_logger(d, path_key("path", FOLDER_KEY)))
 
 
+@query("stream_resample", f"""WITH {TIER} SELECT Tree, Cable, date_trunc('day', Timestamp) AS Timestamp, {', '.join(f"{R(f'avg({c})')} AS {c}" for c in VELOCITIES)} FROM tier GROUP BY 1, 2, 3""")
+def _(t: Tables):
+    """The tier arrives in two lots, by time; the second run of the stream goes on from the state of the first."""
+    d = t.tier_wide().select("Tree", "Cable", "Timestamp", *VELOCITIES)
+    arrived, out, state = (scratch_dir(t.spark, n) for n in ("arrived", "daily", "stream-state"))
+    d = written(d, "tier")
+    middle = d.agg(F.min("Timestamp") + (F.max("Timestamp") - F.min("Timestamp")) / 2).scalar()
+    # A row far ahead closes the last days.
+    ahead = d.agg(F.max("Timestamp").alias("t")).select(F.lit("ahead").alias("Tree"), F.lit(0).alias("Cable"), (F.col("t") + F.make_dt_interval(days=F.lit(30))).alias("Timestamp"))
+    for lot in (d.where(F.col("Timestamp") <= middle), d.where(F.col("Timestamp") > middle), ahead):
+        lot.write.mode("append").parquet(arrived)
+        stream = stream_resample(t.spark.readStream.schema(d.schema).parquet(arrived), VELOCITIES, "1 day", "1 day")
+        run = stream.writeStream.format("parquet").option("path", out).option("checkpointLocation", state).outputMode("append").trigger(availableNow=True).start()
+        run.awaitTermination()
+    daily = t.spark.read.schema(stream.schema).parquet(out).where("Tree <> 'ahead'")
+    return rounded(daily, *VELOCITIES)
+
+
 @query("format_logger", f"WITH {LINES} SELECT {LINE_COLS} FROM lines")
 def _(t: Tables):
     lines = logger_lines(t)

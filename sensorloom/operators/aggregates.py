@@ -77,7 +77,7 @@ def pairwise_corr(df: DataFrame, target: str, candidates: Sequence[str], keys: S
     One row per key and candidate; missing where fewer than two pairs or no variation.
     """
     stats = [
-        F.struct(F.lit(c).alias("Sensor"), _corr(target, c).alias("corr"), _pairs(target, c).alias("pairs"))
+        F.struct(F.lit(c).alias("Sensor"), correlation(target, c).alias("corr"), _pairs(target, c).alias("pairs"))
         for c in candidates
     ]
     d = df.groupBy(*keys).agg(F.array(*stats).alias("_s")).select(*keys, F.explode("_s").alias("_s"))
@@ -89,7 +89,8 @@ def _both(a: str, b: str) -> tuple[Column, Column]:
     return F.when(y.isNotNull(), x), F.when(x.isNotNull(), y)
 
 
-def _corr(a: str, b: str) -> Column:
+def correlation(a: str, b: str) -> Column:
+    """Over the rows where both are present; missing without variation."""
     x, y = _both(a, b)
     varied = (F.min(x) < F.max(x)) & (F.min(y) < F.max(y))
     return F.when(varied, F.corr(x, y))
@@ -108,7 +109,7 @@ def best_neighbour(corrs: DataFrame, keys: Sequence[str] = (), absolute: bool =
 
 
 def r_squared(df: DataFrame, observed: str, predicted: str, keys: Sequence[str] = ()) -> DataFrame:
-    return df.groupBy(*keys).agg(F.pow(_corr(observed, predicted), F.lit(2.0)).alias("r2"))
+    return df.groupBy(*keys).agg(F.pow(correlation(observed, predicted), F.lit(2.0)).alias("r2"))
 
 
 def quantiles(df: DataFrame, col: str, probs: Sequence[float], keys: Sequence[str] = (), accuracy: int = 10000, most: int = 100_000) -> DataFrame:

@@ -16,7 +16,7 @@ from pyspark.sql import functions as F
 
 from sensorloom.config import SPAN_SECONDS, STEP_SECONDS, VELOCITIES
 from sensorloom.functions.columns import all_missing, shift
-from sensorloom.operators.aggregates import best_neighbour, pairwise_corr
+from sensorloom.operators.aggregates import correlation
 from sensorloom.operators.joins import neighbour_join, salted_join
 from sensorloom.operators.ordered import last_known, ordered, running
 from sensorloom.operators.series import gap_context
@@ -143,7 +143,8 @@ def predict_interaction(df: DataFrame, model: DataFrame, a: str, b: str, keys: S
 def forest_regress(train: DataFrame, test: DataFrame, y: str, xs: Sequence[str], trees: int = 200, min_node: int = 5, depth: int = 30, bins: int = 128, seed: int = 222, name: str = "pred") -> DataFrame:
     """Random forest on complete rows; predictions for the test rows that have all predictors.
 
-    Trees end at nodes of ``min_node`` rows, or at a depth of 30, the most that Spark allows. Splits are sought at ``bins`` quantiles of a predictor.
+    Trees end at nodes of ``min_node`` rows, or at a depth of 30, the most that Spark allows: a leaf there may hold more rows, and
+    predicts their mean. Splits are sought at ``bins`` quantiles of a predictor.
     """
     stages = [
         VectorAssembler(inputCols=list(xs), outputCol="_x"),
@@ -260,21 +261,21 @@ def fill_from_context(
     """
     by = [*keys, "gap"]
     d = written(gap_context(tier, keys, target, time, rows, span).select(*by, "length", time, target, *candidates), "gap-context")
-    checks = [
+    y = F.col(target)
+    # Checks, correlation and fit of all candidates from one pass of moments.
+    facts = [
         F.struct(
-            F.lit(c).alias("Sensor"),
-            F.count_if(F.col(target).isNull() & F.col(c).isNull()).alias("holes"),
-            F.count_if(F.col(c).isNull()).alias("lost"),
+            F.lit(c).alias("Sensor"), F.count_if(y.isNull() & F.col(c).isNull()).alias("holes"), F.count_if(F.col(c).isNull()).alias("lost"),
+            correlation(target, c).alias("corr"), F.regr_slope(target, c).alias("slope"), F.regr_intercept(target, c).alias("intercept"),
         ) for c in candidates
     ]
-    ok = d.groupBy(*by).agg(
-        F.count(F.lit(1)).alias("_rows"), F.count_if(F.col(target).isNull()).alias("_missing"),
-        F.max("length").alias("_length"), F.array(*checks).alias("_c"),
+    fits = d.groupBy(*by).agg(
+        F.count(F.lit(1)).alias("_rows"), F.count_if(y.isNull()).alias("_missing"), F.max("length").alias("_length"), F.array(*facts).alias("_c"),
     ).where((F.col("_rows") == F.col("_length") + 2 * rows) & (F.col("_missing") == F.col("_length")))
-    ok = ok.select(*by, F.explode("_c").alias("_c")).where((F.col("_c.holes") == 0) & (F.col("_c.lost") <= 1)).select(*by, "_c.Sensor")
-    corrs = pairwise_corr(d, target, candidates, by).join(ok, [*by, "Sensor"], "left_semi")
-    best = best_neighbour(corrs, by, absolute=True).where(F.abs("corr") > 0)
-    d = d.join(best.select(*by, "Sensor"), by)
-    d = d.withColumn("_x", F.coalesce(*[F.when(F.col("Sensor") == c, F.col(c)) for c in candidates]))
-    preds = predict_pair(d.where(F.col(target).isNull()), ols_pair(d, target, "_x", by), "_x", by, time)
-    return preds.select(*by, time, "Sensor", F.col("yhat").alias("filled"))
+    usable = F.filter("_c", lambda c: (c["holes"] == 0) & (c["lost"] <= 1) & (F.abs(c["corr"]) > 0))
+    # The highest absolute correlation; names break ties.
+    order = F.transform(usable, lambda c: F.struct((-F.abs(c["corr"])).alias("s"), c["Sensor"].alias("Sensor"), c["slope"].alias("slope"), c["intercept"].alias("intercept")))
+    model = fits.select(*by, F.array_min(order).alias("_m")).where("_m is not null").select(*by, "_m.Sensor", "_m.slope", "_m.intercept")
+    preds = d.where(y.isNull()).join(model, by)
+    x = F.coalesce(*[F.when(F.col("Sensor") == c, F.col(c)) for c in candidates])
+    return preds.select(*by, time, "Sensor", (F.col("intercept") + F.col("slope") * x).alias("filled"))

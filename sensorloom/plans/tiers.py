@@ -30,8 +30,8 @@ from sensorloom.sources.tiers import keys_of, write_flags, write_tier
 
 
 def raw_batch(spark: SparkSession, path: str | Sequence[str], log: DataFrame, tree: Column | None = None) -> tuple[DataFrame, DataFrame, DataFrame]:
-    """Logger files to (rows to append, new import log, report). The text is parsed once, into a table in the scratch folder."""
-    rows = written(format_logger(read_logger(spark, path), tree), "parsed")
+    """Logger files to (rows to append with the path of their file, new import log, report). The text is parsed once, into a table in the scratch folder."""
+    rows = written(format_logger(read_logger(spark, path), tree, ("path",)), "parsed")
     batch = import_batch(rows, log)
     return batch, import_log_upsert(log, import_ends(rows)), import_report(rows, log)
 
@@ -42,15 +42,17 @@ def import_raw(
 ) -> tuple[DataFrame, DataFrame]:
     """Write the new rows of logger files to the raw tier; returns the new log and the report, and writes them if paths are given.
 
-    The raw tier has one folder per batch and tree, as the stream's has. An import's folder is named by ``batch`` or else by
-    the log that it starts from, so one that is run again from the same log and files replaces what it wrote. The log is written
-    last: a job that dies before is imported again and neither lost nor doubled. Start every import from the log of the one before.
+    The raw tier has one folder per batch and tree, as the stream's has. A batch is one file of an import, named by ``batch`` or else by the
+    log that the import starts from, and by the file. So an import that is run again from the same log replaces what it wrote, also if
+    more files have come since, and imports of other files from that log stand beside each other. The log is written
+    last: a job that dies before is imported again and neither lost nor doubled.
     """
     if batch is None:
         cells = F.sum(F.xxhash64("Tree", "last_import").cast("decimal(38,0)"))
         batch = f"log-{log.agg(F.coalesce(cells, F.lit(0))).first()[0]}"
     rows, new_log, report = raw_batch(spark, path, log, tree)
-    write_tier(rows.withColumn("batch", F.lit(batch)), raw_path, ("batch", "Tree"))
+    name = F.concat(F.lit(f"{batch}-"), F.lower(F.hex(F.xxhash64("path"))))
+    write_tier(rows.withColumn("batch", name).drop("path"), raw_path, ("batch", "Tree"))
     new_log, report = written(new_log, "log"), written(report, "report")
     if report_path:
         report.write.mode("overwrite").parquet(report_path)

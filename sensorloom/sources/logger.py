@@ -8,6 +8,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from sensorloom.functions.columns import minute_stamp, path_key
+from sensorloom.session import written
 
 TIME = "TIMESTAMP"
 # Names the tiers use for the logger's housekeeping fields.
@@ -20,28 +21,32 @@ RENAMES = {
 
 
 def read_lines(spark: SparkSession, path: str | Sequence[str]) -> DataFrame:
-    """Lines of the files with the path they come from."""
-    return spark.read.text(path).select(F.col("_metadata.file_path").alias("path"), F.col("value"))
+    """Lines of the files with the path they come from and where their part of the file begins."""
+    return spark.read.text(path).select(F.col("_metadata.file_path").alias("path"), F.col("_metadata.file_block_start").alias("block"), F.col("value"))
 
 
-def layouts(lines: DataFrame) -> dict[tuple[str, ...], list[str]]:
-    """Field names from the name lines, and the files of each layout: one name line per file reaches the driver."""
+def name_lines(lines: DataFrame) -> DataFrame:
+    """(path, names): the line of field names of each file, which stands in its first part."""
     unquoted = F.regexp_replace("value", '"', "")
-    found = lines.where(unquoted.startswith(TIME + ",")).select("path", unquoted.alias("h")).distinct().collect()
+    top = lines.where(F.col("block") == 0) if "block" in lines.columns else lines
+    found = top.where(unquoted.startswith(TIME + ",")).select("path", F.split(unquoted, ",").alias("names"))
+    return found.select("path", F.transform("names", lambda n: F.trim(n)).alias("names")).groupBy("path").agg(F.min("names").alias("names"))
+
+
+def layouts(heads: DataFrame) -> list[list[str]]:
+    """The different lists of field names: one row per layout, not per file, reaches the driver."""
+    found = sorted(r["names"] for r in heads.select("names").distinct().collect())
     if not found:
         raise ValueError("expected logger files, found no line of field names")
-    out: dict[tuple[str, ...], list[str]] = {}
-    for r in sorted(found, key=lambda r: (r["path"], r["h"])):
-        out.setdefault(tuple(name.strip() for name in r["h"].split(",")), []).append(r["path"])
-    return out
+    return found
 
 
 def header_names(lines: DataFrame) -> list[str]:
     """Field names of files that share one layout."""
-    found = list(layouts(lines))
+    found = layouts(name_lines(lines))
     if len(found) != 1:
         raise ValueError("expected one layout of logger fields, found several")
-    return list(found[0])
+    return found[0]
 
 
 def parse_lines(lines: DataFrame, names: Sequence[str], keep: Sequence[str] = ("path",), dedupe: bool = True) -> DataFrame:
@@ -67,26 +72,29 @@ def _ddl(names: Sequence[str]) -> str:
 
 
 def read_logger(spark: SparkSession, path: str | Sequence[str], names: Sequence[str] | None = None) -> DataFrame:
-    """Read logger files. Names are taken from the files unless given, which takes a pass over the text.
+    """Read logger files. Names are taken from the first part of each file unless given.
 
-    Files of different layouts are read layout by layout and united by name; fields that a file lacks are missing.
+    Files of different layouts are united by name; fields that a file lacks are missing. The names are written to the scratch folder.
     """
     lines = read_lines(spark, path)
     if names:
         return parse_lines(lines, names)
-    found = layouts(lines)
+    heads = written(name_lines(lines), "names")
+    found = layouts(heads)
     if len(found) == 1:
-        return parse_lines(lines, next(iter(found)))
-    parts = [parse_lines(read_lines(spark, files), fields) for fields, files in found.items()]
+        return parse_lines(lines, found[0])
+    # Files and their names meet as tables; each layout parses the lines of its files.
+    known = lines.join(heads, "path")
+    parts = [parse_lines(known.where(F.col("names") == F.array(*[F.lit(n) for n in fields])), fields) for fields in found]
     out = parts[0]
     for d in parts[1:]:
         out = out.unionByName(d, allowMissingColumns=True)
     return out
 
 
-def format_logger(df: DataFrame, tree: Column | None = None) -> DataFrame:
-    """Tree first, no NaN, housekeeping fields renamed."""
+def format_logger(df: DataFrame, tree: Column | None = None, keep: Sequence[str] = ()) -> DataFrame:
+    """Tree first, no NaN, housekeeping fields renamed. ``keep`` may name the path."""
     tree = path_key("path") if tree is None else tree
     fields = [c for c in df.columns if c not in ("path", "Timestamp")]
     nan = F.lit(float("nan"))
-    return df.select(tree.alias("Tree"), "Timestamp", *[F.nullif(F.col(f"`{c}`"), nan).alias(RENAMES.get(c, c)) for c in fields])
+    return df.select(tree.alias("Tree"), "Timestamp", *[F.nullif(F.col(f"`{c}`"), nan).alias(RENAMES.get(c, c)) for c in fields], *keep)

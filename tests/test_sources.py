@@ -75,6 +75,27 @@ def test_the_same_import_twice_equals_once(spark, folder, tmp_path):
     assert spark.read.parquet(raw).count() == 3 and rows(spark.read.parquet(log_path)) == [("ET3", at(2))]
 
 
+def test_imports_of_other_files_from_one_log_stand_beside_each_other(spark, folder, tmp_path):
+    raw, other = str(tmp_path / "raw"), str(tmp_path / "other")
+    log = spark.createDataFrame([], schemas.IMPORT_LOG)
+    import_raw(spark, folder, log, raw)
+    os.makedirs(other)
+    logger_file(other, "ET3_Data_Table_2.dat", ['"2024-01-03 00:30",4,21,12,3,8'])
+    import_raw(spark, other, log, raw)
+    assert spark.read.parquet(raw).count() == 4
+    # Run again with one more file, both take the place of what was there.
+    logger_file(other, "ET3_Data_Table_3.dat", ['"2024-01-04 00:30",5,21,12,3,8'])
+    import_raw(spark, other, log, raw)
+    assert sorted(r.Record_Number for r in spark.read.parquet(raw).collect()) == [1, 2, 3, 4, 5]
+
+
+def test_names_come_from_the_first_part_of_a_file(spark, folder):
+    lines = L.read_lines(spark, folder)
+    # A line like that of names further on in a file is no header.
+    later = lines.where("value like '%TIMESTAMP%'").selectExpr("path", "block + 1000 AS block", "'TIMESTAMP,RECORD,Fake' AS value")
+    assert L.header_names(lines.union(later)) == L.header_names(lines)
+
+
 def test_stream_loses_no_late_file(spark, tmp_path):
     folder = str(tmp_path / "in")
     os.makedirs(folder)
@@ -216,6 +237,20 @@ def test_stream_of_tier_rows_resamples_like_a_batch(spark, tmp_path):
     assert rows(got.where(F.col("Timestamp") < at(32)).select("Tree", "Cable", "Timestamp", "outer_vel"), "Timestamp") == rows(want, "Timestamp")
 
 
+def test_a_row_behind_the_watermark_is_lost_and_one_within_it_is_not(spark, tmp_path):
+    from sensorloom.streaming.imports import stream_resample
+
+    path, out, state = (str(tmp_path / n) for n in ("in", "out", "state"))
+    lots = [[at(0), at(1), at(40)], [at(2), at(33)], [at(120)]]
+    for lot in lots:
+        spark.createDataFrame([("T1", 1, t, 1.0, None, None) for t in lot], schemas.L1).write.mode("append").parquet(path)
+        stream = stream_resample(spark.readStream.schema(schemas.L1).parquet(path), ["outer_vel"], "2 hours")
+        stream.writeStream.format("parquet").option("path", out).option("checkpointLocation", state).outputMode("append").trigger(availableNow=True).start().awaitTermination()
+    # The second lot finds the hour of its first row closed; that of its second is open, as is the state it goes on from.
+    got = [r.Timestamp for r in spark.read.schema(stream.schema).parquet(out).orderBy("Timestamp").collect()]
+    assert got == [at(0), at(32), at(40)]
+
+
 def test_span_follows_the_busiest_day(spark):
     from sensorloom.operators.ordered import span_for
 
