@@ -1,15 +1,16 @@
 """Toxicity by a support vector machine on a subsequence string kernel.
 
-Two words are alike by the subsequences of three characters that they share; one spread over ``n``
-characters counts DECAY ** n, so gaps and inserted characters weaken a likeness and don't end it. Landmark
-words span the Nyström features on which the machine is trained. The feature map of a word is a sparse count of
-subsequences, so machine and landmarks fold into one weight per subsequence, and scoring a
-text is a pass of look-ups over its characters. A text scores as its worst word.
+A text is a stream of letters, digits and one mark between words. Two windows of text are alike by the subsequences of three symbols
+that they share; one spread over ``n`` symbols counts DECAY ** n, so gaps and inserted characters weaken a likeness and don't
+end it, and subsequences run across words. Landmark windows span the Nyström features on which the machine is trained. A label holds for
+a whole text, so the machine is trained in rounds: on the windows of marked texts that look worst to the round before, and on
+windows of clean texts. The feature map of a window is a sparse count of subsequences, so machine and landmarks fold into
+one weight per subsequence, and scoring a text is a pass of look-ups. A machine for short windows and one for long ones
+tell how bad a text's worst window is and how much of the text is guilty, and a line through these gives the score.
 """
 
 from __future__ import annotations
 
-import zlib
 from collections.abc import Iterator
 from dataclasses import dataclass
 
@@ -21,112 +22,129 @@ from pyspark.sql import types as T
 
 from sensorloom.llm.blocks import text_or_empty
 
-DECAY = 0.75
-# Distances between the three characters: up to five characters in all.
-GAPS = ((1, 1), (1, 2), (2, 1), (2, 2), (1, 3), (3, 1))
-_LETTERS = "abcdefghijklmnopqrstuvwxyz0123456789äöüßéèêçàñíóáú'-"
+DECAY = 0.85
+# Distances between the three symbols: up to two more between any two of them.
+GAPS = tuple((a, b) for a in (1, 2, 3) for b in (1, 2, 3))
+_REACH = 6
+# Subsequences that begin at so many symbols in a row make a window: a short one for a word, a long one for several.
+WINDOWS = (6, 14)
 _CLASSES = 64
+_MARK = 63
+# The length of the feature vector of one symbol's subsequences.
+_NORM = float(np.sqrt(sum(DECAY ** (2 * (a + b + 1)) for a, b in GAPS)))
 
 
 def _classes() -> np.ndarray:
-    out = np.arange(0x10000, dtype=np.int64) % 10 + 1 + len(_LETTERS)
-    for i, c in enumerate(_LETTERS):
+    """Letters a to z and digits have a class each, other letters share 26; white space is the mark, all else is left out (0)."""
+    out = np.zeros(0x110000, np.uint8)
+    for i in range(0x80, 0x110000):
+        if chr(i).isalnum():
+            out[i] = 37 + i % 26
+    for i, c in enumerate("abcdefghijklmnopqrstuvwxyz0123456789"):
         out[ord(c)] = i + 1
-    out[[9, 10, 11, 12, 13, 32]] = 0
-    return out.astype(np.int32)
+    out[[9, 10, 11, 12, 13, 32]] = _MARK
+    return out
 
 
-_CLASS = _classes()
+_CLASS: np.ndarray | None = None
 
 
-def coded(texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
-    """Classes of all characters, with a space after each text, and where each text begins.
+def streams(texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
+    """The symbols of all texts, each behind a mark and before a mark and ``_REACH`` zeros, and where each begins (and the last ends).
 
-    A space or sign between two lone letters is left out, so that a spelled-out word is one word.
+    Signs are left out, and so is the mark between two lone letters: a spelled-out or dotted word is one word.
     """
-    joined = " ".join(t.lower() for t in texts) + " "
-    points = np.frombuffer(joined.encode("utf-32-le", "replace"), np.uint32)
-    codes = _CLASS[np.minimum(points, 0xFFFF)]
-    # Lowering may change a length.
-    size = np.array([len(t.lower()) + 1 for t in texts])
-    start = np.cumsum(size) - size
-    gap = codes == 0
-    # Lone letters: a gap or sign on either side. What stands between two of them goes.
-    side = gap | (codes > len(_LETTERS) - 2)
-    edge = np.concatenate([[True], side, [True]])
-    lone = ~side & edge[:-2] & edge[2:]
-    between = np.zeros(len(codes), bool)
-    between[1:-1] = side[1:-1] & lone[:-2] & lone[2:]
-    between[start[1:] - 1] = False
-    kept = ~between
-    moved = np.cumsum(kept) - kept
-    return codes[kept], moved[start]
-
-
-def subsequences(codes: np.ndarray) -> Iterator[tuple[np.ndarray, np.ndarray, float]]:
-    """For each way of spacing: first places, numbers of the subsequences there, and their weight. None spans a space."""
-    word = np.cumsum(codes == 0)
+    global _CLASS
+    if _CLASS is None:
+        _CLASS = _classes()
+    ends = "\0" * _REACH
+    low = [" " + t.lower() + " " for t in texts]
+    points = np.frombuffer(ends.join([*low, ""]).encode("utf-32-le", "replace"), np.uint32)
+    code = _CLASS[points]
+    size = np.array([len(t) + _REACH for t in low], np.int64)
+    start = np.concatenate([[0], np.cumsum(size)])
+    # Zeros of a text itself are signs; those put in end it.
+    put = np.zeros(len(code), bool)
+    for k in range(_REACH):
+        put[start[1:] - 1 - k] = True
+    kept = (code != 0) | put
+    symbols = code[kept]
+    begin = np.concatenate([[0], np.cumsum(kept)])[start]
+    # Marks in a row are one.
+    again = np.zeros(len(symbols), bool)
+    again[1:] = (symbols[1:] == _MARK) & (symbols[:-1] == _MARK)
+    symbols, begin = symbols[~again], begin - np.concatenate([[0], np.cumsum(again)])[begin]
+    letter = (symbols != _MARK) & (symbols != 0)
+    lone = letter.copy()
+    lone[1:] &= ~letter[:-1]
+    lone[:-1] &= ~letter[1:]
+    between = np.zeros(len(symbols), bool)
+    between[1:-1] = (symbols[1:-1] == _MARK) & lone[:-2] & lone[2:]
+    return symbols[~between], begin - np.concatenate([[0], np.cumsum(between)])[begin]
+
+
+def subsequences(symbols: np.ndarray) -> Iterator[tuple[np.ndarray, np.ndarray, float]]:
+    """For each way of spacing: numbers of the subsequences along the last axis (0 where a text ends), and their weight."""
+    n = symbols.shape[-1] - _REACH
+    c = symbols.astype(np.int32)
+    first = c[..., :n]
     for a, b in GAPS:
-        n = a + b
-        if len(codes) <= n:
-            continue
-        first, second, third = codes[:-n], codes[a : len(codes) - b], codes[n:]
-        at = np.flatnonzero((word[:-n] == word[n:]) & (first != 0))
-        yield at, (first[at] * _CLASSES + second[at]) * _CLASSES + third[at], DECAY ** (n + 1)
-
-
-def _norm(size: np.ndarray) -> np.ndarray:
-    """The length of a word's feature vector, if no subsequence repeats; never less than that of four characters."""
-    size = np.maximum(size, 4)
-    return np.sqrt(sum(np.maximum(size - a - b, 0) * DECAY ** (2 * (a + b + 1)) for a, b in GAPS))
-
-
-def worst_words(texts: list[str], table: np.ndarray) -> np.ndarray:
-    """The highest decision value of each text's words (an empty text has that of a word without features)."""
-    codes, start = coded(texts)
-    value = np.zeros(len(codes), np.float64)
-    for at, number, weight in subsequences(codes):
-        value[at] += table[number] * weight
-    begin = np.flatnonzero((codes != 0) & np.concatenate([[True], codes[:-1] == 0]))
-    out = np.zeros(len(texts))
-    if len(begin):
-        gaps = np.flatnonzero(codes == 0)
-        size = gaps[np.searchsorted(gaps, begin)] - begin
-        f = np.add.reduceat(value, begin) / _norm(size)
-        text = np.searchsorted(start, begin, side="right") - 1
-        np.maximum.at(out, text, f)
-    return out
+        second, third = c[..., a : n + a], c[..., a + b : n + a + b]
+        number = (first * _CLASSES + second) * _CLASSES + third
+        number[(first == 0) | (second == 0) | (third == 0)] = 0
+        yield number, DECAY ** (a + b + 1) / _NORM
+
 
+def window_values(symbols: np.ndarray, table: np.ndarray, window: int) -> np.ndarray:
+    """The decision value, without its offset, of the window at each symbol."""
+    value = np.zeros(max(len(symbols) - _REACH, 0))
+    for number, weight in subsequences(symbols):
+        value += table[number] * weight
+    total = np.concatenate([[0.0], np.cumsum(value)])
+    upto = np.minimum(np.arange(len(value)) + window, len(value))
+    return (total[upto] - total[:-1]) / np.sqrt(window)
 
-def features(words: list[str]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Sparse normalized feature vectors: (word, subsequence, value)."""
-    codes, start = coded(words)
-    rows, cols, vals = [], [], []
-    for at, number, weight in subsequences(codes):
-        rows.append(np.searchsorted(start, at, side="right") - 1)
-        cols.append(number)
-        vals.append(np.full(len(at), weight))
-    size = np.diff(np.append(start, len(codes))) - 1
-    r = np.concatenate([np.empty(0, np.int64), *rows])
-    return r, np.concatenate([np.empty(0, np.int64), *cols]), np.concatenate([np.empty(0), *vals]) / _norm(size)[r]
-
-
-def kernel(words: list[str], landmarks: list[str]) -> np.ndarray:
-    """Likeness of each word to each landmark."""
-    r, c, v = features(landmarks)
-    used, col = np.unique(c, return_inverse=True)
-    base = np.zeros((len(landmarks), len(used)))
-    np.add.at(base, (r, col), v)
-    out = []
-    for i in range(0, len(words), 1000):
-        part = words[i : i + 1000]
-        r, c, v = features(part)
-        col = np.minimum(np.searchsorted(used, c), max(len(used) - 1, 0))
-        ok = used[col] == c if len(used) else np.zeros(len(c), bool)
-        m = np.zeros((len(part), len(used)))
-        np.add.at(m, (r[ok], col[ok]), v[ok])
-        out.append(m @ base.T)
-    return np.concatenate(out) if out else np.zeros((0, len(landmarks)))
+
+@dataclass(frozen=True)
+class Machine:
+    """A weight per subsequence for windows of one length, and an offset; a window is guilty above 0."""
+
+    window: int
+    table: np.ndarray
+    offset: float
+
+    def facts(self, symbols: np.ndarray, begin: np.ndarray) -> np.ndarray:
+        """Per text its worst window's value, and the logarithm of what all its windows are guilty of."""
+        f = np.append(window_values(symbols, self.table, self.window), np.full(_REACH, -np.inf)) + self.offset
+        f[symbols == 0] = -np.inf
+        worst = np.maximum.reduceat(f, begin[:-1])
+        return np.stack([worst, np.log1p(np.add.reduceat(np.maximum(f, 0), begin[:-1]) / self.window)], axis=1)
+
+
+def kernel(windows: np.ndarray, landmarks: np.ndarray) -> np.ndarray:
+    """Likeness of each window to each landmark; rows are symbols, the last _REACH of them begin nothing."""
+    def sparse(d: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        parts = [(number, np.full(number.shape, weight, np.float32)) for number, weight in subsequences(d)]
+        number, value = (np.concatenate([p[i] for p in parts], axis=1) for i in (0, 1))
+        row = np.broadcast_to(np.arange(len(d))[:, None], number.shape)
+        ok = number != 0
+        return row[ok], number[ok], value[ok]
+
+    row, number, value = sparse(landmarks)
+    used, col = np.unique(number, return_inverse=True)
+    base = np.zeros((len(landmarks), len(used)), np.float32)
+    np.add.at(base, (row, col), value)
+    place = np.full(_CLASSES**3, -1, np.int32)
+    place[used] = np.arange(len(used))
+    out, norm = [], windows.shape[1] - _REACH
+    for i in range(0, len(windows), 500):
+        row, number, value = sparse(windows[i : i + 500])
+        col = place[number]
+        ok = col >= 0
+        m = np.zeros((min(500, len(windows) - i), len(used)), np.float32)
+        np.add.at(m, (row[ok], col[ok]), value[ok])
+        out.append(m @ base.T / norm)
+    return np.concatenate(out).astype(float) if out else np.zeros((0, len(landmarks)))
 
 
 def train_svm(z: np.ndarray, y: np.ndarray, weight: np.ndarray, ridge: float = 1e-3, steps: int = 60) -> tuple[np.ndarray, float]:
@@ -156,156 +174,183 @@ def train_svm(z: np.ndarray, y: np.ndarray, weight: np.ndarray, ridge: float = 1
 
 @dataclass(frozen=True)
 class Model:
-    """Weight per subsequence, and the line from a text's worst word to the log odds of its label."""
+    """The machines, and the line from their facts to the log odds of a text's label."""
 
-    table: np.ndarray
-    slope: float
+    machines: tuple[Machine, ...]
+    slopes: np.ndarray
     offset: float
 
     def score(self, texts: list[str]) -> np.ndarray:
-        out = np.empty(len(texts))
+        out = np.full(len(texts), float(self.offset))
         at, held = 0, 0
         for i, t in enumerate(texts):
             held += len(t)
-            if held > 1_000_000 or i == len(texts) - 1:
-                out[at : i + 1] = worst_words(texts[at : i + 1], self.table)
+            if self.machines and (held > 1_000_000 or i == len(texts) - 1):
+                out[at : i + 1] += facts(self.machines, *streams(texts[at : i + 1])) @ self.slopes
                 at, held = i + 1, 0
-        return 1 / (1 + np.exp(-np.clip(self.slope * out + self.offset, -30, 30)))
+        return 1 / (1 + np.exp(-np.clip(out, -30, 30)))
 
 
-def _varied(words: list[str], seed: int) -> list[str]:
-    """The words with a sign or letter put in at one place or between all letters, or one letter left out."""
-    rng, out = np.random.default_rng(seed), []
-    for w in words:
-        if len(w) < 5:
-            continue
-        i = int(rng.integers(1, len(w)))
-        out += [w[:i] + str(rng.choice(list(".-*_x1"))) + w[i:], str(rng.choice(list(".-*_"))).join(w), w[:i] + w[i + 1 :]]
-    return out
-
-
-def _units(words) -> set[str]:
-    """A word and its beginnings of four and five characters, which inflected insults share."""
-    out = set()
-    for w in words:
-        if len(w) >= 4:
-            out.update((w, w[:4] + "…", w[:5] + "…"))
-    return out
+def facts(machines: tuple[Machine, ...], symbols: np.ndarray, begin: np.ndarray) -> np.ndarray:
+    return np.concatenate([m.facts(symbols, begin) for m in machines], axis=1)
 
 
 _ODD = np.array([0x9E3779B1, 0x85EBCA77, 0xC2B2AE3D, 0x27D4EB2F, 0x165667B1, 0x2545F491], np.uint64)
 
 
-def _groups(bags: list[set[str]]) -> list[int]:
-    """A number per bag; bags that agree in two of their three pairs of smallest hashes share it, as near copies do."""
+def _weights(rows: list[np.ndarray]) -> np.ndarray:
+    """One over the number of near copies: texts that agree in two of their three pairs of smallest hashes of eight symbols."""
     first: dict[tuple, int] = {}
-    out = []
-    for i, b in enumerate(bags):
-        h = np.array([zlib.crc32(w.encode("utf-8", "replace")) for w in b] or [0], np.uint64)
-        low = ((h[:, None] * _ODD) % np.uint64(2**31 - 1)).min(axis=0).tolist()
+    group = []
+    for i, s in enumerate(rows):
+        s = s.astype(np.uint64)
+        h = np.zeros(max(len(s) - 8, 1), np.uint64)
+        for k in range(8):
+            h = h * np.uint64(131) + (s[k : len(s) - 8 + k] if len(s) > 8 else np.uint64(i))
+        h = (h ^ (h >> np.uint64(31))) & np.uint64(0xFFFFFFFF)
+        low = [int(((h * o) % np.uint64(2**31 - 1)).min()) for o in _ODD]
         keys = [(k, low[k], low[k + 1]) for k in (0, 2, 4)]
         seen = [first[k] for k in keys if k in first]
         g = min(seen) if len(seen) >= 2 else i
         for k in keys:
             first.setdefault(k, g)
-        out.append(g)
+        group.append(g)
+    size = np.bincount(group)
+    return 1.0 / size[group]
+
+
+def _suspicion(rows: list[np.ndarray], toxic: np.ndarray, weight: np.ndarray) -> np.ndarray:
+    """A first guess: how much oftener a subsequence of neighbours is in marked texts than clean ones would have it, as a logarithm."""
+    counts, length = np.zeros((2, _CLASSES**3)), np.zeros(2)
+    for s, y, w in zip(rows, toxic, weight):
+        number, _ = next(subsequences(s))
+        found, n = np.unique(number, return_counts=True)
+        counts[y, found] += w * np.minimum(n, 3)
+        length[y] += w * len(number)
+    expected = counts[0] * (length[1] / max(length[0], 1))
+    out = np.log((counts[1] + 3) / (expected + 3))
+    out[0] = 0
     return out
 
 
-def _telling(marked: list[set[str]], clean: list[set[str]]) -> list[str]:
-    """Units that tell the marked bags from the clean ones.
+def _cut(rows: list[np.ndarray], of: list[int], at: list[int], width: int) -> np.ndarray:
+    """Windows as rows of ``width`` symbols."""
+    out = np.zeros((len(of), width), np.uint8)
+    for k, (i, start) in enumerate(zip(of, at)):
+        piece = rows[i][start : start + width]
+        out[k, : len(piece)] = piece
+    return out
 
-    Near copies count once. A unit must be so often in marked bags that no unit would be by chance, and ten times likelier there than in
-    clean ones. A beginning is told only if it is in clearly more bags than any single word that has it.
-    """
-    def grouped(bags: list[set[str]]) -> list[list[set[str]]]:
-        groups: dict[int, list[set[str]]] = {}
-        for b, g in zip(bags, _groups(bags)):
-            groups.setdefault(g, []).append(b)
-        return list(groups.values())
-
-    def count(groups: list[list[set[str]]], among: dict[str, int] | None = None) -> dict[str, int]:
-        n: dict[str, int] = {}
-        for group in groups:
-            for u in _units(set().union(*group)):
-                if among is None or u in among:
-                    n[u] = n.get(u, 0) + 1
-        return n
-
-    first, second = grouped(marked), grouped(clean)
-    m, c = len(first), len(second)
-    in_marked = count(first)
-    chance = np.log(max(len(in_marked), 2) / 0.01) / np.log((m + c) / m)
-    in_marked = {u: n for u, n in in_marked.items() if n >= chance}
-    in_clean = count(second, in_marked)
-    good = {u: n for u, n in in_marked.items() if n / m > 10 * (in_clean.get(u, 0) + 0.5) / c}
-    for head in [u for u in good if u.endswith("…")]:
-        if good[head] <= 1.3 * max((n for w, n in in_marked.items() if not w.endswith("…") and w.startswith(head[:-1])), default=0):
-            del good[head]
-    return sorted(good, key=lambda u: (-good[u], u))
-
-
-def fit(texts: list[str], toxic: list[int], share: float, *, landmarks: int = 320, negatives: int = 16000, seed: int = 3) -> Model:
+
+def _varied(windows: np.ndarray, rng: np.random.Generator) -> np.ndarray:
+    """Variants with a letter put in at one place or between all symbols, or one left out."""
+    n, width = windows.shape
+    if not n:
+        return windows
+    letters = rng.integers(1, 27, (n, width)).astype(np.uint8)
+    place = rng.integers(2, width - _REACH - 1, n)[:, None]
+    at = np.arange(width)[None, :]
+    one = np.where(at < place, windows, np.where(at == place, letters, np.roll(windows, 1, axis=1)))
+    every = np.where(at % 2 == 0, windows[:, np.arange(width) // 2], letters)
+    less = np.where(at < place, windows, np.roll(windows, -1, axis=1))
+    return np.concatenate([one, every, less])
+
+
+def _spread(windows: np.ndarray, n: int, rng: np.random.Generator) -> np.ndarray:
+    """``n`` windows, each the least like those before it."""
+    some = np.unique(windows, axis=0)
+    some = some[rng.permutation(len(some))[:1500]]
+    if len(some) <= n:
+        return some
+    like = kernel(some, some)
+    near, picked = like[0].copy(), [0]
+    while len(picked) < n:
+        k = int(np.argmin(near / np.sqrt(np.maximum(np.diag(like), 1e-9))))
+        picked.append(k)
+        near = np.maximum(near, like[k])
+        near[k] = np.inf
+    return some[picked]
+
+
+def fit(texts: list[str], toxic: list[int], share: float, *, landmarks: int = 320, negatives: int = 8000, rounds: int = 4, seed: int = 3) -> Model:
     """Train on labelled texts. ``share`` is the share of toxic texts among all labelled rows, which the sample need not have.
 
-    A label holds for the whole text. Units that tell the toxic texts name the words at fault; with variants of them
-    they are the marked sentences' examples, and words of clean texts, the likest ones among them, the others.
+    Each round takes the worst windows of every marked text (those that the machine finds guilty, at least the worst one) with variants of
+    them, and of clean texts the worst windows of all rounds so far and others at random, at most ``negatives``.
+    ``landmarks`` windows, three quarters of them guilty ones as unlike each other as can be, span the features. Near copies
+    share the weight of one text.
     """
     pairs = list(dict(zip(texts, toxic)).items())
-    strip = ".,;:!?\"()[]"
-    # Texts share the objects of their words, so that a bag holds references only.
-    known: dict[str, str] = {}
-    bags = [({known.setdefault(w, w) for w in (x.strip(strip) for x in t.lower().split())}, y) for t, y in pairs]
-    del known
-    marked, clean = [b for b, y in bags if y], [b for b, y in bags if not y]
-    empty = np.zeros(_CLASSES**3)
-    prior = float(np.log(max(share, 1e-6) / max(1 - share, 1e-6)))
-    if not marked or not clean:
-        return Model(empty, 0.0, prior)
-    units = _telling(marked, clean)
-    heads = {u[:-1] for u in units if u.endswith("…")}
-    innocent = set().union(*clean)
-    guilty = sorted({w for b in marked for w in b if w and w not in innocent and (w[:4] in heads or w[:5] in heads)} | {u for u in units if not u.endswith("…")})
-    if not guilty:
-        return Model(empty, 0.0, prior)
-    rng = np.random.default_rng(seed)
-    pool = np.array(sorted(w for w in innocent if w and w not in units), dtype=object)
-    pool = pool[rng.permutation(len(pool))[: 10 * negatives]]
-    guilty = [str(x) for x in rng.permutation(np.array(guilty, dtype=object))[:1500]]
-    stems = [u.rstrip("…") for u in units]
-    shown = list(dict.fromkeys(stems + guilty))[: landmarks * 3 // 4] + [str(x) for x in pool[: landmarks // 4]]
-    likest = np.concatenate([kernel([str(x) for x in pool[i : i + 5000]], stems).max(axis=1) for i in range(0, len(pool), 5000)])
-    hard = pool[np.argsort(-likest, kind="stable")[: 3 * negatives // 4]]
-    others = [str(x) for x in dict.fromkeys([*hard, *pool[: negatives // 4]])]
-    positive = guilty + _varied(guilty, seed)
-    k = kernel(shown, shown)
-    value, vector = np.linalg.eigh(k + 1e-6 * np.eye(len(k)))
-    root = vector @ np.diag(1 / np.sqrt(np.maximum(value, 1e-4))) @ vector.T
-    z = kernel(positive + others, shown) @ root
-    y = np.concatenate([np.ones(len(positive)), -np.ones(len(others))])
-    weight = np.where(y > 0, 0.5 / len(positive), 1.0 / len(others)) * 1000
-    w, offset = train_svm(z, y, weight, ridge=1e-3)
-    r, c, v = features(shown)
-    table = np.zeros(_CLASSES**3)
-    np.add.at(table, c, v * (root @ w)[r])
-    # From the worst word to the label.
-    f = np.concatenate([worst_words([t for t, _ in pairs[i : i + 200]], table) for i in range(0, len(pairs), 200)]) + offset
-    label = np.array([y for _, y in pairs], float)
-    own = np.where(label > 0, share / label.mean(), (1 - share) / (1 - label.mean()))
-    slope, shift = 2.0, 0.0
-    for _ in range(50):
-        p = 1 / (1 + np.exp(-np.clip(slope * f + shift, -30, 30)))
-        g = np.array([(own * (p - label) * f).sum() + 0.01 * slope, (own * (p - label)).sum()])
-        h = own * p * (1 - p)
-        hess = np.array([[(h * f * f).sum() + 0.01, (h * f).sum()], [(h * f).sum(), h.sum() + 1e-6]])
-        step = np.linalg.solve(hess, g)
-        step = step / max(1.0, np.abs(step).max() / 2)
-        slope, shift = slope - step[0], shift - step[1]
-    return Model(table, float(slope), float(slope * offset + shift))
-
-
-def train(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text", label_col: str = "toxic", *, sample: int = 3000, **options) -> Model:
-    """Fit on at most ``sample`` labelled rows of either label, those with the smallest hashes of their ids.
+    y = np.array([int(v) for _, v in pairs])
+    if not len(y) or y.min() == y.max():
+        return Model((), np.zeros(0), float(np.log(max(share, 1e-6) / max(1 - share, 1e-6))))
+    rows = [streams([t])[0] for t, _ in pairs]
+    weight = _weights(rows)
+    suspicion = _suspicion(rows, y, weight)
+    machines = tuple(_machine(rows, y, weight, suspicion, window, landmarks, negatives, rounds, np.random.default_rng(seed)) for window in WINDOWS)
+    x = np.concatenate([facts(machines, s, np.array([0, len(s)])) for s in rows])
+    own = weight * np.where(y == 1, share / (weight * y).sum(), (1 - share) / (weight * (1 - y)).sum()) * len(y)
+    slopes, offset = _line(x, y, own)
+    return Model(machines, slopes, offset)
+
+
+def _line(x: np.ndarray, y: np.ndarray, own: np.ndarray) -> tuple[np.ndarray, float]:
+    """Logistic regression by Newton steps."""
+    d = np.concatenate([x, np.ones((len(x), 1))], axis=1)
+    w, ridge = np.zeros(d.shape[1]), np.append(np.full(x.shape[1], 0.05), 1e-6)
+    for _ in range(60):
+        p = 1 / (1 + np.exp(-np.clip(d @ w, -30, 30)))
+        grad = d.T @ (own * (p - y)) + ridge * w
+        hess = (d.T * (own * p * (1 - p))) @ d + np.diag(ridge)
+        step = np.linalg.solve(hess, grad)
+        w = w - step / max(1.0, np.abs(step).max() / 2)
+        if np.abs(step).max() < 1e-7:
+            break
+    return w[:-1], float(w[-1])
+
+
+def _machine(rows: list[np.ndarray], y: np.ndarray, weight: np.ndarray, table: np.ndarray, window: int, landmarks: int, negatives: int, rounds: int, rng: np.random.Generator) -> Machine:
+    clean, marked, width = np.flatnonzero(y == 0), np.flatnonzero(y == 1), window + _REACH
+    held, offset = np.empty((0, width), np.uint8), None
+    for _ in range(rounds):
+        of, at = [], []
+        for i in marked:
+            value = window_values(rows[i], table, window)
+            # Up to three windows apart from each other.
+            least = 0.5 * value.max() if offset is None else -offset
+            for k in range(3):
+                j = int(value.argmax())
+                if k and value[j] < least:
+                    break
+                of.append(i)
+                at.append(j)
+                value[max(0, j - window) : j + window] = -np.inf
+        guilty = _cut(rows, of, at, width)
+        hard = _cut(rows, list(clean), [int(window_values(rows[i], table, window).argmax()) for i in clean], width)
+        anywhere = rng.choice(clean, negatives // 4)
+        by_chance = _cut(rows, list(anywhere), [int(rng.integers(0, max(len(rows[i]) - _REACH, 1))) for i in anywhere], width)
+        held = np.unique(np.concatenate([held, hard]), axis=0)
+        held = held[rng.permutation(len(held))[: negatives * 3 // 4]]
+        variants = _varied(guilty, rng)
+        variants = variants[rng.permutation(len(variants))[: 2 * len(guilty)]]
+        shown = np.concatenate([_spread(guilty, landmarks * 3 // 4, rng), _spread(np.concatenate([hard, by_chance]), landmarks // 4, rng)])
+        value, vector = np.linalg.eigh(kernel(shown, shown) + 1e-6 * np.eye(len(shown)))
+        root = vector @ np.diag(1 / np.sqrt(np.maximum(value, 1e-3))) @ vector.T
+        z = kernel(np.concatenate([guilty, variants, held, by_chance]), shown) @ root
+        sign = np.concatenate([np.ones(len(guilty) + len(variants)), -np.ones(len(held) + len(by_chance))])
+        cost = np.concatenate([weight[of], np.full(len(variants), weight[of].mean() / 4), np.ones(len(held) + len(by_chance))])
+        for side in (1, -1):
+            cost[sign == side] *= 500 / cost[sign == side].sum()
+        w, offset = train_svm(z, sign, cost, ridge=0.03)
+        table = np.zeros(_CLASSES**3)
+        for number, amount in subsequences(shown):
+            np.add.at(table, number, np.broadcast_to((root @ w)[:, None] * amount / np.sqrt(window), number.shape))
+        table[0] = 0
+    return Machine(window, table, offset)
+
+
+def train(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text", label_col: str = "toxic", *, sample: int = 3000, longest: int = 100_000, **options) -> Model:
+    """Fit on at most ``sample`` labelled rows of either label, those with the smallest hashes of their ids, and of texts of at most ``longest`` characters.
 
     The sample meets in the driver; its ids are bounded, so they are broadcast to the texts.
     Rows whose label is null or no document's are left out. Without toxic labels every text scores the share of toxic rows.
@@ -318,7 +363,7 @@ def train(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col:
         picked = part if picked is None else picked.union(part)
     ids = [(r["_of"], r["_toxic"]) for r in picked.collect()]
     small = docs.sparkSession.createDataFrame(ids, picked.schema)
-    rows = docs.join(F.broadcast(small), F.col(id_col) == F.col("_of")).select("_of", text_or_empty(text_col).alias("t"), "_toxic").collect()
+    rows = docs.join(F.broadcast(small), F.col(id_col) == F.col("_of")).select("_of", text_or_empty(text_col).alias("t"), "_toxic").where(F.length("t") <= longest).collect()
     rows = sorted(((r["_of"], r["t"], r["_toxic"]) for r in rows), key=lambda r: r[:2])
     texts, toxic = [r[1] for r in rows], [r[2] for r in rows]
     del rows
@@ -329,7 +374,7 @@ def train(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col:
 def score(docs: DataFrame, model: Model, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """(id, ``score``, ``predicted``) per row; ``predicted`` is 1 from a score of 0.5 on.
 
-    Null and empty texts score as a text without a fault. Repeated rows score alike. The model, a table of fixed size, goes to every worker once.
+    Null and empty texts score as a text of one mark. Repeated rows score alike. The model, tables of fixed size, goes to every worker once.
     """
     shared = docs.sparkSession.sparkContext.broadcast(model)
 

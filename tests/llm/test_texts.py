@@ -236,8 +236,93 @@ def test_insults_are_found_with_gaps(spark):
     test = _insulting(2, 200)
     got = model.score([t for t, _ in test]) >= 0.5
     assert sum(bool(g) == bool(y) for g, (_, y) in zip(got, test)) >= 196
-    s = model.score(["bake g.r.u.m.p.h.e.a.d lo", "bake gru-mphead lo", "bake g r u m p h e a d", "bake lo mitu", ""])
-    assert (s[:3] >= 0.5).all() and (s[3:] < 0.5).all()
+    s = model.score(["bake g.r.u.m.p.h.e.a.d lo", "bake gru-mphead lo", "bake g r u m p h e a d", "bake g--r--u--m--p--h--e--a--d lo", "g***r***u***m***p***h***e***a***d", "bake grumxphead lo", "bake lo mitu", ""])
+    assert (s[:6] >= 0.5).all() and (s[6:] < 0.5).all()
+
+
+def test_an_insult_of_two_harmless_words_is_learned():
+    syl = ["ba", "ke", "lo", "mi", "tu", "ra", "se", "no", "pi", "de"]
+    rng = random.Random(99)
+    words = list({"".join(rng.choice(syl) for _ in range(rng.randint(2, 3))) for _ in range(150)})
+
+    def texts(seed, n):
+        rng = random.Random(seed)
+        for i in range(n):
+            text = rng.choices(words, k=rng.randint(10, 60))
+            if i % 4 == 0:
+                k = rng.randrange(len(text))
+                text[k : k + 1] = [words[3], words[7]]
+            yield " ".join(text), int(i % 4 == 0)
+
+    train, test = list(texts(1, 800)), list(texts(2, 400))
+    score = string_kernel.fit([t for t, _ in train], [y for _, y in train], 0.25).score([t for t, _ in test])
+    assert sum(s >= 0.5 for s, (_, y) in zip(score, test) if y) >= 90
+    assert sum(s >= 0.5 for s, (_, y) in zip(score, test) if not y) <= 12
+
+
+def plain_symbols(text):
+    """The stream by its definition."""
+    out = [string_kernel._MARK]
+    for c in text.lower() + " ":
+        k = "abcdefghijklmnopqrstuvwxyz0123456789".find(c) + 1 or (string_kernel._MARK if c in " \t\n\x0b\x0c\r" else 37 + ord(c) % 26 if c.isalnum() and ord(c) > 127 else 0)
+        if k and not (k == string_kernel._MARK and out[-1] == k):
+            out.append(k)
+    words, mark = [], string_kernel._MARK
+    for k in out:
+        words.append([]) if k == mark else words[-1].append(k)
+    flat = []
+    for i, w in enumerate(words[:-1]):
+        if not (flat and len(w) == 1 and len(words[i - 1]) == 1):
+            flat.append(mark)
+        flat += w
+    return [*flat, mark]
+
+
+def test_streams_and_kernel_against_their_definitions():
+    import itertools
+
+    import numpy as np
+
+    texts = ["", " ", "a", "a b c", "Hello, W-o-r-l-d!", "x  y zz q r", "Straße ÉTÉ 字", "i.d i o t", "12 3 4"]
+    symbols, begin = string_kernel.streams(texts)
+    for i, t in enumerate(texts):
+        assert symbols[begin[i] : begin[i + 1]].tolist() == plain_symbols(t) + [0] * 6, t
+    rng = np.random.default_rng(1)
+    windows = rng.integers(0, 5, (7, 14)).astype(np.uint8)
+
+    def listed(w):
+        """All subsequences that begin in the first eight places, by weight."""
+        found = Counter()
+        for i, j, k in itertools.combinations(range(14), 3):
+            if i < 8 and j - i <= 3 and k - j <= 3 and w[i] and w[j] and w[k]:
+                found[int(w[i]), int(w[j]), int(w[k])] += string_kernel.DECAY ** (k - i + 1)
+        return found
+
+    norm = 8 * sum(string_kernel.DECAY ** (2 * (a + b + 1)) for a in (1, 2, 3) for b in (1, 2, 3))
+    for i, j in itertools.product(range(7), range(7)):
+        x, y = listed(windows[i]), listed(windows[j])
+        want = sum(x[s] * y[s] for s in x) / norm
+        assert abs(string_kernel.kernel(windows[[i]], windows[[j]])[0, 0] - want) < 1e-5
+
+
+def test_worst_windows_and_guilt_by_their_definition():
+    import numpy as np
+
+    rng = np.random.default_rng(2)
+    table = rng.normal(size=64**3)
+    table[0] = 0
+    texts = ["ab cd ef", "", "the quick brown fox", "z"]
+    symbols, begin = string_kernel.streams(texts)
+    got = string_kernel.Machine(6, table, -0.1).facts(symbols, begin)
+    for i in range(len(texts)):
+        s = symbols[begin[i] : begin[i + 1]]
+        f = []
+        for at in range(len(s) - 6):
+            w = np.zeros(12, np.uint8)
+            w[: len(s[at : at + 12])] = s[at : at + 12]
+            value = sum((table[number] * weight).sum() for number, weight in string_kernel.subsequences(w[None, :]))
+            f.append(value / np.sqrt(6) - 0.1)
+        assert abs(got[i, 0] - max(f)) < 1e-9 and abs(got[i, 1] - np.log1p(sum(max(v, 0) for v in f) / 6)) < 1e-9
 
 
 def test_scores_of_odd_tables(spark):
