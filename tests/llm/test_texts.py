@@ -106,6 +106,73 @@ def test_contexts_discover_and_texts_are_masked(spark):
     assert pii.find(docs_of(spark, [])).count() == 0
 
 
+def test_patterns_are_scored_as_by_hand(spark):
+    rng = random.Random(6)
+    pairs = {(f"p{rng.randrange(30)}", f"v{rng.randrange(60)}") for _ in range(400)}
+    kinds = {f"v{i}": i % 2 for i in range(25)}
+    edges = spark.createDataFrame([(p, v, kinds.get(v)) for p, v in sorted(pairs)] * 2, "pattern string, value string, kind int")
+    for sure, seeds, rounds in ((0.2, 3, 1), (0.2, 3, 4), (0.3, 2, 3)):
+        belief = {(v, k): 1.0 for v, k in kinds.items()}
+        for _ in range(rounds):
+            scores = {}
+            for p in {p for p, _ in pairs}:
+                values = [v for q, v in pairs if q == p]
+                for k in (0, 1):
+                    held = [belief[v, k] for v in values if (v, k) in belief]
+                    if len(held) >= seeds and sum(held) / (len(values) + 2) >= sure:
+                        scores[p, k] = (sum(held) / (len(values) + 2), len(held))
+            new = {}
+            for p, v in pairs:
+                for k in (0, 1):
+                    if v not in kinds and (p, k) in scores:
+                        new[v, k] = max(new.get((v, k), 0), scores[p, k][0])
+            belief = {(v, k): 1.0 for v, k in kinds.items()} | new
+        got = {(r.pattern, r.kind): (round(r.score, 9), r.support) for r in pii.score_patterns(edges, rounds, sure, seeds).collect()}
+        assert got == {k: (round(s, 9), n) for k, (s, n) in scores.items()} and got
+
+
+def test_found_identifiers_are_seeds_of_the_next_round(spark):
+    texts = [f"please contact desk {i}name@mail.example.org today" for i in range(20)]
+    texts += [f"please contact desk AB-{i}234567 today" for i in range(8)]
+    # What was found there stands behind other words too, which then find more.
+    texts += [f"my iban is AB-{i}234567 thanks" for i in range(8)] + ["my iban is ZZ-7654321 thanks", "my iban was YY-7654321 thanks"]
+    found = {r.doc_id: [s["value"] for s in r["_found"]] for r in pii.find(docs_of(spark, texts)).collect()}
+    assert found[20] == ["AB-0234567"] and found[28] == ["AB-0234567"] and found[36] == ["ZZ-7654321"] and found[37] == []
+
+
+def test_identifiers_of_any_shape_between_the_borders_of_a_sure_pattern(spark):
+    texts = [f"please contact desk {i}name@mail.example.org today" for i in range(20)] + ["nothing to find in here", "Please  contact desk"]
+    odd = ["please contact desk DE89 3704 0044 0532 0130 00 today", "Please contact\ndesk jane at example dot com.", "so please contact desk anna_schmidt today", "please contact desk anna"]
+    found = {r.doc_id: [(s["begin"], s["end"], s["value"]) for s in r["_found"]] for r in pii.find(docs_of(spark, texts + odd)).collect()}
+    want = ["DE89 3704 0044 0532 0130 00", "jane at example dot com", "anna_schmidt", "anna"]
+    for i, (t, w) in enumerate(zip(odd, want)):
+        assert found[22 + i] == [(t.index(w), t.index(w) + len(w), w)]
+    assert found[20] == [] and found[21] == []
+    masked = {r.doc_id: r.text for r in pii.redacted(docs_of(spark, texts + odd)).collect()}
+    assert masked[22] == "please contact desk [email] today" and masked[23] == "Please contact\ndesk [email]."
+
+
+def test_many_spans_take_time_in_proportion(spark):
+    import time
+
+    took = []
+    for n in (4000, 32000):
+        text = "".join(f"u{i}@m.example.org " for i in range(n))
+        df = docs_of(spark, [text])
+        began = time.perf_counter()
+        r = pii.base_spans(df).select(F.size("_base").alias("n"), F.element_at("_base", -1).alias("last")).first()
+        took.append(time.perf_counter() - began)
+        assert r.n == n and r.last["end"] == len(text) - 1
+    # Eight times as many; a fold that copies would take 64 times as long.
+    assert took[1] < 24 * max(took[0], 0.3)
+
+
+def test_own_column_names_are_refused(spark):
+    df = docs_of(spark, ["a@b.co"])
+    with pytest.raises(ValueError, match="_row"):
+        pii.find(df.withColumn("_row", F.lit(1)))
+
+
 # --- mixing --------------------------------------------------------------------------------------
 
 def test_poisson_counts_follow_the_weights(spark):
