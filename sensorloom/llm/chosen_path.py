@@ -222,8 +222,11 @@ def row_key(id_col: str | Column, text: str | Column) -> Column:
 def one_of_each(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", **options) -> DataFrame:
     """The rows of ``docs`` with one row of each group of near copies: the first id's. Texts without words all stay.
 
-    Of repeated rows (same id, same text) one stays.
+    Of repeated rows (same id, same text) one stays. Columns that are called like those in use here raise an error.
     """
+    clash = {"_row", "_maybe", "_stays", "_p", "_bucket", "_map"} & set(docs.columns)
+    if clash:
+        raise ValueError(f"columns in use: {sorted(clash)}")
     links = written(jaccard_links(docs, id_col, text_col, **options).select("_row", "_root", "kept", "_linked"), "kept")
     # One row key for each component, so that two texts under one id don't both stay.
     kept = links.where("kept AND _linked").groupBy("_root").agg(F.min("_row").alias("_row")).select("_row")

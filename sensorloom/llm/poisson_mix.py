@@ -5,6 +5,9 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from sensorloom.operators.joins import salted_join
+from sensorloom.session import written
+
 # Hexadecimal digits of an MD5 that make a uniform number: 52 bits, exact in a double.
 _DIGITS = 13
 
@@ -63,12 +66,27 @@ def poisson_mix(
     at a hash of seed and id, so a run that is repeated gives the same rows. Rows with the same id get the same count;
     a null id is hashed as "none". Empty texts are documents like others. An empty table gives an empty result.
     The order is that of a hash of id and copy: rows are dealt over partitions by that hash and sorted by it inside.
-    A hot source is spread like any other, since no row is dealt by its source except where
-    the table of rates is too large to broadcast, and then Spark splits skewed partitions.
+    No row is dealt by its source: the rates are written, and up to a hundred thousand of them, which are counted first, go to
+    all rows as they lie; beyond that the rows of a source with many are spread by their ids. Columns that are called like
+    those in use here raise an error.
     """
-    r = rates(docs, weights, source_col, total).select(F.col(source_col).alias("_of"), F.col("rate").alias("_rate"))
-    d = docs.join(r, F.col(source_col).eqNullSafe(F.col("_of")), "left").drop("_of")
+    clash = {"_copy", "_n", "_rate", "_order", "_key", "_salt"} & set(docs.columns)
+    if clash:
+        raise ValueError(f"columns in use: {sorted(clash)}")
+    r = rates(docs, weights, source_col, total).select(_key(source_col), F.col("rate").alias("_rate"))
+    r = written(r, "rates")
+    d = docs.withColumn("_key", _key(source_col))
+    d = d.join(F.broadcast(r), "_key", "left") if r.count() <= _FEW else salted_join(d, r, ["_key"], id_col)
     d = d.withColumn("_n", poisson_quantile(uniform(seed, F.col(id_col)), F.coalesce("_rate", F.lit(0.0)))).where("_n > 0")
-    d = d.withColumn("_copy", F.explode(F.sequence(F.lit(0), F.col("_n") - 1))).drop("_n", "_rate")
+    d = d.withColumn("_copy", F.explode(F.sequence(F.lit(0), F.col("_n") - 1))).drop("_n", "_rate", "_key")
     d = d.withColumn("_order", uniform(seed + 1, F.col(id_col), F.col("_copy")))
     return d.repartition("_order").sortWithinPartitions("_order").drop("_order")
+
+
+# So many rates, of fixed width, are a few megabytes.
+_FEW = 100_000
+
+
+def _key(source_col: str) -> Column:
+    """A source as a key of fixed width, never null."""
+    return F.coalesce(F.md5(F.col(source_col).cast("string")), F.lit("none")).alias("_key")

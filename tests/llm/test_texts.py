@@ -13,7 +13,7 @@ import pytest
 from pyspark.sql import functions as F
 
 import corpus_pipeline
-from sensorloom.llm import adaptive_rules, chat_fold, importance, packing, page_templates, pii, poisson_mix, queries, string_kernel
+from sensorloom.llm import adaptive_rules, chat_fold, chosen_path, importance, packing, page_templates, pii, poisson_mix, queries, string_kernel
 
 DOCS = "doc_id long, text string, lang string, source string, n_chars long"
 SF = "/root/testdata/sf0.001"
@@ -169,8 +169,9 @@ def test_many_spans_take_time_in_proportion(spark):
 
 def test_own_column_names_are_refused(spark):
     df = docs_of(spark, ["a@b.co"])
-    with pytest.raises(ValueError, match="_row"):
-        pii.find(df.withColumn("_row", F.lit(1)))
+    for call, name in ((pii.find, "_row"), (poisson_mix.poisson_mix, "_n"), (chosen_path.one_of_each, "_row")):
+        with pytest.raises(ValueError, match=name):
+            call(df.withColumn(name, F.lit(1)))
 
 
 # --- mixing --------------------------------------------------------------------------------------
@@ -190,6 +191,20 @@ def test_poisson_counts_follow_the_weights(spark):
     assert poisson_mix.poisson_mix(docs_of(spark, [])).count() == 0
 
 
+def test_no_row_is_dealt_by_its_source(spark, monkeypatch):
+    df = spark.createDataFrame([(i, "t", "en", ["a", "b", None][i % 3] if i % 10 else "a", 1) for i in range(600)], DOCS)
+    want = sorted((r.doc_id, r._copy) for r in poisson_mix.poisson_mix(df).collect())
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", 100)
+    try:
+        plan = poisson_mix.poisson_mix(df)._jdf.queryExecution().executedPlan().toString()
+        assert plan.count("Exchange hashpartitioning") == 1 and "hashpartitioning(_order" in plan and "SortMergeJoin" not in plan
+        monkeypatch.setattr(poisson_mix, "_FEW", 1)
+        assert sorted((r.doc_id, r._copy) for r in poisson_mix.poisson_mix(df).collect()) == want
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+
+
+
 # --- rules ---------------------------------------------------------------------------------------
 
 def test_rules_equal_brute_force(spark):
