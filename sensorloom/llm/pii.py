@@ -172,33 +172,55 @@ def score_patterns(edges: DataFrame, rounds: int = 3, sure: float = 0.6, seeds:
     return scores.withColumnRenamed("of", "kind")
 
 
-def between_borders(docs: DataFrame, text_col: str, lefts: DataFrame) -> DataFrame:
+def between_borders(docs: DataFrame, text_col: str, lefts: DataFrame, sure: float) -> DataFrame:
     """(``_row``, begin, end, value, kind, score): what stands behind the two words of a sure pattern, whatever it looks like.
 
-    ``lefts`` has (pattern, kind, score, rights), the words that were seen behind identifiers there. A span ends before such a word or
-    with a word that ends in a sign, within eight words; if neither comes, it is one word. Places in the text are told by
-    hashes of the patterns, of which a fixed number reaches the driver, and the join decides.
+    ``lefts`` has (pattern, kind, score, known, rights): at how many places a believed identifier stands there, and the words that were seen
+    behind those. Only where a share of ``sure`` of all places in all texts is known does the rest count as identifiers too; two
+    words that stand around anything find nothing. A span ends before a word seen behind or with a word that ends in a sign, within
+    eight words; if neither comes, it is one word. Places in the text are told by
+    hashes of the patterns, of which a fixed number reaches the driver, and joins decide.
     """
     def spot(c: Column) -> Column:
         return F.pmod(F.xxhash64(c), F.lit(_SPOTS)).cast("int")
 
-    taken = bytearray(_SPOTS)
-    for r in lefts.select(spot(F.col("pattern")).alias("s")).distinct().collect():
-        taken[r["s"]] = 1
-    spots = F.lit(bytes(taken))
-    text = text_or_empty(text_col)
-    d = docs.select("_row", F.regexp_extract_all(text, F.lit(_WORD), F.lit(0)).alias("_words"), text.alias("_text"), F.regexp_extract_all(F.lower(text), F.lit(_WORD), F.lit(0)).alias("_low"))
-    d = d.where((F.size("_words") > 2) & (F.size("_words") == F.size("_low")))
-
     def pattern(i: Column) -> Column:
         return F.concat(F.lit("l:"), F.get("_low", i - 2), F.lit(" "), F.get("_low", i - 1))
 
-    d = d.withColumn("_at", F.filter(F.sequence(F.lit(2), F.size("_words") - 1), lambda i: F.substring(spots, spot(pattern(i)) + 1, F.lit(1)) == F.lit(b"\x01")))
-    d = d.where(F.size("_at") > 0).withColumn("_ends", placed(F.col("_text"), _WORD, lambda v, e: e))
-    d = d.select("_row", "_text", F.explode(F.transform("_at", lambda i: F.struct(
-        pattern(i).alias("pattern"), F.slice("_words", i + 1, F.lit(_LONGEST + 1)).alias("words"), F.slice("_low", i + 1, F.lit(_LONGEST + 1)).alias("low"),
-        F.slice("_ends", i + 1, F.lit(_LONGEST + 1)).alias("ends"),
-    ))).alias("c")).select("_row", "_text", "c.*").join(lefts, "pattern")
+    text = text_or_empty(text_col)
+    none = lefts.select(F.lit("").alias("_row"), F.lit(0).alias("begin"), F.lit(0).alias("end"), F.lit("").alias("value"), "kind", "score").limit(0)
+
+    def places(of: DataFrame) -> DataFrame | None:
+        """The texts with ``_at``, the numbers of words behind what may be one of the patterns."""
+        taken = bytearray(_SPOTS)
+        for r in of.select(spot(F.col("pattern")).alias("s")).distinct().collect():
+            taken[r["s"]] = 1
+        if not any(taken):
+            return None
+        d = docs.select("_row", text.alias("_text"), F.regexp_extract_all(F.lower(text), F.lit(_WORD), F.lit(0)).alias("_low"))
+        behind = F.filter(F.sequence(F.lit(2), F.greatest(F.size("_low") - 1, F.lit(2))), lambda i: (i < F.size("_low")) & (F.substring(F.lit(bytes(taken)), spot(pattern(i)) + 1, F.lit(1)) == F.lit(b"\x01")))
+        return d.withColumn("_at", behind)
+
+    # Outer generators, as Spark would work out the others' arrays once more to see whether they are empty.
+    d = places(lefts)
+    if d is None:
+        return none
+    every = d.select(F.explode_outer(F.transform("_at", pattern)).alias("pattern")).groupBy("pattern").agg(F.count(F.lit(1)).alias("places"))
+    kept = written(lefts.join(every, "pattern").where(F.col("known") >= sure * F.col("places")), "borders")
+    d = places(kept)
+    if d is None:
+        return none
+    words = F.regexp_extract_all("_text", F.lit(_WORD), F.lit(0))
+    ends = placed(F.col("_text"), _WORD, lambda v, e: e)
+
+    def around(w: Column, e: Column) -> Column:
+        some = F.transform("_at", lambda i: F.struct(
+            pattern(i).alias("pattern"), F.slice(w, i + 1, F.lit(_LONGEST + 1)).alias("words"), F.slice("_low", i + 1, F.lit(_LONGEST + 1)).alias("low"), F.slice(e, i + 1, F.lit(_LONGEST + 1)).alias("ends")))
+        # Lowering may join or part words in no known text; where it does, the text is left out.
+        return F.when(F.size(w) == F.size("_low"), some)
+
+    c = F.when(F.size("_at") > 0, bound(words, lambda w: bound(ends, lambda e: around(w, e))))
+    d = d.select("_row", "_text", F.explode_outer(c).alias("c")).where("c is not null").select("_row", "_text", "c.*").join(kept, "pattern")
     n = F.size("words")
     stops = F.filter(F.sequence(F.lit(1), F.least(n, F.lit(_LONGEST))), lambda k: F.get("words", k - 1).rlike(_SIGNS) | F.coalesce(F.array_contains("rights", F.get("low", k)), k == n))
     d = d.withColumn("_k", F.coalesce(F.get(stops, F.lit(0)), F.lit(1)))
@@ -214,7 +236,8 @@ def find(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", *, sur
 
     ``kind`` counts through ``KINDS``; places are code points, the end exclusive. A pattern is sure of a kind at a score of ``sure``
     with ``seeds`` distinct believed values around it. Words that look like identifiers are scored with their patterns in rounds; behind the
-    two words of a pattern that is sure in the end, anything up to its right border is found. An added span overlaps no base span, nor
+    two words of a pattern that is sure in the end, and behind which a base identifier stands at a share of ``sure`` of all places,
+    anything up to its right border is found. An added span overlaps no base span, nor
     another added one that is surer or begins before it.
     Null texts are empty and have none; repeated rows have equal spans; an empty table gives an empty result; further columns pass through, but
     not such as are called ``_row``, ``_more``, ``_base`` or ``_found``, which raise an error.
@@ -234,15 +257,17 @@ def find(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", *, sur
         return F.struct(kind.alias("kind"), x["begin"].alias("begin"), x["end"].alias("end"), x["value"].alias("value"), _patterns(around).alias("patterns"), around["right"].alias("right"))
 
     marks = F.concat(F.transform("_base", lambda f: mark(f, f["kind"])), F.transform(free, lambda t: mark(t, F.lit(None).cast("int"))))
-    seen = looked.select("_row", F.explode(marks).alias("m")).select("_row", "m.kind", "m.begin", "m.end", "m.value", "m.right", F.explode("m.patterns").alias("pattern"))
+    seen = looked.select("_row", F.explode_outer(marks).alias("m")).where("m is not null").select("_row", "m.kind", "m.begin", "m.end", "m.value", "m.right", F.explode("m.patterns").alias("pattern"))
     seen = written(seen, "marks")
     scores = score_patterns(seen.select("pattern", F.md5("value").alias("value"), "kind"), rounds, sure, seeds)
     added = seen.where("kind is null").select("_row", "pattern", "begin", "end", "value").join(scores.select("pattern", "kind", "score"), "pattern")
-    rights = seen.where("right <> ''").select("pattern", "right").distinct().groupBy("pattern").agg(F.collect_set("right").alias("rights"))
+    left = seen.where("pattern like 'l:%'")
+    rights = left.where("right <> ''").select("pattern", "right").distinct().groupBy("pattern").agg(F.collect_set("right").alias("rights"))
+    known = left.where("kind is not null").groupBy("pattern").agg(F.count(F.lit(1)).alias("known"))
     # One kind per pattern, the surest.
     lefts = scores.where("pattern like 'l:%'").groupBy("pattern").agg(F.max_by("kind", F.struct("score", -F.col("kind"))).alias("kind"), F.max("score").alias("score"))
-    lefts = written(lefts.join(rights, "pattern", "left").withColumn("rights", F.coalesce("rights", F.array().cast("array<string>"))), "lefts")
-    spanned = between_borders(docs.select(row.alias("_row"), F.col(text_col)), text_col, lefts)
+    lefts = written(lefts.join(known, "pattern").join(rights, "pattern", "left").withColumn("rights", F.coalesce("rights", F.array().cast("array<string>"))), "lefts")
+    spanned = between_borders(docs.select(row.alias("_row"), F.col(text_col)), text_col, lefts, sure)
     every = added.select("_row", "begin", "end", "value", "kind", "score").union(spanned.select("_row", "begin", "end", "value", "kind", "score"))
     # A repeated row finds the same spans twice, and several patterns may find one.
     best = every.groupBy("_row", "begin", "end", "value").agg(F.max_by("kind", F.struct("score", -F.col("kind"))).alias("kind"), F.max("score").alias("score"))

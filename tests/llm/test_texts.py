@@ -152,6 +152,12 @@ def test_identifiers_of_any_shape_between_the_borders_of_a_sure_pattern(spark):
     assert masked[22] == "please contact desk [email] today" and masked[23] == "Please contact\ndesk [email]."
 
 
+def test_words_around_anything_find_nothing(spark):
+    texts = [f"better than the {i}name@mail.example.org one" for i in range(5)] + [f"more than the cat{chr(97 + i)} one" for i in range(20)]
+    found = pii.find(docs_of(spark, texts)).where("size(_found) > size(_base)").count()
+    assert found == 0
+
+
 def test_many_spans_take_time_in_proportion(spark):
     import time
 
