@@ -144,12 +144,13 @@ def kernel(windows: np.ndarray, landmarks: np.ndarray) -> np.ndarray:
         m = np.zeros((min(500, len(windows) - i), len(used)), np.float32)
         np.add.at(m, (row[ok], col[ok]), value[ok])
         out.append(m @ base.T / norm)
-    return np.concatenate(out).astype(float) if out else np.zeros((0, len(landmarks)))
+    return np.concatenate(out) if out else np.zeros((0, len(landmarks)), np.float32)
 
 
 def train_svm(z: np.ndarray, y: np.ndarray, weight: np.ndarray, ridge: float = 1e-3, steps: int = 60) -> tuple[np.ndarray, float]:
     """A linear machine with squared hinge loss, by Newton steps on the rows inside the margin."""
-    x = np.concatenate([z, np.ones((len(z), 1))], axis=1)
+    x = np.concatenate([z, np.ones((len(z), 1), z.dtype)], axis=1)
+    del z
     w = np.zeros(x.shape[1])
     penalty = np.full(x.shape[1], ridge)
     penalty[-1] = 1e-6
@@ -159,10 +160,15 @@ def train_svm(z: np.ndarray, y: np.ndarray, weight: np.ndarray, ridge: float = 1
         return float((weight * m * m).sum() + (penalty * w * w).sum())
 
     for _ in range(steps):
-        inside = y * (x @ w) < 1
-        a, s = x[inside], weight[inside]
-        grad = -2 * (a.T @ (s * (y[inside] - a @ w))) + 2 * penalty * w
-        step = np.linalg.solve(2 * (a.T * s) @ a + 2 * np.diag(penalty), grad)
+        inside = np.flatnonzero(y * (x @ w) < 1)
+        grad, curve = 2 * penalty * w, 2 * np.diag(penalty)
+        # Some rows at a time, so that no copy of them all is made.
+        for i in range(0, len(inside), 4096):
+            part = inside[i : i + 4096]
+            a, s = x[part].astype(float), weight[part]
+            grad = grad - 2 * (a.T @ (s * (y[part] - a @ w)))
+            curve = curve + 2 * (a.T * s) @ a
+        step = np.linalg.solve(curve, grad)
         size, now = 1.0, loss(w)
         while size > 1e-4 and loss(w - size * step) > now:
             size /= 2
@@ -334,9 +340,9 @@ def _machine(rows: list[np.ndarray], y: np.ndarray, weight: np.ndarray, table: n
         variants = _varied(guilty, rng)
         variants = variants[rng.permutation(len(variants))[: 2 * len(guilty)]]
         shown = np.concatenate([_spread(guilty, landmarks * 3 // 4, rng), _spread(np.concatenate([hard, by_chance]), landmarks // 4, rng)])
-        value, vector = np.linalg.eigh(kernel(shown, shown) + 1e-6 * np.eye(len(shown)))
+        value, vector = np.linalg.eigh(kernel(shown, shown).astype(float) + 1e-6 * np.eye(len(shown)))
         root = vector @ np.diag(1 / np.sqrt(np.maximum(value, 1e-3))) @ vector.T
-        z = kernel(np.concatenate([guilty, variants, held, by_chance]), shown) @ root
+        z = kernel(np.concatenate([guilty, variants, held, by_chance]), shown) @ root.astype(np.float32)
         sign = np.concatenate([np.ones(len(guilty) + len(variants)), -np.ones(len(held) + len(by_chance))])
         cost = np.concatenate([weight[of], np.full(len(variants), weight[of].mean() / 4), np.ones(len(held) + len(by_chance))])
         for side in (1, -1):
