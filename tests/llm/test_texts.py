@@ -44,12 +44,30 @@ def test_chat_of_odd_tables(spark):
     schema = "conv_id long, turn long, role string, text string, message string"
     texts = [*ODD, "\\", "<\\\\|", "<|n|>", "<|", "|>", "<|im_start|>assistant\n"]
     rows = [(1, i, ["user", "assistant"][i % 2], t, "clash") for i, t in enumerate(texts)] + [(1, 3, "assistant", "x", "clash")] * 2
-    d = chat_fold.format_log(chat_fold.log_of(spark.createDataFrame(rows, schema), piece=7))
+    d = chat_fold.format_log(chat_fold.log_of(spark.createDataFrame(rows, schema), piece=7), chat_fold.MESSAGE)
     got = d.select(chat_fold.turns_of(F.col("formatted")).alias("t"), chat_fold.learned_text(F.col("formatted"), F.col("loss_spans")).alias("l")).collect()[0]
     want = sorted([(i, r, hashlib.md5((t or "").encode()).hexdigest(), t or "") for _, i, r, t, _ in rows])
     assert [tuple(t) for t in got.t] == [(r, t) for _, r, _, t in want]
     assert got.l == "".join(t for _, r, _, t in want if r == "assistant")
-    assert chat_fold.format_log(chat_fold.log_of(spark.createDataFrame([], schema))).count() == 0
+    assert chat_fold.format_log(chat_fold.log_of(spark.createDataFrame([], schema)), chat_fold.MESSAGE).count() == 0
+
+
+def test_chat_texts_are_dealt_twice(spark):
+    """By message and by conversation, and no more, whatever the log folds."""
+    df = spark.createDataFrame([(1, 0, "user", "a")], "conv_id long, turn long, role string, text string")
+    plan = chat_fold.format_log(chat_fold.log_of(df), chat_fold.MESSAGE)._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("Exchange hashpartitioning") == 2 and "Join" not in plan
+
+
+def test_chat_edits_of_one_message_and_marks_of_many_turns(spark):
+    edits = [(1, i, "m", "edit", None, f"draft {i}") for i in range(1, 2000)] + [(1, 0, "m", "message", "assistant", "x"), (1, 5000, "m", "delta", None, " end")]
+    many = [(2, i, f"t{i:05d}", "message", ["user", "assistant"][i % 2], f"text {i}") for i in range(3000)]
+    log = spark.createDataFrame(edits + many, "conv_id long, seq long, message string, event string, role string, text string")
+    got = {r.conv_id: r for r in chat_fold.format_log(log).collect()}
+    assert got[1].formatted == "<|im_start|>assistant\ndraft 1999 end<|im_end|>\n" and got[2].n_turns == 3000
+    for r in got.values():
+        marked = [r.formatted[s.begin : s.begin + s.size] for s in r.loss_spans]
+        assert marked == (["draft 1999 end"] if r.conv_id == 1 else [f"text {i}" for i in range(1, 3000, 2)])
 
 
 # --- personal data -------------------------------------------------------------------------------
