@@ -1,10 +1,11 @@
 """Main text of web pages by templates deduced from the pages of a host.
 
 A token is an element with its classes and its path, or a block of text in one. Tokens that occur equally often on every page of a host share
-an occurrence vector and form an equivalence class. Vectors are never held: sums of page hashes times counts stand for those of elements, and
-such sums can be pre-aggregated; a text's is the number of different pages that have it. Elements that occur once a page, on enough pages, are valid and nest by their paths;
-with the texts that most pages share they make the host's template. What varies between them tells the slot of the article, and
-the template's texts and other parts in it are left out.
+an occurrence vector; those at the same place of a wider class form an equivalence class. Vectors are never held: sums of page hashes times counts stand
+for those of elements, and such sums can be pre-aggregated; a text's is the number of different pages that have it. Classes whose elements occur once a
+page, on enough pages, are valid and nest: a class lies in the element of another that is next around it. The nested valid classes, with the texts that
+most pages share in one order, are the host's template. Its slots are what each of its elements holds besides the template; the
+article is the part of the template around the largest slot.
 """
 
 from __future__ import annotations
@@ -155,37 +156,40 @@ def _block(text: str) -> tuple[int, int]:
     return (_signed(xxhash.xxh64_intdigest(words.encode("utf-8", "replace"))) if words else 0), len(words)
 
 
-_TOKENS = "host string, element string, mark int, block long, print long, pages long, times long, sum_a long, sum_b long, chars long"
+_TOKENS = "host string, element string, mark int, block long, print long, pages long, times long, sum_a long, sum_b long, chars long, first long, last long"
 
 
 def _occurrences(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
     """Per host and element: pages, occurrences and two sums that stand for the occurrence vector.
 
-    Per page and block of text: its number, element and mark, the characters, and a number of the page that pages with the same blocks share.
+    Per page and block of text: its number, element and mark, the characters, a number of the page that pages with the same blocks share, and
+    how many blocks of the element come before the first and after the last time it is there.
     """
     for d in batches:
         total: dict[tuple[str, str], list[int]] = {}
         out: list[tuple] = []
         for host, key, page in zip(d["host"], d["key"], d["html"]):
             seen: dict[tuple[str, ...], int] = {}
-            texts: dict[tuple[tuple[str, ...], int, int], int] = {}
+            texts: dict[tuple[tuple[str, ...], int, int], list[int]] = {}
+            blocks: dict[tuple[str, ...], int] = {}
             for path, mark, text in _runs(page):
                 if text is None:
                     seen[path] = seen.get(path, 0) + 1
                 elif not text.isspace():
                     block, chars = _block(text)
                     if block:
-                        texts[path, mark, block] = chars
+                        at = blocks[path] = blocks.get(path, 0) + 1
+                        texts.setdefault((path, mark, block), [chars, at, at])[2] = at
             h = xxhash.xxh64_intdigest(key)
             for path, n in seen.items():
                 t = total.setdefault((host, _path_name(path)), [0, 0, 0, 0])
                 for i, v in enumerate((1, n, n * (h & 0x3FFFFFFF), n * (h >> 34))):
                     t[i] += v
             whole = _signed(xxhash.xxh64_intdigest(repr(sorted({b for _, _, b in texts}))))
-            out += [(host, _path_name(path), mark, block, whole, 1, 1, 0, 0, chars) for (path, mark, block), chars in texts.items()]
-        out += [(*k, 0, 0, 0, *v, 0) for k, v in total.items()]
+            out += [(host, _path_name(path), mark, block, whole, 1, 1, 0, 0, chars, first - 1, blocks[path] - last) for (path, mark, block), (chars, first, last) in texts.items()]
+        out += [(*k, 0, 0, 0, *v, 0, 0, 0) for k, v in total.items()]
         if out:
-            yield pd.DataFrame(out, columns=["host", "element", "mark", "block", "print", "pages", "times", "sum_a", "sum_b", "chars"])
+            yield pd.DataFrame(out, columns=["host", "element", "mark", "block", "print", "pages", "times", "sum_a", "sum_b", "chars", "first", "last"])
 
 
 def host_of(url: Column) -> Column:
@@ -193,45 +197,69 @@ def host_of(url: Column) -> Column:
     return F.lower(F.regexp_extract(F.coalesce(url, F.lit("")), r"^[a-zA-Z][a-zA-Z0-9+.-]*://(?:[^/?#@]*@)?([^/?#:]+)", 1))
 
 
+def _around(element: str = "element", least: Column | int = 1) -> Column:
+    """The paths of the elements around an element and its own, from the depth ``least`` on."""
+    steps = F.split(element, "/")
+    return F.transform(F.filter(F.sequence(F.lit(1), F.size(steps)), lambda k: k >= least), lambda k: F.array_join(F.slice(steps, F.lit(1), k), "/"))
+
+
+def nested(tokens: DataFrame, size: DataFrame) -> DataFrame:
+    """(host, element, vector, outer, level, valid) of ``tokens`` (host, element, pages, times, sum_a, sum_b) and ``size`` (host, all).
+
+    A class is what has ``vector`` and ``outer`` in common: the occurrence vector, and the innermost element around that has another one, null
+    for the outermost class. ``level`` is the number of classes around the element, its own included. An element is valid if it and all
+    elements around it occur once a page, on at least half of the host's pages, so valid classes nest in valid classes only.
+    """
+    t = tokens.join(size, "host").select(
+        "host", "element", F.struct("pages", "times", "sum_a", "sum_b").alias("vector"), F.expr("times = pages and 2 * pages >= all").alias("once"))
+    outside = t.select("host", F.col("element").alias("around"), F.col("vector").alias("wider"), "once")
+    d = t.drop("once").withColumn("around", F.explode(_around())).join(outside, ["host", "around"])
+    differs = F.when(F.col("wider") != F.col("vector"), F.struct(F.size(F.split("around", "/")), "around"))
+    return d.groupBy("host", "element", "vector").agg(
+        F.max(differs)["around"].alias("outer"), F.count_distinct("wider").alias("level"), F.min("once").alias("valid"))
+
+
 def templates(pages: DataFrame) -> DataFrame:
     """(host, slot, fixed) from (host, key, html): the path of the element that holds the article, null where the host's template has none,
     and the numbers of the template's texts in it.
 
-    An element is valid if it occurs once a page, on at least half of the host's pages. A text is the template's if it is on at least half of the host's
-    different pages, and on three; pages with the same texts are one. Text that is not the template's varies. Of the
-    valid elements that are and are in no menu, footer and so on by their tags, those compete that hold at least half as much varying text as the one with most;
-    of these it is the one whose name says most, then one with nearly all varying text, then that of the larger class, then the inner one.
+    The template is the ``nested`` valid elements and the fixed texts. A text is fixed if it is on at least half of the host's different pages, and on
+    three, and always as many blocks from the start or from the end of its element; pages with the same texts are one. Other text varies, also what
+    articles quote from each other. An element's slot is the varying text in it and in no valid element further in. The largest slot that is in no
+    menu, footer and so on by its tags is the article's core. The elements of the template around it compete that hold at least eight tenths of the varying
+    text of the outermost; they hold nearly the same, so the one whose name says most is taken, then one with nearly all varying text, then that of the outer class, then the inner one.
     A slot with more template than varying text keeps all: its pages are versions of one article.
     """
     found = written(pages.mapInPandas(_occurrences, _TOKENS), "tokens")
     sums = [F.sum(c).alias(c) for c in ("pages", "times", "sum_a", "sum_b")]
     tokens = written(found.where("block = 0").groupBy("host", "element").agg(*sums), "elements")
     size = pages.groupBy("host").agg(F.count(F.lit(1)).alias("all"))
-    vector = ["host", "pages", "times", "sum_a", "sum_b"]
-    classes = tokens.groupBy(*vector).agg(F.count(F.lit(1)).alias("members"))
-    valid = tokens.join(classes, vector).join(size, "host").where("times = pages and 2 * pages >= all").where(~F.col("element").rlike(_IN_NEVER))
+    valid = nested(tokens, size).where("valid").where(~F.col("element").rlike(_IN_NEVER)).select("host", F.col("element").alias("around"), "level")
 
     place = ["host", "element", "mark"]
-    texts = found.where("block <> 0").groupBy(*place, "block").agg(F.count_distinct("print").alias("docs"), F.max("chars").alias("chars"))
+    ordered = F.expr("min(first) = max(first) or min(last) = max(last)")
+    texts = found.where("block <> 0").groupBy(*place, "block").agg(F.count_distinct("print").alias("docs"), F.max("chars").alias("chars"), ordered.alias("ordered"))
     texts = written(texts.withColumn("chars", F.col("docs") * F.col("chars")), "texts")
     different = found.where("block <> 0").groupBy("host").agg(F.count_distinct("print").alias("different"))
     # Only texts of three pages meet their host's number of pages, and at most twice a page's texts stay.
-    fixed = written(texts.where("docs >= 3").join(different, "host").where("2 * docs >= different").drop("different"), "fixed")
+    fixed = written(texts.where("docs >= 3 and ordered").join(different, "host").where("2 * docs >= different").drop("different"), "fixed")
     held = texts.groupBy(*place).agg(F.sum("chars").alias("chars"))
     constant = fixed.groupBy(*place).agg(F.sum("chars").alias("constant"))
     held = held.join(constant, place, "left").withColumn("varying", F.col("chars") - F.coalesce("constant", F.lit(0)))
     # A text is in each element of its path from which its mark is not seen.
-    steps = F.split("element", "/")
     least = F.greatest(F.floor((F.col("mark") + 1) / 2).cast("int"), F.lit(1))
-    around = F.transform(F.filter(F.sequence(F.lit(1), F.size(steps)), lambda k: k >= least), lambda k: F.array_join(F.slice(steps, F.lit(1), k), "/"))
-    inside = held.select("host", F.explode(around).alias("element"), "varying", "chars").groupBy("host", "element").agg(F.sum("varying").alias("varying"), F.sum("chars").alias("chars"))
+    amounts = [F.sum(c).alias(c) for c in ("varying", "chars")]
+    inside = written(held.withColumn("around", F.explode(_around("element", least))).join(valid, ["host", "around"]), "inside")
+    slots = inside.groupBy(*place, "varying", "chars").agg(F.max_by("around", F.length("around")).alias("core")).groupBy("host", "core").agg(*amounts)
+    core = slots.groupBy("host").agg(F.max_by("core", F.struct("varying", "chars", "core")).alias("core"))
 
-    able = written(valid.join(inside, ["host", "element"]), "able")
+    able = inside.groupBy("host", F.col("around").alias("element"), "level").agg(*amounts).join(core, "host")
+    able = written(able.where((F.col("core") == F.col("element")) | F.col("core").startswith(F.concat("element", F.lit("/")))), "able")
     most = able.groupBy("host").agg(F.max("varying").alias("most_varying"), F.max("chars").alias("most_chars"))
-    able = able.join(most, "host").withColumn("score", F.expr("if(most_varying > 0, varying / most_varying, chars / most_chars)")).where("score >= 0.5")
+    able = able.join(most, "host").withColumn("score", F.expr("if(most_varying > 0, varying / most_varying, chars / most_chars)")).where("score >= 0.8")
     last = F.substring_index("element", "/", -1)
     rank = F.when(last.rlike(r"^article(\.|$)"), 3).when(last.rlike(r"^main(\.|$)"), 2).when(last.rlike(r"\.(" + "|".join(sorted(_MAIN_NAMES)) + r")(\.|$)"), 1).otherwise(0)
-    best = F.struct(rank.alias("rank"), (F.col("score") >= 0.95).alias("nearly"), F.col("members"), F.length("element"), "element")
+    best = F.struct(rank.alias("rank"), (F.col("score") >= 0.95).alias("nearly"), -F.col("level"), F.length("element"), "element")
     slots = able.groupBy("host").agg(F.max_by(F.struct("element", "varying"), best).alias("best")).select("host", F.col("best.element").alias("slot"), "best.varying")
     within = (F.col("element") == F.col("slot")) | F.col("element").startswith(F.concat("slot", F.lit("/")))
     seen = F.col("mark") <= 2 * F.size(F.split("slot", "/"))

@@ -537,6 +537,63 @@ def test_template_texts_in_the_slot_go_and_varying_text_tells_the_slot(spark):
     assert len({got[10 + i] for i in range(5)}) == 1 and got[10]
 
 
+def test_what_articles_quote_from_each_other_stays(spark):
+    """Only texts in the template's order are its own: a quoted passage has no fixed place."""
+    rows = []
+    for i in range(8):
+        own = [f"<p>own {i} {j} " + "word " * 20 + "</p>" for j in range(6)]
+        if i % 4:
+            own.insert(i % 5 + 1, "<p>a passage that many quote</p>")
+        rows.append((i, f"http://h.org/{i}", "<body><div class='k9'><p>the paper's motto</p>" + "".join(own) + "<p>all rights kept</p></div></body>"))
+    got = [r.text for r in page_templates.extract(spark.createDataFrame(rows, "page_id long, url string, html string")).orderBy("page_id").collect()]
+    assert all(("a passage that many quote" in x) == bool(i % 4) for i, x in enumerate(got))
+    assert not any("motto" in x or "rights" in x for x in got)
+
+
+def test_hashed_names_and_optional_parts(spark):
+    """No name tells anything: the largest slot of the nested classes does, and parts that few pages have lie in it."""
+    rows, want = [], {}
+    for i in range(9):
+        text = f"Title {i} " + " ".join(f"w{i}x{j}" for j in range(60))
+        extra = f"<div class='q{i % 3}'><p>gallery {i}</p></div>" if i % 3 == 0 else ""
+        rows.append((i, f"http://h.org/{i}", f"<html><body><div class='a1'><div class='b1'>Home</div><div class='b2'>hi {i}</div></div><div class='a2'><div class='c3'><p>{text}</p>{extra}</div></div><div class='a3'>legal</div></body></html>"))
+        want[i] = text + (f" gallery {i}" if extra else "")
+    got = {r.page_id: r.text for r in page_templates.extract(spark.createDataFrame(rows, "page_id long, url string, html string")).collect()}
+    assert got == want
+
+
+def plain_classes(pages: list[str]) -> dict:
+    """By listing: per element its occurrence vector, the innermost element around with another, the vectors around, and whether it is valid."""
+    counts = [Counter("/".join(path) for path, _, text in page_templates.parts(p) if text is None) for p in pages]
+    vector = {e: tuple(c[e] for c in counts) for e in set().union(*counts)}
+    once = {e: max(v) == 1 and 2 * sum(v) >= len(pages) for e, v in vector.items()}
+    out = {}
+    for e, v in vector.items():
+        steps = e.split("/")
+        around = ["/".join(steps[:k]) for k in range(1, len(steps) + 1)]
+        other = [a for a in around if vector[a] != v]
+        out[e] = (v, other[-1] if other else None, len({vector[a] for a in around}), all(once[a] for a in around))
+    return out
+
+
+def test_classes_nest_as_by_listing(spark):
+    rng = random.Random(5)
+
+    def element(depth: int) -> str:
+        return "".join(f"<div class='{n}'>{element(depth - 1)}</div>" * rng.choice([1, 1, 1, 2]) for n in "abc" if rng.random() < 0.75) if depth else "<p>t</p>"
+
+    pages = [f"<html><body>{element(3)}</body></html>" for _ in range(6)]
+    df = spark.createDataFrame([("h", str(i), p) for i, p in enumerate(pages)], "host string, key string, html string")
+    found = df.mapInPandas(page_templates._occurrences, page_templates._TOKENS).where("block = 0")
+    tokens = found.groupBy("host", "element").agg(*[F.sum(c).alias(c) for c in ("pages", "times", "sum_a", "sum_b")])
+    size = df.groupBy("host").agg(F.count(F.lit(1)).alias("all"))
+    got = {r.element: r for r in page_templates.nested(tokens, size).collect()}
+    want = plain_classes(pages)
+    assert {e: (r.outer, r.level, r.valid) for e, r in got.items()} == {e: w[1:] for e, w in want.items()}
+    # Sums of hashes part the elements as the vectors do.
+    assert {(a, b) for a in got for b in got if got[a].vector == got[b].vector} == {(a, b) for a in want for b in want if want[a][0] == want[b][0]}
+
+
 # --- pipeline ------------------------------------------------------------------------------------
 
 def test_pipeline_keeps_columns_and_tokens(spark):
