@@ -9,6 +9,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from sensorloom.operators.joins import salted_join
 from sensorloom.session import written
 
 
@@ -16,13 +17,19 @@ def text_or_empty(c: str | Column) -> Column:
     return F.coalesce(F.col(c) if isinstance(c, str) else c, F.lit(""))
 
 
-def crowded(rows: DataFrame, key: str) -> DataFrame:
+def crowded(rows: DataFrame, key: str, member: str = "node") -> DataFrame:
     """The rows whose key occurs at least twice, with its count ``n``.
 
-    The counts are pre-aggregated and joined; a hot key's rows can be split over tasks.
+    The counts are pre-aggregated and joined; a hot key's rows are spread by ``member``.
     """
     counts = rows.groupBy(key).agg(F.count(F.lit(1)).alias("n")).where("n >= 2")
-    return rows.join(counts, key)
+    return salted_join(rows, counts, [key], member, "inner")
+
+
+def with_lowest(placed: DataFrame, roots: DataFrame) -> DataFrame:
+    """``placed`` (node, root, class_id, ...) with ``component_id``, the lowest class of its root. A giant component's rows, told by ``roots``, are spread."""
+    lowest = placed.groupBy("root").agg(F.min("class_id").alias("component_id"))
+    return salted_join(placed, lowest, ["root"], "node", "inner", like=roots)
 
 
 def maybe_among(rows: DataFrame, key: str, wanted: DataFrame, bits: int = 1 << 24) -> DataFrame:
@@ -195,8 +202,8 @@ def components(edges: DataFrame, label: str) -> DataFrame:
         e = e.join(to.select(F.col("node").alias("a"), F.col("root").alias("ra")), "a").join(to.select(F.col("node").alias("b"), F.col("root").alias("rb")), "b")
         e = written(e.where("ra <> rb").select(F.least("ra", "rb").alias("a"), F.greatest("ra", "rb").alias("b")).distinct(), label)
     if not moves:
-        return edges.select(F.col("a").alias("node"), F.col("a").alias("root")).limit(0)
+        return e.select(F.col("a").alias("node"), F.col("a").alias("root"))
     out = moves[0]
     for to in moves[1:]:
         out = out.join(to.select(F.col("node").alias("root"), F.col("root").alias("_next")), "root", "left").select("node", F.coalesce("_next", "root").alias("root"))
-    return out
+    return written(out, label)

@@ -20,7 +20,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from sensorloom.llm.blocks import block_links, blocked, components, crowded, incidence_product, linked, maybe_among, per_block, text_or_empty
+from sensorloom.llm.blocks import block_links, blocked, components, crowded, incidence_product, linked, maybe_among, per_block, text_or_empty, with_lowest
 from sensorloom.session import written
 
 MINIMA = 64
@@ -203,8 +203,7 @@ def jaccard_links(
     roots = components(found.select("a", "b"), "components")
     links = found.groupBy(F.col("a").alias("node")).agg(F.sum("links").alias("links"))
     placed = nodes.select("node", "class_id", "copies").join(roots, "node", "left").join(links, "node", "left").withColumn("root", F.coalesce("root", "node"))
-    lowest = placed.groupBy("root").agg(F.min("class_id").alias("component_id"))
-    placed = placed.join(lowest, "root").select("node", "root", "class_id", "component_id", (F.coalesce("links", F.lit(0)) + F.col("copies") - 1).alias("n_links"))
+    placed = with_lowest(placed, roots).select("node", "root", "class_id", "component_id", (F.coalesce("links", F.lit(0)) + F.col("copies") - 1).alias("n_links"))
     out = rows.select("_id", "_row", F.col("_node").alias("node"), "size").join(placed, "node", "left")
     single = F.col("size") == 0
     return out.select(

@@ -17,7 +17,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from sensorloom.llm.blocks import block_links, blocked, components, crowded, linked, per_block
+from sensorloom.llm.blocks import block_links, blocked, components, crowded, linked, per_block, with_lowest
 from sensorloom.session import written
 
 
@@ -145,8 +145,7 @@ def vector_links(
     roots = components(found.select("a", "b"), "components")
     links = found.groupBy(F.col("a").alias("node")).agg(F.sum("links").alias("links"))
     placed = nodes.select("node", "class_id", "copies").join(roots, "node", "left").join(links, "node", "left").withColumn("root", F.coalesce("root", "node"))
-    lowest = placed.groupBy("root").agg(F.min("class_id").alias("component_id"))
-    placed = placed.join(lowest, "root").select("node", "class_id", "component_id", (F.coalesce("links", F.lit(0)) + F.col("copies") - 1).alias("n_links"))
+    placed = with_lowest(placed, roots).select("node", "class_id", "component_id", (F.coalesce("links", F.lit(0)) + F.col("copies") - 1).alias("n_links"))
     out = hashed.select("_id", "node").join(placed, "node", "left")
     component = F.when(F.col("node").isNull(), F.col("_id")).otherwise(F.col("component_id"))
     return out.select(

@@ -6,6 +6,7 @@ import random
 
 import numpy as np
 import pytest
+from pyspark.sql import functions as F
 
 from sensorloom.llm import blocks, chosen_path, lattice
 
@@ -146,3 +147,26 @@ def test_components_of_a_chain(spark):
     edges = spark.createDataFrame([(name[i], name[i + 1]) for i in range(40)] + [(name[50], name[51]), (name[50], name[50])], "a string, b string")
     roots = {r.node: r.root for r in blocks.components(edges, "test").collect()}
     assert len({roots[n] for n in name[:41]}) == 1 and roots[name[50]] == roots[name[51]] != roots[name[0]] and len(roots) == 43
+
+
+def test_hot_paths_and_roots_are_spread(spark):
+    """One path and one root with nine tenths of the rows: the same rows as by a plain join, over many partitions."""
+    rows = spark.range(2000).select(F.md5(F.col("id").cast("string")).alias("node"), F.when(F.col("id") % 10 > 0, 1).otherwise(F.col("id")).alias("path"), "id")
+    rows = rows.union(rows.where("id = 50"))
+    got = blocks.crowded(rows.select("node", "path"), "path")
+    assert {(r.path, r.n) for r in got.collect()} == {(1, 1800), (50, 2)} and got.count() == 1802
+    placed = rows.select("node", F.col("path").alias("root"), F.col("id").alias("class_id"))
+    low = blocks.with_lowest(placed, placed.select("node", "root"))
+    assert all(r.component_id == (1 if r.root == 1 else r.root) for r in low.collect()) and low.count() == 2001
+    before = spark.conf.get("spark.sql.shuffle.partitions")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    spark.conf.set("spark.sql.adaptive.enabled", "false")
+    spark.conf.set("spark.sql.shuffle.partitions", "32")
+    try:
+        for d in (blocks.crowded(rows.select("node", "path"), "path"), blocks.with_lowest(placed, placed.select("node", "root"))):
+            sizes = [r["count"] for r in d.groupBy(F.spark_partition_id()).count().collect()]
+            assert len(sizes) > 10 and max(sizes) < 500
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", before)
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+        spark.conf.unset("spark.sql.adaptive.enabled")
