@@ -14,6 +14,7 @@ from sensorloom.operators import models as M
 from sensorloom.operators.aggregates import r_squared, station_mean
 from sensorloom.operators.intervals import grid_left_join, make_grid
 from sensorloom.operators.reshape import pivot_series
+from sensorloom.session import written
 
 FULL = "full_tier AS (SELECT * FROM grid LEFT JOIN tier USING (Tree, Cable, Timestamp))"
 
@@ -161,8 +162,8 @@ def _(t: Tables):
     WHERE CAST('0x' || md5('222|' || t.Tree || '|' || Cable || '|' || strftime(Timestamp, '%Y-%m-%d %H:%M:%S'))[1:8] AS BIGINT) % 4 = 3)
   SELECT Tree, CAST(count(*) AS BIGINT) AS predicted, true AS inside, true AS fits FROM d WHERE Solar IS NOT NULL AND VPD IS NOT NULL AND Wetness IS NOT NULL GROUP BY 1""")
 def _(t: Tables):
-    train, test = M.train_test_split(weather_tier(t), ["Tree", "Cable", "Timestamp"])
-    pred = M.forest_regress(train, test, "outer_vel", ("Solar", "VPD", "Wetness"))
+    train, test = M.train_test_split(written(weather_tier(t), "weather"), ["Tree", "Cable", "Timestamp"])
+    pred = written(M.forest_regress(train, test, "outer_vel", ("Solar", "VPD", "Wetness")), "forest")
     lo, hi = train.agg(F.min("outer_vel")).scalar(), train.agg(F.max("outer_vel")).scalar()
     pred = pred.withColumn("inside", F.col("pred").between(lo - 1e-9, hi + 1e-9))
     facts = pred.groupBy("Tree").agg(F.count(F.lit(1)).alias("predicted"), F.every("inside").alias("inside"))

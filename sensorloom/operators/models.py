@@ -20,7 +20,10 @@ from sensorloom.operators.aggregates import correlation
 from sensorloom.operators.joins import neighbour_join, salted_join
 from sensorloom.operators.ordered import last_known, ordered, running
 from sensorloom.operators.series import gap_context
-from sensorloom.session import written
+from sensorloom.session import scratch_dir, written
+
+# Training rows of a forest in one task; every task has statistics of its own for the nodes being split, so there should be few.
+TRAIN_ROWS = 50_000
 
 
 def ols_pair(df: DataFrame, y: str, x: str, keys: Sequence[str] = ()) -> DataFrame:
@@ -145,13 +148,25 @@ def forest_regress(train: DataFrame, test: DataFrame, y: str, xs: Sequence[str],
 
     Trees end at nodes of ``min_node`` rows, or at a depth of 30, the most that Spark allows: a leaf there may hold more rows, and
     predicts their mean. Splits are sought at ``bins`` quantiles of a predictor.
+
+    A few bytes per row meet every tree at every level, so rows are dealt out by number, to all cores, and not packed by size. Each row
+    keeps its node in every tree; where these are kept needs checkpoints, so a session without a folder for them gets one. Writes
+    the training rows to the scratch folder.
     """
+    spark = train.sparkSession
+    cores, shuffled = spark.sparkContext.defaultParallelism, int(spark.conf.get("spark.sql.shuffle.partitions"))
+    if not spark.sparkContext.getCheckpointDir():
+        spark.sparkContext.setCheckpointDir(scratch_dir(spark, "forest"))
     stages = [
         VectorAssembler(inputCols=list(xs), outputCol="_x"),
-        RandomForestRegressor(featuresCol="_x", labelCol=y, predictionCol=name, numTrees=trees, minInstancesPerNode=min_node, maxDepth=depth, maxBins=bins, seed=seed),
+        RandomForestRegressor(
+            featuresCol="_x", labelCol=y, predictionCol=name, numTrees=trees, minInstancesPerNode=min_node, maxDepth=depth, maxBins=bins,
+            seed=seed, cacheNodeIds=True,
+        ),
     ]
-    model = Pipeline(stages=stages).fit(train.dropna(subset=[y, *xs]).select(y, *xs))
-    return model.transform(test.dropna(subset=list(xs))).drop("_x")
+    rows = written(train.dropna(subset=[y, *xs]).select(y, *xs), "training")
+    model = Pipeline(stages=stages).fit(rows.repartition(max(cores, -(-rows.count() // TRAIN_ROWS))))
+    return model.transform(test.dropna(subset=list(xs)).repartition(max(cores, shuffled))).drop("_x")
 
 
 def train_test_split(df: DataFrame, keys: Sequence[str], seed: int = 222, parts: int = 4) -> tuple[DataFrame, DataFrame]:
