@@ -18,6 +18,9 @@ FAN = 16
 #: Fields of a leaf, in this order.
 FIELDS = ("doc_id", "source", "lang", "n_chars", "text")
 _SEGMENT = "array<struct<left:string,right:string>>"
+#: What explodes into rows with paths is not to be broadcast: once a join below it was, Spark takes that broadcast's size
+#: for the size of all rows made of it, sixteen times as many at each record on the way down, and they end up in the driver.
+_NEVER_BROADCAST = "merge"
 
 
 def digest(value: Column) -> Column:
@@ -125,7 +128,7 @@ def _opened(nodes: DataFrame, records: DataFrame, more: list[str]) -> DataFrame:
     """The children of ``nodes``, each with the segment of its siblings added to its path."""
     # Equal rows may make equal records.
     known = records.select("digest", "_run").dropDuplicates(["digest"])
-    d = nodes.join(known, "digest").withColumn("_list", F.transform("_run", lambda c: c["digest"]))
+    d = nodes.hint(_NEVER_BROADCAST).join(known, "digest").withColumn("_list", F.transform("_run", lambda c: c["digest"]))
     d = d.select(*[c for c in nodes.columns if c != "digest"], "_list", F.posexplode("_run").alias("_digit", "_child"))
     d = d.withColumns({"_path": F.array_append("_path", _segment("_list", "_digit")), "_rank": F.col("_rank") * FAN + F.col("_digit"), "digest": F.col("_child.digest")})
     d = d.withColumns({c: F.col(f"_child.{c}") for c in more})
@@ -144,7 +147,7 @@ def proofs(m: Manifest, wanted: Column | None = None) -> DataFrame:
 
     ``wanted`` is a condition on ``digest`` and the payload columns; only records above wanted leaves are then opened.
     Nodes go down record by record, each once for all leaves below it; a join on the digest opens them, so no digest
-    gathers the requests of many leaves, and only the last step has a row per leaf.
+    gathers the requests of many leaves, and only the last step has a row per leaf. No path reaches the driver.
     """
     start = m.trees
     paths = F.array().cast(_SEGMENT)
@@ -180,11 +183,11 @@ def proofs(m: Manifest, wanted: Column | None = None) -> DataFrame:
         if h > 1:
             nodes = _opened(nodes, m.records[h - 1], [])
     lone = m.lone.drop("_total", "_rank").withColumnRenamed("_tree", "_of")
-    lone = lone.join(at(0).select("_tree", "subroot", "_path"), F.col("_of").eqNullSafe(F.col("_tree")))
+    lone = lone.join(at(0).select("_tree", "subroot", "_path").hint(_NEVER_BROADCAST), F.col("_of").eqNullSafe(F.col("_tree")))
     payload = [c for c in m.lone.columns if c not in ("_tree", "_total", "_rank", "digest")]
     out = lone.select("digest", *payload, "subroot", "_path")
     if nodes is not None:
-        met = nodes.drop("digest").join(asked, F.col("_tree").eqNullSafe(F.col("_of")) & (F.col("_rank") == F.col("_at")))
+        met = nodes.drop("digest").hint(_NEVER_BROADCAST).join(asked, F.col("_tree").eqNullSafe(F.col("_of")) & (F.col("_rank") == F.col("_at")))
         met = met.withColumn("_list", F.transform("_run", lambda c: c["digest"])).select("subroot", "_path", "_list", F.posexplode("_run").alias("_digit", "_l"))
         out = out.unionByName(met.select("_l.digest", *[f"_l.{c}" for c in payload], "subroot", F.array_append("_path", _segment("_list", "_digit")).alias("_path")))
     if wanted is not None:

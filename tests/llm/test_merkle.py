@@ -117,3 +117,19 @@ def test_only_wanted_leaves_and_the_store(spark):
         held.add(x)
         reach += store.get(x, [])
     assert {leaf(r) for r in rows} <= held
+
+
+def test_no_path_is_broadcast(spark):
+    # A lone leaf, a record and three levels; more than sixteen groups, so that paths begin above the groups.
+    rows = rows_of({"one": 1, "full": 16, "deep": 300, **{f"s{i}": 1 for i in range(15)}})
+    d = spark.createDataFrame([tuple(r.values()) for r in rows], SCHEMA)
+    m = merkle.build(d, {"id": F.col("doc_id")})
+    for wanted in (None, F.col("id") < 5000):
+        got = merkle.proofs(m, wanted)
+        assert got.collect()
+        ran = got._jdf.queryExecution().executedPlan().toString()
+        assert "isFinalPlan=true" in ran
+        joins = [line for line in ran.split("== Initial Plan ==")[0].splitlines() if "Join" in line]
+        # Wanted places may be broadcast to choose nodes; what nodes are made of may not, however small it seems.
+        assert not [line for line in joins if "BroadcastHashJoin" in line and "LeftSemi" not in line]
+        assert [line for line in joins if "SortMergeJoin" in line]
